@@ -65,7 +65,7 @@ def gram_hashes(x: np.ndarray, k: int, base: np.uint64 = BASES[0]) -> np.ndarray
         if rest:
             n = len(part) - span
             part = part[:n] * power + part[span:]
-            span, power = 2 * span, power * power
+            span, power = 2 * span, np.uint64(int(power) ** 2 % 2**64)
     return mixed(done)
 
 
@@ -98,10 +98,15 @@ def minimizers(h: np.ndarray, w: int, rightmost: bool = False) -> tuple[np.ndarr
     values = h[at]
     first = np.zeros(len(at), dtype=np.int64)
     if len(at) > 1:
-        earlier = values[1:] <= values[:-1] if rightmost else values[1:] < values[:-1]
-        first[1:] = np.where(earlier, np.maximum(at[1:] - w + 1, 0), at[:-1] + 1)
-    windows = np.append(first[1:], len(low)) - first
-    keep = windows > 0
+        reach = np.maximum(at[1:] - w + 1, 0)
+        first[1:] = np.where(values[1:] < values[:-1], reach, at[:-1] + 1)
+        if rightmost:  # in a chain of ties each takes over as soon as a window reaches it, but not before the chain's start
+            tie = np.concatenate([[False], values[1:] == values[:-1]])
+            start = np.maximum.accumulate(np.where(tie, 0, np.arange(len(at))))
+            first[1:] = np.where(tie[1:], np.maximum(reach, first[start[1:]]), first[1:])
+    # a position that ties with an earlier one may lose all its windows to a later one
+    ends = np.minimum.accumulate(np.append(first[1:], len(low))[::-1])[::-1]
+    keep = ends > first
     return at[keep], first[keep]
 
 

@@ -5,10 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vectorloom.llm import bpe
+from vectorloom.llm import bpe, fingerprint
 from vectorloom.llm.common import table
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowed fingerprints of every text and of its edited text."""
+    return fingerprint.edited_pairs(table(spark, sf_dir, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes and decodes every text; returns counts and digests."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -22,5 +27,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {"op10_byte_bpe": op10_byte_bpe}
+QUERIES = {
+    "op8_fingerprints": op8_fingerprints,
+    "op10_byte_bpe": op10_byte_bpe,
+}
 ORACLES: dict[str, str] = {}
