@@ -5,10 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vectorloom.llm import bpe, fingerprint
+from vectorloom.llm import bpe, fingerprint, packing
 from vectorloom.llm.common import table
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packs every document into sequences of 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, 2, 1024)
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowed fingerprints of every text and of its edited text."""
     return fingerprint.edited_pairs(table(spark, sf_dir, "documents"))
@@ -28,6 +33,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_packing": op4_packing,
     "op8_fingerprints": op8_fingerprints,
     "op10_byte_bpe": op10_byte_bpe,
 }
