@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vectorloom.llm import bpe, fingerprint, packing
+from vectorloom.llm import bpe, fingerprint, packing, substring
 from vectorloom.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, 2, 1024)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removes words of 13-word windows that also start in a document with a smaller id."""
+    return substring.digest(table(spark, sf_dir, "documents"), 13)
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowed fingerprints of every text and of its edited text."""
     return fingerprint.edited_pairs(table(spark, sf_dir, "documents"))
@@ -34,6 +39,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_packing": op4_packing,
+    "op5_substring_dedup": op5_substring_dedup,
     "op8_fingerprints": op8_fingerprints,
     "op10_byte_bpe": op10_byte_bpe,
 }
