@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vectorloom.llm import bpe, fingerprint, packing, substring
+from vectorloom.llm import bpe, fingerprint, packing, substring, suffix
 from vectorloom.llm.common import table
 
 
@@ -24,6 +24,11 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_pairs(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removes bytes of 50-byte strings that also start in a document with a smaller id."""
+    return suffix.digest(table(spark, sf_dir, "documents"), 50)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes and decodes every text; returns counts and digests."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -41,6 +46,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_substring_dedup": op5_substring_dedup,
     "op8_fingerprints": op8_fingerprints,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLES: dict[str, str] = {}

@@ -9,8 +9,6 @@ two or more are kept, as runs, and grouped exactly by their words.
 
 from __future__ import annotations
 
-from hashlib import sha256
-
 import numpy as np
 import pyarrow as pa
 import xxhash
