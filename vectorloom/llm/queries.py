@@ -5,10 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vectorloom.llm import bpe, fingerprint, packing, substring, suffix
+from vectorloom.llm import bpe, fingerprint, minhash, packing, substring, suffix
 from vectorloom.llm.common import table
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates on 4-word shingles at a Jaccard similarity of 0.8."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), 4, 80)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packs every document into sequences of 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, 2, 1024)
@@ -43,6 +48,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op4_packing": op4_packing,
     "op5_substring_dedup": op5_substring_dedup,
     "op8_fingerprints": op8_fingerprints,
