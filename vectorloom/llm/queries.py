@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vectorloom.llm import bpe, fingerprint, minhash, packing, substring, suffix
+from vectorloom.llm import bpe, fingerprint, minhash, packing, quality_model, substring, suffix
 from vectorloom.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), 4, 80)
 
 
+def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of every text by a factorisation machine."""
+    return quality_model.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packs every document into sequences of 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, 2, 1024)
@@ -49,6 +54,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op3_quality_model": op3_quality_model,
     "op4_packing": op4_packing,
     "op5_substring_dedup": op5_substring_dedup,
     "op8_fingerprints": op8_fingerprints,
