@@ -110,27 +110,72 @@ def minimizers(h: np.ndarray, w: int, rightmost: bool = False) -> tuple[np.ndarr
     return at[keep], first[keep]
 
 
-class WordHashes(dict):
-    """64-bit hash of each word, computed once for each distinct word; bounded by MOST entries."""
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[list(b" \t\n\x0b\x0c\r")] = True
+#: The same for bytes of which A-Z count as a-z.
+_FOLDED = BYTE_VALUES.copy()
+_FOLDED[65:91] = BYTE_VALUES[97:123]
+_BLOCK = 1 << 22
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
-    MOST = 400_000
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.MOST:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of an odd base modulo 2**64, and of its inverse."""
+    if len(_powers[0]) < n:
+        size = max(n, 1 << 18)
+        for i, base in enumerate((int(BASES[0]), pow(int(BASES[0]), -1, 2**64))):
+            steps = np.full(size, base, dtype=np.uint64)
+            steps[0] = 1
+            _powers[i] = np.multiply.accumulate(steps)
+    return _powers[0][:n], _powers[1][:n]
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+
+def word_places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends (exclusive) of the maximal runs of bytes other than space and 9 to 13."""
+    return runs_of(~_SPACE[np.frombuffer(data, dtype=np.uint8)])
+
+
+def word_hashes(data: bytes, folded: bool = False) -> np.ndarray:
+    """64-bit hash of each word of data, without making the words; folded: A-Z count as a-z.
+
+    A word's hash is its share of a polynomial over the whole text, shifted back to
+    place 0. Long texts go by blocks that end at white space.
+    """
+    parts, at = [], 0
+    while at < len(data):
+        end = len(data)
+        if end - at > _BLOCK:
+            white = _SPACE[np.frombuffer(data, dtype=np.uint8, count=end - at - _BLOCK, offset=at + _BLOCK)]
+            end = at + _BLOCK + (int(white.argmax()) if white.any() else len(white))
+        block = np.frombuffer(data, dtype=np.uint8, count=end - at, offset=at)
+        start, stop = runs_of(~_SPACE[block])
+        up, down = powers(len(block) + 1)
+        total = np.zeros(len(block) + 1, dtype=np.uint64)
+        np.cumsum((_FOLDED if folded else BYTE_VALUES)[block] * up[:-1], out=total[1:])
+        parts.append(mixed((total[stop] - total[start]) * down[start] + (stop - start).astype(np.uint64)))
+        at = end
+    return np.concatenate(parts) if parts else np.empty(0, dtype=np.uint64)
 
 
 def runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends (exclusive) of the runs of true values."""
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
+    padded = np.zeros(len(flags) + 2, dtype=np.int8)
+    padded[1:-1] = flags
+    edges = np.flatnonzero(padded[1:] != padded[:-1])
     return edges[::2], edges[1::2]
 
 
+def utf8(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass")
+
+
+def binary_column(column) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of an Arrow binary array."""
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 def rows(batches: Iterator, *names: str) -> Iterator[tuple]:
     """The rows of Arrow batches as tuples of Python values, one small slice at a time."""
     for batch in batches:

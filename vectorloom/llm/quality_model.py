@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import WordHashes, narrow, rows
+from vectorloom.llm.common import narrow, rows, utf8, word_hashes
 
 BUCKET_BITS, RANK = 15, 8
 BUCKETS = 1 << BUCKET_BITS
@@ -71,14 +71,14 @@ def statistics(data: bytes, words: list[bytes], distinct: int) -> list[float]:
     ]
 
 
-def features(texts: list[str], hashes: WordHashes) -> tuple:
+def features(texts: list[str]) -> tuple:
     """index, value, starts of the features of each text; every text has STATISTICS at least."""
     index, value, starts, at = [], [], [], 0
     fixed = np.arange(BUCKETS, BUCKETS + STATISTICS)
     for text in texts:
-        data = (text or "").encode("utf-8", "surrogatepass")
+        data = utf8(text)
         words = data.split()
-        buckets, counts = np.unique(hashes.of(words) >> np.uint64(64 - BUCKET_BITS), return_counts=True)
+        buckets, counts = np.unique(word_hashes(data) >> np.uint64(64 - BUCKET_BITS), return_counts=True)
         norm = np.sqrt(float((counts.astype(np.float64) ** 2).sum())) or 1.0
         index += [buckets.astype(np.int64), fixed]
         value += [counts / norm, np.array(statistics(data, words, len(buckets)))]
@@ -96,7 +96,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = 6, batch: int = 64, r
         model.bias = 4.0 if not labels or labels[0] else -4.0
         return model
     weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean())).astype(np.float32)
-    index, value, starts = features(texts, WordHashes())
+    index, value, starts = features(texts)
     ends = np.append(starts[1:], len(index))
     g_bias, g_w, g_v = 1e-8, np.full_like(model.weights, 1e-8), np.full_like(model.factors, 1e-8)
     for _ in range(epochs):
@@ -157,19 +157,19 @@ def scored(docs: DataFrame, labels: DataFrame, most: int = MOST) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, most))
 
     def run(batches):
-        hashes, ids, texts, size = WordHashes(), [], [], 0
+        ids, texts, size = [], [], 0
         for doc_id, text in rows(batches, "doc_id", "text"):
             ids.append(doc_id)
             texts.append(text)
             size += len(text or "")
             if size > 500_000 or len(ids) >= 2000:
-                yield made(ids, texts, hashes)
+                yield made(ids, texts)
                 ids, texts, size = [], [], 0
         if ids:
-            yield made(ids, texts, hashes)
+            yield made(ids, texts)
 
-    def made(ids, texts, hashes):
-        margin = model.value.margins(features(texts, hashes))
+    def made(ids, texts):
+        margin = model.value.margins(features(texts))
         return pa.record_batch({"doc_id": pa.array(ids, pa.int64()), "score": (1 / (1 + np.exp(-np.clip(margin, -30, 30)))).astype(np.float64)})
 
     out = narrow(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, score double")

@@ -9,8 +9,8 @@ more items pass, and the exact stages that follow sort them out.
 
 Runs: neighbouring windows that may be repeated form runs. Runs with equal contents are
 settled as a whole, so that copies of a passage, however many, cost one row each: all
-but those of the smallest document are removed. One representative of each content
-goes on to the exact grouping of its windows.
+but those of the smallest document are removed. The places of each content in its
+smallest document go on to the exact grouping of their windows.
 """
 
 from __future__ import annotations
@@ -19,15 +19,18 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import shuffles
+from vectorloom.llm.common import shuffles, stored
 
 ROWS, BLOCK_BITS, MOST_BITS = 2, 16, 28
 #: Items that a task holds before it sends their cells.
 FLUSH = 3_000_000
+#: Bytes of fragments that are solved at a time.
+SLICE = 8_000_000
 
 
 def cells(items: np.ndarray, row: int, bits: int) -> np.ndarray:
@@ -109,23 +112,76 @@ def estimated_repeated(items: np.ndarray, maps: np.ndarray) -> np.ndarray:
     return out
 
 
-def settled(runs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """From runs (content_id, doc_id, start, windows, content): representatives, removed runs, and runs of the smallest documents.
+def settled(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From runs (content_id, doc_id, start, windows, content): spans (doc_id, start, windows) to remove, and what is left.
 
-    Representatives have content_id, first_doc, content, one row a content; the others
-    doc_id, start, windows, and content_id in the last.
+    Left are the places (doc_id, start, content) of each content in its smallest document.
     """
-    contents = runs.groupBy("content_id").agg(F.min("doc_id").alias("first_doc"), F.first("content").alias("content"))
     firsts = runs.groupBy("content_id").agg(F.min("doc_id").alias("first_doc"))
-    told = runs.select("content_id", "doc_id", "start", "windows").join(firsts, "content_id")
-    later = told.filter("doc_id > first_doc").select("doc_id", "start", "windows")
-    return contents, later, told.filter("doc_id = first_doc").select("content_id", "doc_id", "start")
+    told = runs.join(firsts, "content_id")
+    return told.filter("doc_id > first_doc").select("doc_id", "start", "windows"), told.filter("doc_id = first_doc").select("doc_id", "start", "content")
 
 
-def spans_by_document(later: DataFrame, own: DataFrame, found: DataFrame) -> DataFrame:
-    """doc_id, spans: starts and numbers of windows to remove.
+def matched(fragments: DataFrame, spans_of: Callable, windows_of: Callable) -> DataFrame:
+    """doc_id, start, windows: windows that also occur in a smaller document.
 
-    found has content_id, start, windows relative to the content; own places contents.
+    fragments has key, doc_id, at, part: neighbouring windows with one bucket key. They
+    are shuffled by key and solved in slices of whole keys by spans_of(table). A key that
+    outgrows a slice is put aside; the windows of such keys, as rows (window, doc_id, at)
+    from windows_of(batches), are grouped by themselves, with partial minima, instead.
     """
-    inside = own.join(found.withColumnRenamed("start", "shift"), "content_id").select("doc_id", (F.col("start") + F.col("shift")).alias("start"), "windows")
-    return later.unionByName(inside).groupBy("doc_id").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
+    schema = "hot long, doc_id long, start int, windows int"
+    dealt = fragments.repartition(shuffles(fragments.sparkSession), "key").sortWithinPartitions("key")
+
+    def solve(batches):
+        held, size, hot = [], 0, None
+        for batch in batches:
+            if hot is not None:
+                batch = batch.filter(pc.not_equal(batch.column(0), hot))
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            size += batch.nbytes
+            if size < SLICE:
+                continue
+            table = pa.Table.from_batches(held).combine_chunks()
+            keys = table.column(0).to_numpy()
+            cut = int(np.searchsorted(keys, keys[-1], side="left"))
+            if cut:
+                yield from made(*spans_of(table.slice(0, cut)))
+                rest = table.slice(cut)
+                held, size = rest.to_batches(), rest.nbytes
+            elif size >= 4 * SLICE:
+                hot, held, size = int(keys[-1]), [], 0
+                yield pa.record_batch({"hot": pa.array([hot], pa.int64()), "doc_id": pa.nulls(1, pa.int64()), "start": pa.nulls(1, pa.int32()), "windows": pa.nulls(1, pa.int32())})
+        if held:
+            yield from made(*spans_of(pa.Table.from_batches(held).combine_chunks()))
+
+    def made(doc_id, start, number):
+        if len(doc_id):
+            yield pa.record_batch({"hot": pa.nulls(len(doc_id), pa.int64()), "doc_id": doc_id, "start": start.astype(np.int32), "windows": number.astype(np.int32)})
+
+    found = stored(dealt.mapInArrow(solve, schema))
+    spans = found.filter("hot is null").drop("hot")
+    hot = found.filter("hot is not null").select(F.col("hot").alias("key")).distinct()
+    if not hot.limit(1).count():
+        return spans
+    every = fragments.join(hot, "key", "left_semi").mapInArrow(windows_of, "window binary, doc_id long, at int")
+    least = every.groupBy("window").agg(F.min("doc_id").alias("least"))
+    return spans.unionByName(every.join(least, "window").filter("least < doc_id").select("doc_id", F.col("at").alias("start"), F.lit(1).alias("windows")))
+
+
+def spans_of_flags(row: np.ndarray, place: np.ndarray, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first place and number of each run of flags within a row."""
+    apart = np.concatenate([[True], row[1:] != row[:-1]])
+    start = np.flatnonzero(gone & (apart | ~np.concatenate([[False], gone[:-1]])))
+    end = np.flatnonzero(gone & (np.concatenate([apart[1:], [True]]) | ~np.concatenate([gone[1:], [False]]))) + 1
+    return row[start], place[start], end - start
+
+
+def spans_by_document(*spans: DataFrame) -> DataFrame:
+    """doc_id, spans: starts and numbers of windows to remove; a document has no more spans than windows."""
+    both = spans[0]
+    for more in spans[1:]:
+        both = both.unionByName(more)
+    return both.groupBy("doc_id").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))

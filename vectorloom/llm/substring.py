@@ -15,17 +15,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import BASES, WordHashes, gram_hashes, minimizers, narrow, rows, runs_of, stored
-from vectorloom.llm.repeats import estimated_repeated, merged_sketch, settled, sketch_bits, spans_by_document
+from vectorloom.llm.common import BASES, binary_column, gram_hashes, minimizers, narrow, rows, runs_of, stored, utf8, word_hashes, word_places
+from vectorloom.llm.repeats import estimated_repeated, matched, merged_sketch, settled, sketch_bits, spans_by_document, spans_of_flags
 
 GRAM = 7
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Maximal runs of characters other than space and U+0009 to U+000D."""
-    return (text or "").encode("utf-8", "surrogatepass").split()
-
-
 def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
     """doc_id, spans: windows (start, number of windows) of each document that also start in a document with a smaller id.
 
@@ -37,29 +32,28 @@ def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
     wide = window - gram + 1
     length = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
-    def minimisers(hashes, words):
-        return minimizers(gram_hashes(hashes.of(words), gram), wide)
-
     def items(batches):
-        hashes = WordHashes()
         for _, text in rows(batches, "doc_id", "text"):
-            if len(words := words_of(text)) >= window:
-                grams = gram_hashes(hashes.of(words), gram)
-                yield np.unique(grams[minimizers(grams, wide)[0]])
+            grams = gram_hashes(word_hashes(utf8(text)), gram)
+            yield np.unique(grams[minimizers(grams, wide)[0]])
 
     maps = merged_sketch(texts, items, sketch_bits(length / 24))
 
     def candidates(batches):
-        hashes, out, size = WordHashes(), [], 0
+        out, size = [], 0
         for doc_id, text in rows(batches, "doc_id", "text"):
-            if len(words := words_of(text)) < window:
-                continue
-            grams = gram_hashes(hashes.of(words), gram)
+            data = utf8(text)
+            grams = gram_hashes(word_hashes(data), gram)
             at, first = minimizers(grams, wide)
-            twice = estimated_repeated(grams[at], maps.value)
-            flags = np.repeat(twice, np.diff(np.append(first, len(words) - window + 1)))
-            for a, b in zip(*(x.tolist() for x in runs_of(flags)), strict=True):
-                content = b" ".join(words[a : b + window - 1])
+            if not len(at):
+                continue
+            flags = np.repeat(estimated_repeated(grams[at], maps.value), np.diff(np.append(first, len(grams) - wide + 1)))
+            begin, end = runs_of(flags)
+            if not len(begin):
+                continue
+            starts, stops = word_places(data)
+            for a, b, s, e in zip(begin.tolist(), end.tolist(), starts[begin].tolist(), stops[end + window - 2].tolist(), strict=True):
+                content = b" ".join(data[s:e].split())
                 out.append((xxhash.xxh3_128_digest(content), doc_id, a, b - a, content))
                 size += len(content)
             if size > 2_000_000:
@@ -68,20 +62,42 @@ def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
         if out:
             yield run_batch(out)
 
-    runs = stored(texts.mapInArrow(candidates, "content_id binary, doc_id long, start int, windows int, content binary"))
-    contents, later, own = settled(runs)
+    later, left = settled(stored(texts.mapInArrow(candidates, "content_id binary, doc_id long, start int, windows int, content binary")))
 
-    def windows(batches):
-        hashes = WordHashes()
-        for content_id, doc_id, content in rows(batches, "content_id", "first_doc", "content"):
-            h = hashes.of(content.split())
-            a, b = gram_hashes(h, window, BASES[0]).view(np.int64), gram_hashes(h, window, BASES[1]).view(np.int64)
-            yield pa.record_batch({"a": a, "b": b, "content_id": pa.array([content_id] * len(a), pa.binary()), "first_doc": pa.array(np.full(len(a), doc_id)), "at": pa.array(np.arange(len(a), dtype=np.int32))})
-
-    every = contents.mapInArrow(windows, "a long, b long, content_id binary, first_doc long, at int")
-    least = every.groupBy("a", "b").agg(F.min("first_doc").alias("least"))
-    found = every.join(least, ["a", "b"]).filter("least < first_doc").select("content_id", F.col("at").alias("start"), F.lit(1).alias("windows"))
-    return spans_by_document(later, own, found)
+    def fragments(batches):
+        """Windows with one minimiser: its hash, and the hashes of the windows."""
+        for doc_id, start, content in rows(batches, "doc_id", "start", "content"):
+            h = word_hashes(content)
+            grams, windows = gram_hashes(h, gram), gram_hashes(h, window, BASES[1])
+            at, first = minimizers(grams, wide)
+            offsets = pa.py_buffer((8 * np.append(first, len(windows))).astype(np.int32))
+            part = pa.Array.from_buffers(pa.binary(), len(at), [None, offsets, pa.py_buffer(windows)])
+            yield pa.record_batch({"key": grams[at].view(np.int64), "doc_id": np.full(len(at), doc_id, np.int64), "at": (first + start).astype(np.int32), "part": part})
+
+    def spans_of(table):
+        """Two windows are one if both the hashes of their minimisers and their own agree."""
+        data, offsets = binary_column(table.column("part").chunk(0))
+        number = np.diff(offsets) // 8
+        row = np.repeat(np.arange(len(number)), number)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number)
+        keys, docs_ = table.column("key").to_numpy()[row], table.column("doc_id").to_numpy()
+        windows = data.view(np.uint64) if data.ctypes.data % 8 == 0 else data.copy().view(np.uint64)
+        order = np.lexsort((windows, keys))
+        new = np.concatenate([[True], (keys[order][1:] != keys[order][:-1]) | (windows[order][1:] != windows[order][:-1])])
+        own = docs_[row[order]]
+        least = np.minimum.reduceat(own, np.flatnonzero(new))[np.cumsum(new) - 1]
+        gone = np.zeros(len(row), dtype=bool)
+        gone[order] = own > least
+        i, at, size = spans_of_flags(row, place, gone)
+        return docs_[i], table.column("at").to_numpy()[i] + at, size
+
+    def windows_of(batches):
+        for key, doc_id, at, part in rows(batches, "key", "doc_id", "at", "part"):
+            own = [key.to_bytes(8, "little", signed=True) + part[i : i + 8] for i in range(0, len(part), 8)]
+            yield pa.record_batch({"window": pa.array(own, pa.binary()), "doc_id": np.full(len(own), doc_id, np.int64), "at": np.arange(at, at + len(own), dtype=np.int32)})
+
+    found = matched(left.mapInArrow(fragments, "key long, doc_id long, at int, part binary"), spans_of, windows_of)
+    return spans_by_document(later, found)
 
 
 def run_batch(out: list[tuple]) -> pa.RecordBatch:
@@ -111,7 +127,7 @@ def kept_words(docs: DataFrame, window: int = 13) -> DataFrame:
     def run(batches):
         out, size = [], 0
         for doc_id, text, own in rows(batches, "doc_id", "text", "spans"):
-            words = words_of(text)
+            words = utf8(text).split()
             gone = removed(len(words), own, window) if own else np.zeros(0, bool)
             kept = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g] if own else words)
             out.append((doc_id, len(words), int(gone.sum()), kept.decode("utf-8", "surrogatepass")))

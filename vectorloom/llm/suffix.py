@@ -20,13 +20,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import BYTE_VALUES, gram_hashes, minimizers, narrow, rows, runs_of, shuffles, stored
-from vectorloom.llm.repeats import estimated_repeated, merged_sketch, settled, sketch_bits, spans_by_document
+from vectorloom.llm.common import BYTE_VALUES, binary_column, gram_hashes, minimizers, narrow, rows, runs_of, stored, utf8
+from vectorloom.llm.repeats import estimated_repeated, matched, merged_sketch, settled, sketch_bits, spans_by_document, spans_of_flags
 from vectorloom.llm.substring import removed, run_batch
 
 GRAM, DIGIT = 24, 8
-#: Windows that a task sorts at a time.
-AT_ONCE = 400_000
 
 
 def minimisers(data: bytes, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -37,13 +35,13 @@ def minimisers(data: bytes, window: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return grams[at], at, first
 
 
-def groups_by_radix(windows: np.ndarray) -> np.ndarray:
-    """Group number of each row of a byte matrix, equal rows alike; -1 where a row is alone.
+def groups_by_radix(windows: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """Group number of each row of a byte matrix, equal rows of a bucket alike; -1 where a row is alone.
 
     Each pass sorts what is left by (group, next digit of 8 bytes) and splits the groups.
     """
     n, width = windows.shape
-    group = np.zeros(n, dtype=np.int64)
+    group = bucket.astype(np.int64)
     left = np.arange(n)
     for at in range(0, width, DIGIT):
         part = np.zeros((len(left), DIGIT), dtype=np.uint8)
@@ -79,7 +77,7 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
 
     def joined(batches):
         for _, text in rows(batches, "doc_id", "text"):
-            data = (text or "").encode("utf-8", "surrogatepass")
+            data = utf8(text)
             if len(data) >= window:
                 yield data
 
@@ -88,7 +86,7 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
     def candidates(batches):
         out, size = [], 0
         for doc_id, text in rows(batches, "doc_id", "text"):
-            data = (text or "").encode("utf-8", "surrogatepass")
+            data = utf8(text)
             if len(data) < window:
                 continue
             h, _, first = minimisers(data, window)
@@ -103,56 +101,48 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
         if out:
             yield run_batch(out)
 
-    runs = stored(texts.mapInArrow(candidates, "content_id binary, doc_id long, start int, windows int, content binary"))
-    contents, later, own = settled(runs)
+    later, left = settled(stored(texts.mapInArrow(candidates, "content_id binary, doc_id long, start int, windows int, content binary")))
 
     def buckets(batches):
-        for content_id, doc_id, content in rows(batches, "content_id", "first_doc", "content"):
+        for doc_id, start, content in rows(batches, "doc_id", "start", "content"):
             h, _, first = minimisers(content, window)
             ends = np.append(first[1:], len(content) - window + 1)
             part = [content[a : b + window - 1] for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
-            n = len(part)
-            yield pa.record_batch({"bucket": h.view(np.int64), "content_id": pa.array([content_id] * n, pa.binary()), "first_doc": pa.array(np.full(n, doc_id)), "at": pa.array(first.astype(np.int32)), "part": pa.array(part, pa.binary())})
-
-    dealt = contents.mapInArrow(buckets, "bucket long, content_id binary, first_doc long, at int, part binary").repartition(shuffles(docs.sparkSession), "bucket").sortWithinPartitions("bucket")
-
-    def sort(batches):
-        held, size, bucket = [], 0, None
-        for row in rows(batches, "bucket", "content_id", "first_doc", "at", "part"):
-            if size >= AT_ONCE and row[0] != bucket:
-                yield from matched(held)
-                held, size = [], 0
-            bucket = row[0]
-            held.append(row)
-            size += len(row[4]) - window + 1
-        if held:
-            yield from matched(held)
-
-    def matched(held):
-        if len({r[0] for r in held}) == len(held):
-            return  # no bucket has two rows
-        parts = np.array([len(r[4]) for r in held])
-        number = parts - window + 1
-        data = np.frombuffer(b"".join(r[4] for r in held), dtype=np.uint8)
-        row = np.repeat(np.arange(len(held)), number)
+            yield pa.record_batch({"key": h.view(np.int64), "doc_id": np.full(len(part), doc_id, np.int64), "at": (first + start).astype(np.int32), "part": pa.array(part, pa.binary())})
+
+    def spans_of(table):
+        keys, docs_ = table.column("key").to_numpy(), table.column("doc_id").to_numpy()
+        twice = np.zeros(len(keys), dtype=bool)
+        same = keys[1:] == keys[:-1]
+        twice[1:] |= same
+        twice[:-1] |= same  # other buckets hold one row
+        table = table.filter(pa.array(twice)).combine_chunks()
+        if not table.num_rows:
+            return docs_[:0], docs_[:0], docs_[:0]
+        docs_ = table.column("doc_id").to_numpy()
+        data, offsets = binary_column(table.column("part").chunk(0))
+        number = np.diff(offsets) - window + 1
+        row = np.repeat(np.arange(len(number)), number)
         place = np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number)
-        windows = np.lib.stride_tricks.sliding_window_view(data, window)[np.repeat(np.cumsum(parts) - parts, number) + place]
-        group = groups_by_radix(windows)
-        docs_ = np.array([r[2] for r in held], dtype=np.int64)[row]
+        keys = np.unique(table.column("key").to_numpy(), return_inverse=True)[1]
+        windows = np.lib.stride_tricks.sliding_window_view(data, window)[offsets[row] + place]
+        group = groups_by_radix(windows, keys[row])
         keep = np.flatnonzero(group >= 0)
+        own = docs_[row[keep]]
         least = np.full(int(group.max(initial=-1)) + 1, np.iinfo(np.int64).max)
-        np.minimum.at(least, group[keep], docs_[keep])
+        np.minimum.at(least, group[keep], own)
         gone = np.zeros(len(row), dtype=bool)
-        gone[keep] = least[group[keep]] < docs_[keep]
-        # neighbours of one row become one span
-        apart = np.concatenate([[True], row[1:] != row[:-1]])
-        start = np.flatnonzero(gone & (apart | ~np.concatenate([[False], gone[:-1]])))
-        end = np.flatnonzero(gone & (np.concatenate([apart[1:], [True]]) | ~np.concatenate([gone[1:], [False]]))) + 1
-        if len(start):
-            yield pa.record_batch({"content_id": pa.array([held[i][1] for i in row[start].tolist()], pa.binary()), "start": pa.array((np.array([r[3] for r in held])[row[start]] + place[start]).astype(np.int32)), "windows": pa.array((end - start).astype(np.int32))})
+        gone[keep] = least[group[keep]] < own
+        i, at, size = spans_of_flags(row, place, gone)
+        return docs_[i], table.column("at").to_numpy()[i] + at, size
 
-    found = dealt.mapInArrow(sort, "content_id binary, start int, windows int")
-    return spans_by_document(later, own, found)
+    def windows_of(batches):
+        for doc_id, at, part in rows(batches, "doc_id", "at", "part"):
+            own = [part[i : i + window] for i in range(len(part) - window + 1)]
+            yield pa.record_batch({"window": pa.array(own, pa.binary()), "doc_id": np.full(len(own), doc_id, np.int64), "at": np.arange(at, at + len(own), dtype=np.int32)})
+
+    found = matched(left.mapInArrow(buckets, "key long, doc_id long, at int, part binary"), spans_of, windows_of)
+    return spans_by_document(later, found)
 
 
 def kept_bytes(docs: DataFrame, window: int = 50) -> DataFrame:
@@ -168,7 +158,7 @@ def kept_bytes(docs: DataFrame, window: int = 50) -> DataFrame:
     def run(batches):
         out, size = [], 0
         for doc_id, text, own in rows(batches, "doc_id", "text", "spans"):
-            data = kept = (text or "").encode("utf-8", "surrogatepass")
+            data = kept = utf8(text)
             gone, pieces = 0, 0
             if own:
                 flags = removed(len(data), own, window)
