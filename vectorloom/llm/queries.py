@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vectorloom.llm import bpe, fingerprint, minhash, packing, quality_model, substring, suffix
+from vectorloom.llm import bpe, fingerprint, minhash, packing, quality_model, secret_scan, substring, suffix
 from vectorloom.llm.common import table
 
 
@@ -29,6 +29,11 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(table(spark, sf_dir, "documents"), 13)
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text, by rules and a character convolutional network."""
+    return secret_scan.findings(table(spark, sf_dir, "documents"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowed fingerprints of every text and of its edited text."""
     return fingerprint.edited_pairs(table(spark, sf_dir, "documents"))
@@ -57,6 +62,7 @@ QUERIES = {
     "op3_quality_model": op3_quality_model,
     "op4_packing": op4_packing,
     "op5_substring_dedup": op5_substring_dedup,
+    "op7_secrets": op7_secrets,
     "op8_fingerprints": op8_fingerprints,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_byte_bpe": op10_byte_bpe,
