@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vectorloom.llm import bpe, fingerprint, minhash, packing, quality_model, secret_scan, substring, suffix
+from vectorloom.llm import bpe, fingerprint, minhash, packing, quality_model, quality_rules, secret_scan, substring, suffix
 from vectorloom.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), 4, 80)
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics and risk-controlled rules for every document."""
+    return quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of every text by a factorisation machine."""
     return quality_model.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -59,6 +64,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_quality_rules": op2_quality_rules,
     "op3_quality_model": op3_quality_model,
     "op4_packing": op4_packing,
     "op5_substring_dedup": op5_substring_dedup,
