@@ -33,6 +33,12 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def gathered(df: DataFrame, rows_each: int = 50_000) -> DataFrame:
+    """stored(), in about rows_each rows a partition: small tables then cost few files in the shuffles that follow."""
+    df = stored(df)
+    return df.coalesce(df.count() // rows_each + 1)
+
+
 def shuffles(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
