@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vectorloom.llm import bpe, fingerprint, minhash, packing, quality_model, quality_rules, secret_scan, substring, suffix
+from vectorloom.llm import bpe, fingerprint, licenses, minhash, packing, quality_model, quality_rules, secret_scan, substring, suffix
 from vectorloom.llm.common import table
 
 
@@ -34,6 +34,11 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(table(spark, sf_dir, "documents"), 13)
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in every text."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text, by rules and a character convolutional network."""
     return secret_scan.findings(table(spark, sf_dir, "documents"))
@@ -68,6 +73,7 @@ QUERIES = {
     "op3_quality_model": op3_quality_model,
     "op4_packing": op4_packing,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_licenses": op6_licenses,
     "op7_secrets": op7_secrets,
     "op8_fingerprints": op8_fingerprints,
     "op9_suffix_dedup": op9_suffix_dedup,
