@@ -1,4 +1,80 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: from documents to packed training sequences.
 
-STAGES: list = []
+STAGES are applied in order; each result is written and read again before the next
+stage, so a lost executor costs one stage at most. All stages but the last return the
+columns of documents (doc_id, text, lang, source, n_chars); n_chars follows the text.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vectorloom.llm import minhash, packing, quality_model, secret_scan, substring
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+SHINGLE, PERCENT, WINDOW, MASK, END_ID, CAPACITY = 5, 80, 13, "[secret]", 2, 1024
+
+
+def with_text(docs: DataFrame, changed: DataFrame, column: str) -> DataFrame:
+    """docs with their text, and its length, from a column of changed; a null there keeps the text."""
+    text = F.coalesce(F.col(column), F.col("text"))
+    return docs.join(changed.select("doc_id", column), "doc_id", "left").withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts. Documents without an id cannot be judged and go."""
+    scores = quality_model.scored(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    accepted = scores.filter("predicted = 1").select("doc_id").distinct()
+    return docs.join(accepted, "doc_id", "left_semi").select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near duplicates."""
+    kept = minhash.near_duplicates(docs, SHINGLE, PERCENT).filter("kept").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that a document with a smaller id has; untouched texts stay as they are."""
+    kept = substring.kept_words(docs, WINDOW).filter("n_removed > 0")
+    return with_text(docs, kept, "kept_text")
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with every secret replaced by MASK."""
+    masked = secret_scan.findings(docs, mask=MASK).filter("spans <> ''")
+    return with_text(docs, masked, "masked_text")
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of CAPACITY tokens."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, END_ID, CAPACITY)
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("minhash near-dedup", near_duplicates),
+    ("substring dedup", repeated_passages),
+    ("secret scans", secrets),
+    ("best-fit packing", packed),
+]
+#: Trained models and MinHash have no SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applies STAGES to documents, writing each result into the shared checkpoint folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for number, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if number + 1 < len(STAGES):
+            path = f"{folder}/pipeline-{uuid.uuid4().hex}"
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+    return docs
