@@ -141,13 +141,13 @@ def word_places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return runs_of(~_SPACE[np.frombuffer(data, dtype=np.uint8)])
 
 
-def word_hashes(data: bytes, folded: bool = False) -> np.ndarray:
-    """64-bit hash of each word of data, without making the words; folded: A-Z count as a-z.
+def hashed_words(data: bytes, folded: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash and start of each word of data, without making the words; folded: A-Z count as a-z.
 
     A word's hash is its share of a polynomial over the whole text, shifted back to
     place 0. Long texts go by blocks that end at white space.
     """
-    parts, at = [], 0
+    parts, places, at = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
     while at < len(data):
         end = len(data)
         if end - at > _BLOCK:
@@ -159,8 +159,51 @@ def word_hashes(data: bytes, folded: bool = False) -> np.ndarray:
         total = np.zeros(len(block) + 1, dtype=np.uint64)
         np.cumsum((_FOLDED if folded else BYTE_VALUES)[block] * up[:-1], out=total[1:])
         parts.append(mixed((total[stop] - total[start]) * down[start] + (stop - start).astype(np.uint64)))
+        places.append(start + at)
         at = end
-    return np.concatenate(parts) if parts else np.empty(0, dtype=np.uint64)
+    return np.concatenate(parts), np.concatenate(places)
+
+
+def word_hashes(data: bytes, folded: bool = False) -> np.ndarray:
+    return hashed_words(data, folded)[0]
+
+
+def grouped_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, one after another, and the bounds of each text among them."""
+    hashes, starts = hashed_words(b"\n".join(texts))
+    sizes = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
+    return hashes, np.searchsorted(starts, np.concatenate([[0], np.cumsum(sizes)]))
+
+
+def shared_windows(grams: np.ndarray, bounds: np.ndarray, window: int, gram: int, most: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For several texts one after another: windows that lie in one text, by the gram that stands for them.
+
+    That gram is the one of least hash (or, if most, of greatest) among those of a window, leftmost on
+    ties, so equal windows have equal ones. Returns positions of the grams, their first
+    windows and ends (exclusive), and the number of their text.
+    """
+    wide = window - gram + 1
+    at, first = minimizers(~grams if most else grams, wide)
+    if not len(at):
+        return at, at, at, at
+    text = np.searchsorted(bounds, at, side="right") - 1
+    low = np.maximum(first, bounds[text])
+    high = np.minimum(np.append(first[1:], len(grams) - wide + 1), bounds[text + 1] - window + 1)
+    keep = high > low
+    return at[keep], low[keep], high[keep], text[keep]
+
+
+def groups(items: Iterator[tuple], size: int = 1_000_000, most: int = 4096) -> Iterator[list[tuple]]:
+    """Lists of rows whose second values have about `size` bytes together."""
+    group, total = [], 0
+    for item in items:
+        group.append(item)
+        total += len(item[1])
+        if total >= size or len(group) >= most:
+            yield group
+            group, total = [], 0
+    if group:
+        yield group
 
 
 def runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -1,11 +1,13 @@
 """Shared by the operators that find repeated windows: a merged count-min sketch, and removal by runs.
 
-Sketch: every distinct item of a document counts once. A count-min sketch with ROWS
-rows needs to tell only "once" from "twice or more", so partitions send the cells that
-they touched (at most twice each), tasks merge them by block of cells, and what comes
-back is one bit a cell. Estimates are never below the true count: no repeated item is
-lost. The sketch grows with the input up to MOST_BITS a row (32 MB a row); beyond that
-more items pass, and the exact stages that follow sort them out.
+Sketch: a window counts once a document. In each of the ROWS rows another gram of the
+window stands for it (of least and of greatest hash), so that a window's estimate, the
+least of its cells, asks both to be repeated. The sketch needs to tell only "once" from
+"twice or more": partitions send the cells that they touched (at most twice each),
+tasks merge them by block of cells, and what comes back is one bit a cell. Estimates
+are never below the true count: no repeated window is lost. The sketch grows with the input up to MOST_BITS (64 MB) a row, the proven bound of
+what is broadcast; beyond that more windows pass, and the exact stages that follow sort
+them out.
 
 Runs: neighbouring windows that may be repeated form runs. Runs with equal contents are
 settled as a whole, so that copies of a passage, however many, cost one row each: all
@@ -24,31 +26,40 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import shuffles, stored
+from vectorloom.llm.common import runs_of, shared_windows, shuffles, stored
 
-ROWS, BLOCK_BITS, MOST_BITS = 2, 16, 28
+ROWS, BLOCK_BITS, MOST_BITS = 2, 16, 29
 #: Items that a task holds before it sends their cells.
 FLUSH = 3_000_000
 #: Bytes of fragments that are solved at a time.
 SLICE = 8_000_000
 
 
+#: Low bits of an item that are not used, so that they can hold the number of its text.
+SPARE = np.uint64(0xFFF)
+
+
 def cells(items: np.ndarray, row: int, bits: int) -> np.ndarray:
     """The cell of each item (a mixed 64-bit hash) in a row of the sketch."""
+    items = items & ~SPARE
     turned = items if row == 0 else (items << np.uint64(32) | items >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)
     return (turned >> np.uint64(64 - bits)).astype(np.uint32)
 
 
+def once_a_text(items: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """The distinct items of each text (numbers under 4096)."""
+    return np.unique(items & ~SPARE | text.astype(np.uint64))
+
+
 def sketch_bits(items: float) -> int:
-    """About four cells a row for each item expected."""
-    return int(min(MOST_BITS, max(BLOCK_BITS, np.ceil(np.log2(4 * max(items, 1))))))
+    """About six cells for each item that a row expects."""
+    return int(min(MOST_BITS, max(BLOCK_BITS, np.ceil(np.log2(6 * max(items, 1))))))
 
 
 def merged_sketch(df: DataFrame, items_of: Callable, bits: int) -> Broadcast:
     """Bit maps (ROWS x 2^bits) of the cells that two or more documents reach.
 
-    items_of(batches) yields arrays of hashes, the distinct ones of a document or of
-    several, each with one entry a document.
+    items_of(batches) yields ROWS arrays of hashes with one entry a document.
     """
     spark = df.sparkSession
 
@@ -56,23 +67,23 @@ def merged_sketch(df: DataFrame, items_of: Callable, bits: int) -> Broadcast:
         held, size = [], 0
         for items in items_of(batches):
             held.append(items)
-            size += len(items)
+            size += sum(map(len, items))
             if size >= FLUSH:
-                yield sent(np.concatenate(held))
+                yield sent(held)
                 held, size = [], 0
         if size:
-            yield sent(np.concatenate(held))
+            yield sent(held)
 
-    def sent(items):
+    def sent(held):
         blocks, packed = [], []
         for row in range(ROWS):
-            found = np.sort(cells(items, row, bits))
-            third = np.concatenate([[False, False], found[2:] == found[:-2]]) if len(found) > 2 else np.zeros(len(found), bool)
+            found = np.sort(np.concatenate([cells(items[row], row, bits) for items in held]))
+            third = np.concatenate([[False, False], found[2:] == found[:-2]])[: len(found)]
             found = found[~third]
             number = found >> np.uint32(BLOCK_BITS)
-            starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
+            starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])[: len(found)])
             low = (found & np.uint32(2**BLOCK_BITS - 1)).astype("<u2")
-            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(found)], strict=True):
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(found)], strict=len(found) > 0):
                 blocks.append(row << 24 | int(number[a]))
                 packed.append(low[a:b].tobytes())
         return pa.record_batch({"block": pa.array(blocks, pa.int32()), "cells": pa.array(packed, pa.binary())})
@@ -99,17 +110,36 @@ def merged_sketch(df: DataFrame, items_of: Callable, bits: int) -> Broadcast:
     for block, packed in found.toLocalIterator():  # ROWS * 2^MOST_BITS bits at most
         at = (block & 0xFFFFFF) * size
         maps[block >> 24, at : at + size] = np.frombuffer(packed, dtype=np.uint8)
-    return spark.sparkContext.broadcast(maps)
+    return spark.sparkContext.broadcast([row.tobytes() for row in maps])  # bytes load without a second copy
+
+
+def estimated_repeated(items: np.ndarray, maps: list[bytes], row: int) -> np.ndarray:
+    """Whether the items' cells in a row were reached twice or more."""
+    bits = np.frombuffer(maps[row], dtype=np.uint8)
+    cell = cells(items, row, (len(bits) * 8).bit_length() - 1)
+    return (bits[cell >> np.uint32(3)] >> (np.uint8(7) - (cell & np.uint32(7)).astype(np.uint8)) & np.uint8(1)).astype(bool)
+
+
+def window_items(grams: np.ndarray, bounds: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
+    """What the rows of a sketch count for the windows of a group of texts."""
+    out = []
+    for row in range(ROWS):
+        at, _, _, text = shared_windows(grams, bounds, window, gram, most=row == 1)
+        out.append(once_a_text(grams[at], text))
+    return tuple(out)
 
 
-def estimated_repeated(items: np.ndarray, maps: np.ndarray) -> np.ndarray:
-    """Whether the sketch's estimate of an item's count is two or more."""
-    bits = int(maps.shape[1] * 8).bit_length() - 1
-    out = np.ones(len(items), dtype=bool)
+def repeated_runs(grams: np.ndarray, bounds: np.ndarray, window: int, gram: int, maps: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends (exclusive) of the runs of windows whose estimate is two or more, among a group of texts."""
+    flags = np.ones(max(0, len(grams)), dtype=bool)
     for row in range(ROWS):
-        cell = cells(items, row, bits)
-        out &= (maps[row, cell >> np.uint32(3)] >> (np.uint8(7) - (cell & np.uint32(7)).astype(np.uint8)) & np.uint8(1)).astype(bool)
-    return out
+        at, low, high, _ = shared_windows(grams, bounds, window, gram, most=row == 1)
+        good = estimated_repeated(grams[at], maps, row)
+        edges = np.zeros(len(grams) + 1, dtype=np.int32)
+        edges[low[good]] += 1
+        edges[high[good]] -= 1  # ranges of a row do not overlap, but one may end where another starts
+        flags &= np.cumsum(edges[:-1]) > 0
+    return runs_of(flags)
 
 
 def settled(runs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,9 +1,9 @@
 """Substring dedup on word windows: count-min prefilter, then exact groups.
 
 First pass: partition sketches of what windows hold, merged (see repeats.py). What is
-counted for a window is its minimiser, the 7-word gram of least hash in it: equal
-windows have equal minimisers, so its count is at least the window's, and there are
-four times fewer minimisers than windows. Second pass: only windows whose estimate is
+counted for a window are its 7-word grams of least and of greatest hash: equal windows
+have equal ones, so their counts are at least the window's, and there are four times
+fewer of them than windows. Second pass: only windows whose estimate is
 two or more are kept, as runs, and grouped exactly by their words.
 """
 
@@ -15,8 +15,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import BASES, binary_column, gram_hashes, minimizers, narrow, rows, runs_of, stored, utf8, word_hashes, word_places
-from vectorloom.llm.repeats import estimated_repeated, matched, merged_sketch, settled, sketch_bits, spans_by_document, spans_of_flags
+from vectorloom.llm.common import BASES, binary_column, gram_hashes, grouped_words, groups, narrow, rows, shared_windows, stored, utf8
+from vectorloom.llm.repeats import matched, merged_sketch, repeated_runs, settled, sketch_bits, spans_by_document, spans_of_flags, window_items
 
 GRAM = 7
 
@@ -29,50 +29,46 @@ def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
     """
     texts = narrow(docs, doc_id="long", text="string").filter("doc_id is not null")
     gram = min(GRAM, window)
-    wide = window - gram + 1
     length = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
+    def texts_of(batches):
+        return groups(((doc_id, utf8(text)) for doc_id, text in rows(batches, "doc_id", "text")), 250_000)
+
     def items(batches):
-        for _, text in rows(batches, "doc_id", "text"):
-            grams = gram_hashes(word_hashes(utf8(text)), gram)
-            yield np.unique(grams[minimizers(grams, wide)[0]])
+        for group in texts_of(batches):
+            hashes, bounds = grouped_words([text for _, text in group])
+            yield window_items(gram_hashes(hashes, gram), bounds, window, gram)
 
     maps = merged_sketch(texts, items, sketch_bits(length / 24))
 
     def candidates(batches):
-        out, size = [], 0
-        for doc_id, text in rows(batches, "doc_id", "text"):
-            data = utf8(text)
-            grams = gram_hashes(word_hashes(data), gram)
-            at, first = minimizers(grams, wide)
-            if not len(at):
-                continue
-            flags = np.repeat(estimated_repeated(grams[at], maps.value), np.diff(np.append(first, len(grams) - wide + 1)))
-            begin, end = runs_of(flags)
-            if not len(begin):
-                continue
-            starts, stops = word_places(data)
-            for a, b, s, e in zip(begin.tolist(), end.tolist(), starts[begin].tolist(), stops[end + window - 2].tolist(), strict=True):
-                content = b" ".join(data[s:e].split())
-                out.append((xxhash.xxh3_128_digest(content), doc_id, a, b - a, content))
-                size += len(content)
-            if size > 2_000_000:
+        for group in texts_of(batches):
+            hashes, bounds = grouped_words([text for _, text in group])
+            begin, end = repeated_runs(gram_hashes(hashes, gram), bounds, window, gram, maps.value)
+            number = np.searchsorted(bounds, begin, side="right") - 1
+            out, held, words = [], None, []
+            for a, b, i, start in zip(begin.tolist(), end.tolist(), number.tolist(), bounds[number].tolist(), strict=True):
+                if i != held:
+                    held, words = i, group[i][1].split()
+                content = b" ".join(words[a - start : b - start + window - 1])
+                out.append((xxhash.xxh3_128_digest(content), group[i][0], a - start, b - a, content))
+            if out:
                 yield run_batch(out)
-                out, size = [], 0
-        if out:
-            yield run_batch(out)
 
     later, left = settled(stored(texts.mapInArrow(candidates, "content_id binary, doc_id long, start int, windows int, content binary")))
 
     def fragments(batches):
         """Windows with one minimiser: its hash, and the hashes of the windows."""
-        for doc_id, start, content in rows(batches, "doc_id", "start", "content"):
-            h = word_hashes(content)
+        for group in groups(((doc_id, content, start) for doc_id, start, content in rows(batches, "doc_id", "start", "content")), most=100_000):
+            h, bounds = grouped_words([x[1] for x in group])
             grams, windows = gram_hashes(h, gram), gram_hashes(h, window, BASES[1])
-            at, first = minimizers(grams, wide)
-            offsets = pa.py_buffer((8 * np.append(first, len(windows))).astype(np.int32))
-            part = pa.Array.from_buffers(pa.binary(), len(at), [None, offsets, pa.py_buffer(windows)])
-            yield pa.record_batch({"key": grams[at].view(np.int64), "doc_id": np.full(len(at), doc_id, np.int64), "at": (first + start).astype(np.int32), "part": part})
+            at, low, high, number = shared_windows(grams, bounds, window, gram)
+            size = high - low
+            ends = np.concatenate([[0], np.cumsum(size)])
+            packed = windows[np.repeat(low - ends[:-1], size) + np.arange(ends[-1])]
+            part = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((8 * ends).astype(np.int32)), pa.py_buffer(packed)])
+            ids, starts = np.array([x[0] for x in group], dtype=np.int64), np.array([x[2] for x in group], dtype=np.int64)
+            yield pa.record_batch({"key": grams[at].view(np.int64), "doc_id": ids[number], "at": (low - bounds[number] + starts[number]).astype(np.int32), "part": part})
 
     def spans_of(table):
         """Two windows are one if both the hashes of their minimisers and their own agree."""

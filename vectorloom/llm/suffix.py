@@ -6,8 +6,8 @@ finished. Groups that are left after the last digit are exactly the repeated win
 
 The first pass deals all suffixes to buckets without moving them: a suffix's bucket is
 the minimiser of its window (the 24-byte gram of least hash, the same for equal
-windows), and a merged count-min histogram of the buckets (see repeats.py) finishes
-those that only one document reaches. Suffixes that stay form runs; equal runs are
+windows), and a merged count-min histogram of the buckets, and of those by the gram of
+greatest hash, finishes suffixes that only one document reaches (see repeats.py). Suffixes that stay form runs; equal runs are
 settled as a whole. The windows of what is left are shuffled by bucket, one row for
 the neighbours that share a minimiser, and each bucket is sorted by the digits.
 """
@@ -20,19 +20,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import BYTE_VALUES, binary_column, gram_hashes, minimizers, narrow, rows, runs_of, stored, utf8
-from vectorloom.llm.repeats import estimated_repeated, matched, merged_sketch, settled, sketch_bits, spans_by_document, spans_of_flags
+from vectorloom.llm.common import BYTE_VALUES, binary_column, gram_hashes, groups, narrow, rows, runs_of, shared_windows, stored, utf8
+from vectorloom.llm.repeats import matched, merged_sketch, repeated_runs, settled, sketch_bits, spans_by_document, spans_of_flags, window_items
 from vectorloom.llm.substring import removed, run_batch
 
 GRAM, DIGIT = 24, 8
 
 
-def minimisers(data: bytes, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For the windows of data: hashes, positions and first windows of their minimisers."""
-    gram = min(GRAM, window)
-    grams = gram_hashes(BYTE_VALUES[np.frombuffer(data, dtype=np.uint8)], gram)
-    at, first = minimizers(grams, window - gram + 1)
-    return grams[at], at, first
+def grouped_bytes(texts: list[bytes], gram: int) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """All texts one after another, the hashes of their grams, and the bounds of each text."""
+    data = b"".join(texts)
+    sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    return data, gram_hashes(BYTE_VALUES[np.frombuffer(data, dtype=np.uint8)], gram), np.concatenate([[0], np.cumsum(sizes)])
 
 
 def groups_by_radix(windows: np.ndarray, bucket: np.ndarray) -> np.ndarray:
@@ -69,46 +68,39 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
     """
     texts = narrow(docs, doc_id="long", text="string").filter("doc_id is not null")
     length = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    wide = window - min(GRAM, window) + 1
+    gram = min(GRAM, window)
 
-    def items(batches):
-        for text in joined(batches):
-            yield np.unique(minimisers(text, window)[0])
+    def texts_of(batches):
+        return groups(((doc_id, utf8(text)) for doc_id, text in rows(batches, "doc_id", "text")), 100_000)
 
-    def joined(batches):
-        for _, text in rows(batches, "doc_id", "text"):
-            data = utf8(text)
-            if len(data) >= window:
-                yield data
+    def items(batches):
+        for group in texts_of(batches):
+            _, grams, bounds = grouped_bytes([text for _, text in group], gram)
+            yield window_items(grams, bounds, window, gram)
 
-    maps = merged_sketch(texts, items, sketch_bits(2.5 * length / (wide + 1)))
+    maps = merged_sketch(texts, items, sketch_bits(2.5 * length / (window - gram + 2)))
 
     def candidates(batches):
-        out, size = [], 0
-        for doc_id, text in rows(batches, "doc_id", "text"):
-            data = utf8(text)
-            if len(data) < window:
-                continue
-            h, _, first = minimisers(data, window)
-            flags = np.repeat(estimated_repeated(h, maps.value), np.diff(np.append(first, len(data) - window + 1)))
-            for a, b in zip(*(x.tolist() for x in runs_of(flags)), strict=True):
+        for group in texts_of(batches):
+            data, grams, bounds = grouped_bytes([text for _, text in group], gram)
+            begin, end = repeated_runs(grams, bounds, window, gram, maps.value)
+            number = np.searchsorted(bounds, begin, side="right") - 1
+            out = []
+            for a, b, i, start in zip(begin.tolist(), end.tolist(), number.tolist(), bounds[number].tolist(), strict=True):
                 content = data[a : b + window - 1]
-                out.append((xxhash.xxh3_128_digest(content), doc_id, a, b - a, content))
-                size += len(content)
-            if size > 2_000_000:
+                out.append((xxhash.xxh3_128_digest(content), group[i][0], a - start, b - a, content))
+            if out:
                 yield run_batch(out)
-                out, size = [], 0
-        if out:
-            yield run_batch(out)
 
     later, left = settled(stored(texts.mapInArrow(candidates, "content_id binary, doc_id long, start int, windows int, content binary")))
 
     def buckets(batches):
-        for doc_id, start, content in rows(batches, "doc_id", "start", "content"):
-            h, _, first = minimisers(content, window)
-            ends = np.append(first[1:], len(content) - window + 1)
-            part = [content[a : b + window - 1] for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
-            yield pa.record_batch({"key": h.view(np.int64), "doc_id": np.full(len(part), doc_id, np.int64), "at": (first + start).astype(np.int32), "part": pa.array(part, pa.binary())})
+        for group in groups(((doc_id, content, start) for doc_id, start, content in rows(batches, "doc_id", "start", "content")), 100_000, 100_000):
+            data, grams, bounds = grouped_bytes([x[1] for x in group], gram)
+            at, low, high, number = shared_windows(grams, bounds, window, gram)
+            part = [data[a : b + window - 1] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+            ids, starts = np.array([x[0] for x in group], dtype=np.int64), np.array([x[2] for x in group], dtype=np.int64)
+            yield pa.record_batch({"key": grams[at].view(np.int64), "doc_id": ids[number], "at": (low - bounds[number] + starts[number]).astype(np.int32), "part": pa.array(part, pa.binary())})
 
     def spans_of(table):
         keys, docs_ = table.column("key").to_numpy(), table.column("doc_id").to_numpy()
