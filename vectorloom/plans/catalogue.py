@@ -1,4 +1,341 @@
-"""The catalogue of named queries and their DuckDB counterparts."""
+"""The catalogue of named queries and their DuckDB counterparts.
 
+Embeddings stand for unit vectors (a label for a round of packing); events for a search
+trace: user_id is the state or episode, event_type the action, value what is backed up,
+event_id the order, and the day of ts the iteration.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vectorloom.functions import columns as C
+from vectorloom.operators import episodes, geometry, gram, learn, search, selfplay, simulate
+from vectorloom.sources.tables import checkpoint_names, table
+
+#: The event types, in the order of their action numbers.
+ACTIONS = ("click", "error", "purchase", "signup", "view")
 QUERIES: dict = {}
-ORACLES: dict = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(function):
+        QUERIES[function.__name__] = function
+        if sql:
+            ORACLES[function.__name__] = sql
+        return function
+
+    return add
+
+
+def action() -> Column:
+    return (F.array_position(F.array(*map(F.lit, ACTIONS)), F.col("event_type")) - 1).cast("int")
+
+
+def trace(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").select(F.col("user_id").alias("s"), action().alias("a"), F.col("value").alias("v"), F.col("event_id").alias("sim"))
+
+
+def steps(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").select(F.col("user_id").alias("episode"), F.col("event_id").alias("step"), F.col("value").alias("m"), (F.col("event_type") == "error").alias("is_dead"), F.dayofmonth("ts").alias("iter"))
+
+
+def actions(spark: SparkSession) -> DataFrame:
+    return spark.range(len(ACTIONS)).select(F.col("id").cast("int").alias("a"))
+
+
+A = "list_position(['click','error','purchase','signup','view'], event_type) - 1"
+T = f"(select user_id s, cast({A} as int) a, value v, event_id sim from events)"
+E = f"(select s, a, count(*) n, avg(v) q from {T} group by s, a)"
+PAIRS = "(select x.vec_id i, y.vec_id j, list_dot_product(x.embedding::double[], y.embedding::double[]) c from embeddings x join embeddings y on x.vec_id < y.vec_id)"
+CROSS = "(select x.vec_id id, list_dot_product(x.embedding::double[], y.embedding::double[]) c from embeddings x join embeddings y on x.label < 5 and y.label >= 5)"
+BOTH = "(select x.vec_id i, y.vec_id j, list_dot_product(x.embedding::double[], y.embedding::double[]) c from embeddings x join embeddings y on x.vec_id <> y.vec_id)"
+
+
+def snap_sql(v: str, t: float = 0.03) -> str:
+    roots = "".join(f" when abs({v} - ({f})) < {t} then {e!r}::double" for e, f in ((-math.sqrt(0.5), -0.7071), (-math.sqrt(3) / 2, -0.8660)))
+    near = {d: (f"(round_even({v} * {d}, 0) / {d})", f"abs({v} - round_even({v} * {d}, 0) / {d})") for d in (2, 3, 4)}
+    fit = {d: f"case when {n} between -1 - 1e-9 and 0.5 + 1e-9 and {away} < {t} then {away} end" for d, (n, away) in near.items()}
+    least = f"least({', '.join(fit.values())})"
+    tail = "".join(f" when ({fit[d]}) = {least} then {near[d][0]}" for d in (2, 3, 4))
+    return f"(case when {v} > 0.5 + {t} then null when abs({v} - 0.5) < {t} then 0.5::double when abs({v} + 0.5) < {t} then -0.5::double when abs({v}) < {t} then 0.0::double when abs({v} + 1) < {t} then -1.0::double{roots}{tail} end)"
+
+
+HISTOGRAM = f"(select cast(round_even(c * 1000, 0) as bigint) as key, count(*) n from {PAIRS} group by 1)"
+FREQUENT = f"(select key, n from {HISTOGRAM} where n >= greatest(15, (select cast(floor(0.02 * count(*)) as int) from embeddings)) and key <= 510)"
+ALPHABET = f"(select cast(row_number() over (order by cos) - 1 as int) as action, cos from (select distinct {snap_sql('(key / 1000.0::double)')} cos from {FREQUENT} union select unnest([-1.0::double, 0.0::double, 0.5::double])) where cos is not null)"
+
+
+@query(f"select i, j, round(c, 6) as cos from {PAIRS}")
+def gram_pairs(spark, d):
+    return gram.pair_cosines(table(spark, d, "embeddings")).select("i", "j", F.round("cos", 6).alias("cos"))
+
+
+@query(f"select i as vec_id, round(max(c), 6) as max_cos, count(*) filter (c > 0.3) as n_over, bool_or(c > 0.3) as crowded from {BOTH} group by i")
+def gram_threshold_summary(spark, d):
+    out = gram.row_extremes(table(spark, d, "embeddings"), 0.3)
+    return out.select(F.col("id").alias("vec_id"), F.round("max_cos", 6).alias("max_cos"), "n_over", (F.col("n_over") > 0).alias("crowded"))
+
+
+@query("select vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::double * x::double))), 6) as length, round(embedding[1]::double / sqrt(list_sum(list_transform(embedding, lambda x: x::double * x::double))), 6) as first from embeddings")
+def normalize_vectors_norm(spark, d):
+    e = F.col("embedding")
+    return table(spark, d, "embeddings").select("vec_id", F.round(C.norm(e), 6).alias("length"), F.round(C.normalised(e)[0], 6).alias("first"))
+
+
+@query(f"select vec_id, neighbour, cos from (select i as vec_id, j as neighbour, round(c, 6) as cos, row_number() over (partition by i order by round(c, 6) desc, j) k from {BOTH}) where k = 1")
+def nearest_neighbor_top1(spark, d):
+    return gram.nearest(table(spark, d, "embeddings")).select(F.col("id").alias("vec_id"), "neighbour", "cos")
+
+
+def contact(spark, d):
+    e = table(spark, d, "embeddings")
+    return gram.contacts(e.filter("label < 5"), e.filter("label >= 5"), 0.2)
+
+
+@query(f"select id as vec_id, round(max(c), 6) as max_cos from {CROSS} group by id having max(c) <= 0.4 and max(c) >= 0.25")
+def overlap_contact_filter(spark, d):
+    return contact(spark, d).filter((F.col("max_cos") <= 0.4) & (F.col("max_cos") >= 0.25)).select(F.col("id").alias("vec_id"), F.round("max_cos", 6).alias("max_cos"))
+
+
+@query(f"select round(avg(100 * overlap - case when (select count(*) from embeddings where label >= 5) < 128 then 0.1 * m else 0 end), 6) as loss from (select sum(power(greatest(c - 0.2, 0), 2)) overlap, max(c) m from {CROSS} group by id)")
+def overlap_loss(spark, d):
+    spheres = table(spark, d, "embeddings").filter("label >= 5").count()
+    return gram.overlap_loss(contact(spark, d), spheres, 64).select(F.round("loss", 6).alias("loss"))
+
+
+@query(f"select key, cast(n as bigint) as n from {FREQUENT}")
+def cosine_histogram(spark, d):
+    e = table(spark, d, "embeddings")
+    return gram.frequent(gram.histogram(e), e.count()).select("key", "n")
+
+
+@query(f"select action, round(cos, 9) as cos, (select count(*) from {FREQUENT} f where {snap_sql('(f.key / 1000.0::double)')} = x.cos) as n_keys from {ALPHABET} x")
+def alphabet_discovery(spark, d):
+    e = table(spark, d, "embeddings")
+    counts = gram.histogram(e)
+    keys = gram.frequent(counts, e.count()).groupBy(C.snapped(F.col("key") / 1000).alias("cos")).agg(F.count("*").alias("n_keys"))
+    return gram.alphabet(counts, e.count()).join(keys, "cos", "left").select("action", F.round("cos", 9).alias("cos"), F.coalesce("n_keys", F.lit(0)).alias("n_keys"))
+
+
+@query(f"select round(entry, 3) as entry, count(*) as n from (select case when {snap_sql('r')} is not null then {snap_sql('r')} when abs(r) < 0.1 then 0.0 when abs(r - 0.5) < 0.1 then 0.5 when abs(r + 0.5) < 0.1 then -0.5 else r end entry from (select round(c, 6) r from {PAIRS})) group by 1")
+def snap_gram(spark, d):
+    entry = C.snapped_entry(F.round("cos", 6))
+    return gram.pair_cosines(table(spark, d, "embeddings")).select(F.round(entry, 3).alias("entry")).groupBy("entry").agg(F.count("*").alias("n"))
+
+
+@query(f"select label, count(*) as n_pairs, count(*) filter (w) as n_listed, bool_and(w) as all_listed from (select label, exists (select 1 from {ALPHABET} where abs(cos - c) <= 2e-3) w from (select round(c, 6) c, label from {PAIRS} p join embeddings e on e.vec_id = p.i)) group by label")
+def alphabet_whitelist(spark, d):
+    e = table(spark, d, "embeddings")
+    values = [r.cos for r in gram.alphabet(gram.histogram(e), e.count()).collect()]  # thirteen at most
+    pairs = gram.pair_cosines(e).select("i", gram.whitelisted(F.round("cos", 6), values).alias("w"))
+    by_row = pairs.groupBy("i").agg(F.count("*").alias("n"), F.sum(F.col("w").cast("long")).alias("k"))
+    both = by_row.join(e.select(F.col("vec_id").alias("i"), "label"), "i").groupBy("label").agg(F.sum("n").alias("n_pairs"), F.sum("k").alias("n_listed"))
+    return both.select("label", "n_pairs", "n_listed", (F.col("n_pairs") == F.col("n_listed")).alias("all_listed"))
+
+
+@query(f"select s, a, n, round(n / sum(n) over (partition by s), 6) as p from {E}")
+def policy_visit_counts(spark, d):
+    return search.policy(search.edges(trace(spark, d)), 1.0).select("s", "a", "n", F.round("p", 6).alias("p"))
+
+
+@query(f"select s, a, round(n * n / sum(n * n) over (partition by s), 6) as p from {E}")
+def policy_temperature(spark, d):
+    return search.policy(search.edges(trace(spark, d)), 0.5).select("s", "a", F.round("p", 6).alias("p"))
+
+
+@query(f"select s, a, list_transform(range(5), lambda i: case when i = a then 1.0::double else 0.0::double end) as p from (select s, a, row_number() over (partition by s order by n desc, a) k from {E}) where k = 1")
+def policy_greedy(spark, d):
+    return search.greedy(search.edges(trace(spark, d))).select("s", "a", C.one_hot(F.col("a"), 5).alias("p"))
+
+
+FULL = f"(select x.s, x.a, e.n, e.q from (select s, cast(a as int) a from (select distinct user_id s from events), unnest(range(5)) r(a)) x left join {E} e on e.s = x.s and e.a = x.a)"
+DAY_FULL = f"(select x.s, x.a, e.n from (select s, cast(a as int) a from (select distinct user_id s from events), unnest(range(5)) r(a)) x left join (select user_id s, cast({A} as int) a, count(*) n from events where dayofmonth(ts) <= 2 group by 1, 2) e on e.s = x.s and e.a = x.a)"
+
+
+@query(f"select s, a, round(case when t > 0 then coalesce(n, 0) / t when l > 0 then v / l else 0.2 end, 6) as p from (select s, a, n, v, sum(coalesce(n, 0)) over (partition by s) t, sum(v) over (partition by s) l from (select s, a, n, cast((s + a) % 7 < 3 as int) v from {DAY_FULL}))")
+def policy_zero_visit_fallback(spark, d):
+    first = table(spark, d, "events").filter(F.dayofmonth("ts") <= 2)
+    edge = first.select(F.col("user_id").alias("s"), action().alias("a")).groupBy("s", "a").agg(F.count("*").alias("n"))
+    states = table(spark, d, "events").select(F.col("user_id").alias("s")).distinct()
+    full = search.expanded(states, edge, actions(spark)).withColumn("valid", (F.col("s") + F.col("a")) % 7 < 3)
+    return search.with_fallback(full).select("s", "a", F.round("p", 6).alias("p"))
+
+
+@query(f"select s, a, u from (select s, a, u, row_number() over (partition by s order by u desc, a) k from (select s, a, round(coalesce(q, 0) + 2.0 * 0.2 * sqrt(sum(coalesce(n, 0)) over (partition by s) + 1e-8) / (1 + coalesce(n, 0)), 6) u from {FULL})) where k = 1")
+def puct_select(spark, d):
+    t = trace(spark, d)
+    full = search.expanded(t.select("s").distinct(), search.edges(t), actions(spark)).withColumn("prior", F.lit(0.2))
+    return search.selection(full, 2.0)
+
+
+@query(f"with x as (select s, list(p order by a) p, list(v order by a) v from (select s, a, round(coalesce(n, 0) / sum(coalesce(n, 0)) over (partition by s), 9) p, (s + a) % 5 < 2 v from {FULL}) group by s), y as (select s, list_sum(list_transform(list_zip(p, v), lambda z: case when z[2] then z[1] else 0 end)) t, list_sum(list_transform(v, lambda b: b::int)) l, p, v from x) select s, list_transform(list_zip(p, v), lambda z: round(case when t > 0 then case when z[2] then z[1] else 0 end / t else z[2]::int::double / l end, 6)) as p from y")
+def masked_prior(spark, d):
+    t = trace(spark, d)
+    full = search.expanded(t.select("s").distinct(), search.edges(t).select("s", "a", "n"), actions(spark))
+    rows = full.groupBy("s").agg(F.sort_array(F.collect_list(F.struct("a", F.coalesce("n", F.lit(0)).alias("n")))).alias("x"))
+    sizes = F.transform("x", lambda x: x["n"].cast("double"))
+    listed = rows.select("s", sizes.alias("n"), F.transform("x", lambda x: (F.col("s") + x["a"]) % 5 < 2).alias("v"))
+    prior = listed.select("s", "v", F.transform("n", lambda n: F.round(n / C.total(F.col("n")), 9)).alias("prior"))
+    return prior.select("s", F.transform(C.masked_prior(F.col("prior"), F.col("v")), lambda p: F.round(p, 6)).alias("p"))
+
+
+@query(f"select s, a, n, round(q, 6) as q from {E}")
+def backup_mean_batch(spark, d):
+    return search.edges(trace(spark, d)).select("s", "a", "n", F.round("q", 6).alias("q"))
+
+
+@query(f"select sim, s, a, count(*) over w as n, round(avg(v) over w, 6) as q from {T} window w as (partition by s, a order by sim rows unbounded preceding)")
+def backup_running_mean(spark, d):
+    return search.running_backup(trace(spark, d)).select("sim", "s", "a", "n", F.round("q", 6).alias("q"))
+
+
+@query("select distinct user_id as s from events where user_id not in (select user_id from events where ts < timestamp '2024-01-01 06:00:00')")
+def unexpanded_states(spark, d):
+    e = table(spark, d, "events").select(F.col("user_id").alias("s"), "ts")
+    return search.unexpanded(e.select("s").distinct(), e.filter("ts < timestamp_ntz'2024-01-01 06:00:00'").select("s").distinct())
+
+
+@query("select event_id, row_number() over w > 5 and coalesce(list_contains(list(cast(floor(value) as bigint)) over (partition by user_id order by event_id rows between 10 preceding and 1 preceding), cast(floor(value) as bigint)), false) as repeat from events window w as (partition by user_id order by event_id)")
+def recent_repeat_guard(spark, d):
+    path = table(spark, d, "events").select("event_id", F.col("user_id").alias("path"), F.col("event_id").alias("step"), F.floor("value").alias("s"))
+    return search.repeats(path).select("event_id", "repeat")
+
+
+@query("select event_id as step, greatest(1.0, coalesce(max(case when event_type <> 'error' then value end) over (partition by user_id order by event_id rows unbounded preceding), 1.0)) as best from events")
+def episode_running_best(spark, d):
+    return episodes.running_best(steps(spark, d)).select("step", "best")
+
+
+RESULTS = "(select cast(dayofmonth(ts) as int) iter, user_id % 4 as rank, user_id episode, max(value) m from events group by 1, 2, 3)"
+
+
+def results(spark, d):
+    e = steps(spark, d).groupBy("iter", "episode").agg(F.max("m").alias("m"))
+    return e.withColumn("rank", F.col("episode") % 4)
+
+
+@query(f"select iter, rank, episode, m from (select *, row_number() over (partition by iter, rank order by m desc, episode) k from {RESULTS}) where k = 1")
+def best_per_worker(spark, d):
+    return episodes.best_by(results(spark, d), "iter", "rank").select("iter", "rank", "episode", "m")
+
+
+@query(f"select iter, rank, episode, m from (select *, row_number() over (partition by iter order by m desc, rank, episode) k from {RESULTS}) where k = 1")
+def best_global(spark, d):
+    return episodes.best_by(results(spark, d), "iter").select("iter", "rank", "episode", "m")
+
+
+ITERATIONS = "(select cast(dayofmonth(ts) as int) as iter, max(value) as m from events group by 1)"
+BEST = f"(select iter, m, max(m) over (order by iter rows unbounded preceding) as best, coalesce(m > max(m) over (order by iter rows between unbounded preceding and 1 preceding), true) as improved from {ITERATIONS})"
+
+
+def iterations(spark, d):
+    return episodes.improvements(steps(spark, d).groupBy("iter").agg(F.max("m").alias("m")))
+
+
+@query(f"select iter, m, best, improved from {BEST}")
+def best_ever_improvements(spark, d):
+    return iterations(spark, d)
+
+
+@query(f"select iter, array_to_string(list_filter(['temp', case when improved then 'best_ever' end, case when iter % 10 = 0 then 'checkpoint_' || iter end], lambda x: x is not null), ',') as names from {BEST}")
+def checkpoint_cadence(spark, d):
+    return iterations(spark, d).select("iter", F.array_join(checkpoint_names(F.col("iter"), F.col("improved")), ",").alias("names"))
+
+
+@query("select event_id as step, cast(dayofmonth(ts) as int) as iter from events where dayofmonth(ts) in (select distinct dayofmonth(ts) from events order by 1 desc limit 20)")
+def replay_retention(spark, d):
+    return episodes.retained(steps(spark, d), 20).select("step", "iter")
+
+
+@query("select event_id as step, round(greatest(-1, least(1, 2 * (r - 0) / (75 - 0 + 1e-5) - 1)), 6) as reward from events join (select user_id, max_by(value, event_id) r from events group by user_id) using (user_id)")
+def reward_backfill(spark, d):
+    return episodes.with_reward(steps(spark, d), 0.0, 75.0).select("step", F.round("reward", 6).alias("reward"))
+
+
+@query("select event_id as step, cast(row_number() over w as int) as nth, case when row_number() over w < 15 then 1 else 0 end as temperature from events window w as (partition by user_id order by event_id)")
+def temperature_switch(spark, d):
+    return episodes.with_temperature(steps(spark, d), 15).select("step", "nth", "temperature")
+
+
+@query("select cast(step as int) as step, round(case when step >= 31 then 1 - (step - 31) / (300 - 31 + 1e-8) else step / 31 end, 9) as rate, round(0.5 * (1 + cos(pi() * step / 300)), 9) as cosine from range(300) t(step)")
+def lr_schedule(spark, d):
+    step = F.col("id")
+    return spark.range(300).select(step.cast("int").alias("step"), F.round(C.warm_up_rate(step, 300), 9).alias("rate"), F.round(C.cosine_rate(step, 300), 9).alias("cosine"))
+
+
+@query("select event_type, round(sum(value * w), 4) as sum, cast(sum(w) as bigint) as count, round(sum(value * w) / sum(w), 6) as avg from (select event_type, value, 1 + event_id % 3 as w from events) group by event_type")
+def weighted_meter(spark, d):
+    e = table(spark, d, "events").select("event_type", "value", (1 + F.col("event_id") % 3).alias("weight"))
+    return episodes.meter(e, "event_type").select("event_type", F.round("sum", 4).alias("sum"), "count", F.round("avg", 6).alias("avg"))
+
+
+@query(f"with x as (select s, a, n / sum(n) over (partition by s) p, q / 100 z from {E}), y as (select s, a, p, z, z - ln(sum(exp(z)) over (partition by s)) lp from x) select round(avg(ce), 6) as cross_entropy, round(avg(se), 6) as squared_error from (select s, -sum(p * lp) ce, power(sum(p * z) - 0.2, 2) se from y group by s)")
+def loss_ce_mse(spark, d):
+    edge = search.policy(search.edges(trace(spark, d)), 1.0).join(search.edges(trace(spark, d)).select("s", "a", "q"), ["s", "a"])
+    return learn.losses(edge.select("s", "p", (F.col("q") / 100).alias("z")), 0.2).select(F.round("cross_entropy", 6).alias("cross_entropy"), F.round("squared_error", 6).alias("squared_error"))
+
+
+@query("select cast(rank as int) as rank, cast(rank % 8 as int) as device, cast(greatest(1, 100 // 64) as int) as episodes, 'run_d6_r' || rank as name from range(64) t(rank)")
+def batch_split(spark, d):
+    r = F.col("id")
+    return spark.range(64).select(r.cast("int").alias("rank"), C.placement(r.cast("int"), 8).alias("device"), F.lit(C.batch_size(100, 64)).alias("episodes"), F.concat(F.lit("run_d6_r"), r.cast("string")).alias("name"))
+
+
+@query("select vec_id, list_transform(range(8), lambda i: i >= label) as padded, list_transform(range(16), lambda i: round(embedding[i // 2 + 1 + (i % 2) * 8]::double, 6)) as token from embeddings")
+def board_tokens(spark, d):
+    e = F.col("embedding").cast("array<double>")
+    return table(spark, d, "embeddings").select("vec_id", C.padding_mask(F.col("label"), 8).alias("padded"), F.transform(C.tokens(F.slice(e, 1, 8), F.slice(e, 9, 8)), lambda x: F.round(x, 6)).alias("token"))
+
+
+@query(f"select i, j, round(c, 6) as cos from {PAIRS} where i < 10 and j < 10")
+def gram_head(spark, d):
+    return gram.pair_cosines(table(spark, d, "embeddings").filter("vec_id < 10")).select("i", "j", F.round("cos", 6).alias("cos"))
+
+
+@query("select * from (values (0, 1.0::double, 0.0::double), (1, 0.5::double, round(sqrt(0.75), 9))) t(sphere_id, x, y)")
+def start_spheres(spark, d):
+    start = simulate.start_spheres(spark, 2)
+    return start.select("sphere_id", F.round(F.col("v")[0], 9).alias("x"), F.round(F.col("v")[1], 9).alias("y"))
+
+
+@query(f"select s, a from (select s, a, upto, row_number() over (partition by s order by a) k from (select s, a, sum(n) over (partition by s order by a) / sum(n) over (partition by s)::double upto from {E}) where upto > (s % 97) / 97.3::double) where k = 1")
+def action_sample(spark, d):
+    return search.sampled(search.policy(search.edges(trace(spark, d)), 1.0), (F.col("s") % 97) / F.lit(97.3))
+
+
+@query()
+def max_volume_basis(spark, d):
+    """The dim-subset of greatest log-determinant of each label's vectors, and the best of all."""
+    return geometry.volume_bases(table(spark, d, "embeddings").select(F.col("label").alias("round"), F.col("vec_id").alias("id"), F.col("embedding").alias("v")), 6, 500)
+
+
+@query()
+def sphere_finalisation(spark, d):
+    """Legality of every action in states cut from the embeddings' Gram matrices."""
+    return geometry.legal_actions(geometry.sample_states(table(spark, d, "embeddings")), [-1.0, -0.5, 0.0, 0.5])
+
+
+@query()
+def greedy_packing(spark, d):
+    return simulate.packed_spheres(spark, 3, rounds=4, most=14)
+
+
+@query()
+def seed_discovery(spark, d):
+    return simulate.discover(spark, 3, rounds=4, most=14)[1]
+
+
+@query()
+def selfplay_episodes(spark, d):
+    return selfplay.play(spark, dim=3, upper_bound=14, cosines=[-1.0, -0.5, 0.0, 0.5], workers=4, episodes=2, simulations=24, seed=1).select("rank", "episode", "step", "m", "is_dead", "action", "pi", "reward")
+
+
+@query()
+def policy_value_fit(spark, d):
+    played = selfplay.play(spark, dim=3, upper_bound=14, cosines=[-1.0, -0.5, 0.0, 0.5], workers=4, episodes=2, simulations=24, seed=1)
+    return learn.fitted_losses(played, 4)
