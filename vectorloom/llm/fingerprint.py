@@ -124,7 +124,8 @@ def edited_pairs(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     memory: dict = {}
 
     def compare(doc_id, text, after):
-        own = memory.pop("next")[1] if memory.get("next", ("", None))[0] is text else winnow(text, k, w)[0]
+        before, made = memory.get("next", (None, None))  # the next text of the document before is most often this one
+        own = made if before is text else winnow(text, k, w)[0]
         following = winnow(after, k, w)[0]
         memory["next"] = (after, following)
         half = len(text) // 2
