@@ -80,4 +80,62 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLES: dict[str, str] = {}
+
+WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _licenses_sql() -> str:
+    split = r"list_filter(string_split_regex({}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+    phrases = ", ".join(f"({p.split()!r}, '{label}')" for p, label in licenses.PHRASES.items())
+    templates = ", ".join(f"('{label}', {licenses.template_words(w)!r})" for label, w in licenses.TEMPLATES)
+    return f"""
+with d as (select doc_id, coalesce(text, '') t, {split.format(LOWER)} w from documents),
+p as (select * from (values {phrases}) p(words, label)),
+places as (select doc_id, i - 1 as pos, label from d, p, unnest(range(1, len(w) + 1)) r(i) where w[i] = words[1] and w[i:i + len(words) - 1] = words),
+base as (select doc_id, count(*) n, min(pos) a, max(pos) b from places group by doc_id),
+t as (select * from (values {templates}) t(label, words)),
+lines as (select doc_id, list_distinct({split.format("lower(line)")}) w from (select doc_id, unnest(string_split(t, chr(10))) line from d)),
+found as (select doc_id, label, len(list_intersect(w, words)) / len(words) c from lines, t where 100 * len(list_intersect(w, words)) >= {licenses.PERCENT} * len(words)),
+l as (select doc_id, string_agg(label, ',' order by label) s from (select distinct doc_id, label from (select doc_id, label from places union all select doc_id, label from found)) group by doc_id),
+b as (select doc_id, string_agg(label, ',' order by label) s from (select distinct doc_id, label from places) group by doc_id)
+select doc_id, len(w) as n_words, coalesce(base.n, 0) as n_base, a as first_word, b as last_word, coalesce(b.s, '') as base_labels, coalesce(l.s, '') as labels,
+ greatest(case when base.n > 0 then 1.0::double else 0.0::double end, coalesce((select max(c) from found where found.doc_id = d.doc_id), 0.0::double)) as score
+from d left join base using (doc_id) left join l using (doc_id) left join b using (doc_id)"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_minhash_dedup": f"""
+with recursive d as (select doc_id, {WORDS.replace("coalesce(text, '')", LOWER)} w from documents),
+s as (select distinct doc_id, case when len(w) < 4 then array_to_string(w, ' ') else array_to_string(w[i:i + 3], ' ') end g from d, unnest(range(1, greatest(len(w) - 2, 2))) r(i) where len(w) > 0),
+n as (select doc_id, count(*) n from s group by doc_id),
+pairs as (select x.doc_id a, y.doc_id b, count(*) k from s x join s y on x.g = y.g and x.doc_id < y.doc_id group by 1, 2),
+links as (select a, b from pairs join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 80 * (x.n + y.n - k)),
+ends as (select a, b from links union select b, a from links),
+reach(a, b) as (select a, b from ends union select reach.a, ends.b from reach join ends on ends.a = reach.b),
+c as (select a, least(a, min(b)) m from reach group by a)
+select d.doc_id, coalesce(n, 0) as n_shingles, coalesce(m, d.doc_id) as component_id, coalesce(m, d.doc_id) = d.doc_id as kept
+from d left join n using (doc_id) left join c on c.a = d.doc_id""",
+    "op5_substring_dedup": f"""
+with d as (select doc_id, {WORDS} w from documents),
+x as (select doc_id, i, array_to_string(w[i:i + 12], ' ') k from d, unnest(range(1, len(w) - 11)) r(i)),
+f as (select k, min(doc_id) m from x group by k),
+g as (select distinct doc_id, i + j pos from x join f using (k), unnest(range(13)) r(j) where m < doc_id),
+o as (select doc_id, unnest(w) word, unnest(range(1, len(w) + 1)) pos from d),
+e as (select o.doc_id, count(g.pos) n, string_agg(word, ' ' order by o.pos) filter (g.pos is null) kept from o left join g on g.doc_id = o.doc_id and g.pos = o.pos group by o.doc_id)
+select doc_id, len(w) as n_words, coalesce(n, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join e using (doc_id)""",
+    "op6_licenses": _licenses_sql(),
+    "op9_suffix_dedup": """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) h from documents),
+x as (select doc_id, i, substr(h, 2 * i + 1, 100) k from d, unnest(range(0, length(h) // 2 - 49)) r(i)),
+f as (select k, min(doc_id) m from x group by k having count(*) > 1),
+g as (select doc_id, i from x join f using (k) where m < doc_id),
+o as (select doc_id, i, coalesce(i > 49 + max(i) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), true) new from g),
+z as (select doc_id, i, sum(new::int) over (partition by doc_id order by i) k from o),
+spans as (select doc_id, min(i) a, max(i) + 50 b from z group by doc_id, k),
+merged as (select doc_id, a, b, coalesce(a > lag(b) over (partition by doc_id order by a), true) apart from spans),
+cuts as (select doc_id, list(struct_pack(a := a, b := b) order by a) s, sum(b - a) n, sum(apart::int) k from merged group by doc_id),
+kept as (select doc_id, string_agg(substr(h, 2 * p + 1, 2 * (q - p)), '' order by p) kept from (select doc_id, h, unnest(list_prepend(0, list_transform(s, lambda v: v.b))) p, unnest(list_append(list_transform(s, lambda v: v.a), length(h) // 2)) q from d join cuts using (doc_id)) group by doc_id)
+select d.doc_id, length(h) // 2 as n_bytes, cast(coalesce(n, 0) as bigint) as n_removed, cast(coalesce(k, 0) as bigint) as n_spans, sha256(unhex(coalesce(kept, h))) as kept_sha256
+from d left join cuts using (doc_id) left join kept using (doc_id)""",
+}
