@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,19 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Computes df once and cuts its lineage with a table in the session's spark.checkpoint.dir.
+
+    For rows with texts: compressed by column, it takes a fraction of a checkpoint's disk,
+    and readers that need no texts don't read them.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    path = f"{spark.conf.get('spark.checkpoint.dir', None) or context.getCheckpointDir() or tempfile.mkdtemp()}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def gathered(df: DataFrame, rows_each: int = 50_000) -> DataFrame:
     """stored(), in about rows_each rows a partition: small tables then cost few files in the shuffles that follow."""
     df = stored(df)

@@ -7,9 +7,11 @@ finished. Groups that are left after the last digit are exactly the repeated win
 The first pass deals all suffixes to buckets without moving them: a suffix's bucket is
 the minimiser of its window (the 24-byte gram of least hash, the same for equal
 windows), and a merged count-min histogram of the buckets, and of those by the gram of
-greatest hash, finishes suffixes that only one document reaches (see repeats.py). Suffixes that stay form runs; equal runs are
-settled as a whole. The windows of what is left are shuffled by bucket, one row for
-the neighbours that share a minimiser, and each bucket is sorted by the digits.
+greatest hash, finishes suffixes that only one document reaches (see repeats.py).
+Suffixes that stay form runs; equal runs are settled as a whole. A histogram of what is
+left finishes the suffixes that no other run has. The windows of the rest are shuffled by
+bucket, one row for the neighbours that share a minimiser, and each bucket is sorted by
+the digits.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import BYTE_VALUES, binary_column, gram_hashes, groups, narrow, rows, runs_of, shared_windows, stored, utf8
+from vectorloom.llm.common import BYTE_VALUES, binary_column, gram_hashes, groups, narrow, rows, runs_of, shared_windows, utf8, written
 from vectorloom.llm.repeats import matched, merged_sketch, repeated_runs, settled, sketch_bits, spans_by_document, spans_of_flags, window_items
 from vectorloom.llm.substring import removed, run_batch
 
@@ -92,14 +94,32 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
             if out:
                 yield run_batch(out)
 
-    later, left = settled(stored(texts.mapInArrow(candidates, "content_id binary, doc_id long, start int, windows int, content binary")))
+    later, left = settled(written(texts.mapInArrow(candidates, "content_id binary, doc_id long, start int, windows int, content binary")))
+    left = written(left)
+
+    # the same histogram over what is left: it finishes the windows that no other content has
+    def contents_of(batches):
+        return groups(((doc_id, content, start) for doc_id, start, content in rows(batches, "doc_id", "start", "content")), 100_000)
+
+    def left_items(batches):
+        for group in contents_of(batches):
+            _, grams, bounds = grouped_bytes([x[1] for x in group], gram)
+            yield window_items(grams, bounds, window, gram)
+
+    rest = left.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+    again = merged_sketch(left, left_items, sketch_bits(2.5 * rest / (window - gram + 2)))
 
     def buckets(batches):
-        for group in groups(((doc_id, content, start) for doc_id, start, content in rows(batches, "doc_id", "start", "content")), 100_000, 100_000):
+        for group in contents_of(batches):
             data, grams, bounds = grouped_bytes([x[1] for x in group], gram)
+            begin, end = repeated_runs(grams, bounds, window, gram, again.value)
+            if not len(begin):
+                continue
+            number = np.searchsorted(bounds, begin, side="right") - 1
+            ids, starts = np.array([x[0] for x in group], dtype=np.int64)[number], np.array([x[2] for x in group], dtype=np.int64)[number] + begin - bounds[number]
+            data, grams, bounds = grouped_bytes([data[a : b + window - 1] for a, b in zip(begin.tolist(), end.tolist(), strict=True)], gram)
             at, low, high, number = shared_windows(grams, bounds, window, gram)
             part = [data[a : b + window - 1] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
-            ids, starts = np.array([x[0] for x in group], dtype=np.int64), np.array([x[2] for x in group], dtype=np.int64)
             yield pa.record_batch({"key": grams[at].view(np.int64), "doc_id": ids[number], "at": (low - bounds[number] + starts[number]).astype(np.int32), "part": pa.array(part, pa.binary())})
 
     def spans_of(table):
