@@ -9,10 +9,10 @@ are never below the true count: no repeated window is lost. The sketch grows wit
 what is broadcast; beyond that more windows pass, and the exact stages that follow sort
 them out.
 
-Runs: neighbouring windows that may be repeated form runs. Runs with equal contents are
-settled as a whole, so that copies of a passage, however many, cost one row each: all
-but those of the smallest document are removed. The places of each content in its
-smallest document go on to the exact grouping of their windows.
+Fragments: neighbouring windows that may be repeated and share a minimiser are one row.
+Equal rows of a task are settled there, before the shuffle, so that copies of a
+passage, however many, cost one row a task: all but those of the smallest document are
+removed. The others go on to the exact grouping of their windows, dealt by minimiser.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import runs_of, shared_windows, shuffles, stored
+from vectorloom.llm.common import runs_of, shared_windows, shuffles, written
 
 ROWS, BLOCK_BITS, MOST_BITS = 2, 16, 29
 #: Items that a task holds before it sends their cells.
@@ -142,21 +142,75 @@ def repeated_runs(grams: np.ndarray, bounds: np.ndarray, window: int, gram: int,
     return runs_of(flags)
 
 
-def settled(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """From runs (content_id, doc_id, start, windows, content): spans (doc_id, start, windows) to remove, and what is left.
-
-    Left are the places (doc_id, start, content) of each content in its smallest document.
-    """
-    firsts = runs.groupBy("content_id").agg(F.min("doc_id").alias("first_doc"))
-    told = runs.join(firsts, "content_id")
-    return told.filter("doc_id > first_doc").select("doc_id", "start", "windows"), told.filter("doc_id = first_doc").select("doc_id", "start", "content")
+def pieces(grams: np.ndarray, bounds: np.ndarray, window: int, gram: int, runs: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """shared_windows(), cut down to the windows of runs."""
+    edges = np.zeros(len(grams) + 1, dtype=np.int32)
+    edges[runs[0]] += 1
+    edges[runs[1]] -= 1
+    flags = np.cumsum(edges[:-1]) > 0
+    if not flags.any():
+        none = np.empty(0, np.int64)
+        return none, none, none, none
+    at, low, _, number = shared_windows(grams, bounds, window, gram)
+    new = np.zeros(len(grams), dtype=bool)
+    new[low] = True
+    start = np.flatnonzero(flags & (new | ~np.concatenate([[False], flags[:-1]])))
+    end = np.flatnonzero(flags & (np.concatenate([new[1:], [True]]) | ~np.concatenate([flags[1:], [False]]))) + 1
+    own = np.searchsorted(low, start, side="right") - 1
+    return at[own], start, end, number[own]
+
+
+FRAGMENTS = "key long, doc_id long, at int, windows int, part binary"
+
+
+class Settled:
+    """Fragments of a task. Of those with equal parts all but the smallest document's become spans to remove (no part), joined where they meet."""
+
+    def __init__(self) -> None:
+        self.best: dict[tuple[int, bytes], tuple[int, int, int]] = {}
+        self.more: list[tuple] = []
+        self.spans: list[tuple[int, int, int]] = []
+        self.size = 0
+
+    def add(self, keys: np.ndarray, docs: np.ndarray, at: np.ndarray, windows: np.ndarray, parts: list[bytes]) -> bool:
+        """Whether they should be sent now."""
+        for doc_id, start, number, key, part in zip(docs.tolist(), at.tolist(), windows.tolist(), keys.tolist(), parts, strict=True):
+            own, same = (doc_id, start, number), (key, part)
+            old = self.best.get(same)
+            if old is None:
+                self.best[same] = own
+                self.size += len(part)
+            elif own[0] > old[0]:
+                self.spans.append(own)
+            elif own[0] < old[0]:
+                self.spans.append(old)
+                self.best[same] = own
+            else:  # twice in one document: both places wait for what other documents hold
+                self.more.append((same, own))
+                self.size += len(part)
+        return self.size + 16 * len(self.spans) >= SLICE
+
+    def batches(self):
+        schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int32()), ("windows", pa.int32()), ("part", pa.binary())])
+        # of places in one document that a smaller one has since overtaken, some go on too: they lose in their bucket
+        rows = [(key, *own, part) for (key, part), own in [*self.best.items(), *self.more]]
+        if rows:
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+        if self.spans:
+            doc, at, windows = np.array(self.spans, dtype=np.int64).T
+            order = np.lexsort((at, doc))
+            doc, at, end = doc[order], at[order], (at + windows)[order]
+            new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (at[1:] != end[:-1])])
+            first, last = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(doc)) - 1
+            yield pa.record_batch([pa.array(c, t) if isinstance(c, np.ndarray) else c for c, t in zip((doc[first], doc[first], at[first].astype(np.int32), (end[last] - at[first]).astype(np.int32), pa.nulls(len(first), pa.binary())), schema.types, strict=True)], schema=schema)
+        self.__init__()
 
 
 def matched(fragments: DataFrame, spans_of: Callable, windows_of: Callable) -> DataFrame:
     """doc_id, start, windows: windows that also occur in a smaller document.
 
-    fragments has key, doc_id, at, part: neighbouring windows with one bucket key. They
-    are shuffled by key and solved in slices of whole keys by spans_of(table). A key that
+    fragments has key, doc_id, at, windows, part: neighbouring windows with one bucket
+    key; rows without a part are spans to remove already. The others are shuffled by key and solved in slices of whole keys by spans_of(table). A key that
     outgrows a slice is put aside; the windows of such keys, as rows (window, doc_id, at)
     from windows_of(batches), are grouped by themselves, with partial minima, instead.
     """
@@ -166,6 +220,10 @@ def matched(fragments: DataFrame, spans_of: Callable, windows_of: Callable) -> D
     def solve(batches):
         held, size, hot = [], 0, None
         for batch in batches:
+            whole = pc.is_valid(batch.column(4))
+            done, batch = batch.filter(pc.invert(whole)), batch.filter(whole)
+            if done.num_rows:
+                yield from made(*(done.column(i).to_numpy() for i in (1, 2, 3)))
             if hot is not None:
                 batch = batch.filter(pc.not_equal(batch.column(0), hot))
             if not batch.num_rows:
@@ -191,12 +249,14 @@ def matched(fragments: DataFrame, spans_of: Callable, windows_of: Callable) -> D
         if len(doc_id):
             yield pa.record_batch({"hot": pa.nulls(len(doc_id), pa.int64()), "doc_id": doc_id, "start": start.astype(np.int32), "windows": number.astype(np.int32)})
 
-    found = stored(dealt.mapInArrow(solve, schema))
+    found = written(dealt.mapInArrow(solve, schema))
     spans = found.filter("hot is null").drop("hot")
     hot = found.filter("hot is not null").select(F.col("hot").alias("key")).distinct()
     if not hot.limit(1).count():
         return spans
-    every = fragments.join(hot, "key", "left_semi").mapInArrow(windows_of, "window binary, doc_id long, at int")
+    # fragments are made anew here; should a task find its rows in another order, its spans may differ too
+    spans = spans.unionByName(fragments.filter("part is null").select("doc_id", F.col("at").alias("start"), "windows"))
+    every = fragments.filter("part is not null").join(hot, "key", "left_semi").mapInArrow(windows_of, "window binary, doc_id long, at int")
     least = every.groupBy("window").agg(F.min("doc_id").alias("least"))
     return spans.unionByName(every.join(least, "window").filter("least < doc_id").select("doc_id", F.col("at").alias("start"), F.lit(1).alias("windows")))
 

@@ -4,19 +4,18 @@ First pass: partition sketches of what windows hold, merged (see repeats.py). Wh
 counted for a window are its 7-word grams of least and of greatest hash: equal windows
 have equal ones, so their counts are at least the window's, and there are four times
 fewer of them than windows. Second pass: only windows whose estimate is
-two or more are kept, as runs, and grouped exactly by their words.
+two or more are kept, and grouped exactly by their minimiser and a hash of their words.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import BASES, binary_column, gram_hashes, grouped_words, groups, narrow, rows, shared_windows, stored, utf8
-from vectorloom.llm.repeats import matched, merged_sketch, repeated_runs, settled, sketch_bits, spans_by_document, spans_of_flags, window_items
+from vectorloom.llm.common import BASES, binary_column, gram_hashes, grouped_words, groups, narrow, rows, utf8
+from vectorloom.llm.repeats import FRAGMENTS, Settled, matched, merged_sketch, pieces, repeated_runs, sketch_bits, spans_by_document, spans_of_flags, window_items
 
 GRAM = 7
 
@@ -41,34 +40,21 @@ def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
 
     maps = merged_sketch(texts, items, sketch_bits(length / 24))
 
-    def candidates(batches):
-        for group in texts_of(batches):
-            hashes, bounds = grouped_words([text for _, text in group])
-            begin, end = repeated_runs(gram_hashes(hashes, gram), bounds, window, gram, maps.value)
-            number = np.searchsorted(bounds, begin, side="right") - 1
-            out, held, words = [], None, []
-            for a, b, i, start in zip(begin.tolist(), end.tolist(), number.tolist(), bounds[number].tolist(), strict=True):
-                if i != held:
-                    held, words = i, group[i][1].split()
-                content = b" ".join(words[a - start : b - start + window - 1])
-                out.append((xxhash.xxh3_128_digest(content), group[i][0], a - start, b - a, content))
-            if out:
-                yield run_batch(out)
-
-    later, left = settled(stored(texts.mapInArrow(candidates, "content_id binary, doc_id long, start int, windows int, content binary")))
-
     def fragments(batches):
         """Windows with one minimiser: its hash, and the hashes of the windows."""
-        for group in groups(((doc_id, content, start) for doc_id, start, content in rows(batches, "doc_id", "start", "content")), most=100_000):
-            h, bounds = grouped_words([x[1] for x in group])
-            grams, windows = gram_hashes(h, gram), gram_hashes(h, window, BASES[1])
-            at, low, high, number = shared_windows(grams, bounds, window, gram)
-            size = high - low
-            ends = np.concatenate([[0], np.cumsum(size)])
-            packed = windows[np.repeat(low - ends[:-1], size) + np.arange(ends[-1])]
-            part = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((8 * ends).astype(np.int32)), pa.py_buffer(packed)])
-            ids, starts = np.array([x[0] for x in group], dtype=np.int64), np.array([x[2] for x in group], dtype=np.int64)
-            yield pa.record_batch({"key": grams[at].view(np.int64), "doc_id": ids[number], "at": (low - bounds[number] + starts[number]).astype(np.int32), "part": part})
+        settled = Settled()
+        for group in texts_of(batches):
+            hashes, bounds = grouped_words([text for _, text in group])
+            grams = gram_hashes(hashes, gram)
+            at, low, high, number = pieces(grams, bounds, window, gram, repeated_runs(grams, bounds, window, gram, maps.value))
+            if not len(at):
+                continue
+            own = gram_hashes(hashes, window, BASES[1])
+            ids = np.array([doc_id for doc_id, _ in group], dtype=np.int64)
+            part = [own[a:b].tobytes() for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+            if settled.add(grams[at].view(np.int64), ids[number], low - bounds[number], high - low, part):
+                yield from settled.batches()
+        yield from settled.batches()
 
     def spans_of(table):
         """Two windows are one if both the hashes of their minimisers and their own agree."""
@@ -92,13 +78,7 @@ def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
             own = [key.to_bytes(8, "little", signed=True) + part[i : i + 8] for i in range(0, len(part), 8)]
             yield pa.record_batch({"window": pa.array(own, pa.binary()), "doc_id": np.full(len(own), doc_id, np.int64), "at": np.arange(at, at + len(own), dtype=np.int32)})
 
-    found = matched(left.mapInArrow(fragments, "key long, doc_id long, at int, part binary"), spans_of, windows_of)
-    return spans_by_document(later, found)
-
-
-def run_batch(out: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-    return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["content_id", "doc_id", "start", "windows", "content"])
+    return spans_by_document(matched(texts.mapInArrow(fragments, FRAGMENTS), spans_of, windows_of))
 
 
 def removed(n: int, spans: list | None, window: int) -> np.ndarray:

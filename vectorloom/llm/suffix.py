@@ -8,23 +8,21 @@ The first pass deals all suffixes to buckets without moving them: a suffix's buc
 the minimiser of its window (the 24-byte gram of least hash, the same for equal
 windows), and a merged count-min histogram of the buckets, and of those by the gram of
 greatest hash, finishes suffixes that only one document reaches (see repeats.py).
-Suffixes that stay form runs; equal runs are settled as a whole. A histogram of what is
-left finishes the suffixes that no other run has. The windows of the rest are shuffled by
-bucket, one row for the neighbours that share a minimiser, and each bucket is sorted by
-the digits.
+The windows that stay are shuffled by bucket, one row for the neighbours that share a
+minimiser, and each bucket is sorted by the digits. Rows that a task has twice or more
+are settled before the shuffle, so that copies cost a bucket one row a task.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import BYTE_VALUES, binary_column, gram_hashes, groups, narrow, rows, runs_of, shared_windows, utf8, written
-from vectorloom.llm.repeats import matched, merged_sketch, repeated_runs, settled, sketch_bits, spans_by_document, spans_of_flags, window_items
-from vectorloom.llm.substring import removed, run_batch
+from vectorloom.llm.common import BYTE_VALUES, binary_column, gram_hashes, groups, narrow, rows, runs_of, utf8
+from vectorloom.llm.repeats import FRAGMENTS, Settled, matched, merged_sketch, pieces, repeated_runs, sketch_bits, spans_by_document, spans_of_flags, window_items
+from vectorloom.llm.substring import removed
 
 GRAM, DIGIT = 24, 8
 
@@ -82,45 +80,18 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
 
     maps = merged_sketch(texts, items, sketch_bits(2.5 * length / (window - gram + 2)))
 
-    def candidates(batches):
+    def buckets(batches):
+        settled = Settled()
         for group in texts_of(batches):
             data, grams, bounds = grouped_bytes([text for _, text in group], gram)
-            begin, end = repeated_runs(grams, bounds, window, gram, maps.value)
-            number = np.searchsorted(bounds, begin, side="right") - 1
-            out = []
-            for a, b, i, start in zip(begin.tolist(), end.tolist(), number.tolist(), bounds[number].tolist(), strict=True):
-                content = data[a : b + window - 1]
-                out.append((xxhash.xxh3_128_digest(content), group[i][0], a - start, b - a, content))
-            if out:
-                yield run_batch(out)
-
-    later, left = settled(written(texts.mapInArrow(candidates, "content_id binary, doc_id long, start int, windows int, content binary")))
-    left = written(left)
-
-    # the same histogram over what is left: it finishes the windows that no other content has
-    def contents_of(batches):
-        return groups(((doc_id, content, start) for doc_id, start, content in rows(batches, "doc_id", "start", "content")), 100_000)
-
-    def left_items(batches):
-        for group in contents_of(batches):
-            _, grams, bounds = grouped_bytes([x[1] for x in group], gram)
-            yield window_items(grams, bounds, window, gram)
-
-    rest = left.agg(F.sum(F.octet_length("content"))).first()[0] or 0
-    again = merged_sketch(left, left_items, sketch_bits(2.5 * rest / (window - gram + 2)))
-
-    def buckets(batches):
-        for group in contents_of(batches):
-            data, grams, bounds = grouped_bytes([x[1] for x in group], gram)
-            begin, end = repeated_runs(grams, bounds, window, gram, again.value)
-            if not len(begin):
+            at, low, high, number = pieces(grams, bounds, window, gram, repeated_runs(grams, bounds, window, gram, maps.value))
+            if not len(at):
                 continue
-            number = np.searchsorted(bounds, begin, side="right") - 1
-            ids, starts = np.array([x[0] for x in group], dtype=np.int64)[number], np.array([x[2] for x in group], dtype=np.int64)[number] + begin - bounds[number]
-            data, grams, bounds = grouped_bytes([data[a : b + window - 1] for a, b in zip(begin.tolist(), end.tolist(), strict=True)], gram)
-            at, low, high, number = shared_windows(grams, bounds, window, gram)
+            ids = np.array([doc_id for doc_id, _ in group], dtype=np.int64)
             part = [data[a : b + window - 1] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
-            yield pa.record_batch({"key": grams[at].view(np.int64), "doc_id": ids[number], "at": (low - bounds[number] + starts[number]).astype(np.int32), "part": pa.array(part, pa.binary())})
+            if settled.add(grams[at].view(np.int64), ids[number], low - bounds[number], high - low, part):
+                yield from settled.batches()
+        yield from settled.batches()
 
     def spans_of(table):
         keys, docs_ = table.column("key").to_numpy(), table.column("doc_id").to_numpy()
@@ -153,8 +124,7 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
             own = [part[i : i + window] for i in range(len(part) - window + 1)]
             yield pa.record_batch({"window": pa.array(own, pa.binary()), "doc_id": np.full(len(own), doc_id, np.int64), "at": np.arange(at, at + len(own), dtype=np.int32)})
 
-    found = matched(left.mapInArrow(buckets, "key long, doc_id long, at int, part binary"), spans_of, windows_of)
-    return spans_by_document(later, found)
+    return spans_by_document(matched(texts.mapInArrow(buckets, FRAGMENTS), spans_of, windows_of))
 
 
 def kept_bytes(docs: DataFrame, window: int = 50) -> DataFrame:
