@@ -43,6 +43,27 @@ def test_family_of_copies_is_one_component(spark):
     assert {r.doc_id: r.component_id for r in rows} == want
 
 
+def boilerplate_families(families=300, seed=9):
+    """Pairs of near copies over one long common text; documents of different pairs are alike, but under the threshold."""
+    r = random.Random(seed)
+    word = lambda: f"w{r.randint(0, 10**9)}"
+    common, docs = [word() for _ in range(170)], {}
+    for i in range(families):
+        own = [word() for _ in range(14)]
+        for j in range(2):
+            docs[2 * i + j] = " ".join(common + own + [word() for _ in range(22)])
+    return docs
+
+
+def test_families_over_boilerplate_are_found_whole(spark):
+    """One hot region with many families, each far from the region's centres."""
+    docs = boilerplate_families()
+    want = cases.near_components(docs, 4)
+    assert len(set(want.values())) == 300
+    rows = minhash.near_duplicates(cases.frame(spark, docs), 4, 80).collect()
+    assert {r.doc_id: r.component_id for r in rows} == want
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 50), (50, 101), (7, 7), (100, 101)]
     got = {r.id: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}

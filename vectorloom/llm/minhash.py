@@ -9,6 +9,12 @@ its NEAR neighbours of longest common prefix and with the region's centres. A ce
 the member that agrees most with the region's most common values, so that the origin
 of a family of copies is found, not just some copy. Pairs whose signatures agree far
 less than the threshold asks are let go; all others are confirmed on the full sets.
+
+The forest ties most copies at little cost; what it leaves apart is settled exactly. Each
+set is ordered, shingles of one set only first, and two sets that reach the threshold
+share one of the first n - need + 1 (prefix filter) with enough left after it in both
+(length and positional filters). Pairs of different components that pass are
+confirmed on the full sets, so the components are those of all links.
 """
 
 from __future__ import annotations
@@ -29,6 +35,8 @@ DEPTHS = (3, 4, 5, 7, 9, 12)
 SLACK = 0.25
 #: Rows of one region that are compared at a time.
 AT_ONCE = 20_000
+#: Ids that are broadcast at most (8 MB); more are joined by a shuffle, with the same result.
+SENT = 1_000_000
 _SEEDS = mixed(np.arange(1, 2 * VALUES + 1, dtype=np.uint64))
 
 
@@ -210,6 +218,65 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
+def prefixes(texts: DataFrame, shingle: int, percent: int, items: int) -> DataFrame:
+    """key, set_id, n, place: the shingles in the prefix of each distinct set of a task that other sets may have too."""
+
+    def distinct_sets(batches):
+        seen = set()
+        for (text,) in rows(batches, "text"):
+            s = shingle_set(text, shingle)
+            set_id = xxhash.xxh3_128_digest(s.tobytes())
+            if len(s) and set_id not in seen:
+                seen.add(set_id)
+                yield set_id, s
+
+    def counted(batches):
+        for _, s in distinct_sets(batches):
+            yield s, s
+
+    maps = merged_sketch(texts.select("text"), counted, sketch_bits(items))
+
+    def run(batches):
+        out, size = [], 0
+        for set_id, s in distinct_sets(batches):
+            shared = s[estimated_repeated(s, maps.value, 0) & estimated_repeated(s, maps.value, 1)]
+            alone = len(s) - len(shared)
+            upto = len(s) - -(-percent * len(s) // 100) + 1
+            if alone < upto:
+                out.append((set_id, len(s), alone, shared[: upto - alone]))
+                size += upto - alone
+            if size > 100_000:
+                yield made(out)
+                out, size = [], 0
+        if out:
+            yield made(out)
+
+    def made(out):
+        number = [len(k) for *_, k in out]
+        return pa.record_batch({
+            "key": np.concatenate([k for *_, k in out]).view(np.int64),
+            "set_id": pa.array([x[0] for x in out], pa.binary()).take(pa.array(np.repeat(np.arange(len(out)), number))),
+            "n": np.repeat(np.array([x[1] for x in out], np.int64), number),
+            "place": np.concatenate([np.arange(x[2], x[2] + len(x[3]), dtype=np.int64) for x in out]),
+        })
+
+    return texts.select("text").mapInArrow(run, "key long, set_id binary, n long, place long")
+
+
+def pairs_apart(placed: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs of sets (key, id, n, place, component) of different components that the prefix, length and positional filters pass."""
+    several = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
+    placed = gathered(placed.join(several, "key"))
+    parts = placed.select("key", "component").distinct()
+    # by pairs of components of a key, so that the pairs within a large component are never made
+    two = parts.select("key", F.col("component").alias("one")).join(parts.select("key", F.col("component").alias("two")), "key").filter("one < two")
+    of = lambda side, own: placed.select("key", F.col("component").alias(side), *(F.col(c).alias(f"{c}_{own}") for c in ("id", "n", "place")))
+    found = two.join(of("one", "a"), ["key", "one"]).join(of("two", "b"), ["key", "two"])
+    left = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    fits = F.expr(f"100 * least(n_a, n_b) >= {int(percent)} * greatest(n_a, n_b)") & ((100 + percent) * left >= percent * (F.col("n_a") + F.col("n_b")))
+    return found.filter(fits).select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document.
 
@@ -241,14 +308,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     classes = stored(whole.groupBy("set_id").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")))
     pairs = gathered(candidate_pairs(classes, percent))
 
-    # full sets, of documents in a candidate pair only
-    involved = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-
     def full(batches):
         for doc_id, text in rows(batches, "doc_id", "text"):
             yield pa.record_batch({"id": pa.array([doc_id], pa.int64()), "shingles": pa.array([shingle_set(text, shingle).astype("<u8").tobytes()], pa.binary())})
 
-    sets = stored(texts.join(involved, "doc_id", "left_semi").mapInArrow(full, "id long, shingles binary"))
+    def sets_of(pairs):
+        """Full sets, of documents in a candidate pair only."""
+        involved = gathered(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
+        involved = F.broadcast(involved) if involved.count() <= SENT else involved
+        return stored(texts.join(involved, "doc_id", "left_semi").mapInArrow(full, "id long, shingles binary"))
+
+    sets = sets_of(pairs)
     # first each document with the centre that it met most often (else its likeliest partner), then whatever still joins different components
     ends = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "share", "votes"))
     best = ends.groupBy("a").agg(F.max(F.struct("votes", "share", (-F.col("b")).alias("b"))).alias("m"))
@@ -267,7 +337,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     to = lambda side: parts.select(F.col("id").alias(side), F.col("component").alias(f"component_{side}"))
     joined = components(more.join(to("a"), "a", "left").join(to("b"), "b", "left").select(own("a").alias("a"), own("b").alias("b")))
     own_part = members.groupBy("doc_id").agg(F.min("id").alias("id")).join(parts, "id", "left").select("doc_id", F.coalesce("component", "id").alias("part"))
-    placed = own_part.join(joined.select(F.col("id").alias("part"), "component"), "part", "left").select("doc_id", F.coalesce("component", "part").alias("component_id"))
+    placed = stored(own_part.join(joined.select(F.col("id").alias("part"), "component"), "part", "left").select("doc_id", F.coalesce("component", "part").alias("part")))
+    # what the forest left apart
+    items = signatures.agg(F.sum("n_shingles")).first()[0] or 0
+    own_class = classes.select("set_id", F.col("id").alias("doc_id")).join(placed, "doc_id").select("set_id", F.col("doc_id").alias("id"), F.col("part").alias("component"))
+    ordered = stored(prefixes(texts.filter("doc_id is not null"), shingle, percent, items).join(own_class, "set_id").select("key", "id", "n", "place", "component"))
+    apart = gathered(pairs_apart(ordered, percent))
+    late = confirmed(apart, sets_of(apart), percent)
+    to = lambda side: placed.select(F.col("doc_id").alias(side), F.col("part").alias(f"component_{side}"))
+    joined = components(late.join(to("a"), "a").join(to("b"), "b").select(F.col("component_a").alias("a"), F.col("component_b").alias("b")))
+    placed = placed.join(joined.select(F.col("id").alias("part"), "component"), "part", "left").select("doc_id", F.coalesce("component", "part").alias("component_id"))
     out = signatures.select("doc_id", "n_shingles").join(placed, "doc_id", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
