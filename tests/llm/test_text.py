@@ -257,3 +257,27 @@ def test_network_finds_held_out_secrets():
 
 def test_masks_cover_overlaps():
     assert secret_scan.without("0123456789", [(1, 0, 4), (2, 2, 6), (8, 1, 9)], "*") == "0*67*9"
+
+
+def test_network_reads_whole_candidates():
+    net = secret_scan.trained(secret_scan.labelled_findings())
+    key = "9aZ81kQpLm27XcVbN30rTyUiOpQ4wE7s"
+    for k in (0, 3, 10, 40):
+        text = "see " + "/the/station/interest" * k + "/" + key + " now"
+        assert [x for _, x, _ in secret_scan.spans_of(text, net)] == [3], k
+    assert secret_scan.spans_of("see " + "/the/station/interest" * 20 + " now", net) == []
+    item = ("x " + "/the/station/interest" * 30 + key + " y", 2, 2 + 21 * 30 + len(key))
+    one, _, _ = secret_scan.windows([item])
+    chunks, _, first = secret_scan.windows([item, item], secret_scan.CHUNK)
+    whole = net.forward(*secret_scan.windows([item])[:2])[3]
+    assert len(one) == 1 < first[1] < len(chunks)
+    assert np.allclose(net.probability([item, item]), 1 / (1 + np.exp(-np.clip(net.slope * whole + net.offset, -30, 30))))
+
+
+def test_network_judges_all_of_a_run():
+    digest = "0f" * 16
+    text = "key QwErTyUiOpAsDfGhJkLzXcVb " + "aB3xK9mQ7ZtR5vWp" + "G" + digest + " end 12345678901234567890"
+    taken = secret_scan.base_spans(text)
+    assert [text[a:b] for a, b in secret_scan.candidates(text, taken)] == ["QwErTyUiOpAsDfGhJkLzXcVb", "aB3xK9mQ7ZtR5vWpG", "12345678901234567890"]
+    net = secret_scan.trained(secret_scan.labelled_findings())
+    assert [text[a:b] for a, k, b in secret_scan.spans_of(text, net) if k == 3][:2] == ["QwErTyUiOpAsDfGhJkLzXcVb", "aB3xK9mQ7ZtR5vWpG"]

@@ -1,7 +1,7 @@
 """Secret scans: rules for known shapes, and a character convolutional network for the rest.
 
-The network reads every candidate with its context: CONTEXT characters before it and
-the first REACH characters from its start. Each character is an id (letters without
+The network reads every candidate whole, with CONTEXT characters on both sides, in chunks
+that overlap by WIDTH - 1; a filter's maximum is over all chunks. Each character is an id (letters without
 case) and two flags, upper case and inside the candidate; a convolution of WIDTH
 characters, the maximum over all places and a logistic unit give a margin. It is
 trained with Adam in numpy on labelled findings, its margins are calibrated by Platt
@@ -23,10 +23,10 @@ from vectorloom.llm.common import narrow, rows
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS, HEX = re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]{32,}")
-#: What the network judges besides the rules' findings: long runs with letters and digits.
+#: What the network judges besides the rules' findings: long runs, or what a rule's finding leaves of them.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 KINDS = ("assign", "access", "hex", "model")
-CONTEXT, REACH, WIDTH, FILTERS, EMBEDDED = 24, 48, 5, 24, 8
+CONTEXT, CHUNK, WIDTH, FILTERS, EMBEDDED = 24, 128, 5, 24, 8
 _MARKS = "\"':=.,;/+-_@#&%?!()[]{}<>"
 _IDS = np.full(129, 28, dtype=np.int64)  # 28: any other character
 for _i, _c in enumerate("abcdefghijklmnopqrstuvwxyz"):
@@ -51,27 +51,44 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Runs of 16 characters or more with a letter and a digit that meet no finding of the rules."""
-    out = []
+    """Runs of 16 characters or more; of a run that meets findings of the rules, the parts outside of them."""
+    out, k = [], 0
     for m in CANDIDATE.finditer(text):
-        own = m.group()
-        if any(c.isdigit() for c in own) and not own.isdigit() and all(e <= m.start() or s >= m.end() for s, _, e in taken):
-            out.append(m.span())
+        at, end = m.span()
+        while k < len(taken) and taken[k][2] <= at:
+            k += 1
+        for s, _, e in taken[k:]:
+            if s >= end:
+                break
+            if s > at:
+                out.append((at, s))
+            at = max(at, e)
+        if at < end:
+            out.append((at, end))
     return out
 
 
-def windows(items: list[tuple[str, int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Character ids and the two flags of each (text, start, end)."""
-    size = CONTEXT + REACH
-    ids, flags = np.zeros((len(items), size), np.int64), np.zeros((len(items), size, 2), np.float32)
-    for i, (text, start, end) in enumerate(items):
-        a = max(0, start - CONTEXT)
-        points = np.frombuffer(text[a : start + REACH].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        at = CONTEXT - (start - a)
-        ids[i, at : at + len(points)] = _IDS[np.minimum(points, 128)]
-        flags[i, at : at + len(points), 0] = (points >= 65) & (points <= 90)
-        flags[i, CONTEXT : CONTEXT + min(REACH, end - start), 1] = 1
-    return ids, flags
+def windows(items: list[tuple[str, int, int]], size: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Character ids and the two flags of each (text, start, end) in chunks of size, and the first chunk of each.
+
+    WIDTH empty places stand on both sides. Without a size each has one chunk.
+    """
+    read = [(start - max(0, start - CONTEXT), text[max(0, start - CONTEXT) : end + CONTEXT]) for text, start, end in items]
+    size = size or max((len(own) for _, own in read), default=0) + 2 * WIDTH
+    step = size - WIDTH + 1
+    number = [max(1, -(-(len(own) + WIDTH + 1) // step)) for _, own in read]
+    first = np.cumsum([0, *number])
+    ids, flags = np.zeros((first[-1], size), np.int64), np.zeros((first[-1], size, 2), np.float32)
+    for i, ((before, own), (_, start, end)) in enumerate(zip(read, items, strict=True)):
+        points = np.frombuffer(own.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        long = np.zeros(number[i] * step + WIDTH - 1, np.int64)
+        flag = np.zeros((len(long), 2), np.float32)
+        long[WIDTH : WIDTH + len(points)] = _IDS[np.minimum(points, 128)]
+        flag[WIDTH : WIDTH + len(points), 0] = (points >= 65) & (points <= 90)
+        flag[WIDTH + before : WIDTH + before + end - start, 1] = 1
+        for k in range(number[i]):
+            ids[first[i] + k], flags[first[i] + k] = long[k * step : k * step + size], flag[k * step : k * step + size]
+    return ids, flags, first[:-1]
 
 
 @dataclass
@@ -99,7 +116,11 @@ class Network:
 
     def probability(self, items: list[tuple[str, int, int]]) -> np.ndarray:
         """Calibrated probability of each candidate."""
-        made = [self.forward(*windows(items[k : k + 512]))[3] for k in range(0, len(items), 512)]
+        made = []
+        for k in range(0, len(items), 512):
+            ids, flags, first = windows(items[k : k + 512], CHUNK)
+            top = np.concatenate([self.forward(ids[j : j + 512], flags[j : j + 512])[2] for j in range(0, len(ids), 512)])
+            made.append(np.maximum.reduceat(top, first, axis=0) @ self.out + self.bias[0])
         return 1 / (1 + np.exp(-np.clip(self.slope * np.concatenate(made) + self.offset, -30, 30))) if made else np.empty(0)
 
 
@@ -112,7 +133,7 @@ def trained(labelled: list[tuple[str, int, int, int]], recall: float = 0.98, epo
         np.zeros(FILTERS, np.float32), random.normal(0, 0.3, FILTERS).astype(np.float32), np.zeros(1, np.float32),
     )
     y = np.array([x[3] for x in labelled], dtype=np.float32)
-    ids, flags = windows([x[:3] for x in labelled])
+    ids, flags, _ = windows([x[:3] for x in labelled])
     apart = np.arange(len(y)) % 5 == 0
     learn = np.flatnonzero(~apart)
     first, second, step = [np.zeros_like(p) for p in net.parts], [np.zeros_like(p) for p in net.parts], 0
@@ -148,7 +169,9 @@ def labelled_findings(n: int = 4000, seed: int = 11) -> list[tuple[str, int, int
     """Generated findings with labels, half of them secrets, in contexts of made-up prose and settings.
 
     Secrets: random keys in base 64, hex, upper case and mixed alphabets. Others: long
-    words with numbers, addresses, paths, dates, versions and names joined by marks.
+    words with numbers, addresses, paths, dates, versions and names joined by marks, with and
+    without digits, lines of marks, and long numbers. Keys also stand at the end of long paths
+    and names, and beside a digest that a rule finds, as paths do.
     """
     r = np.random.default_rng(seed)
     pick = lambda s: s[int(r.integers(len(s)))]
@@ -160,12 +183,15 @@ def labelled_findings(n: int = 4000, seed: int = 11) -> list[tuple[str, int, int
         lambda: chars(upper + lower + digits, int(r.integers(20, 50))), lambda: chars(upper + lower + digits + "+/", int(r.integers(22, 60))) + pick(["", "=", "=="]),
         lambda: chars(digits + "abcdef", int(r.integers(20, 31))), lambda: chars(digits + "ABCDEF", int(r.integers(24, 65))), lambda: chars(upper + digits, int(r.integers(16, 32))),
         lambda: pick(["sk-", "ghp_", "xoxb-", "pk_live_", "glpat-", "AIza"]) + chars(upper + lower + digits, int(r.integers(20, 40))), lambda: chars(lower + digits, int(r.integers(20, 41))), lambda: chars(lower + upper + digits + "_-", int(r.integers(24, 48))),
+        lambda: "/".join(word() for _ in range(int(r.integers(3, 12)))) + pick("/=_") + chars(upper + lower + digits, int(r.integers(24, 50))), lambda: chars(upper + lower, int(r.integers(24, 60))),
     ]
     others = [
         lambda: word() + word() + word() + word() + word() + str(int(r.integers(1, 10_000))), lambda: "-".join(word() for _ in range(4)) + "-" + str(int(r.integers(1, 3000))),
         lambda: "/".join([word() for _ in range(4)] + [str(int(r.integers(1, 100)))]), lambda: "_".join([word(), word(), word(), word(), "v" + str(int(r.integers(1, 30)))]),
         lambda: f"{int(r.integers(1990, 2030))}-{int(r.integers(10, 13))}-{int(r.integers(10, 29))}T{int(r.integers(100000, 235959))}Z", lambda: word().upper() + word().upper() + word().upper() + word().upper() + word().upper() + str(int(r.integers(1, 1000))),
         lambda: "=" * int(r.integers(8, 20)) + word() + str(int(r.integers(1, 100))) + "=" * int(r.integers(8, 20)), lambda: "Chapter" + word().title() + word().title() + word() + str(int(r.integers(1, 60))), lambda: chars("xyz"[int(r.integers(3))], 20) + pick(digits),
+        lambda: pick("/-_").join(word() for _ in range(int(r.integers(4, 16)))), lambda: "".join(word() for _ in range(int(r.integers(4, 8)))), lambda: "".join(word().title() for _ in range(int(r.integers(4, 8)))),
+        lambda: pick("=-_/+") * int(r.integers(16, 80)), lambda: chars(digits, int(r.integers(16, 40))), lambda: "_".join(word().upper() for _ in range(int(r.integers(3, 7)))),
     ]
     before = [lambda: "key=", lambda: 'auth: "', lambda: "Authorization: Bearer ", lambda: "credential = '", lambda: "", lambda: "(", lambda: "see ", lambda: 'id="', lambda: "https://", lambda: "\n"]
     out = []
@@ -173,7 +199,13 @@ def labelled_findings(n: int = 4000, seed: int = 11) -> list[tuple[str, int, int
         own = pick(secrets if i % 2 else others)()
         own = own if len(own) >= 16 else own + chars(lower, 16 - len(own))
         left = " ".join(word() for _ in range(int(r.integers(0, 8)))) + pick([" ", " ", "\n", ""]) + pick(before)()
-        text = left + own + pick(['"', "'", " ", "\n", ".", ")", ""]) + " ".join(word() for _ in range(int(r.integers(0, 6))))
+        if r.random() < 0.1:  # beside a digest
+            digest = chars(digits + "abcdef", 32)
+            left, own = (left + digest, own) if i % 2 else (left, own + pick("/-_="))
+            after = "" if i % 2 else digest
+        else:
+            after = ""
+        text = left + own + after + pick(['"', "'", " ", "\n", ".", ")", ""]) + " ".join(word() for _ in range(int(r.integers(0, 6))))
         out.append((text, len(left), len(left) + len(own), i % 2))
     return [out[i] for i in r.permutation(n)]
 
