@@ -20,35 +20,36 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 SHINGLE, PERCENT, WINDOW, MASK, END_ID, CAPACITY = 5, 80, 13, "[secret]", 2, 1024
 
 
-def with_text(docs: DataFrame, changed: DataFrame, column: str) -> DataFrame:
-    """docs with their text, and its length, from a column of changed; a null there keeps the text."""
-    text = F.coalesce(F.col(column), F.col("text"))
-    return docs.join(changed.select("doc_id", column), "doc_id", "left").withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+def columns(docs: DataFrame) -> DataFrame:
+    """COLUMNS, with the length of the text as it is."""
+    return docs.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts. Documents without an id cannot be judged and go."""
-    scores = quality_model.scored(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    accepted = scores.filter("predicted = 1").select("doc_id").distinct()
-    return docs.join(accepted, "doc_id", "left_semi").select(*COLUMNS)
+    """Rows that the quality classifier accepts, each by its own text. Documents without an id cannot be judged and go."""
+    return quality_model.accepted(docs.select(*COLUMNS).filter("doc_id is not null"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near duplicates."""
-    kept = minhash.near_duplicates(docs, SHINGLE, PERCENT).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    """One row, of the smallest id, of each group of near duplicates.
+
+    Rows with one id are one document: the row of the least text stays. Rows without an id have no links and stay.
+    """
+    docs = docs.select(*COLUMNS)
+    kept = minhash.near_duplicates(docs, SHINGLE, PERCENT).filter("kept and doc_id is not null").select("doc_id").distinct()
+    rest = [c for c in COLUMNS if c != "doc_id"]
+    one = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(F.col("text").isNull(), *rest)).alias("row"))
+    return one.select("doc_id", *(f"row.{c}" for c in rest)).select(*COLUMNS).union(docs.filter("doc_id is null"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that a document with a smaller id has; untouched texts stay as they are."""
-    kept = substring.kept_words(docs, WINDOW).filter("n_removed > 0")
-    return with_text(docs, kept, "kept_text")
+    return columns(substring.without_repeats(docs.select(*COLUMNS), WINDOW))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with every secret replaced by MASK."""
-    masked = secret_scan.findings(docs, mask=MASK).filter("spans <> ''")
-    return with_text(docs, masked, "masked_text")
+    return columns(secret_scan.masked(docs.select(*COLUMNS), MASK))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

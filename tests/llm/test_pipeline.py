@@ -86,3 +86,26 @@ def test_run_and_registration(spark, tmp_path):
     assert corpus_pipeline.run(spark, folder).count() > 0
     assert set(queries.QUERIES) <= set(__spark_entry__.queries())
     assert [f"op{n}_" for n in range(1, 11)] == sorted((k.split("_")[0] + "_" for k in queries.QUERIES if k.startswith("op")), key=lambda x: int(x[2:-1]))
+
+
+def test_rows_are_judged_one_by_one(spark, tmp_path):
+    """Repeated and null ids: each row has its own decision and text, and none is lost or doubled."""
+    folder = str(tmp_path / "sf")
+    docs = corpus(spark, folder)
+    quality, near, passages, secrets = (stage for _, stage in corpus_pipeline.STAGES[:4])
+    key = ' token = "' + "0123456789abcdef" * 2 + '"'
+    passage = " ".join(f"p{i}" for i in range(20))
+    bad = " ".join(w + "$$$" for w in docs[1].split())
+    given = [*docs.items(), (500, docs[1]), (500, docs[1]), (500, bad)]
+    found = [(r.doc_id, r.text) for r in quality(spark, cases.frame(spark, given), folder).collect()]
+    assert [x for x in found if x[1] == bad] == [] and found.count((500, docs[1])) == 2
+    given = [(5, docs[5]), (5, docs[5]), (6, docs[5]), (None, docs[5]), (None, docs[6]), (7, docs[7])]
+    found = [(r.doc_id, r.text) for r in near(spark, cases.frame(spark, given), folder).collect()]
+    assert sorted(found, key=str) == sorted([(5, docs[5]), (None, docs[5]), (None, docs[6]), (7, docs[7])], key=str)
+    given = [(1, passage + " a"), (2, passage + " b"), (2, passage + " c"), (None, passage + " d"), (None, None)]
+    found = [(r.doc_id, r.text) for r in passages(spark, cases.frame(spark, given), folder).collect()]
+    assert sorted(found, key=str) == sorted([(1, passage + " a"), (2, "b"), (2, "c"), (None, passage + " d"), (None, None)], key=str)
+    given = [(1, "x" + key), (1, "y" + key), (1, "z"), (None, "n" + key), (2, None)]
+    found = [(r.doc_id, r.text, r.n_chars) for r in secrets(spark, cases.frame(spark, given), folder).collect()]
+    assert len(found) == 5 and all("0123456789abcdef" not in (t or "") and n == (len(t) if t is not None else None) for _, t, n in found)
+    assert sorted((t or "-")[0] for _, t, _ in found) == ["-", "n", "x", "y", "z"]

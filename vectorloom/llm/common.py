@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -247,6 +248,19 @@ def rows(batches: Iterator, *names: str) -> Iterator[tuple]:
             yield from zip(*(part.column(part.schema.get_field_index(n)).to_pylist() for n in names), strict=True)
 
 
+def slices(batches: Iterator, size: int = 512) -> Iterator:
+    """Arrow batches in small slices."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, size):
+            yield batch.slice(at, size)
+
+
+def replaced(batch, name: str, values: list):
+    """The batch with other values in a column."""
+    at = batch.schema.get_field_index(name)
+    return batch.set_column(at, batch.schema.field(at), pa.array(values, batch.schema.field(at).type))
+
+
 def narrow(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, cast: extra columns, whatever their names, go no further."""
     return df.select(*(F.col(f"`{c}`").cast(kind).alias(c) for c, kind in columns.items()))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import narrow, rows, utf8, word_hashes
+from vectorloom.llm.common import narrow, rows, slices, utf8, word_hashes
 
 BUCKET_BITS, RANK = 15, 8
 BUCKETS = 1 << BUCKET_BITS
@@ -152,6 +152,19 @@ def fitted(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Model:
     return fit([r[1] for r in found], [r[2] for r in found])
 
 
+def accepted(docs: DataFrame, labels: DataFrame, most: int = MOST) -> DataFrame:
+    """The rows of docs, with all columns, whose own text scores 0.5 or more."""
+    model = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, most))
+
+    def run(batches):
+        for part in slices(batches):
+            texts = [t or "" for t in part.column(part.schema.get_field_index("text")).to_pylist()]
+            score = 1 / (1 + np.exp(-np.clip(model.value.margins(features(texts)), -30, 30)))
+            yield part.filter(pa.array(score >= 0.5, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def scored(docs: DataFrame, labels: DataFrame, most: int = MOST) -> DataFrame:
     """doc_id, held_out, score, predicted of every whole text; nulls and empty texts are scored as empty."""
     model = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels, most))

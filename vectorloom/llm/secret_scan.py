@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from vectorloom.llm.common import narrow, rows
+from vectorloom.llm.common import narrow, replaced, rows, slices
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS, HEX = re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]{32,}")
@@ -264,6 +264,19 @@ def findings(docs: DataFrame, labelled: list[tuple[str, int, int, int]] | None =
     return narrow(docs, doc_id="long", text="string").mapInArrow(run, schema + ", masked_text string" * masked)
 
 
+def masked(docs: DataFrame, mask: str) -> DataFrame:
+    """The rows of docs, with all columns, with a mask in place of every finding of their own text."""
+    net = docs.sparkSession.sparkContext.broadcast(trained(labelled_findings()))
+
+    def run(batches):
+        for part in slices(batches):
+            texts = part.column(part.schema.get_field_index("text")).to_pylist()
+            spans = spans_of_all([t or "" for t in texts], net.value)
+            yield replaced(part, "text", [without(t, own, mask) if own else t for t, own in zip(texts, spans, strict=True)])
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def without(text: str, spans: list[tuple[int, int, int]], mask: str) -> str:
     out, at = [], 0
     for start, _, end in spans:

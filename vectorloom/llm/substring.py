@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import BASES, binary_column, gram_hashes, grouped_words, groups, narrow, rows, utf8
+from vectorloom.llm.common import BASES, binary_column, gram_hashes, grouped_words, groups, narrow, replaced, rows, slices, utf8
 from vectorloom.llm.repeats import FRAGMENTS, Settled, matched, merged_sketch, pieces, repeated_runs, sketch_bits, spans_by_document, spans_of_flags, window_items
 
 GRAM = 7
@@ -121,6 +121,23 @@ def kept_words(docs: DataFrame, window: int = 13) -> DataFrame:
     return texts.join(spans, "doc_id", "left").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_text string")
 
 
+def without_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
+    """The rows of docs, with all columns, with kept_words() as text where words are removed."""
+    names = docs.columns
+
+    def run(batches):
+        for part in slices(batches):
+            texts = part.column(part.schema.get_field_index("text")).to_pylist()
+            for i, spans in enumerate(part.column(part.schema.get_field_index("spans")).to_pylist()):
+                if spans:
+                    words = utf8(texts[i]).split()
+                    kept = [w for w, g in zip(words, removed(len(words), spans, window).tolist(), strict=True) if not g]
+                    texts[i] = b" ".join(kept).decode("utf-8", "surrogatepass") if len(kept) < len(words) else texts[i]
+            yield replaced(part, "text", texts).select(names)
+
+    return docs.join(repeated_windows(docs, window), "doc_id", "left").select(*names, "spans").mapInArrow(run, docs.schema)
+
+
 def digest(docs: DataFrame, window: int = 13) -> DataFrame:
     """kept_words() with the SHA-256 of the kept text in place of it."""
     return kept_words(docs, window).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
