@@ -106,3 +106,20 @@ def test_dead_states_stay():
         state = game.after(state, 3 if game.valid(state)[3] else 0)
     assert game.after(state, 1) is state
     assert not game.valid(state).any()
+
+
+def test_volume_basis_draws_over_the_whole_round(spark):
+    """Vectors are parallel within each of the two slices that ids were once dealt to, so a basis has to mix them."""
+    spheres = spark.range(2001).selectExpr("0L as round", "id", "if(pmod(xxhash64(id), 2) = 0, array(1D, 0D), array(0D, 1D)) as v")
+    best = geometry.volume_bases(spheres, 2, 50).collect()[0]
+    assert best.log_volume == pytest.approx(0.0, abs=1e-5)
+
+
+def test_states_reach_both_phases_for_all_vectors(spark):
+    r = np.random.default_rng(2)
+    rows = [(i, i % 2, r.normal(size=9).tolist()) for i in range(40)]
+    states = geometry.sample_states(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect()
+    assert {s.m for s in states} == {2, 4}
+    assert {s.state // 1000 for s in states} >= set(range(36))
+    assert len({s.state for s in states}) == len(states) > 100
+    assert all(len(s.gram) == s.m**2 and len(s.partial) == min(s.m, 3) - 1 for s in states)

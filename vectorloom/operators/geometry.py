@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 JITTER, UNIT, LISTED, VOLUME_JITTER = 1e-7, 1e-3, 2e-3, 1e-6
@@ -52,16 +53,31 @@ def valid_actions(gram: np.ndarray, partial: list[float], dim: int, cosines: np.
 
 
 def sample_states(embeddings: DataFrame, dim: int = 3) -> DataFrame:
-    """state, gram (flat), m, partial: small states, one a label, from the first vectors' coordinates."""
-    first = embeddings.groupBy("label").agg(F.min("vec_id").alias("vec_id"))
-    own = embeddings.join(first, ["label", "vec_id"]).select(F.col("label").cast("long").alias("state"), F.col("embedding").cast("array<double>").alias("v"))
+    """state, gram (flat), m, partial: states of consecutive vectors of a label, under and over full rank in turn.
 
-    def made(x: pd.DataFrame) -> pd.DataFrame:
-        v = x["v"].iloc[0][: 2 * dim].reshape(2, dim)
-        v = v / np.linalg.norm(v, axis=1, keepdims=True)
-        return pd.DataFrame({"state": x["state"], "m": [2], "gram": [(v @ v.T).ravel()], "partial": [np.array([0.0])]})
+    A vector is cut to pieces of dim coordinates, all of them used and made unit length. A state begins at every
+    vector: its m = dim - 1 pieces (even places of the label) or m = dim + 1 (odd), and the partial row, of all
+    cosines but the last, of the piece after them. Pieces go on to the label's next vectors where one has too few.
+    """
+    every = W.partitionBy("label").orderBy("vec_id")
+    need = dim + 2
+    own = embeddings.filter("embedding is not null").select("label", "vec_id", (F.row_number().over(every) - 1).alias("place"), F.collect_list(F.col("embedding").cast("array<double>")).over(every.rowsBetween(0, need - 1)).alias("next"))
+
+    def made(batches):
+        for x in batches:
+            out = []
+            for state, place, following in zip(x["vec_id"], x["place"], x["next"], strict=True):
+                pieces = np.concatenate([np.asarray(v)[: len(v) // dim * dim].reshape(-1, dim) for v in following])
+                m = dim - 1 if place % 2 == 0 else dim + 1
+                for at in range(0, max(1, len(following[0]) // dim)):
+                    v = pieces[at : at + m + 1]
+                    norm = np.linalg.norm(v, axis=1, keepdims=True)
+                    if len(v) == m + 1 and norm.all():
+                        v = v / norm
+                        out.append((state * 1000 + at, m, (v[:m] @ v[:m].T).ravel(), v[: min(m, dim) - 1] @ v[m]))
+            yield pd.DataFrame(out, columns=["state", "m", "gram", "partial"])
 
-    return own.groupBy("state").applyInPandas(made, "state long, m int, gram array<double>, partial array<double>")
+    return own.mapInPandas(made, "state long, m int, gram array<double>, partial array<double>")
 
 
 def legal_actions(states: DataFrame, cosines: list[float], dim: int = 3, bound: int = 75) -> DataFrame:
@@ -84,34 +100,33 @@ def log_volume(v: np.ndarray) -> float:
     return float(value) if sign > 0 else -np.inf
 
 
-def best_subset(v: np.ndarray, dim: int, trials: int, seed: int) -> tuple[np.ndarray, float]:
-    """Rows of the best of so many random dim-subsets; all rows where there are fewer, the first dim where none is regular."""
-    if len(v) <= dim:
-        return np.arange(len(v)), log_volume(v)
-    r = np.random.default_rng(seed)
-    picks = np.sort(r.random((trials, len(v))).argsort(axis=1)[:, :dim], axis=1)
-    small = v[picks]
-    sign, value = np.linalg.slogdet(small @ small.transpose(0, 2, 1) + VOLUME_JITTER * np.eye(dim))
-    value = np.where(sign > 0, value, -np.inf)
-    at = int(value.argmax())
-    return (picks[at], float(value[at])) if np.isfinite(value[at]) else (np.arange(dim), log_volume(v[:dim]))
+def volume_bases(spheres: DataFrame, dim: int, trials: int = 5000) -> DataFrame:
+    """round, ids, log_volume, best: the best of so many random dim-subsets of each round (round, id, v).
 
+    Each trial is a row and draws from the whole round; all spheres where there are no more than dim, the
+    first dim where no subset is regular. best marks the winner over all rounds of dim spheres or more.
+    """
+    own = spheres.select(F.col("round").cast("long").alias("round"), F.col("id").cast("long").alias("id"), F.col("v").cast("array<double>").alias("v"))
+    sizes = own.groupBy("round").agg(F.count("*").alias("n"))
+    places = own.select("round", "id").withColumn("place", F.row_number().over(W.partitionBy("round").orderBy("id")) - 1)
+    # trial -1: the first spheres, for rounds without choice or without a regular subset
+    tries = sizes.select("round", "n", F.explode(F.sequence(F.lit(-1), F.when(F.col("n") > dim, trials - 1).otherwise(-1))).alias("trial")).repartition("round", "trial")
 
-def volume_bases(spheres: DataFrame, dim: int, trials: int = 5000, batch: int = 2000) -> DataFrame:
-    """round, ids, log_volume, best: the best basis of each round (round, id, v), tried in slices of `batch` spheres at most.
+    def drawn(batches):
+        for x in batches:
+            picks = [np.arange(min(n, dim)) if t < 0 else np.random.default_rng([k & (2**63 - 1), t]).choice(n, dim, replace=False) for k, n, t in zip(x["round"], x["n"], x["trial"], strict=True)]
+            yield pd.DataFrame({"round": x["round"], "trial": x["trial"], "picks": picks})
 
-    A round of any size is dealt to slices by a hash of its ids, so no group holds a whole
-    round; the best slice wins. best marks the winner over all rounds of dim spheres or more.
-    """
-    sizes = spheres.groupBy("round").agg(F.count("*").alias("n"))
-    sliced = spheres.join(sizes, "round").withColumn("slice", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / batch)))
+    picked = tries.mapInPandas(drawn, "round long, trial int, picks array<int>").select("round", "trial", F.explode("picks").alias("place"))
+    subsets = picked.join(places, ["round", "place"]).join(own, ["round", "id"]).groupBy("round", "trial").agg(F.array_sort(F.collect_list(F.struct("id", "v"))).alias("own"))
 
-    def solve(x: pd.DataFrame) -> pd.DataFrame:
-        x = x.sort_values("id")
-        rows, value = best_subset(np.stack(x["v"].to_numpy()).astype(np.float64), dim, trials, int(x["round"].iloc[0]))
-        return pd.DataFrame({"round": [x["round"].iloc[0]], "ids": [x["id"].to_numpy()[rows]], "log_volume": [value]})
+    def solve(batches):
+        for x in batches:
+            value = [log_volume(np.stack(v)) for v in x["v"]]
+            yield pd.DataFrame({"round": x["round"], "trial": x["trial"], "ids": x["ids"], "log_volume": value})
 
-    found = sliced.select(F.col("round").cast("long").alias("round"), F.col("id").cast("long").alias("id"), "v", "slice").groupBy("round", "slice").applyInPandas(solve, "round long, ids array<bigint>, log_volume double")
-    best = found.groupBy("round").agg(F.max_by(F.struct("ids", "log_volume"), F.struct("log_volume", F.element_at("ids", 1))).alias("x")).select("round", "x.ids", "x.log_volume")
+    found = subsets.select("round", "trial", F.col("own.id").alias("ids"), F.col("own.v").alias("v")).mapInPandas(solve, "round long, trial int, ids array<bigint>, log_volume double")
+    chosen = F.struct((F.col("trial") >= 0) & (F.col("log_volume") > float("-inf")), "log_volume", -F.col("trial"))
+    best = found.groupBy("round").agg(F.max_by(F.struct("ids", "log_volume"), chosen).alias("x")).select("round", "x.ids", "x.log_volume")
     top = best.filter(F.size("ids") >= dim).agg(F.max(F.struct("log_volume", (-F.col("round")).alias("r"))).alias("t"))
     return best.join(F.broadcast(top), how="cross").select("round", "ids", F.round("log_volume", 6).alias("log_volume"), (F.col("round") == -F.col("t.r")).alias("best"))

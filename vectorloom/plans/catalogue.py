@@ -311,7 +311,7 @@ def action_sample(spark, d):
 @query()
 def max_volume_basis(spark, d):
     """The dim-subset of greatest log-determinant of each label's vectors, and the best of all."""
-    return geometry.volume_bases(table(spark, d, "embeddings").select(F.col("label").alias("round"), F.col("vec_id").alias("id"), F.col("embedding").alias("v")), 6, 500)
+    return geometry.volume_bases(table(spark, d, "embeddings").select(F.col("label").alias("round"), F.col("vec_id").alias("id"), F.col("embedding").alias("v")), 6)
 
 
 @query()
