@@ -64,6 +64,14 @@ def test_families_over_boilerplate_are_found_whole(spark):
     assert {r.doc_id: r.component_id for r in rows} == want
 
 
+def test_slices_do_not_change_families(spark, monkeypatch):
+    """The same with a region that is cut into slices, so that near copies stand on two sides of a cut."""
+    monkeypatch.setattr(minhash, "AT_ONCE", 12)
+    docs = boilerplate_families(80, 10)
+    rows = minhash.near_duplicates(cases.frame(spark, docs), 4, 80).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {i: i - i % 2 for i in docs}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 50), (50, 101), (7, 7), (100, 101)]
     got = {r.id: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
