@@ -171,3 +171,25 @@ def test_word_hashes_are_of_words(monkeypatch):
     assert all(known.setdefault(w, h) == h for w, h in zip(words, hashes, strict=True))
     assert len(set(known.values())) == len(known)
     assert (common.word_hashes(b"ABC d", folded=True) == common.word_hashes(b"abc D", folded=True)).all()
+
+
+def thue_morse(one: str, two: str, size: int = 1024) -> str:
+    return "".join((one, two)[bin(i).count("1") % 2] for i in range(size))
+
+
+def test_long_words_do_not_collide(spark):
+    """Words on which every polynomial hash modulo a power of two agrees, whatever its base."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    docs = {k: " ".join(thue_morse(*pair) for pair in zip(letters[0::2], letters[1::2], strict=True)) for k, letters in ((1, letters), (2, "".join(b + a for a, b in zip(letters[0::2], letters[1::2], strict=True))))}
+    assert len(set(" ".join(docs.values()).split())) == 26
+    check_words(spark, docs, 13)
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(cases.frame(spark, docs), 4, 80).collect()} == {1: 1, 2: 2}
+
+
+def test_words_have_one_hash_for_each_seed():
+    words = [b"x" * n for n in range(1, 140)] + [b"x" * n + b"y" for n in range(0, 140)] + [bytes([b]) for b in range(128, 256)]
+    one, two = common.hashed_words(b" ".join(words), seeds=(1, 2))[0]
+    assert len(set(one.tolist())) == len(set(words)) == len(set(two.tolist()))
+    assert not set(one.tolist()) & set(two.tolist())
+    again = common.hashed_words(b"\n  ".join(reversed(words)), seeds=(1,))[0][0]
+    assert (again[::-1] == one).all()

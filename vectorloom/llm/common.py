@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -133,22 +134,16 @@ def minimizers(h: np.ndarray, w: int, rightmost: bool = False) -> tuple[np.ndarr
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[list(b" \t\n\x0b\x0c\r")] = True
-#: The same for bytes of which A-Z count as a-z.
-_FOLDED = BYTE_VALUES.copy()
-_FOLDED[65:91] = BYTE_VALUES[97:123]
 _BLOCK = 1 << 22
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Words of more bytes than this are hashed one at a time.
+LONG_WORD = 64
+#: _TAILS[n]: the lowest n bytes of a lane.
+_TAILS = np.array([2 ** (8 * n) - 1 for n in range(9)], dtype=np.uint64)
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of an odd base modulo 2**64, and of its inverse."""
-    if len(_powers[0]) < n:
-        size = max(n, 1 << 18)
-        for i, base in enumerate((int(BASES[0]), pow(int(BASES[0]), -1, 2**64))):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _powers[i] = np.multiply.accumulate(steps)
-    return _powers[0][:n], _powers[1][:n]
+def new_seed() -> int:
+    """A seed for the word hashes of one run: texts made to collide under one seed don't under another."""
+    return secrets.randbits(63)
 
 
 def word_places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -156,36 +151,52 @@ def word_places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return runs_of(~_SPACE[np.frombuffer(data, dtype=np.uint8)])
 
 
-def hashed_words(data: bytes, folded: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash and start of each word of data, without making the words; folded: A-Z count as a-z.
+def hashed_words(data: bytes, folded: bool = False, seeds: tuple[int, ...] = (0,)) -> tuple[list[np.ndarray], np.ndarray]:
+    """A 64-bit hash of each word of data for each seed, and the words' starts; folded: A-Z count as a-z.
 
-    A word's hash is its share of a polynomial over the whole text, shifted back to
-    place 0. Long texts go by blocks that end at white space.
+    A word is read in lanes of 8 bytes; each is mixed into a state that starts from the
+    seed and the word's length, for all words at once. Words over LONG_WORD bytes are
+    hashed by xxh3 with the same seed. Long texts go by blocks that end at white space.
     """
-    parts, places, at = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
+    data = data.lower() if folded else data
+    parts, places, at = [[] for _ in seeds], [], 0
     while at < len(data):
         end = len(data)
         if end - at > _BLOCK:
             white = _SPACE[np.frombuffer(data, dtype=np.uint8, count=end - at - _BLOCK, offset=at + _BLOCK)]
             end = at + _BLOCK + (int(white.argmax()) if white.any() else len(white))
-        block = np.frombuffer(data, dtype=np.uint8, count=end - at, offset=at)
-        start, stop = runs_of(~_SPACE[block])
-        up, down = powers(len(block) + 1)
-        total = np.zeros(len(block) + 1, dtype=np.uint64)
-        np.cumsum((_FOLDED if folded else BYTE_VALUES)[block] * up[:-1], out=total[1:])
-        parts.append(mixed((total[stop] - total[start]) * down[start] + (stop - start).astype(np.uint64)))
+        block = data[at:end]
+        start, stop = word_places(block)
+        for own, seed in zip(parts, seeds, strict=True):
+            own.append(_hashes(block, start, stop - start, seed))
         places.append(start + at)
         at = end
-    return np.concatenate(parts), np.concatenate(places)
+    none = np.empty(0, np.uint64)
+    return [np.concatenate([none, *own]) for own in parts], np.concatenate([np.empty(0, np.int64), *places])
+
+
+def _hashes(block: bytes, start: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
+    key = np.uint64(xxhash.xxh3_64_intdigest(b"word", seed))
+    lanes = np.lib.stride_tricks.sliding_window_view(np.frombuffer(block + bytes(8), dtype=np.uint8), 8)
+    out = mixed(size.astype(np.uint64) + key)
+    left, at = np.flatnonzero(size <= LONG_WORD), 0
+    while len(left):
+        lane = lanes[start[left] + at].view("<u8").ravel() & _TAILS[np.minimum(size[left] - at, 8)]
+        out[left] = mixed((out[left] ^ lane) + key)
+        at += 8
+        left = left[size[left] > at]
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(block[start[i] : start[i] + size[i]], seed)
+    return out
 
 
-def word_hashes(data: bytes, folded: bool = False) -> np.ndarray:
-    return hashed_words(data, folded)[0]
+def word_hashes(data: bytes, folded: bool = False, seed: int = 0) -> np.ndarray:
+    return hashed_words(data, folded, (seed,))[0][0]
 
 
-def grouped_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts, one after another, and the bounds of each text among them."""
-    hashes, starts = hashed_words(b"\n".join(texts))
+def grouped_words(texts: list[bytes], seeds: tuple[int, ...] = (0,), folded: bool = False) -> tuple[list[np.ndarray], np.ndarray]:
+    """Hashes of the words of all texts, one after another, for each seed, and the bounds of each text among them."""
+    hashes, starts = hashed_words(b"\n".join(texts), folded, seeds)
     sizes = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
     return hashes, np.searchsorted(starts, np.concatenate([[0], np.cumsum(sizes)]))
 

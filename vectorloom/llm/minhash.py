@@ -10,24 +10,30 @@ the member that agrees most with the region's most common values, so that the or
 of a family of copies is found, not just some copy. Pairs whose signatures agree far
 less than the threshold asks are let go; all others are confirmed on the full sets.
 
-The forest ties most copies at little cost; what it leaves apart is settled exactly. Each
-set is ordered, shingles of one set only first, and two sets that reach the threshold
-share one of the first n - need + 1 (prefix filter) with enough left after it in both
-(length and positional filters). Pairs of different components that pass are
-confirmed on the full sets, so the components are those of all links.
+A pair that reaches the threshold shares a region of some tree but for a chance of
+(1 - 0.8^3)^21 = 3e-7; it is compared there unless the region is crowded (over NEAR + 1
+rows, or cut between tasks). What crowded regions leave apart is settled exactly: the
+members of those that hold several components are joined by prefix filter. Each set is
+ordered by its shingles' frequency, rarest first; two sets that reach the threshold
+share one of the first n - need + 1, with enough left after it in both (length and
+positional filters). Pairs of different components that pass are confirmed on the full
+sets, so neither caps nor slices of a region change the components.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import gathered, gram_hashes, mixed, narrow, rows, shuffles, stored, utf8, word_hashes
+from vectorloom.llm.common import gathered, gram_hashes, grouped_words, groups, mixed, narrow, new_seed, rows, shuffles, stored, utf8, written
 from vectorloom.llm.components import components
-from vectorloom.llm.repeats import estimated_repeated, merged_sketch, sketch_bits
+from vectorloom.llm.repeats import BLOCK_BITS, FLUSH, cells, estimated_repeated, merged_sketch, sketch_bits
 
 VALUES, TREES, SHORTEST, DEEPEST, NEAR = 63, 21, 3, 12, 8
 DEPTHS = (3, 4, 5, 7, 9, 12)
@@ -37,17 +43,21 @@ SLACK = 0.25
 AT_ONCE = 20_000
 #: Ids that are broadcast at most (8 MB); more are joined by a shuffle, with the same result.
 SENT = 1_000_000
+#: Most cells of each of the two rows that hold frequencies, four bits a cell (64 MB together).
+MOST_RARITY_BITS = 26
 _SEEDS = mixed(np.arange(1, 2 * VALUES + 1, dtype=np.uint64))
 
 
-def shingle_set(text: str | None, size: int) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles; of a shorter text the whole sequence, of an empty one nothing."""
-    words = word_hashes(utf8(text), folded=True)
-    if not len(words):
-        return words
-    out = gram_hashes(words, min(size, len(words))) + np.uint64(min(size, len(words)))
-    out.sort()
-    return out[np.concatenate([[True], out[1:] != out[:-1]])]
+def shingle_sets(texts: list[bytes], size: int, seed: int) -> Iterator[np.ndarray]:
+    """Sorted 64-bit hashes of each text's distinct shingles; of a shorter text the whole sequence, of an empty one nothing."""
+    (hashes,), bounds = grouped_words(texts, (seed,), folded=True)
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        words = hashes[a:b]
+        if len(words):
+            words = gram_hashes(words, min(size, len(words))) + np.uint64(min(size, len(words)))
+            words.sort()
+            words = words[np.concatenate([[True], words[1:] != words[:-1]])]
+        yield words
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -115,8 +125,11 @@ def centre(low: np.ndarray) -> tuple[int, int]:
     return int(agree.argmax()), int(agree.max())
 
 
-def candidate_pairs(classes: DataFrame, percent: int) -> DataFrame:
-    """a, b, share, votes: candidate pairs of classes (id, n, sketch), a < b; votes: how often one was a centre for the other."""
+def candidate_pairs(classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs of classes (id, n, sketch), and the members of regions in which not all pairs are compared.
+
+    Pairs: a, b, share, votes, a < b; votes: how often one was a centre for the other. Members: key (of the region), id.
+    """
     least = percent / 100 - SLACK
     spark = classes.sparkSession
 
@@ -161,7 +174,7 @@ def candidate_pairs(classes: DataFrame, percent: int) -> DataFrame:
             yield from found(held, True)
 
     def found(held, edge):
-        """The region's pairs; where it may go on in another task or slice, its centre too, as a row with a key."""
+        """The region's pairs; of one that may go on in another task or slice its centre, as a row with a key; of that and of a crowded one all members."""
         low = np.frombuffer(b"".join(r[3] for r in held), dtype=np.uint8).reshape(len(held), -1)
         ids, sizes = np.array([r[2] for r in held], dtype=np.int64), np.array([r[4] for r in held], dtype=np.int64)
         if len(held) > 1:
@@ -174,10 +187,13 @@ def candidate_pairs(classes: DataFrame, percent: int) -> DataFrame:
             at, agree = centre(low)
             yield pa.record_batch({"a": ids[at : at + 1], "b": ids[at : at + 1], "share": np.array([float(agree)]), "votes": np.ones(1, np.int64), "key": pa.array([held[0][0]], pa.int64()), "n": sizes[at : at + 1], "low": pa.array([held[at][3]], pa.binary())})
 
-    told = stored(dealt.mapInArrow(compare, out_schema))
+        if edge or len(held) > NEAR + 1:
+            yield pa.record_batch({"a": ids, "b": ids, "share": np.zeros(len(ids)), "votes": np.zeros(len(ids), np.int64), "key": np.full(len(ids), held[0][0], np.int64), "n": sizes, "low": pa.nulls(len(ids), pa.binary())})
+
+    told = written(dealt.mapInArrow(compare, out_schema))
     pairs = told.filter("key is null").select("a", "b", "share", "votes")
     # regions in several tasks: all members meet the best of their centres; two centres a task and slice at most
-    best = told.filter("key is not null").groupBy("key").agg(F.count("*").alias("parts"), F.max_by(F.struct("a", "n", "low"), F.struct("share", -F.col("a"))).alias("c"))
+    best = told.filter("low is not null").groupBy("key").agg(F.count("*").alias("parts"), F.max_by(F.struct("a", "n", "low"), F.struct("share", -F.col("a"))).alias("c"))
     best = best.filter("parts > 1").select("key", F.col("c.a").alias("centre"), F.col("c.n").alias("centre_n"), F.col("c.low").alias("centre_low"))
     if best.limit(1).count():
 
@@ -194,7 +210,8 @@ def candidate_pairs(classes: DataFrame, percent: int) -> DataFrame:
         fits = F.expr(f"100 * least(n, centre_n) >= {int(percent)} * greatest(n, centre_n)")
         across = placed.join(best, "key").filter(fits).select("low", "centre_low", "id", "centre").mapInArrow(meet, "a long, b long, share double, votes long")
         pairs = pairs.union(across)
-    return pairs.groupBy("a", "b").agg(F.max("share").alias("share"), F.sum("votes").alias("votes"))
+    pairs = pairs.groupBy("a", "b").agg(F.max("share").alias("share"), F.sum("votes").alias("votes"))
+    return pairs, told.filter("key is not null and low is null").select("key", F.col("a").alias("id"))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -218,32 +235,84 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
-def prefixes(texts: DataFrame, shingle: int, percent: int, items: int) -> DataFrame:
-    """key, set_id, n, place: the shingles in the prefix of each distinct set of a task that other sets may have too."""
+def rarity(sets: DataFrame, sets_of: Callable, items: int) -> Broadcast:
+    """A count-min sketch of frequencies as classes: 0 for one set, then one class for each doubling, up to 15.
+
+    sets_of(batches) yields arrays of the shingles of one set or several.
+    """
+    spark, bits = sets.sparkSession, min(MOST_RARITY_BITS, sketch_bits(items))
+    size = 2**BLOCK_BITS
+
+    def touched(batches):
+        held, total = [], 0
+        for found in sets_of(batches):
+            held.append(found)
+            total += len(found)
+            if total >= FLUSH:
+                yield sent(np.concatenate(held))
+                held, total = [], 0
+        if total:
+            yield sent(np.concatenate(held))
+
+    def sent(found):
+        blocks, packed = [], []
+        for row in range(2):
+            cell, count = np.unique(cells(found, row, bits), return_counts=True)
+            low, count = (cell & np.uint32(size - 1)).astype("<u2"), np.minimum(count, 255).astype(np.uint8)
+            starts = np.flatnonzero(np.concatenate([[True], np.diff(cell >> np.uint32(BLOCK_BITS)) > 0]))
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(cell)], strict=True):
+                blocks.append(row << 24 | int(cell[a] >> np.uint32(BLOCK_BITS)))
+                packed.append(low[a:b].tobytes() + count[a:b].tobytes())
+        return pa.record_batch({"block": pa.array(blocks, pa.int32()), "counts": pa.array(packed, pa.binary())})
+
+    def merge(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own, n = sums.setdefault(block, np.zeros(size, dtype=np.uint32)), len(packed) // 3
+                own[np.frombuffer(packed, dtype="<u2", count=n)] += np.frombuffer(packed, dtype=np.uint8, offset=2 * n)
+        for block, own in sums.items():
+            level = np.minimum(np.ceil(np.log2(np.maximum(own, 1))), 15).astype(np.uint8)
+            if level.any():
+                yield pa.record_batch({"block": pa.array([block], pa.int32()), "levels": pa.array([(level[::2] | level[1::2] << 4).tobytes()], pa.binary())})
+
+    found = sets.mapInArrow(touched, "block int, counts binary").repartition(shuffles(spark), "block").mapInArrow(merge, "block int, levels binary")
+    maps = np.zeros((2, 2**bits // 2), dtype=np.uint8)
+    for block, packed in found.toLocalIterator():  # 2^MOST_RARITY_BITS bytes at most
+        at = (block & 0xFFFFFF) * size // 2
+        maps[block >> 24, at : at + size // 2] = np.frombuffer(packed, dtype=np.uint8)
+    return spark.sparkContext.broadcast([row.tobytes() for row in maps])
+
+
+def rarity_of(items: np.ndarray, maps: list[bytes]) -> np.ndarray:
+    """The frequency class of each item: the least of its cells."""
+    out = np.full(len(items), 15, dtype=np.uint8)
+    for row in range(2):
+        levels = np.frombuffer(maps[row], dtype=np.uint8)
+        cell = cells(items, row, (len(levels) * 2).bit_length() - 1)
+        out = np.minimum(out, levels[cell >> np.uint32(1)] >> (np.uint8(4) * (cell & np.uint32(1)).astype(np.uint8)) & np.uint8(15))
+    return out
+
 
-    def distinct_sets(batches):
-        seen = set()
-        for (text,) in rows(batches, "text"):
-            s = shingle_set(text, shingle)
-            set_id = xxhash.xxh3_128_digest(s.tobytes())
-            if len(s) and set_id not in seen:
-                seen.add(set_id)
-                yield set_id, s
+def prefixes(members: DataFrame, shingle: int, percent: int, items: int, seed: int) -> DataFrame:
+    """key, id, part, n, place: shingles in the prefix of each member (doc_id, text, part), but those that no other set has."""
 
-    def counted(batches):
-        for _, s in distinct_sets(batches):
-            yield s, s
+    def sets_of(batches):
+        for group in groups(((i, utf8(text), part) for i, text, part in rows(batches, "doc_id", "text", "part")), 250_000):
+            for (i, _, part), s in zip(group, shingle_sets([x[1] for x in group], shingle, seed), strict=True):
+                if len(s):
+                    yield i, part, s
 
-    maps = merged_sketch(texts.select("text"), counted, sketch_bits(items))
+    maps = rarity(members, lambda batches: (s for *_, s in sets_of(batches)), items)
 
     def run(batches):
         out, size = [], 0
-        for set_id, s in distinct_sets(batches):
-            shared = s[estimated_repeated(s, maps.value, 0) & estimated_repeated(s, maps.value, 1)]
-            alone = len(s) - len(shared)
+        for i, part, s in sets_of(batches):
+            level = rarity_of(s, maps.value)
             upto = len(s) - -(-percent * len(s) // 100) + 1
+            alone = int(np.count_nonzero(level == 0))
             if alone < upto:
-                out.append((set_id, len(s), alone, shared[: upto - alone]))
+                out.append((i, part, len(s), alone, s[np.argsort(level, kind="stable")[alone:upto]]))
                 size += upto - alone
             if size > 100_000:
                 yield made(out)
@@ -252,31 +321,38 @@ def prefixes(texts: DataFrame, shingle: int, percent: int, items: int) -> DataFr
             yield made(out)
 
     def made(out):
-        number = [len(k) for *_, k in out]
+        number = [len(x[4]) for x in out]
         return pa.record_batch({
-            "key": np.concatenate([k for *_, k in out]).view(np.int64),
-            "set_id": pa.array([x[0] for x in out], pa.binary()).take(pa.array(np.repeat(np.arange(len(out)), number))),
-            "n": np.repeat(np.array([x[1] for x in out], np.int64), number),
-            "place": np.concatenate([np.arange(x[2], x[2] + len(x[3]), dtype=np.int64) for x in out]),
+            "key": np.concatenate([x[4] for x in out]).view(np.int64),
+            "id": np.repeat(np.array([x[0] for x in out], np.int64), number),
+            "part": np.repeat(np.array([x[1] for x in out], np.int64), number),
+            "n": np.repeat(np.array([x[2] for x in out], np.int64), number),
+            "place": np.concatenate([np.arange(x[3], x[3] + len(x[4]), dtype=np.int64) for x in out]),
         })
 
-    return texts.select("text").mapInArrow(run, "key long, set_id binary, n long, place long")
+    return members.mapInArrow(run, "key long, id long, part long, n long, place long")
 
 
 def pairs_apart(placed: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs of sets (key, id, n, place, component) of different components that the prefix, length and positional filters pass."""
-    several = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
-    placed = gathered(placed.join(several, "key"))
-    parts = placed.select("key", "component").distinct()
+    """a, b: pairs of sets (key, id, part, n, place) of different components that the prefix, length and positional filters pass."""
+    several = placed.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x < y").select("key")
+    placed = written(placed.join(several, "key"))
+    parts = placed.select("key", "part").distinct()
     # by pairs of components of a key, so that the pairs within a large component are never made
-    two = parts.select("key", F.col("component").alias("one")).join(parts.select("key", F.col("component").alias("two")), "key").filter("one < two")
-    of = lambda side, own: placed.select("key", F.col("component").alias(side), *(F.col(c).alias(f"{c}_{own}") for c in ("id", "n", "place")))
+    two = parts.select("key", F.col("part").alias("one")).join(parts.select("key", F.col("part").alias("two")), "key").filter("one < two")
+    of = lambda side, own: placed.select("key", F.col("part").alias(side), *(F.col(c).alias(f"{c}_{own}") for c in ("id", "n", "place")))
     found = two.join(of("one", "a"), ["key", "one"]).join(of("two", "b"), ["key", "two"])
     left = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     fits = F.expr(f"100 * least(n_a, n_b) >= {int(percent)} * greatest(n_a, n_b)") & ((100 + percent) * left >= percent * (F.col("n_a") + F.col("n_b")))
     return found.filter(fits).select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
 
 
+def sent(df: DataFrame) -> DataFrame:
+    """df, computed; to be broadcast where it has no more than SENT rows."""
+    df = gathered(df)
+    return F.broadcast(df) if df.count() <= SENT else df
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document.
 
@@ -286,12 +362,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     doc_id have no links, a null component and are kept; rows with one doc_id count as
     one document with several texts.
     """
-    texts = narrow(docs, doc_id="long", text="string")
+    texts, seed = narrow(docs, doc_id="long", text="string"), new_seed()
+
+    def sets_in(batches):
+        """doc_id and set of each row."""
+        for group in groups(((doc_id, utf8(text)) for doc_id, text in rows(batches, "doc_id", "text")), 250_000):
+            yield from zip((doc_id for doc_id, _ in group), shingle_sets([text for _, text in group], shingle, seed), strict=True)
 
     def signed(batches):
         out = []
-        for doc_id, text in rows(batches, "doc_id", "text"):
-            s = shingle_set(text, shingle)
+        for doc_id, s in sets_in(batches):
             out.append((doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None, signature(s).astype("<u4").tobytes() if len(s) else None))
             if len(out) >= 1000:
                 yield made(out)
@@ -306,16 +386,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     signatures = stored(texts.mapInArrow(signed, "doc_id long, n_shingles long, set_id binary, sketch binary"))
     whole = signatures.filter("doc_id is not null and set_id is not null")
     classes = stored(whole.groupBy("set_id").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")))
-    pairs = gathered(candidate_pairs(classes, percent))
+    pairs, crowded = candidate_pairs(classes, percent)
+    pairs = gathered(pairs)
 
     def full(batches):
-        for doc_id, text in rows(batches, "doc_id", "text"):
-            yield pa.record_batch({"id": pa.array([doc_id], pa.int64()), "shingles": pa.array([shingle_set(text, shingle).astype("<u8").tobytes()], pa.binary())})
+        for doc_id, s in sets_in(batches):
+            yield pa.record_batch({"id": pa.array([doc_id], pa.int64()), "shingles": pa.array([s.astype("<u8").tobytes()], pa.binary())})
 
     def sets_of(pairs):
         """Full sets, of documents in a candidate pair only."""
-        involved = gathered(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
-        involved = F.broadcast(involved) if involved.count() <= SENT else involved
+        involved = sent(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
         return stored(texts.join(involved, "doc_id", "left_semi").mapInArrow(full, "id long, shingles binary"))
 
     sets = sets_of(pairs)
@@ -338,15 +418,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     joined = components(more.join(to("a"), "a", "left").join(to("b"), "b", "left").select(own("a").alias("a"), own("b").alias("b")))
     own_part = members.groupBy("doc_id").agg(F.min("id").alias("id")).join(parts, "id", "left").select("doc_id", F.coalesce("component", "id").alias("part"))
     placed = stored(own_part.join(joined.select(F.col("id").alias("part"), "component"), "part", "left").select("doc_id", F.coalesce("component", "part").alias("part")))
-    # what the forest left apart
-    items = signatures.agg(F.sum("n_shingles")).first()[0] or 0
-    own_class = classes.select("set_id", F.col("id").alias("doc_id")).join(placed, "doc_id").select("set_id", F.col("doc_id").alias("id"), F.col("part").alias("component"))
-    ordered = stored(prefixes(texts.filter("doc_id is not null"), shingle, percent, items).join(own_class, "set_id").select("key", "id", "n", "place", "component"))
-    apart = gathered(pairs_apart(ordered, percent))
-    late = confirmed(apart, sets_of(apart), percent)
-    to = lambda side: placed.select(F.col("doc_id").alias(side), F.col("part").alias(f"component_{side}"))
-    joined = components(late.join(to("a"), "a").join(to("b"), "b").select(F.col("component_a").alias("a"), F.col("component_b").alias("b")))
-    placed = placed.join(joined.select(F.col("id").alias("part"), "component"), "part", "left").select("doc_id", F.coalesce("component", "part").alias("component_id"))
+    # what crowded regions left apart: members of those that hold several components
+    crowded = crowded.join(placed.select(F.col("doc_id").alias("id"), "part"), "id")
+    several = sent(crowded.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x < y").select("key"))
+    members = sent(crowded.join(several, "key", "left_semi").select(F.col("id").alias("doc_id"), "part").distinct())
+    if members.limit(1).count():
+        items = signatures.join(members, "doc_id", "left_semi").agg(F.sum("n_shingles")).first()[0]
+        ordered = written(prefixes(texts.join(members, "doc_id"), shingle, percent, items, seed))
+        apart = gathered(pairs_apart(ordered, percent))
+        late = confirmed(apart, sets_of(apart), percent)
+        to = lambda side: placed.select(F.col("doc_id").alias(side), F.col("part").alias(f"component_{side}"))
+        joined = components(late.join(to("a"), "a").join(to("b"), "b").select(F.col("component_a").alias("a"), F.col("component_b").alias("b")))
+        placed = placed.join(joined.select(F.col("id").alias("part"), "component"), "part", "left").select("doc_id", F.coalesce("component", "part").alias("part"))
+    placed = placed.withColumnRenamed("part", "component_id")
     out = signatures.select("doc_id", "n_shingles").join(placed, "doc_id", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import narrow, rows, slices, utf8, word_hashes
+from vectorloom.llm.common import grouped_words, narrow, rows, slices, utf8
 
 BUCKET_BITS, RANK = 15, 8
 BUCKETS = 1 << BUCKET_BITS
@@ -74,11 +74,11 @@ def statistics(data: bytes, words: list[bytes], distinct: int) -> list[float]:
 def features(texts: list[str]) -> tuple:
     """index, value, starts of the features of each text; every text has STATISTICS at least."""
     index, value, starts, at = [], [], [], 0
-    fixed = np.arange(BUCKETS, BUCKETS + STATISTICS)
-    for text in texts:
-        data = utf8(text)
+    fixed, coded = np.arange(BUCKETS, BUCKETS + STATISTICS), [utf8(text) for text in texts]
+    (hashes,), bounds = grouped_words(coded)
+    for data, a, b in zip(coded, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         words = data.split()
-        buckets, counts = np.unique(word_hashes(data) >> np.uint64(64 - BUCKET_BITS), return_counts=True)
+        buckets, counts = np.unique(hashes[a:b] >> np.uint64(64 - BUCKET_BITS), return_counts=True)
         norm = np.sqrt(float((counts.astype(np.float64) ** 2).sum())) or 1.0
         index += [buckets.astype(np.int64), fixed]
         value += [counts / norm, np.array(statistics(data, words, len(buckets)))]

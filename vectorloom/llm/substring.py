@@ -4,7 +4,8 @@ First pass: partition sketches of what windows hold, merged (see repeats.py). Wh
 counted for a window are its 7-word grams of least and of greatest hash: equal windows
 have equal ones, so their counts are at least the window's, and there are four times
 fewer of them than windows. Second pass: only windows whose estimate is
-two or more are kept, and grouped exactly by their minimiser and a hash of their words.
+two or more are kept, and grouped exactly by their minimiser and a hash of their words:
+two 64-bit hashes over word hashes with two seeds of their own, new in each run.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import BASES, binary_column, gram_hashes, grouped_words, groups, narrow, replaced, rows, slices, utf8
+from vectorloom.llm.common import BASES, binary_column, gram_hashes, grouped_words, groups, narrow, new_seed, replaced, rows, slices, utf8
 from vectorloom.llm.repeats import FRAGMENTS, Settled, matched, merged_sketch, pieces, repeated_runs, sketch_bits, spans_by_document, spans_of_flags, window_items
 
 GRAM = 7
@@ -27,7 +28,7 @@ def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
     null doc_id are in no order and take no part.
     """
     texts = narrow(docs, doc_id="long", text="string").filter("doc_id is not null")
-    gram = min(GRAM, window)
+    gram, seeds = min(GRAM, window), (new_seed(), new_seed())
     length = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
     def texts_of(batches):
@@ -35,7 +36,7 @@ def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
 
     def items(batches):
         for group in texts_of(batches):
-            hashes, bounds = grouped_words([text for _, text in group])
+            (hashes,), bounds = grouped_words([text for _, text in group], seeds[:1])
             yield window_items(gram_hashes(hashes, gram), bounds, window, gram)
 
     maps = merged_sketch(texts, items, sketch_bits(length / 24))
@@ -44,12 +45,12 @@ def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
         """Windows with one minimiser: its hash, and the hashes of the windows."""
         settled = Settled()
         for group in texts_of(batches):
-            hashes, bounds = grouped_words([text for _, text in group])
+            (hashes, others), bounds = grouped_words([text for _, text in group], seeds)
             grams = gram_hashes(hashes, gram)
             at, low, high, number = pieces(grams, bounds, window, gram, repeated_runs(grams, bounds, window, gram, maps.value))
             if not len(at):
                 continue
-            own = gram_hashes(hashes, window, BASES[1])
+            own = gram_hashes(others, window, BASES[1])
             ids = np.array([doc_id for doc_id, _ in group], dtype=np.int64)
             part = [own[a:b].tobytes() for a, b in zip(low.tolist(), high.tolist(), strict=True)]
             if settled.add(grams[at].view(np.int64), ids[number], low - bounds[number], high - low, part):
