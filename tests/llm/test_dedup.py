@@ -193,3 +193,30 @@ def test_words_have_one_hash_for_each_seed():
     assert not set(one.tolist()) & set(two.tolist())
     again = common.hashed_words(b"\n  ".join(reversed(words)), seeds=(1,))[0][0]
     assert (again[::-1] == one).all()
+
+
+def test_heavy_keys_are_dealt_window_by_window(spark, monkeypatch):
+    """A line that stands in every document, in contexts of which many repeat."""
+    r = random.Random(6)
+    word = lambda n=400: f"w{r.randint(0, n)}"
+    line, ends = "this very common line stands in each and every one of the documents", [" ".join(word() for _ in range(9)) for _ in range(60)]
+    docs = {i: " ".join([*(word() for _ in range(3)), r.choice(ends), line, r.choice(ends), *(word() for _ in range(3))]) for i in range(1500)}
+    seen, made = [], repeats.merged_sketch
+    for module in (substring, suffix):
+        monkeypatch.setattr(module, "heavy_limit", lambda *a: 2)
+        monkeypatch.setattr(module, "merged_sketch", lambda *a: seen.append(made(*a)) or seen[-1])
+    check_words(spark, docs, 13)
+    check_bytes(spark, docs, 50)
+    assert all(len(maps.value[repeats.ROWS]) for maps in seen) and len(seen) == 2
+
+
+def test_radix_groups_are_equal_windows():
+    r = random.Random(1)
+    data = np.array([r.randint(0, 1) for _ in range(600)], dtype=np.uint8)
+    for width in (3, 8, 13, 50):
+        start = np.array(r.sample(range(len(data) - width), 300))
+        bucket = start % 2
+        group = suffix.groups_by_radix(data, start, width, bucket)
+        own = [(b, data[s : s + width].tobytes()) for s, b in zip(start.tolist(), bucket.tolist(), strict=True)]
+        for i, g in enumerate(group.tolist()):
+            assert [j for j in range(300) if own[j] == own[i]] == ([i] if g < 0 else np.flatnonzero(group == g).tolist())

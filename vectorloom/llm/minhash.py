@@ -16,7 +16,7 @@ rows, or cut between tasks). What crowded regions leave apart is settled exactly
 members of those that hold several components are joined by prefix filter. Each set is
 ordered by its shingles' frequency, rarest first; two sets that reach the threshold
 share one of the first n - need + 1, with enough left after it in both (length and
-positional filters). Pairs of different components that pass are confirmed on the full
+positional filters), and their parity bits differ no more than they may. Pairs of different components that pass are confirmed on the full
 sets, so neither caps nor slices of a region change the components.
 """
 
@@ -43,6 +43,8 @@ SLACK = 0.25
 AT_ONCE = 20_000
 #: Ids that are broadcast at most (8 MB); more are joined by a shuffle, with the same result.
 SENT = 1_000_000
+#: Numbers of 64 bits that hold the parity of a set.
+PARITIES = 16
 #: Most cells of each of the two rows that hold frequencies, four bits a cell (64 MB together).
 MOST_RARITY_BITS = 26
 _SEEDS = mixed(np.arange(1, 2 * VALUES + 1, dtype=np.uint64))
@@ -295,7 +297,7 @@ def rarity_of(items: np.ndarray, maps: list[bytes]) -> np.ndarray:
 
 
 def prefixes(members: DataFrame, shingle: int, percent: int, items: int, seed: int) -> DataFrame:
-    """key, id, part, n, place: shingles in the prefix of each member (doc_id, text, part), but those that no other set has."""
+    """key, id, part, n, place, p0...: shingles in the prefix of each member (doc_id, text, part), but those that no other set has, and the set's parity."""
 
     def sets_of(batches):
         for group in groups(((i, utf8(text), part) for i, text, part in rows(batches, "doc_id", "text", "part")), 250_000):
@@ -312,7 +314,7 @@ def prefixes(members: DataFrame, shingle: int, percent: int, items: int, seed: i
             upto = len(s) - -(-percent * len(s) // 100) + 1
             alone = int(np.count_nonzero(level == 0))
             if alone < upto:
-                out.append((i, part, len(s), alone, s[np.argsort(level, kind="stable")[alone:upto]]))
+                out.append((i, part, len(s), alone, s[np.argsort(level, kind="stable")[alone:upto]], parity(s)))
                 size += upto - alone
             if size > 100_000:
                 yield made(out)
@@ -328,23 +330,33 @@ def prefixes(members: DataFrame, shingle: int, percent: int, items: int, seed: i
             "part": np.repeat(np.array([x[1] for x in out], np.int64), number),
             "n": np.repeat(np.array([x[2] for x in out], np.int64), number),
             "place": np.concatenate([np.arange(x[3], x[3] + len(x[4]), dtype=np.int64) for x in out]),
-        })
+        } | {f"p{k}": np.repeat(np.array([x[5][k] for x in out], np.int64), number) for k in range(PARITIES)})
 
-    return members.mapInArrow(run, "key long, id long, part long, n long, place long")
+    return members.mapInArrow(run, "key long, id long, part long, n long, place long" + "".join(f", p{k} long" for k in range(PARITIES)))
+
+
+def parity(s: np.ndarray) -> np.ndarray:
+    """For each of 64 * PARITIES buckets whether an odd number of the shingles fall into it, as int64 numbers."""
+    counts = np.bincount((mixed(s) & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
 
 def pairs_apart(placed: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs of sets (key, id, part, n, place) of different components that the prefix, length and positional filters pass."""
-    several = placed.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x < y").select("key")
-    placed = written(placed.join(several, "key"))
-    parts = placed.select("key", "part").distinct()
-    # by pairs of components of a key, so that the pairs within a large component are never made
-    two = parts.select("key", F.col("part").alias("one")).join(parts.select("key", F.col("part").alias("two")), "key").filter("one < two")
-    of = lambda side, own: placed.select("key", F.col("part").alias(side), *(F.col(c).alias(f"{c}_{own}") for c in ("id", "n", "place")))
-    found = two.join(of("one", "a"), ["key", "one"]).join(of("two", "b"), ["key", "two"])
-    left = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
-    fits = F.expr(f"100 * least(n_a, n_b) >= {int(percent)} * greatest(n_a, n_b)") & ((100 + percent) * left >= percent * (F.col("n_a") + F.col("n_b")))
-    return found.filter(fits).select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+    """a, b: pairs of sets (key, id, part, n, place, parity) of different components that all filters pass.
+
+    Besides lengths and places, the parities of two sets bound their overlap: they differ in
+    no more bits than the sets have elements of one's own. Of a key's largest component
+    only pairs with the others are looked at, and what the filters stop is never a row.
+    """
+    parts = placed.groupBy("key", "part").agg(F.count("*").alias("number"))
+    several = parts.groupBy("key").agg(F.max_by("part", F.struct("number", "part")).alias("largest"), F.count("*").alias("parts")).filter("parts > 1").select("key", "largest")
+    both = written(placed.join(several, "key"))
+    fits = f"""a.key = b.key and a.part <> b.part and (b.part = b.largest or a.part < b.part)
+        and 100 * least(a.n, b.n) >= {int(percent)} * greatest(a.n, b.n)
+        and {100 + int(percent)} * least(a.n - a.place, b.n - b.place) >= {int(percent)} * (a.n + b.n)
+        and {100 + int(percent)} * ({" + ".join(f"bit_count(a.p{i} ^ b.p{i})" for i in range(PARITIES))}) <= {100 - int(percent)} * (a.n + b.n)"""
+    found = both.filter("part <> largest").alias("a").join(both.alias("b"), F.expr(fits))
+    return found.select(F.expr("least(a.id, b.id) as a"), F.expr("greatest(a.id, b.id) as b")).distinct()
 
 
 def sent(df: DataFrame) -> DataFrame:

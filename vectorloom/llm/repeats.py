@@ -13,6 +13,10 @@ Fragments: neighbouring windows that may be repeated and share a minimiser are o
 Equal rows of a task are settled there, before the shuffle, so that copies of a
 passage, however many, cost one row a task: all but those of the smallest document are
 removed. The others go on to the exact grouping of their windows, dealt by minimiser.
+
+Heavy keys: the first pass also sends a sample of fragments, by content, so that the
+minimisers with many different ones around them (a line that is everywhere) are known
+before anything is dealt. Their windows are dealt one by one, by their own hash.
 """
 
 from __future__ import annotations
@@ -26,13 +30,15 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import runs_of, shared_windows, shuffles, written
+from vectorloom.llm.common import mixed, runs_of, shared_windows, shuffles, written
 
 ROWS, BLOCK_BITS, MOST_BITS = 2, 16, 29
 #: Items that a task holds before it sends their cells.
 FLUSH = 3_000_000
 #: Bytes of fragments that are solved at a time.
 SLICE = 8_000_000
+#: Of the fragments of a table one in SAMPLE, by content, tells which keys are heavy; a key with less than HEAVY different ones in the sample is none.
+SAMPLE, HEAVY = 64, 8
 
 
 #: Low bits of an item that are not used, so that they can hold the number of its text.
@@ -56,10 +62,12 @@ def sketch_bits(items: float) -> int:
     return int(min(MOST_BITS, max(BLOCK_BITS, np.ceil(np.log2(6 * max(items, 1))))))
 
 
-def merged_sketch(df: DataFrame, items_of: Callable, bits: int) -> Broadcast:
-    """Bit maps (ROWS x 2^bits) of the cells that two or more documents reach.
+def merged_sketch(df: DataFrame, items_of: Callable, bits: int, heavy: int = HEAVY) -> Broadcast:
+    """Bit maps (ROWS x 2^bits) of the cells that two or more documents reach, then the sorted heavy keys.
 
-    items_of(batches) yields ROWS arrays of hashes with one entry a document.
+    items_of(batches) yields ROWS arrays of hashes with one entry a document, and may
+    yield a sample of fragments, rows of key and content, as one more: keys with `heavy`
+    contents or more are heavy.
     """
     spark = df.sparkSession
 
@@ -67,7 +75,7 @@ def merged_sketch(df: DataFrame, items_of: Callable, bits: int) -> Broadcast:
         held, size = [], 0
         for items in items_of(batches):
             held.append(items)
-            size += sum(map(len, items))
+            size += sum(map(len, items[:ROWS]))
             if size >= FLUSH:
                 yield sent(held)
                 held, size = [], 0
@@ -86,12 +94,23 @@ def merged_sketch(df: DataFrame, items_of: Callable, bits: int) -> Broadcast:
             for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(found)], strict=len(found) > 0):
                 blocks.append(row << 24 | int(number[a]))
                 packed.append(low[a:b].tobytes())
+        if len(held[0]) > ROWS:
+            told = np.unique(np.concatenate([items[ROWS] for items in held]), axis=0)
+            for k in range(64):
+                if len(own := told[told[:, 0] >> np.uint64(58) == k]):
+                    blocks.append(-1 - k)
+                    packed.append(own.tobytes())
         return pa.record_batch({"block": pa.array(blocks, pa.int32()), "cells": pa.array(packed, pa.binary())})
 
     def merge(batches):
         counts: dict[int, np.ndarray] = {}
+        told: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if block < 0:
+                    found = np.frombuffer(packed, dtype=np.uint64).reshape(-1, 2)
+                    told[block] = np.unique(np.concatenate([told.get(block, found), found]), axis=0)
+                    continue
                 own = counts.get(block)
                 if own is None:
                     own = counts[block] = np.zeros(2**BLOCK_BITS, dtype=np.uint8)
@@ -99,6 +118,10 @@ def merged_sketch(df: DataFrame, items_of: Callable, bits: int) -> Broadcast:
                 again = found[1:][found[1:] == found[:-1]]
                 own[found] = np.minimum(own[found] + np.uint8(1), 2)
                 own[again] = 2
+        for block, found in told.items():
+            keys, number = np.unique(found[:, 0], return_counts=True)
+            if (number >= heavy).any():
+                yield pa.record_batch({"block": pa.array([block], pa.int32()), "bits": pa.array([keys[number >= heavy].tobytes()], pa.binary())})
         for block, own in counts.items():
             twice = np.packbits(own > 1)
             if twice.any():
@@ -106,11 +129,26 @@ def merged_sketch(df: DataFrame, items_of: Callable, bits: int) -> Broadcast:
 
     found = df.mapInArrow(touched, "block int, cells binary").repartition(shuffles(spark), "block").mapInArrow(merge, "block int, bits binary")
     maps = np.zeros((ROWS, 2**bits // 8), dtype=np.uint8)
-    size = 2**BLOCK_BITS // 8
-    for block, packed in found.toLocalIterator():  # ROWS * 2^MOST_BITS bits at most
+    size, keys = 2**BLOCK_BITS // 8, []
+    for block, packed in found.toLocalIterator():  # ROWS * 2^MOST_BITS bits at most, and as many keys as heavy_limit() says
+        if block < 0:
+            keys.append(np.frombuffer(packed, dtype=np.uint64))
+            continue
         at = (block & 0xFFFFFF) * size
         maps[block >> 24, at : at + size] = np.frombuffer(packed, dtype=np.uint8)
-    return spark.sparkContext.broadcast([row.tobytes() for row in maps])  # bytes load without a second copy
+    keys = np.sort(np.concatenate([np.empty(0, np.uint64), *keys]))
+    return spark.sparkContext.broadcast([*(row.tobytes() for row in maps), keys.tobytes()])  # bytes load without a second copy
+
+
+def heavy_limit(spark, items: float) -> int:
+    """A key is heavy with a tenth of an even share of all fragments, so that there are ten heavy keys a partition at most."""
+    return max(HEAVY, int(items / (10 * SAMPLE * shuffles(spark))))
+
+
+def heavy_of(keys: np.ndarray, maps: list[bytes]) -> np.ndarray:
+    """Whether the keys are heavy."""
+    known = np.frombuffer(maps[ROWS], dtype=np.uint64)
+    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys if len(known) else np.zeros(len(keys), dtype=bool)
 
 
 def estimated_repeated(items: np.ndarray, maps: list[bytes], row: int) -> np.ndarray:
@@ -121,12 +159,16 @@ def estimated_repeated(items: np.ndarray, maps: list[bytes], row: int) -> np.nda
 
 
 def window_items(grams: np.ndarray, bounds: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
-    """What the rows of a sketch count for the windows of a group of texts."""
-    out = []
+    """What the rows of a sketch count for the windows of a group of texts, and the sample of fragments."""
+    out, sample = [], None
     for row in range(ROWS):
-        at, _, _, text = shared_windows(grams, bounds, window, gram, most=row == 1)
+        at, low, high, text = shared_windows(grams, bounds, window, gram, most=row == 1)
         out.append(once_a_text(grams[at], text))
-    return tuple(out)
+        if row == 0:
+            content = mixed(grams[low] ^ mixed(grams[high + window - gram - 1] + (high - low).astype(np.uint64)))
+            some = content % np.uint64(SAMPLE) == 0
+            sample = np.stack([grams[at][some], content[some]], axis=1)
+    return *out, sample
 
 
 def repeated_runs(grams: np.ndarray, bounds: np.ndarray, window: int, gram: int, maps: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -160,6 +202,16 @@ def pieces(grams: np.ndarray, bounds: np.ndarray, window: int, gram: int, runs:
     return at[own], start, end, number[own]
 
 
+def one_by_one(keys: np.ndarray, low: np.ndarray, high: np.ndarray, number: np.ndarray, heavy: np.ndarray, key_of: Callable) -> tuple[np.ndarray, ...]:
+    """Keys, first windows, ends and texts of fragments, with each window of a heavy one by itself under the key of key_of(windows)."""
+    if not heavy.any():
+        return keys, low, high, number
+    size = (high - low)[heavy]
+    windows = np.repeat(low[heavy] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+    rest = ~heavy
+    return np.concatenate([keys[rest], key_of(windows)]), np.concatenate([low[rest], windows]), np.concatenate([high[rest], windows + 1]), np.concatenate([number[rest], np.repeat(number[heavy], size)])
+
+
 FRAGMENTS = "key long, doc_id long, at int, windows int, part binary"
 
 
@@ -206,6 +258,19 @@ class Settled:
         self.__init__()
 
 
+def combined(table: pa.Table) -> tuple[pa.Table, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The same for the fragments of several tasks: the table without those that a smaller document has too, and their spans."""
+    code = table.column("part").combine_chunks().dictionary_encode().indices.to_numpy()
+    keys, docs = table.column("key").to_numpy(), table.column("doc_id").to_numpy()
+    order = np.lexsort((docs, keys, code))
+    new = np.concatenate([[True], (code[order][1:] != code[order][:-1]) | (keys[order][1:] != keys[order][:-1])])
+    least = np.empty(len(order), dtype=np.int64)
+    least[order] = docs[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+    gone = docs > least
+    spans = docs[gone], table.column("at").to_numpy()[gone], table.column("windows").to_numpy()[gone]
+    return table.filter(pa.array(~gone)).combine_chunks(), spans
+
+
 def matched(fragments: DataFrame, spans_of: Callable, windows_of: Callable) -> DataFrame:
     """doc_id, start, windows: windows that also occur in a smaller document.
 
@@ -236,14 +301,19 @@ def matched(fragments: DataFrame, spans_of: Callable, windows_of: Callable) -> D
             keys = table.column(0).to_numpy()
             cut = int(np.searchsorted(keys, keys[-1], side="left"))
             if cut:
-                yield from made(*spans_of(table.slice(0, cut)))
+                yield from solved(table.slice(0, cut))
                 rest = table.slice(cut)
                 held, size = rest.to_batches(), rest.nbytes
             elif size >= 4 * SLICE:
                 hot, held, size = int(keys[-1]), [], 0
                 yield pa.record_batch({"hot": pa.array([hot], pa.int64()), "doc_id": pa.nulls(1, pa.int64()), "start": pa.nulls(1, pa.int32()), "windows": pa.nulls(1, pa.int32())})
         if held:
-            yield from made(*spans_of(pa.Table.from_batches(held).combine_chunks()))
+            yield from solved(pa.Table.from_batches(held).combine_chunks())
+
+    def solved(table):
+        table, spans = combined(table)
+        yield from made(*spans)
+        yield from made(*spans_of(table))
 
     def made(doc_id, start, number):
         if len(doc_id):

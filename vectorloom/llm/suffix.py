@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectorloom.llm.common import BYTE_VALUES, binary_column, gram_hashes, groups, narrow, rows, runs_of, utf8
-from vectorloom.llm.repeats import FRAGMENTS, Settled, matched, merged_sketch, pieces, repeated_runs, sketch_bits, spans_by_document, spans_of_flags, window_items
+from vectorloom.llm.repeats import FRAGMENTS, Settled, heavy_limit, heavy_of, matched, merged_sketch, one_by_one, pieces, repeated_runs, sketch_bits, spans_by_document, spans_of_flags, window_items
 from vectorloom.llm.substring import removed
 
 GRAM, DIGIT = 18, 8
@@ -34,24 +34,23 @@ def grouped_bytes(texts: list[bytes], gram: int) -> tuple[bytes, np.ndarray, np.
     return data, gram_hashes(BYTE_VALUES[np.frombuffer(data, dtype=np.uint8)], gram), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def groups_by_radix(windows: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-    """Group number of each row of a byte matrix, equal rows of a bucket alike; -1 where a row is alone.
+def groups_by_radix(data: np.ndarray, start: np.ndarray, width: int, bucket: np.ndarray) -> np.ndarray:
+    """Group number of each window (width bytes of data from start), equal windows of a bucket alike; -1 where one is alone.
 
-    Each pass sorts what is left by (group, next digit of 8 bytes) and splits the groups.
+    Each pass sorts what is left by (group, next digit of 8 bytes) and splits the groups;
+    a digit is read from the text where it is needed, windows are never laid out.
     """
-    n, width = windows.shape
     group = bucket.astype(np.int64)
-    left = np.arange(n)
+    left = np.arange(len(start))
+    digits = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(DIGIT, np.uint8)]), DIGIT)
     for at in range(0, width, DIGIT):
-        part = np.zeros((len(left), DIGIT), dtype=np.uint8)
-        part[:, : min(DIGIT, width - at)] = windows[left, at : at + DIGIT]
-        digit = part.view(">u8").ravel().astype(np.uint64)
+        digit = digits[start[left] + at].view(">u8").ravel().astype(np.uint64) >> np.uint64(8 * max(0, at + DIGIT - width))
         order = np.lexsort((digit, group[left]))
         left, digit = left[order], digit[order]
         own = group[left]
         new = np.concatenate([[True], (own[1:] != own[:-1]) | (digit[1:] != digit[:-1])])
         label = np.cumsum(new) - 1
-        alone = np.bincount(label, minlength=label[-1] + 1)[label] < 2 if len(label) else np.zeros(0, bool)
+        alone = new & np.concatenate([new[1:], [True]])
         group[left] = label
         group[left[alone]] = -1
         left = left[~alone]
@@ -78,7 +77,11 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
             _, grams, bounds = grouped_bytes([text for _, text in group], gram)
             yield window_items(grams, bounds, window, gram)
 
-    maps = merged_sketch(texts, items, sketch_bits(2.5 * length / (window - gram + 2)))
+    expected = 2.5 * length / (window - gram + 2)
+    maps = merged_sketch(texts, items, sketch_bits(expected), heavy_limit(docs.sparkSession, expected))
+
+    def window_hashes(data, windows):
+        return gram_hashes(BYTE_VALUES[np.frombuffer(data, dtype=np.uint8)], window)[windows]
 
     def buckets(batches):
         settled = Settled()
@@ -88,9 +91,11 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
             if not len(at):
                 continue
             ids = np.array([doc_id for doc_id, _ in group], dtype=np.int64)
+            keys = grams[at]
+            keys, low, high, number = one_by_one(keys, low, high, number, heavy_of(keys, maps.value), lambda windows, data=data: window_hashes(data, windows))
             part = [data[a : b + window - 1] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
             # a bucket's number needs no more than 32 bits: the digits tell its windows apart
-            if settled.add((grams[at] >> np.uint64(32)).view(np.int64), ids[number], low - bounds[number], high - low, part):
+            if settled.add((keys >> np.uint64(32)).view(np.int64), ids[number], low - bounds[number], high - low, part):
                 yield from settled.batches()
         yield from settled.batches()
 
@@ -109,8 +114,7 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
         row = np.repeat(np.arange(len(number)), number)
         place = np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number)
         keys = np.unique(table.column("key").to_numpy(), return_inverse=True)[1]
-        windows = np.lib.stride_tricks.sliding_window_view(data, window)[offsets[row] + place]
-        group = groups_by_radix(windows, keys[row])
+        group = groups_by_radix(data, offsets[row] + place, window, keys[row])
         keep = np.flatnonzero(group >= 0)
         own = docs_[row[keep]]
         least = np.full(int(group.max(initial=-1)) + 1, np.iinfo(np.int64).max)
