@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from vectorloom.llm.common import gathered, gram_hashes, grouped_words, groups, mixed, narrow, new_seed, rows, shuffles, stored, utf8, written
 from vectorloom.llm.components import components
-from vectorloom.llm.repeats import BLOCK_BITS, FLUSH, cells, estimated_repeated, merged_sketch, sketch_bits
+from vectorloom.llm.repeats import BLOCK_BITS, FLUSH, Maps, cells, estimated_repeated, merged_sketch, sketch_bits
 
 VALUES, TREES, SHORTEST, DEEPEST, NEAR = 63, 21, 3, 12, 8
 DEPTHS = (3, 4, 5, 7, 9, 12)
@@ -283,7 +283,7 @@ def rarity(sets: DataFrame, sets_of: Callable, items: int) -> Broadcast:
     for block, packed in found.toLocalIterator():  # 2^MOST_RARITY_BITS bytes at most
         at = (block & 0xFFFFFF) * size // 2
         maps[block >> 24, at : at + size // 2] = np.frombuffer(packed, dtype=np.uint8)
-    return spark.sparkContext.broadcast([row.tobytes() for row in maps])
+    return spark.sparkContext.broadcast(Maps(row.tobytes() for row in maps))
 
 
 def rarity_of(items: np.ndarray, maps: list[bytes]) -> np.ndarray:

@@ -37,6 +37,8 @@ ROWS, BLOCK_BITS, MOST_BITS = 2, 16, 29
 FLUSH = 3_000_000
 #: Bytes of fragments that are solved at a time.
 SLICE = 8_000_000
+#: Bytes of fragments that a task combines before it sends them.
+HELD = 24_000_000
 #: Of the fragments of a table one in SAMPLE, by content, tells which keys are heavy; a key with less than HEAVY different ones in the sample is none.
 SAMPLE, HEAVY = 64, 8
 
@@ -62,6 +64,17 @@ def sketch_bits(items: float) -> int:
     return int(min(MOST_BITS, max(BLOCK_BITS, np.ceil(np.log2(6 * max(items, 1))))))
 
 
+class Maps(list):
+    """Byte strings that are sent compressed: few cells are set, so bit maps shrink to a fraction."""
+
+    def __reduce__(self):
+        return unpacked, ([(len(x), pa.compress(x, codec="zstd", asbytes=True) if x else x) for x in self],)
+
+
+def unpacked(packed: list[tuple[int, bytes]]) -> Maps:
+    return Maps(pa.decompress(x, size, codec="zstd", asbytes=True) if x else x for size, x in packed)
+
+
 def merged_sketch(df: DataFrame, items_of: Callable, bits: int, heavy: int = HEAVY) -> Broadcast:
     """Bit maps (ROWS x 2^bits) of the cells that two or more documents reach, then the sorted heavy keys.
 
@@ -137,7 +150,7 @@ def merged_sketch(df: DataFrame, items_of: Callable, bits: int, heavy: int = HEA
         at = (block & 0xFFFFFF) * size
         maps[block >> 24, at : at + size] = np.frombuffer(packed, dtype=np.uint8)
     keys = np.sort(np.concatenate([np.empty(0, np.uint64), *keys]))
-    return spark.sparkContext.broadcast([*(row.tobytes() for row in maps), keys.tobytes()])  # bytes load without a second copy
+    return spark.sparkContext.broadcast(Maps([*(row.tobytes() for row in maps), keys.tobytes()]))
 
 
 def heavy_limit(spark, items: float) -> int:
@@ -215,62 +228,57 @@ def one_by_one(keys: np.ndarray, low: np.ndarray, high: np.ndarray, number: np.n
 FRAGMENTS = "key long, doc_id long, at int, windows int, part binary"
 
 
+def parts_of(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Array:
+    """values[low:high] of each pair, as bytes."""
+    size = high - low
+    taken = values[np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())]
+    offsets = (np.concatenate([[0], np.cumsum(size)]) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(low), [None, pa.py_buffer(offsets), pa.py_buffer(taken)])
+
+
+def combined(table: pa.Table) -> tuple[pa.Table, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of fragments with equal parts only those of the smallest document stay; the spans of the others.
+
+    Places in one document stay together, so that both wait for what other documents hold.
+    """
+    code = table.column("part").combine_chunks().dictionary_encode().indices.to_numpy()
+    keys, docs = table.column("key").to_numpy(), table.column("doc_id").to_numpy()
+    order = np.lexsort((docs, keys, code))
+    new = np.concatenate([[True], (code[order][1:] != code[order][:-1]) | (keys[order][1:] != keys[order][:-1])])
+    least = np.empty(len(order), dtype=np.int64)
+    least[order] = docs[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+    gone = docs > least
+    spans = docs[gone], table.column("at").to_numpy()[gone], table.column("windows").to_numpy()[gone]
+    return table.filter(pa.array(~gone)).combine_chunks(), spans
+
+
 class Settled:
-    """Fragments of a task. Of those with equal parts all but the smallest document's become spans to remove (no part), joined where they meet."""
+    """Fragments of a task, combined before they are sent: what a smaller document has too becomes spans to remove (no part), joined where they meet."""
 
     def __init__(self) -> None:
-        self.best: dict[tuple[int, bytes], tuple[int, int, int]] = {}
-        self.more: list[tuple] = []
-        self.spans: list[tuple[int, int, int]] = []
+        self.held: list[pa.RecordBatch] = []
         self.size = 0
 
-    def add(self, keys: np.ndarray, docs: np.ndarray, at: np.ndarray, windows: np.ndarray, parts: list[bytes]) -> bool:
+    def add(self, keys: np.ndarray, docs: np.ndarray, at: np.ndarray, windows: np.ndarray, parts: pa.Array) -> bool:
         """Whether they should be sent now."""
-        for doc_id, start, number, key, part in zip(docs.tolist(), at.tolist(), windows.tolist(), keys.tolist(), parts, strict=True):
-            own, same = (doc_id, start, number), (key, part)
-            old = self.best.get(same)
-            if old is None:
-                self.best[same] = own
-                self.size += len(part)
-            elif own[0] > old[0]:
-                self.spans.append(own)
-            elif own[0] < old[0]:
-                self.spans.append(old)
-                self.best[same] = own
-            else:  # twice in one document: both places wait for what other documents hold
-                self.more.append((same, own))
-                self.size += len(part)
-        return self.size + 16 * len(self.spans) >= SLICE
+        self.held.append(pa.record_batch([keys, docs, at.astype(np.int32), windows.astype(np.int32), parts], names=["key", "doc_id", "at", "windows", "part"]))
+        self.size += self.held[-1].nbytes
+        return self.size >= HELD
 
     def batches(self):
-        schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int32()), ("windows", pa.int32()), ("part", pa.binary())])
-        # of places in one document that a smaller one has since overtaken, some go on too: they lose in their bucket
-        rows = [(key, *own, part) for (key, part), own in [*self.best.items(), *self.more]]
-        if rows:
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
-        if self.spans:
-            doc, at, windows = np.array(self.spans, dtype=np.int64).T
+        if not self.held:
+            return
+        table, (doc, at, windows) = combined(pa.Table.from_batches(self.held).combine_chunks())
+        yield from table.to_batches()
+        if len(doc):
             order = np.lexsort((at, doc))
             doc, at, end = doc[order], at[order], (at + windows)[order]
             new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (at[1:] != end[:-1])])
             first, last = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(doc)) - 1
-            yield pa.record_batch([pa.array(c, t) if isinstance(c, np.ndarray) else c for c, t in zip((doc[first], doc[first], at[first].astype(np.int32), (end[last] - at[first]).astype(np.int32), pa.nulls(len(first), pa.binary())), schema.types, strict=True)], schema=schema)
+            yield pa.record_batch([doc[first], doc[first], at[first], end[last] - at[first], pa.nulls(len(first), pa.binary())], schema=table.schema)
         self.__init__()
 
 
-def combined(table: pa.Table) -> tuple[pa.Table, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """The same for the fragments of several tasks: the table without those that a smaller document has too, and their spans."""
-    code = table.column("part").combine_chunks().dictionary_encode().indices.to_numpy()
-    keys, docs = table.column("key").to_numpy(), table.column("doc_id").to_numpy()
-    order = np.lexsort((docs, keys, code))
-    new = np.concatenate([[True], (code[order][1:] != code[order][:-1]) | (keys[order][1:] != keys[order][:-1])])
-    least = np.empty(len(order), dtype=np.int64)
-    least[order] = docs[order][np.flatnonzero(new)][np.cumsum(new) - 1]
-    gone = docs > least
-    spans = docs[gone], table.column("at").to_numpy()[gone], table.column("windows").to_numpy()[gone]
-    return table.filter(pa.array(~gone)).combine_chunks(), spans
-
-
 def matched(fragments: DataFrame, spans_of: Callable, windows_of: Callable) -> DataFrame:
     """doc_id, start, windows: windows that also occur in a smaller document.
 

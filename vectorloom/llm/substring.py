@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectorloom.llm.common import BASES, binary_column, gram_hashes, grouped_words, groups, narrow, new_seed, replaced, rows, slices, utf8
-from vectorloom.llm.repeats import FRAGMENTS, Settled, heavy_limit, heavy_of, matched, merged_sketch, one_by_one, pieces, repeated_runs, sketch_bits, spans_by_document, spans_of_flags, window_items
+from vectorloom.llm.repeats import FRAGMENTS, Settled, heavy_limit, heavy_of, matched, merged_sketch, one_by_one, parts_of, pieces, repeated_runs, sketch_bits, spans_by_document, spans_of_flags, window_items
 
 GRAM = 7
 
@@ -54,8 +54,7 @@ def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
             ids = np.array([doc_id for doc_id, _ in group], dtype=np.int64)
             keys, one = grams[at], gram_hashes(hashes, window)
             keys, low, high, number = one_by_one(keys, low, high, number, heavy_of(keys, maps.value), lambda windows, one=one: one[windows])
-            part = [own[a:b].tobytes() for a, b in zip(low.tolist(), high.tolist(), strict=True)]
-            if settled.add(keys.view(np.int64), ids[number], low - bounds[number], high - low, part):
+            if settled.add(keys.view(np.int64), ids[number], low - bounds[number], high - low, parts_of(own, low, high)):
                 yield from settled.batches()
         yield from settled.batches()
 

@@ -5,7 +5,7 @@ from the most significant one; a suffix that is alone in its group after a pass
 finished. Groups that are left after the last digit are exactly the repeated windows.
 
 The first pass deals all suffixes to buckets without moving them: a suffix's bucket is
-the minimiser of its window (the 18-byte gram of least hash, the same for equal
+the minimiser of its window (the 16-byte gram of least hash, the same for equal
 windows), and a merged count-min histogram of the buckets, and of those by the gram of
 greatest hash, finishes suffixes that only one document reaches (see repeats.py).
 The windows that stay are shuffled by bucket, one row for the neighbours that share a
@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectorloom.llm.common import BYTE_VALUES, binary_column, gram_hashes, groups, narrow, rows, runs_of, utf8
-from vectorloom.llm.repeats import FRAGMENTS, Settled, heavy_limit, heavy_of, matched, merged_sketch, one_by_one, pieces, repeated_runs, sketch_bits, spans_by_document, spans_of_flags, window_items
+from vectorloom.llm.repeats import FRAGMENTS, Settled, heavy_limit, heavy_of, matched, merged_sketch, one_by_one, parts_of, pieces, repeated_runs, sketch_bits, spans_by_document, spans_of_flags, window_items
 from vectorloom.llm.substring import removed
 
-GRAM, DIGIT = 18, 8
+GRAM, DIGIT = 16, 8
 
 
 def grouped_bytes(texts: list[bytes], gram: int) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -93,7 +93,7 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
             ids = np.array([doc_id for doc_id, _ in group], dtype=np.int64)
             keys = grams[at]
             keys, low, high, number = one_by_one(keys, low, high, number, heavy_of(keys, maps.value), lambda windows, data=data: window_hashes(data, windows))
-            part = [data[a : b + window - 1] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+            part = parts_of(np.frombuffer(data, dtype=np.uint8), low, high + window - 1)
             # a bucket's number needs no more than 32 bits: the digits tell its windows apart
             if settled.add((keys >> np.uint64(32)).view(np.int64), ids[number], low - bounds[number], high - low, part):
                 yield from settled.batches()
