@@ -281,3 +281,125 @@ def test_network_judges_all_of_a_run():
     assert [text[a:b] for a, b in secret_scan.candidates(text, taken)] == ["QwErTyUiOpAsDfGhJkLzXcVb", "aB3xK9mQ7ZtR5vWpG", "12345678901234567890"]
     net = secret_scan.trained(secret_scan.labelled_findings())
     assert [text[a:b] for a, k, b in secret_scan.spans_of(text, net) if k == 3][:2] == ["QwErTyUiOpAsDfGhJkLzXcVb", "aB3xK9mQ7ZtR5vWpG"]
+
+
+def brute_winnow(text, k=fingerprint.K, w=fingerprint.W):
+    """Windows one by one: the rightmost place of the least gram hash of each, once."""
+    points = [fingerprint.mixed(np.array([ord(c) + 1], np.uint64))[0] for c in text]
+    n = min(k, len(points))
+    grams = []
+    for i in range(len(points) - n + 1 if points else 0):
+        total = 0
+        for x in points[i : i + n]:
+            total = (total * 0x9E3779B97F4A7C15 + int(x)) % 2**64
+        grams.append(int(fingerprint.mixed(np.array([total], np.uint64))[0]) >> 32)
+    wide, out = min(w, len(grams)), []
+    for i in range(len(grams) - wide + 1 if grams else 0):
+        own = grams[i : i + wide]
+        at = max(j for j in range(wide) if own[j] == min(own)) + i
+        if not out or out[-1] != at:
+            out.append(at)
+    return [grams[i] for i in out], out
+
+
+def test_fingerprints_match_windows_one_by_one(spark):
+    docs = {k: (t or "")[:700] for k, t in DOCS.items() if k % 3 == 0 or k > 65} | {200: "ab" * 90, 201: "q" * 100, 202: "é漢 x" * 30}
+    ids = sorted(docs)
+    rows = {r.doc_id: r for r in fingerprint.edited_pairs(cases.frame(spark, docs)).collect()}
+    jaccard = lambda a, b: len(set(a) & set(b)) / len(set(a) | set(b)) if a or b else 1.0
+    for k, after in zip(ids, [*ids[1:], ids[0]], strict=True):
+        half = len(docs[k]) // 2
+        edited = docs[k][: len(docs[k]) - half] + docs[after][:half]
+        (own, at), (changed, places), (following, _) = brute_winnow(docs[k]), brute_winnow(edited), brute_winnow(docs[after])
+        r = rows[k]
+        assert (r.fingerprint, r.positions) == ("".join(f"{x:08x}" for x in own), at), k
+        assert (r.edited_fingerprint, r.edited_positions) == ("".join(f"{x:08x}" for x in changed), places), k
+        assert (r.near_edited, r.near_next) == (jaccard(own, changed), jaccard(own, following)), k
+
+
+def test_packing_of_very_long_runs(spark):
+    coder = Tokenizer.from_file(JSON)
+    docs = {1: "a" + " " * 2_000_000 + "b", 2: "x" * 300_000, 3: "\n" * 25_000 + " y" * 30_000}
+    found: dict = {}
+    for r in packing.pack(cases.frame(spark, docs), JSON, public_tokenizers.PATTERN).collect():
+        found.setdefault(r.doc_id, []).append((r.start, r.length, r.ids_crc32))
+    for k, text in docs.items():
+        ids = [*coder.encode(text, add_special_tokens=False).ids, 2]
+        assert sorted(found[k]) == [(a, n, zlib.crc32(struct.pack(f"<{n}I", *ids[a : a + n]))) for a, n, _ in sorted(found[k])]
+        assert sum(n for _, n, _ in found[k]) == len(ids)
+
+
+def test_network_is_calibrated_on_fresh_findings():
+    net = secret_scan.trained(secret_scan.labelled_findings())
+    fresh = secret_scan.labelled_findings(3000, seed=123)
+    p, truth = net.probability([x[:3] for x in fresh]), np.array([x[3] for x in fresh])
+    part = np.minimum((p * 10).astype(int), 9)
+    error = sum(abs(p[part == i].mean() - truth[part == i].mean()) * (part == i).mean() for i in range(10) if (part == i).any())
+    print("calibration error", error, "recall", ((p >= net.threshold) & (truth > 0)).sum() / truth.sum(), "threshold", net.threshold)
+    assert error < 0.03
+    assert ((p >= net.threshold) & (truth > 0)).sum() / truth.sum() > 0.96
+
+
+def brute_cutoffs(rows, quality, limit, delta):
+    """rows: doc_id -> (stratum, measures)."""
+    from math import comb
+
+    tail = lambda k, n: sum(comb(n, i) * limit**i * (1 - limit) ** (n - i) for i in range(k + 1)) if k <= n * limit else 1.0
+    fold = {k: zlib.crc32(str(k).encode()) % 3 for k in quality}
+    strata, out = sorted({rows[k][0] for k in quality if fold[k] == 2 and quality[k]}), {}
+    for s in strata:
+        own = [k for k in quality if rows[k][0] == s]
+        good, bad = ([k for k in own if fold[k] == 0 and quality[k] == q] for q in (1, 0))
+        ranked = []
+        for rule, ladder in quality_rules.LADDERS.items():
+            gains = [(sum(rows[k][1][rule] > c for k in bad) / max(1, len(bad)) - quality_rules.REGRET * (sum(rows[k][1][rule] > c for k in good) / max(1, len(good))), -i) for i, c in enumerate(ladder)]
+            if max(gains)[0] > 0:
+                ranked.append((-max(gains)[0], rule, ladder[-max(gains)[1]]))
+        test, chosen = [k for k in own if fold[k] == 2 and quality[k] == 1], {}
+        for _, rule, cutoff in sorted(ranked):
+            more = chosen | {rule: cutoff}
+            lost = sum(any(rows[k][1][r] > c for r, c in more.items()) for k in test)
+            if tail(lost, len(test)) > delta / len(strata):
+                break
+            chosen = more
+        out |= {(s, rule): cutoff for rule, cutoff in chosen.items()}
+    return out
+
+
+def test_cutoffs_bound_what_a_stratum_loses_altogether(spark):
+    """Six rules that each reject other good documents: alone each is under the limit, together they are over it."""
+    r = random.Random(12)
+    rows, labels, rules = [], {}, list(quality_rules.LADDERS)
+    for k in range(12_000):
+        good = k % 2
+        measures = dict.fromkeys(rules, 0.0)
+        if not good:
+            measures[rules[r.randrange(6)]] = 99.0
+        elif r.random() < 0.045:
+            measures[rules[r.randrange(6)]] = 99.0
+        rows.append((k, ("en", "de")[k % 3 == 0], *measures.values()))
+        labels[k] = good
+    measured = spark.createDataFrame(rows, "doc_id long, stratum string, " + ", ".join(f"{x} double" for x in rules))
+    known = spark.createDataFrame([(k, q, 0) for k, q in labels.items()], "doc_id long, quality int, toxic int")
+    found = quality_rules.cutoffs(measured, known).collect()
+    assert {(x.stratum, x.rule): x.cutoff for x in found} == brute_cutoffs({x[0]: (x[1], dict(zip(rules, x[2:], strict=True))) for x in rows}, labels, quality_rules.LIMIT, quality_rules.DELTA)
+    assert found
+    for stratum in ("en", "de"):
+        own = {x.rule: x.cutoff for x in found if x.stratum == stratum}
+        assert len(own) < 6
+        good = [x for x in rows if x[1] == stratum and labels[x[0]]]
+        assert sum(any(x[2 + rules.index(rule)] > c for rule, c in own.items()) for x in good) <= quality_rules.LIMIT * len(good)
+
+
+def test_fit_is_bounded_and_blind_to_held_out_rows(spark):
+    docs, labels, _ = labelled(spark, 600)
+    known = {r.doc_id for r in quality_model.learning_rows(docs.union(docs), labels).collect()}
+    assert known == {k for k in range(600) if zlib.crc32(str(k).encode()) % 3 != 1}
+    assert quality_model.learning_rows(docs.union(docs), labels).count() == len(known)
+    whole, part = quality_model.fitted(docs, labels), quality_model.fitted(docs, labels, most_bytes=20_000)
+    assert not np.array_equal(whole.weights, part.weights)
+    from pyspark.sql import functions as F
+
+    other = labels.withColumn("quality", F.when(quality_model.held_out("doc_id"), 1 - F.col("quality")).otherwise(F.col("quality")))
+    changed = docs.withColumn("lang", F.lit("x")).withColumn("source", F.lit("y"))
+    assert np.array_equal(whole.weights, quality_model.fitted(changed, other).weights)

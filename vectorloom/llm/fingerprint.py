@@ -104,7 +104,7 @@ def with_next(docs: DataFrame, function, schema: str) -> DataFrame:
             yield made(out)
 
     names = [c.split()[0] for c in schema.split(",")]
-    kinds = [{"long": pa.int64(), "string": pa.string(), "double": pa.float64()}[c.split()[1]] for c in schema.split(",")]
+    kinds = [{"long": pa.int64(), "string": pa.string(), "double": pa.float64(), "array<bigint>": pa.list_(pa.int64())}[c.split()[1]] for c in schema.split(",")]
 
     def made(out):
         return pa.record_batch([pa.array(column, kind) for column, kind in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
@@ -117,7 +117,8 @@ def edited_pairs(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
 
     Edited text: the last floor(n/2) of n code points replaced by the first as many (or
     all) of the next document. Columns: doc_id, n_chars, edited_sha256, fingerprint,
-    edited_fingerprint, near_edited, near_next.
+    edited_fingerprint, near_edited, near_next, and the positions of the chosen hashes:
+    positions, edited_positions.
     """
     from hashlib import sha256
 
@@ -125,12 +126,12 @@ def edited_pairs(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
 
     def compare(doc_id, text, after):
         before, made = memory.get("next", (None, None))  # the next text of the document before is most often this one
-        own = made if before is text else winnow(text, k, w)[0]
-        following = winnow(after, k, w)[0]
-        memory["next"] = (after, following)
+        own, at = made if before is text else winnow(text, k, w)
+        memory["next"] = (after, winnow(after, k, w))
+        following = memory["next"][1][0]
         half = len(text) // 2
         edited = text[: len(text) - half] + after[:half]
-        changed = winnow(edited, k, w)[0]
-        return doc_id, len(text), sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), as_string(own), as_string(changed), likeness(own, changed), likeness(own, following)
+        changed, places = winnow(edited, k, w)
+        return doc_id, len(text), sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), as_string(own), as_string(changed), likeness(own, changed), likeness(own, following), at, places
 
-    return with_next(docs, compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return with_next(docs, compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, positions array<bigint>, edited_positions array<bigint>")

@@ -11,6 +11,7 @@ tightest gap that holds them, and open new sequences only where none does.
 from __future__ import annotations
 
 import bisect
+import re
 from collections import defaultdict
 from zlib import crc32
 
@@ -28,6 +29,8 @@ from vectorloom.llm.bpe import slices
 from vectorloom.llm.common import narrow, rows, stored
 
 SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
+LONG_RUN = 20_000
+RUN = re.compile(rf"\s{{{LONG_RUN}}}|\S{{{LONG_RUN}}}")
 _coders: dict[str, tuple] = {}
 
 
@@ -36,7 +39,8 @@ class Ids:
 
     Where the file is a plain byte-level BPE with the public split, tiktoken makes the
     same ids from the same vocabulary several times faster. Texts that hold the string
-    of an added token go through the tokenizers library itself.
+    of an added token, or a run of LONG_RUN characters that are all white space or all
+    none, go through the tokenizers library itself: the other fails on very long runs.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -53,7 +57,7 @@ class Ids:
         self.fast = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}) if plain else None
 
     def of(self, text: str) -> np.ndarray:
-        if self.fast is None or any(x in text for x in self.added):
+        if self.fast is None or any(x in text for x in self.added) or (len(text) >= LONG_RUN and RUN.search(text)):
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
         return np.array(self.fast.encode_ordinary(text), dtype="<u4")
 

@@ -6,9 +6,9 @@ sigmoid(w0 + sum w_i x_i + 1/2 sum_f ((sum v_if x_i)^2 - sum v_if^2 x_i^2)): all
 interactions in time linear in the number of features. Labels, lang, source and doc_id
 are never features.
 
-The model is fitted on at most `most` labelled rows (documented bound; those of least
-hash of their doc_id), on the driver with Adagrad in numpy; its size is fixed by the
-number of buckets. Scores then cover every row of the table in tasks.
+The model is fitted on at most `most` labelled documents and MOST_BYTES bytes of their
+texts (documented bounds; those of least hash of their doc_id, one text an id), on the
+driver with Adagrad in numpy; its size is fixed by the number of buckets. Scores then cover every row of the table in tasks.
 """
 
 from __future__ import annotations
@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import grouped_words, narrow, rows, slices, utf8
+from vectorloom.llm.common import grouped_words, narrow, rows, slices, utf8, written
 
 BUCKET_BITS, RANK = 15, 8
 BUCKETS = 1 << BUCKET_BITS
-#: Labelled rows that a fit takes at most.
-MOST = 8_000
+#: Labelled documents that a fit takes at most, and the bytes of their texts.
+MOST, MOST_BYTES = 8_000, 64_000_000
 STATISTICS = 14
 _KIND = np.full(256, 0, dtype=np.uint8)
 _KIND[list(b" \t\n\r\x0b\x0c")] = 1
@@ -130,15 +130,16 @@ def fit(texts: list[str], labels: list[int], epochs: int = 6, batch: int = 64, r
 
 
 def learning_rows(docs: DataFrame, labels: DataFrame, most: int = MOST) -> DataFrame:
-    """text, quality: labelled rows whose crc32(doc_id) mod 3 is not 1, the `most` of least hash at most.
+    """doc_id, text, quality, turn: labelled documents whose crc32(doc_id) mod 3 is not 1, the `most` of least hash at most.
 
-    Rows are chosen on the narrow label table; one of several labels of a document is its
-    least; labels other than 0 and 1 are left out.
+    They are chosen on the narrow label table; of several texts or labels of a document
+    the least counts; labels other than 0 and 1 are left out.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.filter((held_out("doc_id") == F.lit(False)) & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    chosen = known.withColumn("turn", F.xxhash64("doc_id")).orderBy("turn", "doc_id").limit(most).drop("turn")
-    return narrow(docs, doc_id="long", text="string").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality")
+    chosen = known.withColumn("turn", F.xxhash64("doc_id")).orderBy("turn", "doc_id").limit(most)
+    found = narrow(docs, doc_id="long", text="string").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.first("quality").alias("quality"), F.first("turn").alias("turn"))
 
 
 def held_out(doc_id: str):
@@ -146,10 +147,18 @@ def held_out(doc_id: str):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(True))
 
 
-def fitted(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Model:
-    """A model of labels.quality, from at most `most` rows, in the order of their ids."""
-    found = sorted((r.doc_id, r.text or "", r.quality) for r in learning_rows(docs, labels, most).toLocalIterator())
-    return fit([r[1] for r in found], [r[2] for r in found])
+def fitted(docs: DataFrame, labels: DataFrame, most: int = MOST, most_bytes: int = MOST_BYTES) -> Model:
+    """A model of labels.quality from at most `most` documents and most_bytes bytes, in the order of their ids."""
+    found = written(learning_rows(docs, labels, most))
+    sizes = found.select("turn", "doc_id", F.octet_length("text").alias("size")).collect()  # `most` rows of three numbers
+    ids, total = [], 0
+    for r in sorted(sizes):
+        total += r.size
+        if total <= most_bytes:
+            ids.append(r.doc_id)
+    chosen = docs.sparkSession.createDataFrame([(i,) for i in ids], "doc_id long")
+    texts = sorted((r.doc_id, r.text, r.quality) for r in found.join(F.broadcast(chosen), "doc_id").toLocalIterator())
+    return fit([r[1] for r in texts], [r[2] for r in texts])
 
 
 def accepted(docs: DataFrame, labels: DataFrame, most: int = MOST) -> DataFrame:

@@ -1,14 +1,17 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions only.
 
 Statistics of every whole text feed rules of the form "reject above a cutoff". Each
-rule has a fixed ladder of cutoffs, from harmless to strict, and each stratum (language)
-its own choice among them. On labelled holdouts, a cutoff's false rejections among the
-documents labelled good are tested against the limit with the exact binomial tail:
-P(Bin(n, limit) <= k) at most delta over the number of ladders (Bonferroni over strata
-and rules; within a ladder the fixed order of tests needs no further correction). With
-probability 1 - delta no chosen cutoff rejects more than the limit of its stratum's
-good documents. Among the cutoffs that pass, the one that best separates the labels is
-taken; where none passes or none helps, the rule is off in that stratum.
+rule has a fixed ladder of cutoffs, from harmless to strict, and each stratum (one of
+STRATA, or all other languages together) its own choice among them. Labelled documents
+are in two folds. On the first each rule gets the cutoff that best separates the labels,
+or none, and the rules an order, by how much they gain. On the second what counts is
+what a stratum loses altogether: the rules are added in that order, and after each the
+good documents that any of them rejects are tested against the limit with the exact
+binomial tail, P(Bin(n, limit) <= k) at most delta over the number of strata
+(Bonferroni). The first failure ends the sequence; such a fixed order of tests, set
+before the fold is looked at, needs no further correction. With probability 1 - delta no
+stratum loses more than the limit of its good documents to its rules. The base checks
+are given and stand outside of this bound.
 """
 
 from __future__ import annotations
@@ -106,33 +109,43 @@ def binomial_tail(k: Column, n: Column, limit: float) -> Column:
 
 
 def cutoffs(measured: DataFrame, labels: DataFrame, limit: float = LIMIT, delta: float = DELTA) -> DataFrame:
-    """stratum, rule, cutoff, n_good, false_rejections, p_value of the chosen cutoffs.
+    """stratum, rule, cutoff, step, n_good, false_rejections, p_value of the chosen cutoffs; the last three of the rules up to this one together.
 
-    Labelled holdouts are the rows whose crc32(doc_id) mod 3 is not 1; a document with
-    several labels has the least; labels other than 0 and 1 and null ids are left out.
+    Labelled holdouts are the rows whose crc32(doc_id) mod 3 is 0 (first fold) or 2
+    (second); a document with several labels has the least; labels other than 0 and 1 and
+    null ids are left out.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-    known = known.filter(F.col("quality").isin(0, 1) & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1))
-    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    known = known.withColumn("fold", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3).filter(F.col("quality").isin(0, 1) & (F.col("fold") != 1))
+    known = known.groupBy("doc_id", "fold").agg(F.min("quality").alias("quality"))
+    rows = stored(measured.join(known, "doc_id").select("stratum", "quality", "fold", *LADDERS))  # labelled documents only, numbers only
     size = len(next(iter(LADDERS.values())))
     # the first cutoff of the ladder that rejects, size if none does
     rung = lambda rule: sum((F.col(rule) <= c).cast("int") for c in LADDERS[rule])
-    rows = measured.join(known, "doc_id").select("stratum", "quality", F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), rung(r).alias("rung")) for r in LADDERS))).alias("x"))
-    counts = rows.groupBy("stratum", "x.rule").agg(
-        F.sum("quality").alias("n_good"),
-        F.sum(1 - F.col("quality")).alias("n_bad"),
+    first = rows.filter("fold = 0").select("stratum", "quality", F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), rung(r).alias("rung")) for r in LADDERS))).alias("x"))
+    counts = first.groupBy("stratum", "x.rule").agg(
+        F.greatest(F.sum("quality"), F.lit(1)).alias("n_good"),
+        F.greatest(F.sum(1 - F.col("quality")), F.lit(1)).alias("n_bad"),
         F.array(*(F.sum(F.when(F.col("x.rung") <= g, F.col("quality")).otherwise(0)) for g in range(size))).alias("good"),
         F.array(*(F.sum(F.when(F.col("x.rung") <= g, 1 - F.col("quality")).otherwise(0)) for g in range(size))).alias("bad"),
     )
-    ladders = counts.withColumn("tests", F.count("*").over(Window.partitionBy(F.lit(1))))  # strata times rules, 30 at most
-    tested = ladders.select("stratum", "rule", "n_good", "n_bad", "tests", F.posexplode(F.arrays_zip("good", "bad")).alias("rung", "x"))
-    tested = tested.select("stratum", "rule", "n_good", "rung", F.col("x.good").alias("k"), F.col("x.bad").alias("hits"), "n_bad", "tests", binomial_tail(F.col("x.good"), F.col("n_good"), limit).alias("p_value"))
-    passed = F.max("p_value").over(Window.partitionBy("stratum", "rule").orderBy("rung")) <= F.lit(delta) / F.col("tests")
-    gain = F.col("hits") / F.greatest("n_bad", F.lit(1)) - REGRET * F.col("k") / F.greatest("n_good", F.lit(1))
-    best = tested.withColumn("passed", passed).withColumn("gain", gain).filter("passed and gain > 0")
-    best = best.groupBy("stratum", "rule").agg(F.max_by(F.struct("rung", "n_good", "k", "p_value"), F.struct("gain", -F.col("rung"))).alias("x"))
+    steps = counts.select("stratum", "rule", "n_good", "n_bad", F.posexplode(F.arrays_zip("good", "bad")).alias("rung", "x"))
+    gain = F.col("x.bad") / F.col("n_bad") - REGRET * F.col("x.good") / F.col("n_good")
+    best = steps.withColumn("gain", gain).filter("gain > 0").groupBy("stratum", "rule").agg(F.max_by("rung", F.struct("gain", -F.col("rung"))).alias("rung"), F.max("gain").alias("gain"))
     values = F.create_map(*(x for r, steps in LADDERS.items() for x in (F.lit(r), F.array(*map(F.lit, steps)))))
-    return best.select("stratum", "rule", F.get(values[F.col("rule")], F.col("x.rung")).alias("cutoff"), F.col("x.n_good").alias("n_good"), F.col("x.k").alias("false_rejections"), F.col("x.p_value").alias("p_value"))
+    best = best.withColumn("cutoff", F.get(values[F.col("rule")], F.col("rung")))
+    best = best.withColumn("step", F.row_number().over(Window.partitionBy("stratum").orderBy(F.col("gain").desc(), "rule")))  # strata times rules, 30 at most
+    ordered = best.groupBy("stratum").agg(F.sort_array(F.collect_list(F.struct("step", "rule", "cutoff"))).alias("chosen"))
+    # the step of the first rule that rejects a document of the second fold
+    measures = F.create_map(*(x for r in LADDERS for x in (F.lit(r), F.col(r))))
+    hit = F.get(F.filter("chosen", lambda x: F.col("measures")[x["rule"]] > x["cutoff"]), F.lit(0))["step"]
+    second = rows.filter("fold = 2 and quality = 1").withColumn("measures", measures).join(F.broadcast(ordered), "stratum", "left").select("stratum", hit.alias("hit"))
+    lost = second.groupBy("stratum").agg(F.count("*").alias("n_good"), *(F.count(F.when(F.col("hit") <= i + 1, 1)).alias(f"k{i}") for i in range(len(LADDERS))))
+    lost = lost.withColumn("tests", F.count("*").over(Window.partitionBy(F.lit(1))))  # five strata at most
+    tested = best.join(lost, "stratum").withColumn("false_rejections", F.element_at(F.array(*(F.col(f"k{i}") for i in range(len(LADDERS)))), F.col("step")))
+    tested = tested.withColumn("p_value", binomial_tail(F.col("false_rejections"), F.col("n_good"), limit))
+    passed = F.max("p_value").over(Window.partitionBy("stratum").orderBy("step")) <= F.lit(delta) / F.col("tests")
+    return tested.withColumn("passed", passed).filter("passed").select("stratum", "rule", "cutoff", "step", "n_good", "false_rejections", "p_value")
 
 
 def judged(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, delta: float = DELTA) -> DataFrame:

@@ -4,9 +4,9 @@ The network reads every candidate whole, with CONTEXT characters on both sides,
 that overlap by WIDTH - 1; a filter's maximum is over all chunks. Each character is an id (letters without
 case) and two flags, upper case and inside the candidate; a convolution of WIDTH
 characters, the maximum over all places and a logistic unit give a margin. It is
-trained with Adam in numpy on labelled findings, its margins are calibrated by Platt
-scaling on findings kept apart, and the threshold is the largest one that keeps the
-recall asked for on those.
+trained with Adam in numpy on labelled findings. Two folds are kept apart: on one its
+margins are calibrated by Platt scaling, on the other the threshold is the largest one
+that keeps the recall asked for.
 """
 
 from __future__ import annotations
@@ -125,7 +125,7 @@ class Network:
 
 
 def trained(labelled: list[tuple[str, int, int, int]], recall: float = 0.98, epochs: int = 8, batch: int = 64, rate: float = 3e-3, seed: int = 5) -> Network:
-    """A network from labelled findings (text, start, end, 1 or 0); every fifth is kept apart for calibration."""
+    """A network from labelled findings (text, start, end, 1 or 0); of five, one is kept apart for calibration and one for the threshold."""
     random = np.random.default_rng(seed)
     wide = EMBEDDED + 2
     net = Network(
@@ -134,8 +134,8 @@ def trained(labelled: list[tuple[str, int, int, int]], recall: float = 0.98, epo
     )
     y = np.array([x[3] for x in labelled], dtype=np.float32)
     ids, flags, _ = windows([x[:3] for x in labelled])
-    apart = np.arange(len(y)) % 5 == 0
-    learn = np.flatnonzero(~apart)
+    fold = np.arange(len(y)) % 5
+    learn = np.flatnonzero(fold > 1)
     first, second, step = [np.zeros_like(p) for p in net.parts], [np.zeros_like(p) for p in net.parts], 0
     for _ in range(epochs):
         order = random.permutation(learn)
@@ -155,12 +155,13 @@ def trained(labelled: list[tuple[str, int, int, int]], recall: float = 0.98, epo
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    margin, truth = net.forward(ids[apart], flags[apart])[3], y[apart]
-    for _ in range(300):  # Platt scaling by gradient descent on two numbers
+    margin, truth = net.forward(ids[fold == 0], flags[fold == 0])[3], y[fold == 0]
+    for _ in range(300 * bool(len(truth))):  # Platt scaling by gradient descent on two numbers
         d = 1 / (1 + np.exp(-np.clip(net.slope * margin + net.offset, -30, 30))) - truth
         net.slope -= 0.05 * float((d * margin).mean())
         net.offset -= 0.05 * float(d.mean())
-    positive = np.sort(1 / (1 + np.exp(-np.clip(net.slope * margin + net.offset, -30, 30)))[truth > 0])
+    own = (fold == 1) & (y > 0)
+    positive = np.sort(1 / (1 + np.exp(-np.clip(net.slope * net.forward(ids[own], flags[own])[3] + net.offset, -30, 30)))) if own.any() else ()
     net.threshold = float(positive[int((1 - recall) * len(positive))]) if len(positive) else 0.5
     return net
 
