@@ -22,6 +22,8 @@ def test_near_duplicates_with_odd_rows(spark):
     assert sorted((r.doc_id, r.component_id, r.kept) for r in rows if r.doc_id is not None) == [(5, 5, True)] * 3 + [(7, 5, False), (9, 5, False)]
     assert [(r.component_id, r.kept) for r in rows if r.doc_id is None] == [(None, True)] * 2
     assert minhash.near_duplicates(cases.frame(spark, DOCS).limit(0), 4, 80).count() == 0
+    rows = minhash.near_duplicates(cases.frame(spark, [(1, "a b c d e f"), (2, "other text here again"), (5, "a b c d e f"), (5, "other text here again")]), 4, 80).collect()
+    assert {(r.doc_id, r.component_id) for r in rows} == {(1, 1), (2, 1), (5, 1)}
 
 
 def test_family_of_copies_is_one_component(spark):

@@ -423,7 +423,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     more = gathered(confirmed(gathered(apart.select("a", "b")), sets, percent))
     members = whole.select("doc_id", "set_id").join(classes.select("set_id", "id"), "set_id")
     # a document with several texts ties their classes together
-    ties = members.filter("doc_id <> id").join(classes.select(F.col("id").alias("doc_id")).distinct(), "doc_id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+    multiple = sent(whole.groupBy("doc_id").agg(F.min("set_id").alias("x"), F.max("set_id").alias("y")).filter("x <> y").select("doc_id"))
+    theirs = gathered(members.join(multiple, "doc_id", "left_semi").select("doc_id", "id").distinct())
+    ties = theirs.join(theirs.groupBy("doc_id").agg(F.min("id").alias("a")), "doc_id").filter("a <> id").select("a", F.col("id").alias("b"))
     more = gathered(more.union(ties))
     # components of components, over the links found since
     to = lambda side: parts.select(F.col("id").alias(side), F.col("component").alias(f"component_{side}"))

@@ -80,7 +80,7 @@ def merged_sketch(df: DataFrame, items_of: Callable, bits: int, heavy: int = HEA
 
     items_of(batches) yields ROWS arrays of hashes with one entry a document, and may
     yield a sample of fragments, rows of key and content, as one more: keys with `heavy`
-    contents or more are heavy.
+    contents or more, each counted once a sending, are heavy.
     """
     spark = df.sparkSession
 
@@ -117,12 +117,11 @@ def merged_sketch(df: DataFrame, items_of: Callable, bits: int, heavy: int = HEA
 
     def merge(batches):
         counts: dict[int, np.ndarray] = {}
-        told: dict[int, np.ndarray] = {}
+        told: dict[int, list[np.ndarray]] = {}
         for batch in batches:
             for block, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if block < 0:
-                    found = np.frombuffer(packed, dtype=np.uint64).reshape(-1, 2)
-                    told[block] = np.unique(np.concatenate([told.get(block, found), found]), axis=0)
+                    told.setdefault(block, []).append(np.frombuffer(packed, dtype=np.uint64)[::2])
                     continue
                 own = counts.get(block)
                 if own is None:
@@ -132,7 +131,7 @@ def merged_sketch(df: DataFrame, items_of: Callable, bits: int, heavy: int = HEA
                 own[found] = np.minimum(own[found] + np.uint8(1), 2)
                 own[again] = 2
         for block, found in told.items():
-            keys, number = np.unique(found[:, 0], return_counts=True)
+            keys, number = np.unique(np.concatenate(found), return_counts=True)  # a content counts once for each time it is sent
             if (number >= heavy).any():
                 yield pa.record_batch({"block": pa.array([block], pa.int32()), "bits": pa.array([keys[number >= heavy].tobytes()], pa.binary())})
         for block, own in counts.items():
