@@ -7,14 +7,12 @@ columns of documents (doc_id, text, lang, source, n_chars); n_chars follows the
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectorloom.llm import minhash, packing, quality_model, secret_scan, substring
+from vectorloom.llm.common import written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 SHINGLE, PERCENT, WINDOW, MASK, END_ID, CAPACITY = 5, 80, 13, "[secret]", 2, 1024
@@ -69,13 +67,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies STAGES to documents, writing each result into the shared checkpoint folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
+    """Applies STAGES to documents, writing each result into the shared checkpoint folder and reading it again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
-        if number + 1 < len(STAGES):
-            path = f"{folder}/pipeline-{uuid.uuid4().hex}"
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
+        docs = written(docs) if number + 1 < len(STAGES) else docs
     return docs
