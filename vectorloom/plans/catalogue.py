@@ -124,17 +124,15 @@ def alphabet_discovery(spark, d):
 
 @query(f"select round(entry, 3) as entry, count(*) as n from (select case when {snap_sql('r')} is not null then {snap_sql('r')} when abs(r) < 0.1 then 0.0 when abs(r - 0.5) < 0.1 then 0.5 when abs(r + 0.5) < 0.1 then -0.5 else r end entry from (select round(c, 6) r from {PAIRS})) group by 1")
 def snap_gram(spark, d):
-    entry = C.snapped_entry(F.round("cos", 6))
-    return gram.pair_cosines(table(spark, d, "embeddings")).select(F.round(entry, 3).alias("entry")).groupBy("entry").agg(F.count("*").alias("n"))
+    entry = C.snapped_entry(F.col("key") / 1_000_000)
+    return gram.millionths(table(spark, d, "embeddings")).select(F.round(entry, 3).alias("entry"), "n").groupBy("entry").agg(F.sum("n").alias("n"))
 
 
 @query(f"select label, count(*) as n_pairs, count(*) filter (w) as n_listed, bool_and(w) as all_listed from (select label, exists (select 1 from {ALPHABET} where abs(cos - c) <= 2e-3) w from (select round(c, 6) c, label from {PAIRS} p join embeddings e on e.vec_id = p.i)) group by label")
 def alphabet_whitelist(spark, d):
     e = table(spark, d, "embeddings")
     values = [r.cos for r in gram.alphabet(gram.histogram(e), e.count()).collect()]  # thirteen at most
-    pairs = gram.pair_cosines(e).select("i", gram.whitelisted(F.round("cos", 6), values).alias("w"))
-    by_row = pairs.groupBy("i").agg(F.count("*").alias("n"), F.sum(F.col("w").cast("long")).alias("k"))
-    both = by_row.join(e.select(F.col("vec_id").alias("i"), "label"), "i").groupBy("label").agg(F.sum("n").alias("n_pairs"), F.sum("k").alias("n_listed"))
+    both = gram.listed_by_row(e, values).join(e.select(F.col("vec_id").alias("i"), "label"), "i").groupBy("label").agg(F.sum("n").alias("n_pairs"), F.sum("k").alias("n_listed"))
     return both.select("label", "n_pairs", "n_listed", (F.col("n_pairs") == F.col("n_listed")).alias("all_listed"))
 
 
