@@ -222,3 +222,27 @@ def test_radix_groups_are_equal_windows():
         own = [(b, data[s : s + width].tobytes()) for s, b in zip(start.tolist(), bucket.tolist(), strict=True)]
         for i, g in enumerate(group.tolist()):
             assert [j for j in range(300) if own[j] == own[i]] == ([i] if g < 0 else np.flatnonzero(group == g).tolist())
+
+
+def test_sketch_that_is_exchanged(spark, monkeypatch):
+    """A prefilter too large to be broadcast: same spans, few windows that pass, also where shards, chunks and ids repeat."""
+    r = random.Random(12)
+    prose = lambda n: " ".join(f"w{r.randint(0, 5000)}" for _ in range(n))
+    line = prose(20)
+    docs = dict(DOCS) | {1000 + i: prose(60) + (" " + line + " " + prose(30) if i % 3 == 0 else "") for i in range(900)}
+    every = cases.frame(spark, docs, [(1003, docs[1003]), (1003, docs[1000]), (None, docs[1006])])
+    monkeypatch.setattr(repeats, "CHUNK", 20_000)
+    monkeypatch.setattr(repeats, "SHARD_BITS", 14)
+    sent = []
+    for module, window, limit in ((substring, 13, 2), (suffix, 50, 2), (suffix, 50, 10**9)):
+        made = module.matched
+        with monkeypatch.context() as m:
+            m.setattr(module, "heavy_limit", lambda *a, limit=limit: limit)
+            m.setattr(module, "matched", lambda f, *a, made=made: sent.append(f.filter("part is not null and doc_id >= 1000").agg({"windows": "sum"}).first()[0]) or made(f, *a))
+            found = [{r.doc_id: sorted((s.start, s.windows) for s in r.spans) for r in module.repeated_windows(every, window, bits).collect()} for bits in (29, 10)]
+        covered = [{k: sorted({i for a, n in own for i in range(a, a + n)}) for k, own in x.items()} for x in found]
+        assert covered[0] == covered[1] and len(covered[0]) > 250
+    # what a sketch of full size lets pass is hardly more than what is repeated
+    assert all(abs(a - b) < 0.1 * 900 * 90 * k for a, b, k in zip(sent[0::2], sent[1::2], (1, 5, 5), strict=True))
+    none = every.limit(0)
+    assert substring.repeated_windows(none, 13, 10).count() == suffix.repeated_windows(none, 50, 10).count() == 0

@@ -240,8 +240,8 @@ def runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def utf8(text: str | None) -> bytes:
-    return (text or "").encode("utf-8", "surrogatepass")
+def utf8(text: str | bytes | None) -> bytes:
+    return text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")
 
 
 def binary_column(column) -> tuple[np.ndarray, np.ndarray]:

@@ -5,9 +5,10 @@ window stands for it (of least and of greatest hash), so that a window's estimat
 least of its cells, asks both to be repeated. The sketch needs to tell only "once" from
 "twice or more": partitions send the cells that they touched (at most twice each),
 tasks merge them by block of cells, and what comes back is one bit a cell. Estimates
-are never below the true count: no repeated window is lost. The sketch grows with the input up to MOST_BITS (64 MB) a row, the proven bound of
-what is broadcast; beyond that more windows pass, and the exact stages that follow sort
-them out.
+are never below the true count: no repeated window is lost. The sketch grows with the
+input, about six cells an item. Up to MOST_BITS (64 MB) a row its bit maps are broadcast.
+A larger one stays where it was merged: each chunk of texts sends its cells to the shards
+of the sketch, and gets back those that are repeated (exchanged()).
 
 Fragments: neighbouring windows that may be repeated and share a minimiser are one row.
 Equal rows of a task are settled there, before the shuffle, so that copies of a
@@ -26,13 +27,16 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import mixed, runs_of, shared_windows, shuffles, written
+from vectorloom.llm.common import mixed, rows, runs_of, shared_windows, shuffles, written
 
 ROWS, BLOCK_BITS, MOST_BITS = 2, 16, 29
+#: Cells of a shard of a sketch that is not broadcast (a byte each while it is merged), and bytes of the texts that ask it together.
+SHARD_BITS, CHUNK = 24, 1_000_000
 #: Items that a task holds before it sends their cells.
 FLUSH = 3_000_000
 #: Bytes of fragments that are solved at a time.
@@ -51,7 +55,7 @@ def cells(items: np.ndarray, row: int, bits: int) -> np.ndarray:
     """The cell of each item (a mixed 64-bit hash) in a row of the sketch."""
     items = items & ~SPARE
     turned = items if row == 0 else (items << np.uint64(32) | items >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)
-    return (turned >> np.uint64(64 - bits)).astype(np.uint32)
+    return (turned >> np.uint64(64 - bits)).astype(np.uint32 if bits <= 32 else np.uint64)
 
 
 def once_a_text(items: np.ndarray, text: np.ndarray) -> np.ndarray:
@@ -59,9 +63,14 @@ def once_a_text(items: np.ndarray, text: np.ndarray) -> np.ndarray:
     return np.unique(items & ~SPARE | text.astype(np.uint64))
 
 
-def sketch_bits(items: float) -> int:
+def full_bits(items: float) -> int:
     """About six cells for each item that a row expects."""
-    return int(min(MOST_BITS, max(BLOCK_BITS, np.ceil(np.log2(6 * max(items, 1))))))
+    return int(max(BLOCK_BITS, np.ceil(np.log2(6 * max(items, 1)))))
+
+
+def sketch_bits(items: float) -> int:
+    """full_bits() of a sketch that is broadcast."""
+    return min(MOST_BITS, full_bits(items))
 
 
 class Maps(list):
@@ -75,6 +84,26 @@ def unpacked(packed: list[tuple[int, bytes]]) -> Maps:
     return Maps(pa.decompress(x, size, codec="zstd", asbytes=True) if x else x for size, x in packed)
 
 
+def at_most_twice(found: np.ndarray) -> np.ndarray:
+    """The values in order, none more than twice."""
+    found = np.sort(found)
+    third = np.concatenate([[False, False], found[2:] == found[:-2]])[: len(found)]
+    return found[~third]
+
+
+def reach(counts: np.ndarray, found: np.ndarray) -> None:
+    """Adds sorted cells to counts that stop at two."""
+    again = found[1:][found[1:] == found[:-1]]
+    counts[found] = np.minimum(counts[found] + np.uint8(1), 2)
+    counts[again] = 2
+
+
+def often(packed: list[bytes], least: int) -> np.ndarray:
+    """The keys of sampled fragments with so many contents; a content counts once for each time it is sent."""
+    keys, number = np.unique(np.concatenate([np.frombuffer(x, dtype=np.uint64)[::2] for x in packed]), return_counts=True)
+    return keys[number >= least]
+
+
 def merged_sketch(df: DataFrame, items_of: Callable, bits: int, heavy: int = HEAVY) -> Broadcast:
     """Bit maps (ROWS x 2^bits) of the cells that two or more documents reach, then the sorted heavy keys.
 
@@ -98,9 +127,7 @@ def merged_sketch(df: DataFrame, items_of: Callable, bits: int, heavy: int = HEA
     def sent(held):
         blocks, packed = [], []
         for row in range(ROWS):
-            found = np.sort(np.concatenate([cells(items[row], row, bits) for items in held]))
-            third = np.concatenate([[False, False], found[2:] == found[:-2]])[: len(found)]
-            found = found[~third]
+            found = at_most_twice(np.concatenate([cells(items[row], row, bits) for items in held]))
             number = found >> np.uint32(BLOCK_BITS)
             starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])[: len(found)])
             low = (found & np.uint32(2**BLOCK_BITS - 1)).astype("<u2")
@@ -117,23 +144,19 @@ def merged_sketch(df: DataFrame, items_of: Callable, bits: int, heavy: int = HEA
 
     def merge(batches):
         counts: dict[int, np.ndarray] = {}
-        told: dict[int, list[np.ndarray]] = {}
+        told: dict[int, list[bytes]] = {}
         for batch in batches:
             for block, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if block < 0:
-                    told.setdefault(block, []).append(np.frombuffer(packed, dtype=np.uint64)[::2])
+                    told.setdefault(block, []).append(packed)
                     continue
                 own = counts.get(block)
                 if own is None:
                     own = counts[block] = np.zeros(2**BLOCK_BITS, dtype=np.uint8)
-                found = np.frombuffer(packed, dtype="<u2")
-                again = found[1:][found[1:] == found[:-1]]
-                own[found] = np.minimum(own[found] + np.uint8(1), 2)
-                own[again] = 2
+                reach(own, np.frombuffer(packed, dtype="<u2"))
         for block, found in told.items():
-            keys, number = np.unique(np.concatenate(found), return_counts=True)  # a content counts once for each time it is sent
-            if (number >= heavy).any():
-                yield pa.record_batch({"block": pa.array([block], pa.int32()), "bits": pa.array([keys[number >= heavy].tobytes()], pa.binary())})
+            if len(keys := often(found, heavy)):
+                yield pa.record_batch({"block": pa.array([block], pa.int32()), "bits": pa.array([keys.tobytes()], pa.binary())})
         for block, own in counts.items():
             twice = np.packbits(own > 1)
             if twice.any():
@@ -159,12 +182,26 @@ def heavy_limit(spark, items: float) -> int:
 
 def heavy_of(keys: np.ndarray, maps: list[bytes]) -> np.ndarray:
     """Whether the keys are heavy."""
-    known = np.frombuffer(maps[ROWS], dtype=np.uint64)
-    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys if len(known) else np.zeros(len(keys), dtype=bool)
+    return within(keys, np.frombuffer(maps[ROWS], dtype=np.uint64))
+
+
+class Marks(list):
+    """The sorted repeated cells of a chunk for each row (None: not known, all pass), then the heavy keys as in Maps."""
 
+    def __init__(self, parts, bits: int) -> None:
+        super().__init__(parts)
+        self.bits = bits
 
-def estimated_repeated(items: np.ndarray, maps: list[bytes], row: int) -> np.ndarray:
+
+def within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether the values are among the sorted known ones."""
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values if len(known) else np.zeros(len(values), dtype=bool)
+
+
+def estimated_repeated(items: np.ndarray, maps: list, row: int) -> np.ndarray:
     """Whether the items' cells in a row were reached twice or more."""
+    if isinstance(maps, Marks):
+        return within(cells(items, row, maps.bits).astype(np.uint64), maps[row]) if maps[row] is not None else np.ones(len(items), dtype=bool)
     bits = np.frombuffer(maps[row], dtype=np.uint8)
     cell = cells(items, row, (len(bits) * 8).bit_length() - 1)
     return (bits[cell >> np.uint32(3)] >> (np.uint8(7) - (cell & np.uint32(7)).astype(np.uint8)) & np.uint8(1)).astype(bool)
@@ -227,6 +264,119 @@ def one_by_one(keys: np.ndarray, low: np.ndarray, high: np.ndarray, number: np.n
 FRAGMENTS = "key long, doc_id long, at int, windows int, part binary"
 
 
+def exchanged(texts: DataFrame, groups_of: Callable, items_of: Callable, fragments_of: Callable, bits: int, heavy: int) -> DataFrame:
+    """FRAGMENTS by a sketch of any size, whose shards are counted in tasks and sent to no one.
+
+    groups_of(batches) yields lists of (doc_id, bytes); items_of(groups) as for merged_sketch();
+    fragments_of(pairs of group and maps) yields batches of FRAGMENTS. A chunk is named by
+    what it holds: one that a task which runs again puts together in another way finds no
+    marks, and all its windows pass.
+    """
+    spark, shard_bits, size = texts.sparkSession, min(SHARD_BITS, bits), CHUNK
+    key_bits = 6 + max(0, bits - MOST_BITS)
+
+    def chunks(batches):
+        held, total = [], 0
+        for group in groups_of(batches):
+            held.append(group)
+            total += sum(len(text) for _, text in group)
+            if total >= size:
+                yield name(held), held
+                held, total = [], 0
+        if held:
+            yield name(held), held
+
+    def name(held):
+        digest = xxhash.xxh3_128()
+        for group in held:
+            for doc_id, text in group:
+                digest.update(np.array([doc_id, len(text)], dtype="<i8").tobytes())
+                digest.update(text)
+        return digest.digest()
+
+    def asked(batches):
+        for chunk, held in chunks(batches):
+            found, shards, packed = list(items_of(held)), [], []
+            for row in range(ROWS):
+                own = at_most_twice(np.concatenate([cells(items[row], row, bits) for items in found]).astype(np.uint64))
+                number = own >> np.uint64(shard_bits)
+                starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])[: len(own)])
+                low = (own & np.uint64(2**shard_bits - 1)).astype("<u4")
+                for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(own)], strict=len(own) > 0):
+                    shards.append(row << 56 | int(number[a]))
+                    packed.append(low[a:b].tobytes())
+            told = np.unique(np.concatenate([items[ROWS] for items in found]), axis=0)  # sorted by key
+            number = told[:, 0] >> np.uint64(64 - key_bits)
+            starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])[: len(told)])
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(told)], strict=len(told) > 0):
+                shards.append(-1 - int(number[a]))
+                packed.append(told[a:b].tobytes())
+            yield made(shards, [chunk] * len(shards), packed)
+
+    def made(shards, names, packed):
+        return pa.record_batch({"shard": pa.array(shards, pa.int64()), "chunk": pa.array(names, pa.binary()), "cells": pa.array(packed, pa.binary())})
+
+    def answered(batches):
+        held = []
+        for row in rows(batches, "shard", "chunk", "cells"):
+            if held and row[0] != held[0][0]:
+                yield from answer(held)
+                held = []
+            held.append(row)
+        if held:
+            yield from answer(held)
+
+    def answer(held):
+        """To each chunk those of its cells that are repeated (none, too, is an answer); of sampled fragments the heavy keys."""
+        shard = held[0][0]
+        if shard < 0:
+            if len(keys := often([packed for _, _, packed in held], heavy)):
+                yield made([shard], [b""], [keys.tobytes()])
+            return
+        counts = np.zeros(2**shard_bits, dtype=np.uint8)
+        for _, _, packed in held:
+            reach(counts, np.frombuffer(packed, dtype="<u4"))
+        for at in range(0, len(held), 1000):
+            part = held[at : at + 1000]
+            own = [np.unique(np.frombuffer(packed, dtype="<u4")) for _, _, packed in part]
+            yield made([shard] * len(part), [chunk for _, chunk, _ in part], [x[counts[x] > 1].tobytes() for x in own])
+
+    def texts_of(batches):
+        """A chunk's ids and sizes, and its texts, compressed."""
+        for chunk, held in chunks(batches):
+            every = [pair for group in held for pair in group]
+            whole = b"".join(text for _, text in every)
+            places = np.array([[doc_id, len(text)] for doc_id, text in every], dtype="<i8")
+            yield pa.record_batch({"chunk": pa.array([chunk], pa.binary()), "shard": pa.array([-1], pa.int64()), "cells": pa.array([pa.compress(whole, codec="zstd", asbytes=True) if whole else b""], pa.binary()), "places": pa.array([places.tobytes()], pa.binary())})
+
+    def marked(batches):
+        """The groups of each chunk with its marks, which come before its texts."""
+        name, known = None, [[], []]
+        for chunk, shard, packed, places in rows(batches, "chunk", "shard", "cells", "places"):
+            if chunk != name:
+                name, known = chunk, [[] for _ in range(ROWS)]
+            if shard >= 0:
+                number = np.uint64((shard & (2**56 - 1)) << shard_bits)
+                known[shard >> 56].append(np.frombuffer(packed, dtype="<u4").astype(np.uint64) | number)
+                continue
+            marks = Marks([*(np.sort(np.concatenate(x)) if x else None for x in known), keys.value], bits)
+            where = np.frombuffer(places, dtype="<i8").reshape(-1, 2)
+            ends = np.cumsum(where[:, 1])
+            whole = pa.decompress(packed, int(ends[-1]), codec="zstd", asbytes=True) if packed else b""
+            own = [(int(d), whole[end - n : end]) for (d, n), end in zip(where.tolist(), ends.tolist(), strict=True)]
+            for group in groups_of([pa.record_batch({"doc_id": pa.array([d for d, _ in own], pa.int64()), "text": pa.array([t for _, t in own], pa.binary())})]):
+                yield group, marks
+
+    schema = "shard long, chunk binary, cells binary"
+    marks = written(texts.mapInArrow(asked, schema).repartition(shuffles(spark), "shard").sortWithinPartitions("shard").mapInArrow(answered, schema))
+    # as many keys as heavy_limit() says
+    found = [np.frombuffer(r.cells, dtype=np.uint64) for r in marks.filter("shard < 0").toLocalIterator()]
+    keys = spark.sparkContext.broadcast(np.sort(np.concatenate([np.empty(0, np.uint64), *found])).tobytes())
+    both = texts.mapInArrow(texts_of, "chunk binary, shard long, cells binary, places binary").unionByName(marks.filter("shard >= 0"), allowMissingColumns=True)
+    dealt = both.repartition(shuffles(spark), "chunk").sortWithinPartitions("chunk", F.col("shard").desc())
+    return dealt.mapInArrow(lambda batches: fragments_of(marked(batches)), FRAGMENTS)
+
+
 def parts_of(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Array:
     """values[low:high] of each pair, as bytes."""
     size = high - low

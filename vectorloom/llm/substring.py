@@ -16,16 +16,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectorloom.llm.common import BASES, binary_column, gram_hashes, grouped_words, groups, narrow, new_seed, replaced, rows, slices, utf8
-from vectorloom.llm.repeats import FRAGMENTS, Settled, heavy_limit, heavy_of, matched, merged_sketch, one_by_one, parts_of, pieces, repeated_runs, sketch_bits, spans_by_document, spans_of_flags, window_items
+from vectorloom.llm.repeats import FRAGMENTS, MOST_BITS, Settled, exchanged, full_bits, heavy_limit, heavy_of, matched, merged_sketch, one_by_one, parts_of, pieces, repeated_runs, spans_by_document, spans_of_flags, window_items
 
 GRAM = 7
 
 
-def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
+def repeated_windows(docs: DataFrame, window: int = 13, most_bits: int = MOST_BITS) -> DataFrame:
     """doc_id, spans: windows (start, number of windows) of each document that also start in a document with a smaller id.
 
     Documents without such windows have no row. Null texts have no words; rows with a
-    null doc_id are in no order and take no part.
+    null doc_id are in no order and take no part. A prefilter of more than 2^most_bits
+    cells a row is exchanged, not broadcast; the result is the same.
     """
     texts = narrow(docs, doc_id="long", text="string").filter("doc_id is not null")
     gram, seeds = min(GRAM, window), (new_seed(), new_seed())
@@ -34,26 +35,24 @@ def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
     def texts_of(batches):
         return groups(((doc_id, utf8(text)) for doc_id, text in rows(batches, "doc_id", "text")), 250_000)
 
-    def items(batches):
-        for group in texts_of(batches):
+    def items(found):
+        for group in found:
             (hashes,), bounds = grouped_words([text for _, text in group], seeds[:1])
             yield window_items(gram_hashes(hashes, gram), bounds, window, gram)
 
-    maps = merged_sketch(texts, items, sketch_bits(length / 24), heavy_limit(docs.sparkSession, length / 24))
-
-    def fragments(batches):
+    def fragments(found):
         """Windows with one minimiser: its hash, and the hashes of the windows."""
         settled = Settled()
-        for group in texts_of(batches):
+        for group, maps in found:
             (hashes, others), bounds = grouped_words([text for _, text in group], seeds)
             grams = gram_hashes(hashes, gram)
-            at, low, high, number = pieces(grams, bounds, window, gram, repeated_runs(grams, bounds, window, gram, maps.value))
+            at, low, high, number = pieces(grams, bounds, window, gram, repeated_runs(grams, bounds, window, gram, maps))
             if not len(at):
                 continue
             own = gram_hashes(others, window, BASES[1])
             ids = np.array([doc_id for doc_id, _ in group], dtype=np.int64)
             keys, one = grams[at], gram_hashes(hashes, window)
-            keys, low, high, number = one_by_one(keys, low, high, number, heavy_of(keys, maps.value), lambda windows, one=one: one[windows])
+            keys, low, high, number = one_by_one(keys, low, high, number, heavy_of(keys, maps), lambda windows, one=one: one[windows])
             if settled.add(keys.view(np.int64), ids[number], low - bounds[number], high - low, parts_of(own, low, high)):
                 yield from settled.batches()
         yield from settled.batches()
@@ -80,7 +79,13 @@ def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
             own = [key.to_bytes(8, "little", signed=True) + part[i : i + 8] for i in range(0, len(part), 8)]
             yield pa.record_batch({"window": pa.array(own, pa.binary()), "doc_id": np.full(len(own), doc_id, np.int64), "at": np.arange(at, at + len(own), dtype=np.int32)})
 
-    return spans_by_document(matched(texts.mapInArrow(fragments, FRAGMENTS), spans_of, windows_of))
+    bits, heavy = full_bits(length / 24), heavy_limit(docs.sparkSession, length / 24)
+    if bits > most_bits:
+        found = exchanged(texts, texts_of, items, fragments, bits, heavy)
+    else:
+        maps = merged_sketch(texts, lambda batches: items(texts_of(batches)), bits, heavy)
+        found = texts.mapInArrow(lambda batches: fragments((group, maps.value) for group in texts_of(batches)), FRAGMENTS)
+    return spans_by_document(matched(found, spans_of, windows_of))
 
 
 def removed(n: int, spans: list | None, window: int) -> np.ndarray:

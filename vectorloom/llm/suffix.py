@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectorloom.llm.common import BYTE_VALUES, binary_column, gram_hashes, groups, narrow, rows, runs_of, utf8
-from vectorloom.llm.repeats import FRAGMENTS, Settled, heavy_limit, heavy_of, matched, merged_sketch, one_by_one, parts_of, pieces, repeated_runs, sketch_bits, spans_by_document, spans_of_flags, window_items
+from vectorloom.llm.repeats import FRAGMENTS, MOST_BITS, Settled, exchanged, full_bits, heavy_limit, heavy_of, matched, merged_sketch, one_by_one, parts_of, pieces, repeated_runs, spans_by_document, spans_of_flags, window_items
 from vectorloom.llm.substring import removed
 
 GRAM, DIGIT = 16, 8
@@ -59,11 +59,12 @@ def groups_by_radix(data: np.ndarray, start: np.ndarray, width: int, bucket: np.
     return group
 
 
-def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
+def repeated_windows(docs: DataFrame, window: int = 50, most_bits: int = MOST_BITS) -> DataFrame:
     """doc_id, spans: windows (start, number of windows) of UTF-8 bytes that also start in a document with a smaller id.
 
     Null texts are empty; rows with a null doc_id take no part; documents without such
-    windows have no row.
+    windows have no row. A prefilter of more than 2^most_bits cells a row is exchanged, not
+    broadcast; the result is the same.
     """
     texts = narrow(docs, doc_id="long", text="string").filter("doc_id is not null")
     length = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -72,27 +73,24 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
     def texts_of(batches):
         return groups(((doc_id, utf8(text)) for doc_id, text in rows(batches, "doc_id", "text")), 100_000)
 
-    def items(batches):
-        for group in texts_of(batches):
+    def items(found):
+        for group in found:
             _, grams, bounds = grouped_bytes([text for _, text in group], gram)
             yield window_items(grams, bounds, window, gram)
 
-    expected = 2.5 * length / (window - gram + 2)
-    maps = merged_sketch(texts, items, sketch_bits(expected), heavy_limit(docs.sparkSession, expected))
-
     def window_hashes(data, windows):
         return gram_hashes(BYTE_VALUES[np.frombuffer(data, dtype=np.uint8)], window)[windows]
 
-    def buckets(batches):
+    def buckets(found):
         settled = Settled()
-        for group in texts_of(batches):
+        for group, maps in found:
             data, grams, bounds = grouped_bytes([text for _, text in group], gram)
-            at, low, high, number = pieces(grams, bounds, window, gram, repeated_runs(grams, bounds, window, gram, maps.value))
+            at, low, high, number = pieces(grams, bounds, window, gram, repeated_runs(grams, bounds, window, gram, maps))
             if not len(at):
                 continue
             ids = np.array([doc_id for doc_id, _ in group], dtype=np.int64)
             keys = grams[at]
-            keys, low, high, number = one_by_one(keys, low, high, number, heavy_of(keys, maps.value), lambda windows, data=data: window_hashes(data, windows))
+            keys, low, high, number = one_by_one(keys, low, high, number, heavy_of(keys, maps), lambda windows, data=data: window_hashes(data, windows))
             part = parts_of(np.frombuffer(data, dtype=np.uint8), low, high + window - 1)
             # a bucket's number needs no more than 32 bits: the digits tell its windows apart
             if settled.add((keys >> np.uint64(32)).view(np.int64), ids[number], low - bounds[number], high - low, part):
@@ -129,7 +127,14 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
             own = [part[i : i + window] for i in range(len(part) - window + 1)]
             yield pa.record_batch({"window": pa.array(own, pa.binary()), "doc_id": np.full(len(own), doc_id, np.int64), "at": np.arange(at, at + len(own), dtype=np.int32)})
 
-    return spans_by_document(matched(texts.mapInArrow(buckets, FRAGMENTS), spans_of, windows_of))
+    expected = 2.5 * length / (window - gram + 2)
+    bits, heavy = full_bits(expected), heavy_limit(docs.sparkSession, expected)
+    if bits > most_bits:
+        found = exchanged(texts, texts_of, items, buckets, bits, heavy)
+    else:
+        maps = merged_sketch(texts, lambda batches: items(texts_of(batches)), bits, heavy)
+        found = texts.mapInArrow(lambda batches: buckets((group, maps.value) for group in texts_of(batches)), FRAGMENTS)
+    return spans_by_document(matched(found, spans_of, windows_of))
 
 
 def kept_bytes(docs: DataFrame, window: int = 50) -> DataFrame:
