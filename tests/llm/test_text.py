@@ -1,6 +1,7 @@
 import random
 import re
 import struct
+import textwrap
 import zlib
 
 import numpy as np
@@ -122,10 +123,10 @@ def brute_licenses(text):
     places = sorted((i, label) for p, label in licenses.PHRASES.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split())
     labels, score = {x for _, x in places}, 1.0 if places else 0.0
     base = ",".join(sorted(labels))
-    for line in (text or "").split("\n"):
-        own = {w for w in re.split(licenses.BETWEEN, line.lower()) if w}
-        for label, wording in licenses.TEMPLATES:
-            template = set(licenses.template_words(wording))
+    templates = [(label, set(licenses.template_words(wording))) for label, wording in licenses.TEMPLATES]
+    for i in range(len(words)):
+        own = set(words[i : i + licenses.SPAN])
+        for label, template in templates:
             if 100 * len(template & own) >= licenses.PERCENT * len(template):
                 labels.add(label)
                 score = max(score, len(template & own) / len(template))
@@ -137,13 +138,20 @@ def test_licenses_match_brute_force(spark):
         200: "cc by nc cc by nc", 201: "  Under THE mit License x", 202: "é cc-by-nc é", 203: "cc by nc\ncc BY", 204: "This work licensed under the GNU General Public License 3",
         205: "ccby nc under the mit licenses", 206: "x\nPermission is granted free of charge to any person obtaining a copy of this software and associated documentation files\ny", 207: "Apache License, Version 2.0. under the mit license",
     }
+    docs |= {400 + i: textwrap.fill(f"{'word ' * (i % 7)}{wording}", 72).replace("\n", "\n * ") for i, (_, wording) in enumerate(licenses.TEMPLATES)}
+    docs |= {500 + i: wording[: len(wording) // 2] + " filler" * (i + 2) + wording[len(wording) // 2 :] + " x" * 40 + wording.upper() for i, (_, wording) in enumerate(licenses.TEMPLATES)}
+    docs |= {600: " the" * 3000 + " of this" * 300, 601: "wor\u212a " + licenses.TEMPLATES[1][1].replace("k", "\u212a")}
     docs |= {300 + i: re.sub(r" \w+", lambda m, i=i: "" if hash((m.start(), i)) % 5 == 0 else m.group(), wording) for i, (_, wording) in enumerate(licenses.TEMPLATES)}
     rows = licenses.scan(cases.frame(spark, docs)).collect()
     assert len(rows) == len(docs)
     for r in rows:
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) == brute_licenses(docs[r.doc_id]), r.doc_id
+    by_id = {r.doc_id: r.labels.split(",") for r in rows}
+    assert all(label in by_id[400 + i] for i, (label, _) in enumerate(licenses.TEMPLATES))  # wrapped at 72 columns
     assert licenses.scan(cases.frame(spark, docs).limit(0)).count() == 0
     assert licenses.scan(cases.frame(spark, [(None, "cc by nc"), (1, "a"), (1, "a")])).count() == 3
+    mit = "Released under the\nMIT License."
+    assert sorted((r.doc_id or 0, r.labels) for r in licenses.scan(cases.frame(spark, [(None, mit), (1, mit), (1, "a")])).collect()) == [(0, "mit"), (1, ""), (1, "mit")]
 
 
 def test_rule_statistics_match_brute_force(spark):
@@ -243,6 +251,8 @@ def test_secrets_match_the_rules(spark):
             assert ("[x]" in r.masked_text) == bool(own)
     assert secret_scan.findings(cases.frame(spark, docs).limit(0)).count() == 0
     assert secret_scan.findings(cases.frame(spark, [(None, "token=abcdefgh"), (1, "a"), (1, "a")])).count() == 3
+    mit = "Released under the\nMIT License."
+    assert sorted((r.doc_id or 0, r.labels) for r in licenses.scan(cases.frame(spark, [(None, mit), (1, mit), (1, "a")])).collect()) == [(0, "mit"), (1, ""), (1, "mit")]
 
 
 def test_network_finds_held_out_secrets():

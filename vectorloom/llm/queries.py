@@ -90,18 +90,19 @@ def _licenses_sql() -> str:
     phrases = ", ".join(f"({p.split()!r}, '{label}')" for p, label in licenses.PHRASES.items())
     templates = ", ".join(f"('{label}', {licenses.template_words(w)!r})" for label, w in licenses.TEMPLATES)
     return f"""
-with d as (select doc_id, coalesce(text, '') t, {split.format(LOWER)} w from documents),
+with d as (select row_number() over () r, doc_id, {split.format(LOWER)} w from documents),
 p as (select * from (values {phrases}) p(words, label)),
-places as (select doc_id, i - 1 as pos, label from d, p, unnest(range(1, len(w) + 1)) r(i) where w[i] = words[1] and w[i:i + len(words) - 1] = words),
-base as (select doc_id, count(*) n, min(pos) a, max(pos) b from places group by doc_id),
-t as (select * from (values {templates}) t(label, words)),
-lines as (select doc_id, list_distinct({split.format("lower(line)")}) w from (select doc_id, unnest(string_split(t, chr(10))) line from d)),
-found as (select doc_id, label, len(list_intersect(w, words)) / len(words) c from lines, t where 100 * len(list_intersect(w, words)) >= {licenses.PERCENT} * len(words)),
-l as (select doc_id, string_agg(label, ',' order by label) s from (select distinct doc_id, label from (select doc_id, label from places union all select doc_id, label from found)) group by doc_id),
-b as (select doc_id, string_agg(label, ',' order by label) s from (select distinct doc_id, label from places) group by doc_id)
+places as (select r, i - 1 as pos, label from d, p, unnest(range(1, len(w) + 1)) u(i) where w[i] = words[1] and w[i:i + len(words) - 1] = words),
+base as (select r, count(*) n, min(pos) a, max(pos) b from places group by r),
+t as (select k, label, len(words) m, unnest(words) word from (select row_number() over () k, * from (values {templates}) t(label, words))),
+x as (select r, unnest(w) word, unnest(range(1, len(w) + 1)) pos from d),
+runs as (select r, label, m, count(distinct word) over (partition by r, k order by pos range between current row and {licenses.SPAN - 1} following) c from x join t using (word)),
+found as (select r, label, max(c / m) c from runs where 100 * c >= {licenses.PERCENT} * m group by r, label),
+l as (select r, string_agg(label, ',' order by label) s from (select r, label from places union select r, label from found) group by r),
+b as (select r, string_agg(label, ',' order by label) s from (select distinct r, label from places) group by r)
 select doc_id, len(w) as n_words, coalesce(base.n, 0) as n_base, a as first_word, b as last_word, coalesce(b.s, '') as base_labels, coalesce(l.s, '') as labels,
- greatest(case when base.n > 0 then 1.0::double else 0.0::double end, coalesce((select max(c) from found where found.doc_id = d.doc_id), 0.0::double)) as score
-from d left join base using (doc_id) left join l using (doc_id) left join b using (doc_id)"""
+ greatest(case when base.n > 0 then 1.0::double else 0.0::double end, coalesce((select max(c) from found where found.r = d.r), 0.0::double)) as score
+from d left join base using (r) left join l using (r) left join b using (r)"""
 
 
 ORACLES: dict[str, str] = {
