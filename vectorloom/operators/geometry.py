@@ -80,6 +80,16 @@ def sample_states(embeddings: DataFrame, dim: int = 3) -> DataFrame:
     return own.mapInPandas(made, "state long, m int, gram array<double>, partial array<double>")
 
 
+def pair_states(vectors: DataFrame) -> DataFrame:
+    """state, gram (flat), m, partial: each vector and the label's next as two spheres, and the first cosine of the one after them."""
+    every = W.partitionBy("label").orderBy("vec_id")
+    u = F.col("embedding").cast("array<double>")
+    own = vectors.filter("embedding is not null").select(F.col("vec_id").alias("state"), u.alias("u"), F.lead(u, 1).over(every).alias("v"), F.lead(u, 2).over(every).alias("w")).filter("w is not null")
+    cosine = lambda x, y: F.round(F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda t, z: t + z), 6)
+    one = F.lit(1.0)
+    return own.select("state", F.lit(2).alias("m"), cosine("u", "v").alias("c"), cosine("u", "w").alias("a")).select("state", "m", F.array(one, F.col("c"), F.col("c"), one).alias("gram"), F.array("a").alias("partial"))
+
+
 def legal_actions(states: DataFrame, cosines: list[float], dim: int = 3, bound: int = 75) -> DataFrame:
     """state, action, cos, valid: the legality of each action, tested on whole batches of states."""
     values = np.array(cosines)

@@ -26,9 +26,9 @@ def expanded(states: DataFrame, edge: DataFrame, actions: DataFrame) -> DataFram
 
 
 def policy(edge: DataFrame, temperature: float) -> DataFrame:
-    """s, a, p: visits to the power 1/temperature, as shares of the state's."""
+    """p beside the edge's columns: visits to the power 1/temperature, as shares of the state's."""
     weight = F.pow(F.col("n").cast("double"), F.lit(1 / temperature))
-    return edge.select("s", "a", "n", (weight / F.sum(weight).over(W.partitionBy("s"))).alias("p"))
+    return edge.withColumn("p", weight / F.sum(weight).over(W.partitionBy("s")))
 
 
 def greedy(edge: DataFrame) -> DataFrame:

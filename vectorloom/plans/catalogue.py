@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vectorloom.functions import columns as C
 from vectorloom.operators import episodes, geometry, gram, learn, search, selfplay, simulate
-from vectorloom.sources.tables import checkpoint_names, table
+from vectorloom.sources.tables import append_metrics_of, append_replay, checkpoint_names, new_store, read_replay, read_store, table
 
 #: The event types, in the order of their action numbers.
 ACTIONS = ("click", "error", "purchase", "signup", "view")
@@ -274,7 +274,7 @@ def weighted_meter(spark, d):
 
 @query(f"with x as (select s, a, n / sum(n) over (partition by s) p, q / 100 z from {E}), y as (select s, a, p, z, z - ln(sum(exp(z)) over (partition by s)) lp from x) select round(avg(ce), 6) as cross_entropy, round(avg(se), 6) as squared_error from (select s, -sum(p * lp) ce, power(sum(p * z) - 0.2, 2) se from y group by s)")
 def loss_ce_mse(spark, d):
-    edge = search.policy(search.edges(trace(spark, d)), 1.0).join(search.edges(trace(spark, d)).select("s", "a", "q"), ["s", "a"])
+    edge = search.policy(search.edges(trace(spark, d)), 1.0)
     return learn.losses(edge.select("s", "p", (F.col("q") / 100).alias("z")), 0.2).select(F.round("cross_entropy", 6).alias("cross_entropy"), F.round("squared_error", 6).alias("squared_error"))
 
 
@@ -318,6 +318,36 @@ def sphere_finalisation(spark, d):
     return geometry.legal_actions(geometry.sample_states(table(spark, d, "embeddings")), [-1.0, -0.5, 0.0, 0.5])
 
 
+TRIPLES = (
+    "(select vec_id, round(list_inner_product(u, v), 6) c, round(list_inner_product(u, w), 6) a from (select vec_id, embedding::double[] u, lead(embedding::double[], 1) over k v, lead(embedding::double[], 2) over k w"
+    " from embeddings window k as (partition by label order by vec_id)) where w is not null)"
+)
+
+
+@query(f"select vec_id as state, cast(action as int) as action, b as cos, 1.0000001 * 1.0000001 - c * c > 0 and power(1.0000001, 3) + 2 * a * b * c - 1.0000001 * (a * a + b * b + c * c) > 0 as valid from {TRIPLES}, (values (0, -1.0::double), (1, -0.5::double), (2, 0.0::double), (3, 0.5::double)) t(action, b)")
+def legality_of_third_sphere(spark, d):
+    """Legal last cosines of a third sphere, for every three consecutive vectors of a label."""
+    return geometry.legal_actions(geometry.pair_states(table(spark, d, "embeddings")), [-1.0, -0.5, 0.0, 0.5]).select("state", "action", "cos", "valid")
+
+
+@query("select event_id as step, cast(dayofmonth(ts) as int) as iter, value as m from events where dayofmonth(ts) > (select max(dayofmonth(ts)) from events) - 20")
+def replay_round_trip(spark, d):
+    """The last 20 iterations of a replay store that all steps were written to."""
+    every, path = steps(spark, d), new_store(spark, "replay")
+    append_replay(every.select("iter", "step", "m"), path)
+    last = every.agg(F.max("iter").alias("iter")).first().iter
+    return read_replay(spark, path, 20, last or 0).select("step", "iter", "m")
+
+
+@query("select cast(dayofmonth(ts) as int) as iter, unnest(['best', 'mean', 'steps']) as name, round(unnest([max(value), avg(value), count(*)::double]), 6) as value from events group by 1")
+def metrics_round_trip(spark, d):
+    """Metrics of every iteration, from a store that they were written to."""
+    each = steps(spark, d).groupBy("iter").agg(F.max("m").alias("best"), F.avg("m").alias("mean"), F.count("*").cast("double").alias("steps"))
+    path = new_store(spark, "metrics")
+    append_metrics_of(each, path)
+    return read_store(spark, path).select("iter", "name", F.round("value", 6).alias("value"))
+
+
 @query()
 def greedy_packing(spark, d):
     return simulate.packed_spheres(spark, 3, rounds=4, most=14)

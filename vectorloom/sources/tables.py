@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +18,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def new_store(spark: SparkSession, name: str) -> str:
+    """A path of its own in the session's shared folder; only where there is none (local tests) in a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp()
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.parquet(path)
@@ -39,6 +48,13 @@ def append_metrics(spark: SparkSession, path: str, iteration: int, **values: flo
     spark.createDataFrame(rows, "iter int, name string, value double").coalesce(1).write.mode("append").parquet(path)
 
 
+def append_metrics_of(iterations: DataFrame, path: str) -> None:
+    """Adds the columns of (iter, ...) as metrics: one row an iteration and column."""
+    names = sorted(c for c in iterations.columns if c != "iter")
+    rows = F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in names))).alias("x")
+    iterations.select(F.col("iter").cast("int").alias("iter"), rows).select("iter", "x.name", "x.value").write.mode("append").parquet(path)
+
+
 def checkpoint_names(iteration: Column, improved: Column, every: int = 10) -> Column:
     """Names of the checkpoints written after an iteration: temp always, best_ever on improvement, a numbered one every ten."""
     numbered = F.when(iteration % every == 0, F.concat(F.lit("checkpoint_"), iteration.cast("string")))
