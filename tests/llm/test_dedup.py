@@ -246,3 +246,17 @@ def test_sketch_that_is_exchanged(spark, monkeypatch):
     assert all(abs(a - b) < 0.1 * 900 * 90 * k for a, b, k in zip(sent[0::2], sent[1::2], (1, 5, 5), strict=True))
     none = every.limit(0)
     assert substring.repeated_windows(none, 13, 10).count() == suffix.repeated_windows(none, 50, 10).count() == 0
+
+
+def test_words_that_repeat_on_and_on_are_few_rows(spark, monkeypatch):
+    """Every place of an equal fragment in a document is in one row; also where its key outgrows a slice."""
+    docs = {i: f"start{i} " + "is one " * (150 + i) + f"end{i} " + "or two three " * 40 for i in range(24)}
+    for module in (substring, suffix):
+        sent, made = [], module.matched
+        with monkeypatch.context() as m:
+            m.setattr(module, "matched", lambda f, *a, sent=sent, made=made: sent.append(f.filter("part is not null").groupBy("key", "doc_id").count().agg({"count": "max"}).first()[0]) or made(f, *a))
+            check_words(spark, docs, 13) if module is substring else check_bytes(spark, docs, 50)
+        assert sent[0] <= 8
+    monkeypatch.setattr(repeats, "SLICE", 200)
+    check_words(spark, docs, 13)
+    check_bytes(spark, docs, 50)

@@ -13,7 +13,7 @@ of the sketch, and gets back those that are repeated (exchanged()).
 Fragments: neighbouring windows that may be repeated and share a minimiser are one row.
 Equal rows of a task are settled there, before the shuffle, so that copies of a
 passage, however many, cost one row a task: all but those of the smallest document are
-removed. The others go on to the exact grouping of their windows, dealt by minimiser.
+removed, and its places, as in text that repeats a few words on and on, are one row. The others go on to the exact grouping of their windows, dealt by minimiser.
 
 Heavy keys: the first pass also sends a sample of fragments, by content, so that the
 minimisers with many different ones around them (a line that is everywhere) are known
@@ -32,7 +32,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import mixed, rows, runs_of, shared_windows, shuffles, written
+from vectorloom.llm.common import binary_column, mixed, rows, runs_of, shared_windows, shuffles, written
 
 ROWS, BLOCK_BITS, MOST_BITS = 2, 16, 29
 #: Cells of a shard of a sketch that is not broadcast (a byte each while it is merged), and bytes of the texts that ask it together.
@@ -261,7 +261,8 @@ def one_by_one(keys: np.ndarray, low: np.ndarray, high: np.ndarray, number: np.n
     return np.concatenate([keys[rest], key_of(windows)]), np.concatenate([low[rest], windows]), np.concatenate([high[rest], windows + 1]), np.concatenate([number[rest], np.repeat(number[heavy], size)])
 
 
-FRAGMENTS = "key long, doc_id long, at int, windows int, part binary"
+#: at: the places of a fragment in its document, 4 bytes each.
+FRAGMENTS = "key long, doc_id long, at binary, windows int, part binary"
 
 
 def exchanged(texts: DataFrame, groups_of: Callable, items_of: Callable, fragments_of: Callable, bits: int, heavy: int) -> DataFrame:
@@ -385,20 +386,39 @@ def parts_of(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(low), [None, pa.py_buffer(offsets), pa.py_buffer(taken)])
 
 
+def places_of(column) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all rows of an `at` column, and the bounds of each row among them."""
+    data, bounds = binary_column(column)
+    return np.frombuffer(data.tobytes(), dtype="<i4"), bounds // 4
+
+
+def placed(table: pa.Table, row: np.ndarray, start: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """doc_id, start, windows of spans within rows, at each place of a row."""
+    places, bounds = places_of(table.column("at").combine_chunks())
+    number = np.diff(bounds)[row]
+    own = np.repeat(np.arange(len(row)), number)
+    at = places[np.repeat(bounds[row] - np.cumsum(number) + number, number) + np.arange(number.sum())]
+    return table.column("doc_id").to_numpy()[row][own], at + start[own], windows[own]
+
+
 def combined(table: pa.Table) -> tuple[pa.Table, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Of fragments with equal parts only those of the smallest document stay; the spans of the others.
+    """Of fragments with equal parts one row stays, with all places in the smallest document; the spans of the others.
 
-    Places in one document stay together, so that both wait for what other documents hold.
+    Those places wait together for what other documents hold. Rows stay in order.
     """
     code = table.column("part").combine_chunks().dictionary_encode().indices.to_numpy()
     keys, docs = table.column("key").to_numpy(), table.column("doc_id").to_numpy()
     order = np.lexsort((docs, keys, code))
     new = np.concatenate([[True], (code[order][1:] != code[order][:-1]) | (keys[order][1:] != keys[order][:-1])])
-    least = np.empty(len(order), dtype=np.int64)
-    least[order] = docs[order][np.flatnonzero(new)][np.cumsum(new) - 1]
-    gone = docs > least
-    spans = docs[gone], table.column("at").to_numpy()[gone], table.column("windows").to_numpy()[gone]
-    return table.filter(pa.array(~gone)).combine_chunks(), spans
+    gone = docs[order] > docs[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+    lost, kept = np.sort(order[gone]), order[~gone]
+    spans = placed(table, lost, np.zeros(len(lost), np.int64), table.column("windows").to_numpy()[lost])
+    places, bounds = places_of(table.column("at").combine_chunks().take(pa.array(kept)))
+    low = np.flatnonzero(new[~gone])  # of each part the first row is kept
+    turn = np.argsort(kept[low])
+    at = parts_of(places, bounds[low][turn], bounds[np.append(low[1:], len(kept))][turn])
+    table = table.take(pa.array(kept[low][turn])).combine_chunks()
+    return table.set_column(2, "at", at), spans
 
 
 class Settled:
@@ -410,7 +430,8 @@ class Settled:
 
     def add(self, keys: np.ndarray, docs: np.ndarray, at: np.ndarray, windows: np.ndarray, parts: pa.Array) -> bool:
         """Whether they should be sent now."""
-        self.held.append(pa.record_batch([keys, docs, at.astype(np.int32), windows.astype(np.int32), parts], names=["key", "doc_id", "at", "windows", "part"]))
+        each = np.arange(len(at))
+        self.held.append(pa.record_batch([keys, docs, parts_of(at.astype("<i4"), each, each + 1), windows.astype(np.int32), parts], names=["key", "doc_id", "at", "windows", "part"]))
         self.size += self.held[-1].nbytes
         return self.size >= HELD
 
@@ -424,17 +445,20 @@ class Settled:
             doc, at, end = doc[order], at[order], (at + windows)[order]
             new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (at[1:] != end[:-1])])
             first, last = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(doc)) - 1
-            yield pa.record_batch([doc[first], doc[first], at[first], end[last] - at[first], pa.nulls(len(first), pa.binary())], schema=table.schema)
+            doc, at, size = doc[first], at[first], (end[last] - at[first]).astype(np.int32)
+            anywhere = mixed(doc.view(np.uint64) ^ mixed(at.astype(np.uint64))).view(np.int64)
+            each = np.arange(len(first))
+            yield pa.record_batch([anywhere, doc, parts_of(at.astype("<i4"), each, each + 1), size, pa.nulls(len(first), pa.binary())], schema=table.schema)
         self.__init__()
 
 
 def matched(fragments: DataFrame, spans_of: Callable, windows_of: Callable) -> DataFrame:
     """doc_id, start, windows: windows that also occur in a smaller document.
 
-    fragments has key, doc_id, at, windows, part: neighbouring windows with one bucket
-    key; rows without a part are spans to remove already. The others are shuffled by key and solved in slices of whole keys by spans_of(table). A key that
-    outgrows a slice is put aside; the windows of such keys, as rows (window, doc_id, at)
-    from windows_of(batches), are grouped by themselves, with partial minima, instead.
+    fragments has FRAGMENTS: neighbouring windows with one bucket
+    key; rows without a part are spans to remove already. The others are shuffled by key and solved in slices of whole keys by spans_of(table),
+    which gives rows, starts within their parts, and windows. A key that outgrows a slice is put aside; the windows of such keys, as rows (window, doc_id, at)
+    by windows_of(key, part), are grouped by themselves, with partial minima, instead.
     """
     schema = "hot long, doc_id long, start int, windows int"
     dealt = fragments.repartition(shuffles(fragments.sparkSession), "key").sortWithinPartitions("key")
@@ -445,7 +469,7 @@ def matched(fragments: DataFrame, spans_of: Callable, windows_of: Callable) -> D
             whole = pc.is_valid(batch.column(4))
             done, batch = batch.filter(pc.invert(whole)), batch.filter(whole)
             if done.num_rows:
-                yield from made(*(done.column(i).to_numpy() for i in (1, 2, 3)))
+                yield from made(*spans_in(done))
             if hot is not None:
                 batch = batch.filter(pc.not_equal(batch.column(0), hot))
             if not batch.num_rows:
@@ -470,7 +494,21 @@ def matched(fragments: DataFrame, spans_of: Callable, windows_of: Callable) -> D
     def solved(table):
         table, spans = combined(table)
         yield from made(*spans)
-        yield from made(*spans_of(table))
+        yield from made(*placed(table, *spans_of(table)))
+
+    def spans_in(done):
+        return done.column(1).to_numpy(), places_of(done.column(2))[0], done.column(3).to_numpy()
+
+    def settled(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.record_batch(list(spans_in(batch)), names=["doc_id", "start", "windows"])
+
+    def every_window(batches):
+        for key, doc_id, at, part in rows(batches, "key", "doc_id", "at", "part"):
+            own = windows_of(key, part)
+            for place in np.frombuffer(at, dtype="<i4").tolist():
+                yield pa.record_batch({"window": pa.array(own, pa.binary()), "doc_id": np.full(len(own), doc_id, np.int64), "at": np.arange(place, place + len(own), dtype=np.int32)})
 
     def made(doc_id, start, number):
         if len(doc_id):
@@ -482,8 +520,8 @@ def matched(fragments: DataFrame, spans_of: Callable, windows_of: Callable) -> D
     if not hot.limit(1).count():
         return spans
     # fragments are made anew here; should a task find its rows in another order, its spans may differ too
-    spans = spans.unionByName(fragments.filter("part is null").select("doc_id", F.col("at").alias("start"), "windows"))
-    every = fragments.filter("part is not null").join(hot, "key", "left_semi").mapInArrow(windows_of, "window binary, doc_id long, at int")
+    spans = spans.unionByName(fragments.filter("part is null").mapInArrow(settled, "doc_id long, start int, windows int"))
+    every = fragments.filter("part is not null").join(hot, "key", "left_semi").mapInArrow(every_window, "window binary, doc_id long, at int")
     least = every.groupBy("window").agg(F.min("doc_id").alias("least"))
     return spans.unionByName(every.join(least, "window").filter("least < doc_id").select("doc_id", F.col("at").alias("start"), F.lit(1).alias("windows")))
 

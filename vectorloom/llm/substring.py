@@ -72,12 +72,10 @@ def repeated_windows(docs: DataFrame, window: int = 13, most_bits: int = MOST_BI
         gone = np.zeros(len(row), dtype=bool)
         gone[order] = own > least
         i, at, size = spans_of_flags(row, place, gone)
-        return docs_[i], table.column("at").to_numpy()[i] + at, size
+        return i, at, size
 
-    def windows_of(batches):
-        for key, doc_id, at, part in rows(batches, "key", "doc_id", "at", "part"):
-            own = [key.to_bytes(8, "little", signed=True) + part[i : i + 8] for i in range(0, len(part), 8)]
-            yield pa.record_batch({"window": pa.array(own, pa.binary()), "doc_id": np.full(len(own), doc_id, np.int64), "at": np.arange(at, at + len(own), dtype=np.int32)})
+    def windows_of(key, part):
+        return [key.to_bytes(8, "little", signed=True) + part[i : i + 8] for i in range(0, len(part), 8)]
 
     bits, heavy = full_bits(length / 24), heavy_limit(docs.sparkSession, length / 24)
     if bits > most_bits:

@@ -98,14 +98,15 @@ def repeated_windows(docs: DataFrame, window: int = 50, most_bits: int = MOST_BI
         yield from settled.batches()
 
     def spans_of(table):
-        keys, docs_ = table.column("key").to_numpy(), table.column("doc_id").to_numpy()
+        keys = table.column("key").to_numpy()
         twice = np.zeros(len(keys), dtype=bool)
         same = keys[1:] == keys[:-1]
         twice[1:] |= same
         twice[:-1] |= same  # other buckets hold one row
         table = table.filter(pa.array(twice)).combine_chunks()
         if not table.num_rows:
-            return docs_[:0], docs_[:0], docs_[:0]
+            none = np.empty(0, np.int64)
+            return none, none, none
         docs_ = table.column("doc_id").to_numpy()
         data, offsets = binary_column(table.column("part").chunk(0))
         number = np.diff(offsets) - window + 1
@@ -120,12 +121,10 @@ def repeated_windows(docs: DataFrame, window: int = 50, most_bits: int = MOST_BI
         gone = np.zeros(len(row), dtype=bool)
         gone[keep] = least[group[keep]] < own
         i, at, size = spans_of_flags(row, place, gone)
-        return docs_[i], table.column("at").to_numpy()[i] + at, size
+        return np.flatnonzero(twice)[i], at, size
 
-    def windows_of(batches):
-        for doc_id, at, part in rows(batches, "doc_id", "at", "part"):
-            own = [part[i : i + window] for i in range(len(part) - window + 1)]
-            yield pa.record_batch({"window": pa.array(own, pa.binary()), "doc_id": np.full(len(own), doc_id, np.int64), "at": np.arange(at, at + len(own), dtype=np.int32)})
+    def windows_of(key, part):
+        return [part[i : i + window] for i in range(len(part) - window + 1)]
 
     expected = 2.5 * length / (window - gram + 2)
     bits, heavy = full_bits(expected), heavy_limit(docs.sparkSession, expected)
