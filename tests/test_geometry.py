@@ -123,3 +123,46 @@ def test_states_reach_both_phases_for_all_vectors(spark):
     assert {s.state // 1000 for s in states} >= set(range(36))
     assert len({s.state for s in states}) == len(states) > 100
     assert all(len(s.gram) == s.m**2 and len(s.partial) == min(s.m, 3) - 1 for s in states)
+
+
+def test_accepted_matches_a_greedy_loop(spark):
+    r = np.random.default_rng(5)
+    rows = [(k, i, v.tolist()) for k in range(3) for i, v in enumerate(r.normal(size=(400, 3)))] + [(7, 0, None)]
+    offered = spark.createDataFrame(rows, "round long, turn int, v array<double>").repartition(5)
+    found = {(x["round"], x.place): x.turn for x in simulate.accepted(offered, "turn", 0.3, 6).collect()}
+    for k in range(3):
+        own, taken = [np.array(v) for q, _, v in rows if q == k], []
+        for i, v in enumerate(own):
+            if len(taken) < 6 and all(own[j] @ v <= 0.3 for j in taken):
+                taken.append(i)
+        assert [found[k, p] for p in range(len(taken))] == taken
+    assert {k for k, _ in found} == {0, 1, 2}
+    assert simulate.accepted(offered.limit(0), "turn").count() == 0
+
+
+def test_packing_is_repeatable_and_ends(spark):
+    one, two = (sorted((r["round"], r.sphere_id, tuple(r.v)) for r in simulate.packed_spheres(spark, 2, rounds=2, number=64, steps=80).collect()) for _ in range(2))
+    assert one == two
+    sizes = simulate.round_sizes(spark.createDataFrame([(k, i) for k, i, _ in one], "round long, i long")).collect()
+    assert all(2 <= r.n <= 6 for r in sizes)
+    assert {r.total for r in sizes} == {len(one)}
+
+
+def test_micro_steps_are_the_moves_of_the_game(spark):
+    """Every state of the first games, below and at full rank, against the game's own move; dead states stay."""
+    game = selfplay.Spheres(3, 8, HALF)
+    states, now = [], [game.start()]
+    for _ in range(9):
+        now = [game.after(s, a) for s in [s for s in now if not s.is_dead][::3][-40:] for a in range(4)]
+        states += now
+    own = spark.createDataFrame([(i, s.is_dead, s.m, s.gram.ravel().tolist(), list(s.partial)) for i, s in enumerate(states)], "id long, is_dead boolean, m int, gram array<double>, partial array<double>")
+    found = geometry.micro_steps(own, HALF).collect()
+    assert len(found) == 4 * len(states)
+    assert any(s.is_dead for s in states)
+    assert max(r.m for r in found) >= 4
+    for r in found:
+        after = game.after(states[r.id], r.action)
+        assert (r.is_dead, r.m, r.partial) == (after.is_dead, after.m, list(after.partial))
+        assert r.gram == pytest.approx(after.gram.ravel().tolist())
+    seeded = geometry.start_states(spark, [[1.0, 0.5], [0.5, 1.0]]).first()
+    assert (seeded.m, seeded.gram, seeded.partial, seeded.is_dead) == (2, [1.0, 0.5, 0.5, 1.0], [], False)

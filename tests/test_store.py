@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from vectorloom.operators import learn, selfplay
+from vectorloom.operators import episodes, learn, selfplay
 from vectorloom.sources import tables
 
 HALF = [-1.0, -0.5, 0.0, 0.5]
@@ -44,3 +45,26 @@ def test_fit_lowers_the_loss_and_predicts(spark):
     empty, none = learn.fit(played.limit(0), 4)
     assert not none
     assert not np.any(empty["policy"])
+
+
+def test_minibatches_are_drawn_with_replacement(spark):
+    drawn, steps = learn.minibatches(spark.range(2000), 256, 3, 5)
+    assert steps == 2000 // 256
+    rows = drawn.collect()
+    sizes = [sum(r.epoch == e and r.step == s for r in rows) for e in range(3) for s in range(steps)]
+    assert sum(sizes) == len(rows)
+    assert all(170 < n < 350 for n in sizes)
+    assert max(sum(r.id == i for r in rows if r.epoch == 0) for i in range(50)) >= 2
+    assert learn.minibatches(spark.range(0), 256, 3, 5)[1] == 0
+    assert sorted(r.id for r in learn.shuffled(spark.range(50), 1).collect()) == list(range(50))
+    assert [r.id for r in learn.shuffled(spark.range(50), 1).collect()] != list(range(50))
+
+
+def test_progress_and_symmetries(spark):
+    gram = [float(i) for i in range(144)]
+    results = spark.createDataFrame([(0, 0, 3, gram[:9]), (1, 0, 12, gram)], "rank int, episode int, best_m int, gram array<double>")
+    best = episodes.progress(results).first()
+    assert (best.best_m, len(best.block), best.block[1]) == (12, 10, gram[12:22])
+    assert episodes.progress(results.filter("rank = 0")).first().block == [gram[:3], gram[3:6], gram[6:9]]
+    assert episodes.symmetries(results).collect() == results.collect()
+    assert episodes.symmetries(results, F.reverse("gram")).count() == 4

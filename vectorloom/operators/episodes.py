@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -51,3 +51,18 @@ def meter(values: DataFrame, *keys: str) -> DataFrame:
     """Weighted sum, count and average of (value, weight)."""
     w = F.sum("weight")
     return values.groupBy(*keys).agg(F.sum(F.col("value") * F.col("weight")).alias("sum"), w.alias("count"), F.try_divide(F.sum(F.col("value") * F.col("weight")), w).alias("avg"))
+
+
+def symmetries(examples: DataFrame, *images: Column) -> DataFrame:
+    """examples with their images (columns of the board's type) as boards of their own; without any, as they are: the one form is canonical."""
+    if not images:
+        return examples
+    return examples.withColumn("gram", F.explode(F.array("gram", *images)))
+
+
+def progress(results: DataFrame, rows: int = 10) -> DataFrame:
+    """best_m and the top left block of the best result's Gram matrix (flat), of `rows` rows at most."""
+    best = results.orderBy(F.desc("best_m"), "rank", "episode").limit(1)
+    size = F.least(F.lit(rows), F.col("best_m").cast("int"))
+    block = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.slice("gram", i * F.col("best_m").cast("int") + 1, size))
+    return best.select("best_m", block.alias("block"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -105,6 +105,53 @@ def legal_actions(states: DataFrame, cosines: list[float], dim: int = 3, bound:
     return states.select("state", "m", "gram", "partial").mapInPandas(run, "state long, action int, cos double, valid boolean")
 
 
+def start_states(spark: SparkSession, seed_gram: list[list[float]] | None = None) -> DataFrame:
+    """The one state that a game starts from: a single sphere, or a seed's Gram matrix."""
+    seed = seed_gram or [[1.0]]
+    row = (0, False, len(seed), [float(x) for r in seed for x in r], [])
+    return spark.createDataFrame([row], "state long, is_dead boolean, m int, gram array<double>, partial array<double>")
+
+
+def bordered(gram: Column, m: Column, row: Column) -> Column:
+    """A flat m x m matrix with one more row and column, and 1 in the corner."""
+    rows = F.transform(F.sequence(F.lit(0), m - 1), lambda i: F.concat(F.slice(gram, i * m + 1, m), F.array(F.element_at(row, i + 1))))
+    return F.concat(F.flatten(rows), row, F.array(F.lit(1.0)))
+
+
+def micro_steps(states: DataFrame, cosines: list[float], dim: int = 3) -> DataFrame:
+    """states (any keys, is_dead, m, gram, partial) after each action: the keys, action, cos and the new state.
+
+    A dead state stays as it is. An action adds its cosine to the partial row; the one that completes
+    the row adds a sphere, or ends the game where there is none. Only such rows go through Python.
+    """
+    keys = [c for c in states.columns if c not in ("is_dead", "m", "gram", "partial")]
+    moves = F.explode(F.array(*(F.struct(F.lit(a).alias("action"), F.lit(float(c)).alias("cos")) for a, c in enumerate(cosines)))).alias("x")
+    tried = states.select(*keys, "is_dead", "m", "gram", "partial", moves).withColumn("row", F.when(F.col("is_dead"), F.col("partial")).otherwise(F.concat("partial", F.array("x.cos"))))
+    waits = F.col("is_dead") | (F.size("row") < F.least(F.col("m"), F.lit(dim)))
+    values = np.array(cosines)
+
+    @F.pandas_udf("array<double>")
+    def completed(m: pd.Series, gram: pd.Series, row: pd.Series) -> pd.Series:
+        return pd.Series([finalised(np.asarray(g).reshape(k, k), np.asarray(r), dim, values) for k, g, r in zip(m, gram, row, strict=True)], dtype=object)
+
+    kept = tried.filter(waits).select(*keys, "x.*", "is_dead", "m", "gram", F.col("row").alias("partial"))
+    done = tried.filter(~waits).withColumn("own", completed("m", "gram", "row"))
+    fits = F.col("own").isNotNull()
+    # a column of its own first: beside a new m, the m in the function over rows would be that one
+    done = done.withColumn("grown", F.when(fits, bordered(F.col("gram"), F.col("m"), F.col("own"))).otherwise(F.col("gram")))
+    ended = done.select(*keys, "x.*", (~fits).alias("is_dead"), (F.col("m") + fits.cast("int")).alias("m"), F.col("grown").alias("gram"), F.expr("cast(array() as array<double>)").alias("partial"))
+    return kept.unionByName(ended)
+
+
+def frontier(start: DataFrame, cosines: list[float], levels: int, dim: int = 3, bound: int = 75) -> DataFrame:
+    """actions, is_dead, m, gram, partial: the states that sequences of so many actions lead to from live states that are not full."""
+    now = start.select(F.expr("cast(array() as array<int>)").alias("actions"), "is_dead", "m", "gram", "partial")
+    for _ in range(levels):
+        after = micro_steps(now.filter(~F.col("is_dead") & (F.col("m") < bound)), cosines, dim)
+        now = after.select(F.concat("actions", F.array("action")).alias("actions"), "is_dead", "m", "gram", "partial")
+    return now
+
+
 def log_volume(v: np.ndarray) -> float:
     sign, value = np.linalg.slogdet(v @ v.T + VOLUME_JITTER * np.eye(len(v)))
     return float(value) if sign > 0 else -np.inf

@@ -1,13 +1,17 @@
-"""Policy and value models from replay examples, fitted by distributed gradient sums."""
+"""Policy and value models from replay examples, fitted by Adam on minibatches with distributed gradient sums."""
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vectorloom.sources.tables import new_store
+
 
 def losses(edge: DataFrame, value: float) -> DataFrame:
     """cross_entropy, squared_error: means over states of (s, p, z) with logits z, against a target value."""
@@ -32,38 +36,76 @@ def forward(weights: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray,
     return z / z.sum(axis=1, keepdims=True), x @ weights["value"]
 
 
-def fit(examples: DataFrame, actions: int, epochs: int = 10, rate: float = 0.5) -> tuple[dict[str, np.ndarray], list[tuple[int, float, float]]]:
-    """Linear policy (softmax) and value heads by full gradient steps; without examples the weights stay 0.
+def minibatches(examples: DataFrame, size: int, epochs: int, seed: int) -> tuple[DataFrame, int]:
+    """examples with epoch and step, and the steps of an epoch: each step has about `size` rows, drawn with replacement.
 
-    Each step is one job: tasks sum gradients of their rows, and the driver gets one small
-    row a task. The replay itself never leaves the executors.
+    A row is drawn a Poisson number of times an epoch, and each draw goes to a random step, which is
+    what drawing `size` rows for every step comes to, in one pass over the examples.
+    """
+    n = examples.count()
+    size = min(size, n)
+    steps = n // size if n else 0
+    rate = steps * size / n if n else 0.0
+    upto = np.cumsum([math.exp(-rate) * rate**k / math.factorial(k) for k in range(12)]).tolist()
+    each = examples.select("*", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch")).withColumn("u", F.rand(seed))
+    drawn = each.withColumn("draws", F.size(F.filter(F.array(*map(F.lit, upto)), lambda x: x <= F.col("u")))).filter("draws > 0")
+    own = drawn.select("*", F.explode(F.sequence(F.lit(1), F.col("draws"))).alias("draw"))
+    return own.withColumn("step", F.floor(F.rand(seed + 1) * max(1, steps)).cast("int")).drop("u", "draws", "draw"), steps
+
+
+def fit(examples: DataFrame, actions: int, epochs: int = 10, rate: float = 1e-3, batch: int = 256, seed: int = 0) -> tuple[dict[str, np.ndarray], list[tuple[int, float, float]]]:
+    """Linear policy (softmax) and value heads by a fresh Adam on minibatches; without examples the weights stay 0.
+
+    Minibatches are written once, a folder a step, so that a step reads its own rows only. It is
+    one job: tasks sum gradients of their rows, and the driver gets a row a weight. The replay
+    itself never leaves the executors. The history has the mean losses of each epoch's batches.
     """
     wide = len(board_features(0, [], []))
-    weights, history = {"policy": np.zeros((wide, actions)), "value": np.zeros(wide)}, []
+    weights, history = np.zeros(wide * actions + wide), []
+    m, v = np.zeros_like(weights), np.zeros_like(weights)
+
+    def parts(w):
+        return {"policy": w[: wide * actions].reshape(wide, actions), "value": w[wide * actions :]}
+
+    batches, steps = minibatches(examples.select("m", "partial", "gram", "pi", "reward"), batch, epochs, seed)
+    if not steps:
+        return parts(weights), history
+    path = new_store(examples.sparkSession, "minibatches")
+    batches.write.partitionBy("epoch", "step").parquet(path)
+    stored = examples.sparkSession.read.parquet(path)
     for epoch in range(epochs):
-        now = {k: v.copy() for k, v in weights.items()}
-
-        def gradients(batches, now=now):
-            total = np.zeros(wide * actions + wide + 3)
-            for b in batches:
-                x = np.stack([board_features(*row) for row in zip(b["m"], b["partial"], b["gram"], strict=True)]) if len(b) else np.empty((0, wide))
-                if not len(x):
-                    continue
-                pi, z = np.stack(b["pi"].to_numpy()), b["reward"].to_numpy()
-                p, v = forward(now, x)
-                total += np.concatenate([(x.T @ (p - pi)).ravel(), x.T @ (v - z), [-(pi * np.log(p + 1e-12)).sum(), ((v - z) ** 2).sum(), len(x)]])
-            yield pd.DataFrame({"g": [total]})
-
-        parts = examples.select("m", "partial", "gram", "pi", "reward").mapInPandas(gradients, "g array<double>")
-        summed = parts.select(F.posexplode("g").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).orderBy("i").collect()  # a row a weight
-        total = np.array([r.x for r in summed]) if summed else np.zeros(wide * actions + wide + 3)
-        n = total[-1]
-        if not n:
-            break
-        history.append((epoch, float(total[-3] / n), float(total[-2] / n)))
-        weights["policy"] -= rate * total[: wide * actions].reshape(wide, actions) / n
-        weights["value"] -= 0.2 * rate * total[wide * actions : -3] / n
-    return weights, history
+        seen = np.zeros(3)
+        for step in range(steps):
+            total = gradient(stored.filter((F.col("epoch") == epoch) & (F.col("step") == step)), parts(weights), wide, actions)
+            n = total[-1]
+            if not n:
+                continue
+            seen += total[-3:]
+            slope, t = total[:-3] / n, epoch * steps + step + 1
+            m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
+            weights = weights - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        if seen[-1]:
+            history.append((epoch, float(seen[0] / seen[2]), float(seen[1] / seen[2])))
+    return parts(weights), history
+
+
+def gradient(examples: DataFrame, weights: dict[str, np.ndarray], wide: int, actions: int) -> np.ndarray:
+    """Sums over examples: the slopes of cross entropy and squared error, both losses, and the number of rows."""
+
+    def run(batches):
+        total = np.zeros(wide * actions + wide + 3)
+        for b in batches:
+            if not len(b):
+                continue
+            x = np.stack([board_features(*row) for row in zip(b["m"], b["partial"], b["gram"], strict=True)])
+            pi, z = np.stack(b["pi"].to_numpy()), b["reward"].to_numpy()
+            p, v = forward(weights, x)
+            total += np.concatenate([(x.T @ (p - pi)).ravel(), 2 * x.T @ (v - z), [-(pi * np.log(p + 1e-12)).sum(), ((v - z) ** 2).sum(), len(x)]])
+        yield pd.DataFrame({"g": [total]})
+
+    parts = examples.select("m", "partial", "gram", "pi", "reward").mapInPandas(run, "g array<double>")
+    summed = parts.select(F.posexplode("g").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).orderBy("i").collect()  # a row a weight
+    return np.array([r.x for r in summed]) if summed else np.zeros(wide * actions + wide + 3)
 
 
 def fitted_losses(examples: DataFrame, actions: int, epochs: int = 5) -> DataFrame:
@@ -98,8 +140,3 @@ def predictions(states: DataFrame, weights: dict[str, np.ndarray], *keys: str) -
 
 def shuffled(examples: DataFrame, seed: int) -> DataFrame:
     return examples.orderBy(F.rand(seed))
-
-
-def minibatches(examples: DataFrame, size: int, seed: int) -> DataFrame:
-    """About `size` rows, with replacement."""
-    return examples.sample(withReplacement=True, fraction=size / max(1, examples.count()), seed=seed)

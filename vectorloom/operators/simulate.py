@@ -1,11 +1,14 @@
 """Continuous packing: candidates by gradient, greedy acceptance, and discovery of an alphabet and a seed.
 
-Rounds are independent groups with their own seeds; a round's spheres are bounded by its
-cap, so a group stays small however many rounds there are.
+All rounds go on together. A step is one job: candidates are rows that tasks solve against
+the spheres of their round, and acceptance reads each round's candidates in their order.
+What a step broadcasts and brings back is bounded by rounds * (cap + 10) spheres.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +19,8 @@ from vectorloom.operators import gram as G
 from vectorloom.operators.geometry import volume_bases
 
 TOUCH, SLACK, NEAR = 0.5, 1e-4, 0.1
+#: Spheres accepted in a step at most; the step without one, in a row, that ends a round.
+AT_ONCE, EMPTY = 10, 6
 
 
 def start_spheres(spark: SparkSession, dim: int) -> DataFrame:
@@ -23,53 +28,100 @@ def start_spheres(spark: SparkSession, dim: int) -> DataFrame:
     return spark.createDataFrame([(0, [1.0, 0.0, *rest]), (1, [0.5, 0.75**0.5, *rest])], "sphere_id int, v array<double>")
 
 
-def candidates(spheres: np.ndarray, r: np.random.Generator, number: int = 256, steps: int = 60) -> np.ndarray:
-    """Unit vectors that touch the set without overlap: Adam on the overlap, drawn to the nearest sphere while there are few."""
-    dim = spheres.shape[1]
-    x = r.normal(size=(number, dim))
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
+def solved(spheres: np.ndarray, x: np.ndarray, steps: int = 150) -> np.ndarray:
+    """Unit vectors moved to touch the set without overlap: Adam on the overlap, drawn to the nearest sphere while there are few."""
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
     m, v = np.zeros_like(x), np.zeros_like(x)
     for t in range(1, steps + 1):
         unit = x / (np.linalg.norm(x, axis=1, keepdims=True) + 1e-8)
         cos = unit @ spheres.T
         slope = (200 * np.maximum(cos - TOUCH, 0)) @ spheres
-        if len(spheres) < 2 * dim:
+        if len(spheres) < 2 * x.shape[1]:
             slope -= 0.1 * spheres[cos.argmax(axis=1)]
-        slope = (slope - (slope * unit).sum(axis=1, keepdims=True) * unit) / number
+        slope -= (slope * unit).sum(axis=1, keepdims=True) * unit
         m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
         x = unit - 0.05 * 0.5 * (1 + np.cos(np.pi * (t - 1) / steps)) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    most = (x @ spheres.T).max(axis=1)
-    return x[(most <= TOUCH + SLACK) & (most >= TOUCH - NEAR)]
-
-
-def pack(dim: int, most: int, seed: int, **solver: int) -> np.ndarray:
-    """Spheres of one round: ten shuffled candidates at most are accepted at a time; the sixth empty try ends it."""
-    r = np.random.default_rng(seed)
-    spheres = np.zeros((2, dim))
-    spheres[0, 0], spheres[1, :2] = 1.0, (0.5, 0.75**0.5)
-    idle = 0
-    while len(spheres) < most and idle <= 5:
-        found, before = candidates(spheres, r, **solver), len(spheres)
-        for x in r.permutation(found)[: len(found)]:
-            if len(spheres) - before >= 10:
-                break
-            if (spheres @ x).max() <= TOUCH + SLACK:
-                spheres = np.vstack([spheres, x])
-        idle = idle + 1 if len(spheres) == before else 0
-    return spheres
-
-
-def packed_spheres(spark: SparkSession, dim: int, rounds: int = 10, most: int | None = None) -> DataFrame:
-    """round, sphere_id, v of independent rounds, seeded i * 999 + 1."""
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def candidates(spark: SparkSession, spheres: dict[int, list[list[float]]], step: int, number: int = 1024, steps: int = 150) -> DataFrame:
+    """round, turn, v: of `number` random unit vectors a round those that end up touching its spheres, in random turns.
+
+    A vector is drawn from its round's seed, the step and its own number, so a task that runs again draws the same.
+    """
+    shared = spark.sparkContext.broadcast({k: np.array(v) for k, v in spheres.items()})
+    names = sorted(spheres)
+
+    def run(batches):
+        for batch in batches:
+            for place, own in batch.groupby(batch["id"] // number):
+                k = names[int(place)]
+                drawn = [np.random.default_rng([k * 999 + 1, step, i]) for i in (own["id"] % number).tolist()]
+                now = shared.value[k]
+                x = solved(now, np.stack([r.normal(size=now.shape[1]) for r in drawn]), steps)
+                most = (x @ now.T).max(axis=1)
+                good = (most <= TOUCH + SLACK) & (most >= TOUCH - NEAR)
+                turn = np.array([r.random() for r in drawn])
+                if good.any():
+                    yield pd.DataFrame({"round": np.int64(k), "turn": turn[good], "v": list(x[good])})
+
+    return spark.range(len(names) * number).mapInPandas(run, "round long, turn double, v array<double>")
+
+
+def accepted(offered: DataFrame, order: str, touch: float = TOUCH + SLACK, most: int = AT_ONCE) -> DataFrame:
+    """round, place and the other columns of offered (round, v, ...): those taken greedily in order, `most` a round at most.
+
+    Each must overlap with none that its round took before. A round is read as a sorted stream that
+    keeps only what was taken, so its number of rows has no bound; null vectors are left out.
+    """
+    names = offered.columns
+
+    def run(batches):
+        now, taken = None, []
+        for batch in batches:
+            for k, own in batch.groupby("round", sort=False):
+                if k != now:
+                    now, taken = k, []
+                if len(taken) >= most:
+                    continue
+                x = np.stack(own["v"].to_numpy())
+                free = (x @ np.stack(taken).T <= touch).all(axis=1) if taken else np.ones(len(x), dtype=bool)
+                picks, first = [], len(taken)
+                while len(taken) < most and free.any():
+                    i = int(free.argmax())
+                    picks.append(i)
+                    taken.append(x[i])
+                    free &= x @ x[i] <= touch
+                    free[: i + 1] = False
+                if picks:
+                    yield own.iloc[picks].assign(place=np.arange(first, len(taken), dtype=np.int32))[["place", *names]]
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in offered.schema)
+    return offered.filter("v is not null").repartition("round").sortWithinPartitions("round", order).mapInPandas(run, f"place int, {kinds}")
+
+
+def packed_spheres(spark: SparkSession, dim: int, rounds: int = 10, most: int | None = None, number: int = 1024, steps: int = 150) -> DataFrame:
+    """round, sphere_id, v of independent rounds, seeded i * 999 + 1: to the cap, or until EMPTY steps in a row add nothing."""
     cap = most or max(15 * dim, 120)
-
-    def run(x: pd.DataFrame) -> pd.DataFrame:
-        number = int(x["id"].iloc[0])
-        spheres = pack(dim, cap, number * 999 + 1)
-        return pd.DataFrame({"round": number, "sphere_id": np.arange(len(spheres)), "v": list(spheres)})
-
-    return spark.range(rounds).repartition(rounds, "id").groupBy("id").applyInPandas(run, "round long, sphere_id long, v array<double>")
+    start = [list(r.v) for r in start_spheres(spark, dim).orderBy("sphere_id").collect()]  # two
+    spheres, idle = {k: list(start) for k in range(rounds)}, dict.fromkeys(range(rounds), 0)
+    for step in itertools.count():
+        live = {k: v for k, v in spheres.items() if len(v) < cap and idle[k] < EMPTY}
+        if not live:
+            break
+        new = accepted(candidates(spark, live, step, number, steps), "turn").collect()  # AT_ONCE a round at most
+        for r in sorted(new, key=lambda r: (r["round"], r.place)):
+            spheres[r["round"]].append(list(r.v))
+        found = {r["round"] for r in new}
+        idle |= {k: 0 if k in found else idle[k] + 1 for k in live}
+    rows = [(k, i, v) for k, own in spheres.items() for i, v in enumerate(own)]
+    return spark.createDataFrame(rows, "round long, sphere_id long, v array<double>")
+
+
+def round_sizes(spheres: DataFrame) -> DataFrame:
+    """round, n, total: spheres of each round and of all rounds."""
+    each = spheres.groupBy("round").agg(F.count("*").alias("n"))
+    return each.join(F.broadcast(each.agg(F.sum("n").alias("total"))), how="cross")  # one row
 
 
 def discover(spark: SparkSession, dim: int, rounds: int = 10, most: int | None = None) -> tuple[DataFrame, DataFrame]:

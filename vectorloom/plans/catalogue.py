@@ -348,14 +348,55 @@ def metrics_round_trip(spark, d):
     return read_store(spark, path).select("iter", "name", F.round("value", 6).alias("value"))
 
 
+ACTIONS_SQL = "(values (0, -1.0::double), (1, -0.5::double), (2, 0.0::double), (3, 0.5::double)) t(action, b)"
+#: Whether a third sphere with cosines a and b to two spheres at cosine c exists, up to the jitter.
+THIRD = "1.0000001 * 1.0000001 - c * c > 0 and power(1.0000001, 3) + 2 * a * b * c - 1.0000001 * (a * a + b * b + c * c) > 0"
+
+
+@query(
+    f"select state, action, case when k = 2 and fits then 3 else 2 end as m, case k when 0 then true when 1 then false else not fits end as is_dead, case k when 0 then [a] when 1 then [b] else []::double[] end as partial,"
+    f" case when k = 2 and fits then [1.0, c, a, c, 1.0, b, a, b, 1.0]::double[] else [1.0, c, c, 1.0]::double[] end as gram from (select vec_id as state, cast(action as int) as action, vec_id % 3 k, a, b, c, {THIRD} fits from {TRIPLES}, {ACTIONS_SQL})"
+)
+def micro_steps(spark, d):
+    """What each action makes of dead states, states with an empty row, and states whose row it completes."""
+    pairs, kind = geometry.pair_states(table(spark, d, "embeddings")), F.col("state") % 3
+    empty = F.expr("cast(array() as array<double>)")
+    states = pairs.withColumn("is_dead", kind == 0).withColumn("partial", F.when(kind == 1, empty).otherwise(F.col("partial")))
+    return geometry.micro_steps(states, [-1.0, -0.5, 0.0, 0.5]).drop("cos")
+
+
+@query(f"with t as (select * from {ACTIONS_SQL}) select actions, case when {THIRD} then 3 else 2 end as m from (select [x.action, y.action, z.action]::int[] as actions, x.b c, y.b a, z.b b from t x, t y, t z)")
+def frontier_growth(spark, d):
+    """The states after three actions from a single sphere: the second sphere, and the two cosines of the third."""
+    return geometry.frontier(geometry.start_states(spark), [-1.0, -0.5, 0.0, 0.5], 3).select("actions", "m")
+
+
+@query(
+    "with recursive c as (select label, vec_id, embedding::double[] v, row_number() over (partition by label order by vec_id) k from embeddings),"
+    " g(label, k, ids, vs) as (select distinct label, 0::bigint, []::bigint[], []::double[][] from c union all select label, k, case when ok then list_append(ids, vec_id) else ids end, case when ok then list_append(vs, v) else vs end"
+    " from (select g.label, c.k, ids, vs, vec_id, v, len(ids) < 10 and len(list_filter(vs, lambda x: list_dot_product(x, c.v) > 0.2)) = 0 ok from g join c on c.label = g.label and c.k = g.k + 1))"
+    " select label as round, unnest(ids) as id, cast(unnest(range(len(ids))) as int) as place from (select label, max_by(ids, k) ids from g group by label)"
+)
+def greedy_acceptance(spark, d):
+    """Of each label's vectors, in the order of their ids, the first ten that have no larger cosine than 0.2 with each other."""
+    offered = table(spark, d, "embeddings").select(F.col("label").alias("round"), F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
+    return simulate.accepted(offered, "id", 0.2).select("round", "id", "place")
+
+
+@query("select label as round, count(*) as n, (select count(*) from embeddings) as total from embeddings group by label")
+def round_sizes(spark, d):
+    return simulate.round_sizes(table(spark, d, "embeddings").select(F.col("label").alias("round")))
+
+
 @query()
 def greedy_packing(spark, d):
-    return simulate.packed_spheres(spark, 3, rounds=4, most=14)
+    """All ten rounds in three dimensions, with 1024 candidates a round and step and 150 gradient steps."""
+    return simulate.packed_spheres(spark, 3)
 
 
 @query()
 def seed_discovery(spark, d):
-    return simulate.discover(spark, 3, rounds=4, most=14)[1]
+    return simulate.discover(spark, 3)[1]
 
 
 @query()
