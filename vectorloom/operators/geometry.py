@@ -122,7 +122,7 @@ def micro_steps(states: DataFrame, cosines: list[float], dim: int = 3) -> DataFr
     """states (any keys, is_dead, m, gram, partial) after each action: the keys, action, cos and the new state.
 
     A dead state stays as it is. An action adds its cosine to the partial row; the one that completes
-    the row adds a sphere, or ends the game where there is none. Only such rows go through Python.
+    the row adds a sphere, or ends the game where there is none. Only the matrices of such rows go to Python.
     """
     keys = [c for c in states.columns if c not in ("is_dead", "m", "gram", "partial")]
     moves = F.explode(F.array(*(F.struct(F.lit(a).alias("action"), F.lit(float(c)).alias("cos")) for a, c in enumerate(cosines)))).alias("x")
@@ -132,15 +132,15 @@ def micro_steps(states: DataFrame, cosines: list[float], dim: int = 3) -> DataFr
 
     @F.pandas_udf("array<double>")
     def completed(m: pd.Series, gram: pd.Series, row: pd.Series) -> pd.Series:
-        return pd.Series([finalised(np.asarray(g).reshape(k, k), np.asarray(r), dim, values) for k, g, r in zip(m, gram, row, strict=True)], dtype=object)
+        found = (None if g is None else finalised(np.asarray(g).reshape(k, k), np.asarray(r), dim, values) for k, g, r in zip(m, gram, row, strict=True))
+        return pd.Series(list(found), dtype=object)
 
-    kept = tried.filter(waits).select(*keys, "x.*", "is_dead", "m", "gram", F.col("row").alias("partial"))
-    done = tried.filter(~waits).withColumn("own", completed("m", "gram", "row"))
-    fits = F.col("own").isNotNull()
+    done = tried.withColumn("waits", waits).withColumn("own", completed("m", F.when(~waits, F.col("gram")), F.when(~waits, F.col("row"))))
+    fits, empty = F.col("own").isNotNull(), F.expr("cast(array() as array<double>)")
     # a column of its own first: beside a new m, the m in the function over rows would be that one
     done = done.withColumn("grown", F.when(fits, bordered(F.col("gram"), F.col("m"), F.col("own"))).otherwise(F.col("gram")))
-    ended = done.select(*keys, "x.*", (~fits).alias("is_dead"), (F.col("m") + fits.cast("int")).alias("m"), F.col("grown").alias("gram"), F.expr("cast(array() as array<double>)").alias("partial"))
-    return kept.unionByName(ended)
+    state = F.when(F.col("waits"), F.col("is_dead")).otherwise(~fits), F.col("m") + fits.cast("int"), F.col("grown"), F.when(F.col("waits"), F.col("row")).otherwise(empty)
+    return done.select(*keys, "x.*", *(c.alias(name) for c, name in zip(state, ("is_dead", "m", "gram", "partial"), strict=True)))
 
 
 def frontier(start: DataFrame, cosines: list[float], levels: int, dim: int = 3, bound: int = 75) -> DataFrame:
