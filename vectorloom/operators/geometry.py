@@ -144,10 +144,13 @@ def micro_steps(states: DataFrame, cosines: list[float], dim: int = 3) -> DataFr
 
 
 def frontier(start: DataFrame, cosines: list[float], levels: int, dim: int = 3, bound: int = 75) -> DataFrame:
-    """actions, is_dead, m, gram, partial: the states that sequences of so many actions lead to from live states that are not full."""
+    """actions, is_dead, m, gram, partial: the states that sequences of so many actions lead to from live states that are not full.
+
+    Each level is dealt anew, as all of them come from one row; adaptive execution joins small ones.
+    """
     now = start.select(F.expr("cast(array() as array<int>)").alias("actions"), "is_dead", "m", "gram", "partial")
     for _ in range(levels):
-        after = micro_steps(now.filter(~F.col("is_dead") & (F.col("m") < bound)), cosines, dim)
+        after = micro_steps(now.filter(~F.col("is_dead") & (F.col("m") < bound)).repartition("actions"), cosines, dim)
         now = after.select(F.concat("actions", F.array("action")).alias("actions"), "is_dead", "m", "gram", "partial")
     return now
 
