@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vectorloom.llm import bpe, fingerprint, licenses, minhash, packing, quality_model, quality_rules, secret_scan, substring, suffix
+from vectorloom.llm import bpe, fingerprint, licenses, minhash, packing, quality_model, quality_rules, secret_scan, sharding, spelling, substring, suffix, whitening
 from vectorloom.llm.common import table
 
 
@@ -60,6 +61,21 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all texts with the more frequent form that each is a variant of."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deals all documents to 24 shards of nearly equal bytes."""
+    return sharding.sharded(table(spark, sf_dir, "documents"), 24)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitens every embedding to eight components."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation as long)"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over documents."""
     import corpus_pipeline
@@ -79,6 +95,9 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_sharding": op12_sharding,
+    "op13_whitening": op13_whitening,
 }
 
 WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -105,6 +124,15 @@ select doc_id, len(w) as n_words, coalesce(base.n, 0) as n_base, a as first_word
 from d left join base using (r) left join l using (r) left join b using (r)"""
 
 
+#: The table of crc32's bytes, and the crc32 of a text's UTF-8 bytes with it.
+CRC_TABLE = "(select list_transform(range(256), lambda k: list_reduce(range(8), lambda c, i: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k)) tab)"
+
+
+def crc_sql(text: str) -> str:
+    listed = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::bigint)"
+    return f"xor(list_reduce({listed}, lambda c, x: xor(c >> 8, tab[xor(c & 255, x) + 1]), 4294967295), 4294967295)"
+
+
 ORACLES: dict[str, str] = {
     "op1_minhash_dedup": f"""
 with recursive d as (select doc_id, {WORDS.replace("coalesce(text, '')", LOWER)} w from documents),
@@ -139,4 +167,25 @@ cuts as (select doc_id, list(struct_pack(a := a, b := b) order by a) s, sum(b -
 kept as (select doc_id, string_agg(substr(h, 2 * p + 1, 2 * (q - p)), '' order by p) kept from (select doc_id, h, unnest(list_prepend(0, list_transform(s, lambda v: v.b))) p, unnest(list_append(list_transform(s, lambda v: v.a), length(h) // 2)) q from d join cuts using (doc_id)) group by doc_id)
 select d.doc_id, length(h) // 2 as n_bytes, cast(coalesce(n, 0) as bigint) as n_removed, cast(coalesce(k, 0) as bigint) as n_spans, sha256(unhex(coalesce(kept, h))) as kept_sha256
 from d left join cuts using (doc_id) left join kept using (doc_id)""",
+    "op11_spelling_variants": f"""
+with recursive t as materialized {CRC_TABLE},
+r as (select doc_id, run, count(*) n from (select doc_id, unnest(regexp_extract_all({LOWER}, '[a-z\\x{{00C0}}-\\x{{00FF}}]+')) run from documents) where length(run) >= 5 group by doc_id, run),
+h as (select run, n, {crc_sql("concat(doc_id, ':', run)")} h from r, t),
+c as (select case when h % 97 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end word, n from h),
+w as materialized (select word, cast(sum(n) as bigint) n from c where length(word) >= 5 group by word having sum(n) >= 3),
+x as materialized (select word, i, substr(word, 1, i) || substr(word, i + 2) rest from w, unnest(range(length(word))) u(i)),
+near as (select a.word, b.word other from x a join x b on a.rest = b.rest and a.i = b.i and a.word <> b.word union select word, rest from x where rest in (select word from w) union select rest, word from x where rest in (select word from w)),
+best as (select near.word as word, count(*) n_near, arg_max(struct_pack(other := other, n := w.n), (w.n, -k)) b from (select near.word, other, row_number() over (partition by near.word order by other) k from near) near join w on w.word = other group by near.word),
+f as materialized (select w.word, w.n, coalesce(n_near, 0) n_near, case when b.n >= 2 * w.n then b.other end form, case when b.n >= 2 * w.n then b.n end form_n from w left join best using (word)),
+far(word, root) as (select word, coalesce(form, word) from f union all select far.word, f.form from far join f on f.word = far.root where f.form is not null and far.root <> far.word)
+select f.word, form, root, n, n_near, form_n from f join (select word, arg_min(root, n) root from (select far.word, far.root, -f.n n from far join f on f.word = far.root) group by word) using (word)""",
+    "op12_sharding": f"""
+with recursive t as materialized {CRC_TABLE},
+c as (select doc_id, strlen(coalesce(text, '')) + 8 as size, cast(coalesce({crc_sql("coalesce(text, '')")}, 0) as bigint) text_crc32 from documents, t),
+d as materialized (select *, cast(('0x' || substr(md5(concat_ws(':', doc_id, text_crc32, size)), 1, 8))::bigint % 4096 as int) v from c),
+w as materialized (select v, v % 24 home, bytes, row_number() over (order by bytes desc, v) k, ceil(sum(bytes) over () / 24) share from (select cast(u.v as int) v, cast(coalesce(sum(size), 0) as bigint) bytes from range(4096) u(v) left join d on d.v = u.v group by u.v)),
+m(k, loads, v, shard) as (select 0::bigint, list_transform(range(24), lambda x: 0::bigint), null::int, null::bigint
+ union all select k, list_transform(loads, lambda x, i: x + case when i = s + 1 then bytes else 0 end), v, s
+ from (select w.k, loads, w.v, bytes, case when loads[home + 1] + bytes <= share then home else list_position(loads, list_min(loads)) - 1 end s from m join w on w.k = m.k + 1))
+select doc_id, size, text_crc32, 'bytes' as law, cast(shard as int) as shard, row_number() over (partition by shard order by doc_id, text_crc32, size) - 1 as slot, null::int as grown_shard from d join m using (v)""",
 }
