@@ -1,3 +1,4 @@
+import math
 import random
 import re
 import struct
@@ -5,6 +6,7 @@ import textwrap
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import public_tokenizers
 import pytest
 import tiktoken
@@ -259,7 +261,7 @@ def test_network_finds_held_out_secrets():
     net = secret_scan.trained(secret_scan.labelled_findings())
     fresh = secret_scan.labelled_findings(1500, seed=77)
     said, truth = net.probability([x[:3] for x in fresh]) >= net.threshold, np.array([x[3] for x in fresh]) > 0
-    assert (said & truth).sum() / truth.sum() > 0.95
+    assert (said & truth).sum() / truth.sum() > 0.97
     assert (said & truth).sum() / said.sum() > 0.95
     text = "use the key sk-9aZ81kQpLm27XcVbN30rTyUiOp now"
     assert [k for _, k, _ in secret_scan.spans_of(text, net)] == [3]
@@ -347,7 +349,35 @@ def test_network_is_calibrated_on_fresh_findings():
     error = sum(abs(p[part == i].mean() - truth[part == i].mean()) * (part == i).mean() for i in range(10) if (part == i).any())
     print("calibration error", error, "recall", ((p >= net.threshold) & (truth > 0)).sum() / truth.sum(), "threshold", net.threshold)
     assert error < 0.03
-    assert ((p >= net.threshold) & (truth > 0)).sum() / truth.sum() > 0.95
+    assert ((p >= net.threshold) & (truth > 0)).sum() / truth.sum() >= 0.98
+
+
+def test_network_on_findings_that_were_not_generated():
+    """Values of the documents' assignments without their names, and long runs of the documents' prose, among their words."""
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"]).column("text").to_pylist()]
+    base = [secret_scan.base_spans(t) for t in texts]
+    secrets = {secret_scan.ASSIGN.match(t[a:b]).group(2) for t, own in zip(texts, base, strict=True) for a, k, b in own if k == 0}
+    clean = {t[a:b] for t, own in zip(texts, base, strict=True) for a, b in secret_scan.candidates(t, own)}
+    r = random.Random(3)
+    prose = [w for t in texts[:300] for w in t.split()]
+
+    def among(run):
+        left = " ".join(r.choices(prose, k=6)) + " "
+        return left + run + " " + " ".join(r.choices(prose, k=5)), len(left), len(left) + len(run)
+
+    net = secret_scan.trained(secret_scan.labelled_findings())
+    found = (net.probability([among(x) for x in sorted(secrets)]) >= net.threshold).mean()
+    wrong = (net.probability([among(x) for x in sorted(clean)]) >= net.threshold).mean()
+    print("secrets", len(secrets), "found", found, "clean runs", len(clean), "taken for secrets", wrong)
+    assert len(secrets) > 100 and len(clean) > 1000
+    assert found >= 0.98 and wrong <= 0.01
+
+
+def test_misses_match_the_binomial_sum():
+    for n in (0, 1, 50, 148, 149, 400, 800):
+        tail = [sum(math.comb(n, i) * 0.02**i * 0.98 ** (n - i) for i in range(k + 1)) for k in range(min(n, 30) + 1)]
+        good = [k for k, x in enumerate(tail) if x <= 0.05]
+        assert secret_scan.misses(n, 0.02, 0.05) == max(good, default=-1), n
 
 
 def brute_cutoffs(rows, quality, limit, delta):
@@ -410,6 +440,19 @@ def test_fit_is_bounded_and_blind_to_held_out_rows(spark):
     assert not np.array_equal(whole.weights, part.weights)
     from pyspark.sql import functions as F
 
+    # a text whose features are over the bound: first, in the middle or alone, it changes nothing
+    turns = [r.doc_id for r in quality_model.learning_rows(docs, labels).orderBy("turn").collect()]
+    huge = " ".join(f"w{i}" for i in range(40_000))
+    bound = quality_model.FEATURE_BYTES * 20_000
+    for k in (turns[0], turns[len(turns) // 2]):
+        grown = docs.withColumn("text", F.when(F.col("doc_id") == k, huge).otherwise(F.col("text")))
+        without = docs.filter(F.col("doc_id") != k)
+        with_it = quality_model.fitted(grown, labels, most_bytes=bound)
+        assert np.count_nonzero(with_it.weights) and np.array_equal(with_it.weights, quality_model.fitted(without, labels, most_bytes=bound).weights)
+        assert quality_model.accepted(grown, labels).count() > 0
+    alone = docs.filter(F.col("doc_id") == turns[0]).withColumn("text", F.lit(huge))
+    assert not np.count_nonzero(quality_model.fitted(alone, labels, most_bytes=bound).weights)
+
     other = labels.withColumn("quality", F.when(quality_model.held_out("doc_id"), 1 - F.col("quality")).otherwise(F.col("quality")))
     changed = docs.withColumn("lang", F.lit("x")).withColumn("source", F.lit("y"))
     assert np.array_equal(whole.weights, quality_model.fitted(changed, other).weights)

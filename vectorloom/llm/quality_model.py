@@ -7,8 +7,9 @@ interactions in time linear in the number of features. Labels, lang, source and
 are never features.
 
 The model is fitted on at most `most` labelled documents and MOST_BYTES bytes of their
-texts (documented bounds; those of least hash of their doc_id, one text an id), on the
-driver with Adagrad in numpy; its size is fixed by the number of buckets. Scores then cover every row of the table in tasks.
+features (documented bounds; those of least hash of their doc_id, one text an id). Tasks read the whole
+texts and send features, of which a text has no more than there are buckets. The fit is on the driver, with
+Adagrad in numpy; its size is fixed by the number of buckets. Scores then cover every row of the table in tasks.
 """
 
 from __future__ import annotations
@@ -20,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorloom.llm.common import grouped_words, narrow, rows, slices, utf8, written
+from vectorloom.llm.common import grouped_words, groups, narrow, rows, slices, utf8, written
 
 BUCKET_BITS, RANK = 15, 8
 BUCKETS = 1 << BUCKET_BITS
-#: Labelled documents that a fit takes at most, and the bytes of their texts.
-MOST, MOST_BYTES = 8_000, 64_000_000
+#: Labelled documents that a fit takes at most, and the bytes of their features; those of one feature.
+MOST, MOST_BYTES, FEATURE_BYTES = 8_000, 64_000_000, 12
 STATISTICS = 14
 _KIND = np.full(256, 0, dtype=np.uint8)
 _KIND[list(b" \t\n\r\x0b\x0c")] = 1
@@ -87,7 +88,11 @@ def features(texts: list[str]) -> tuple:
     return (np.concatenate(index) if index else np.empty(0, np.int64), np.concatenate(value).astype(np.float32) if value else np.empty(0, np.float32), np.array(starts, dtype=np.int64))
 
 
-def fit(texts: list[str], labels: list[int], epochs: int = 6, batch: int = 64, rate: float = 0.05, decay: float = 1e-5, seed: int = 7) -> Model:
+def fit(texts: list[str], labels: list[int], **options) -> Model:
+    return fit_features(features(texts), labels, **options)
+
+
+def fit_features(parts: tuple, labels: list[int], epochs: int = 6, batch: int = 64, rate: float = 0.05, decay: float = 1e-5, seed: int = 7) -> Model:
     """Logistic loss, Adagrad; classes weigh the same. Without both labels the model says 1 for all."""
     random = np.random.default_rng(seed)
     model = Model(0.0, np.zeros(BUCKETS + STATISTICS, np.float32), random.normal(0, 0.02, (BUCKETS + STATISTICS, RANK)).astype(np.float32))
@@ -96,7 +101,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = 6, batch: int = 64, r
         model.bias = 4.0 if not labels or labels[0] else -4.0
         return model
     weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean())).astype(np.float32)
-    index, value, starts = features(texts)
+    index, value, starts = parts
     ends = np.append(starts[1:], len(index))
     g_bias, g_w, g_v = 1e-8, np.full_like(model.weights, 1e-8), np.full_like(model.factors, 1e-8)
     for _ in range(epochs):
@@ -147,18 +152,38 @@ def held_out(doc_id: str):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(True))
 
 
+def feature_rows(found: DataFrame) -> DataFrame:
+    """turn, doc_id, quality, size and the features (bytes) of learning_rows(): made in tasks, FEATURE_BYTES each, however long the text."""
+
+    def run(batches):
+        for own in groups(rows(batches, "doc_id", "text", "quality", "turn")):
+            index, value, starts = features([r[1] for r in own])
+            ends = np.append(starts[1:], len(index))
+            yield pa.record_batch({
+                "turn": pa.array([r[3] for r in own], pa.int64()), "doc_id": pa.array([r[0] for r in own], pa.int64()), "quality": pa.array([r[2] for r in own], pa.int32()),
+                "size": pa.array((ends - starts) * FEATURE_BYTES, pa.int64()),
+                "buckets": pa.array([index[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary()), "shares": pa.array([value[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary()),
+            })
+
+    return found.mapInArrow(run, "turn long, doc_id long, quality int, size long, buckets binary, shares binary")
+
+
 def fitted(docs: DataFrame, labels: DataFrame, most: int = MOST, most_bytes: int = MOST_BYTES) -> Model:
-    """A model of labels.quality from at most `most` documents and most_bytes bytes, in the order of their ids."""
-    found = written(learning_rows(docs, labels, most))
-    sizes = found.select("turn", "doc_id", F.octet_length("text").alias("size")).collect()  # `most` rows of three numbers
+    """A model of labels.quality from the features of at most `most` documents, with most_bytes bytes together.
+
+    They are taken in the order of their ids' hashes. One that does not fit is left out, and the next are tried.
+    """
+    found = written(feature_rows(learning_rows(docs, labels, most)))
     ids, total = [], 0
-    for r in sorted(sizes):
-        total += r.size
-        if total <= most_bytes:
+    for r in sorted(found.select("turn", "doc_id", "size").collect()):  # `most` rows of three numbers
+        if total + r.size <= most_bytes:
+            total += r.size
             ids.append(r.doc_id)
     chosen = docs.sparkSession.createDataFrame([(i,) for i in ids], "doc_id long")
-    texts = sorted((r.doc_id, r.text, r.quality) for r in found.join(F.broadcast(chosen), "doc_id").toLocalIterator())
-    return fit([r[1] for r in texts], [r[2] for r in texts])
+    own = sorted((r.doc_id, r.quality, bytes(r.buckets), bytes(r.shares)) for r in found.join(F.broadcast(chosen), "doc_id").toLocalIterator())
+    index, value = (np.frombuffer(b"".join(r[k] for r in own), kind) for k, kind in ((2, np.int64), (3, np.float32)))
+    starts = np.cumsum([0, *(len(r[3]) // 4 for r in own)])[:-1].astype(np.int64)
+    return fit_features((index, value, starts), [r[1] for r in own])
 
 
 def accepted(docs: DataFrame, labels: DataFrame, most: int = MOST) -> DataFrame:

@@ -5,8 +5,8 @@ that overlap by WIDTH - 1; a filter's maximum is over all chunks. Each character
 case) and two flags, upper case and inside the candidate; a convolution of WIDTH
 characters, the maximum over all places and a logistic unit give a margin. It is
 trained with Adam in numpy on labelled findings. Two folds are kept apart: on one its
-margins are calibrated by Platt scaling, on the other the threshold is the largest one
-that keeps the recall asked for.
+margins are calibrated by Platt scaling, on the other the threshold is the largest one for which
+an exact binomial bound says, at RISK, that the recall asked for is kept.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ ACCESS, HEX = re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]{32,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 KINDS = ("assign", "access", "hex", "model")
 CONTEXT, CHUNK, WIDTH, FILTERS, EMBEDDED = 24, 128, 5, 24, 8
+#: The chance that a threshold does not keep the recall, and the number of generated findings.
+RISK, FINDINGS = 0.05, 8000
 _MARKS = "\"':=.,;/+-_@#&%?!()[]{}<>"
 _IDS = np.full(129, 28, dtype=np.int64)  # 28: any other character
 for _i, _c in enumerate("abcdefghijklmnopqrstuvwxyz"):
@@ -124,8 +126,21 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.slope * np.concatenate(made) + self.offset, -30, 30))) if made else np.empty(0)
 
 
+def misses(n: int, share: float, risk: float) -> int:
+    """The most misses among n that have a chance of `risk` or less where the share missed is `share` or more; -1 if not even none has."""
+    total, chance, k = 0.0, (1 - share) ** n, 0
+    while k <= n and total + chance <= risk:
+        total += chance
+        chance *= (n - k) / (k + 1) * share / (1 - share)
+        k += 1
+    return k - 1
+
+
 def trained(labelled: list[tuple[str, int, int, int]], recall: float = 0.98, epochs: int = 8, batch: int = 64, rate: float = 3e-3, seed: int = 5) -> Network:
-    """A network from labelled findings (text, start, end, 1 or 0); of five, one is kept apart for calibration and one for the threshold."""
+    """A network from labelled findings (text, start, end, 1 or 0); of five, one is kept apart for calibration and one for the threshold.
+
+    Where that fold has too few secrets for the bound, the threshold misses none of them.
+    """
     random = np.random.default_rng(seed)
     wide = EMBEDDED + 2
     net = Network(
@@ -162,11 +177,11 @@ def trained(labelled: list[tuple[str, int, int, int]], recall: float = 0.98, epo
         net.offset -= 0.05 * float(d.mean())
     own = (fold == 1) & (y > 0)
     positive = np.sort(1 / (1 + np.exp(-np.clip(net.slope * net.forward(ids[own], flags[own])[3] + net.offset, -30, 30)))) if own.any() else ()
-    net.threshold = float(positive[int((1 - recall) * len(positive))]) if len(positive) else 0.5
+    net.threshold = float(positive[max(0, misses(len(positive), 1 - recall, RISK))]) if len(positive) else 0.5
     return net
 
 
-def labelled_findings(n: int = 4000, seed: int = 11) -> list[tuple[str, int, int, int]]:
+def labelled_findings(n: int = FINDINGS, seed: int = 11) -> list[tuple[str, int, int, int]]:
     """Generated findings with labels, half of them secrets, in contexts of made-up prose and settings.
 
     Secrets: random keys in base 64, hex, upper case and mixed alphabets. Others: long
