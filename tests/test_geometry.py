@@ -1,10 +1,14 @@
 import itertools
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from vectorloom.functions import linear
 from vectorloom.operators import geometry, gram, selfplay, simulate
+from vectorloom.operators.ranks import drawn, placed
 
 HALF = [-1.0, -0.5, 0.0, 0.5]
 
@@ -115,14 +119,75 @@ def test_volume_basis_draws_over_the_whole_round(spark):
     assert best.log_volume == pytest.approx(0.0, abs=1e-5)
 
 
-def test_states_reach_both_phases_for_all_vectors(spark):
+def root_state(v, place, dim):
+    """A state of root vectors, one step after another."""
+    n = len(v)
+
+    def root(c):
+        piece = [v[(c + k) % n] for k in range(dim)]
+        top = sorted(range(dim), key=lambda k: (-abs(piece[k]), k))[:2]
+        return np.array([(-1.0 if piece[k] < 0 else 1.0) if k in top else 0.0 for k in range(dim)])
+
+    m = dim - 1 + place % 3
+    spheres, w = [root(place + dim * j) for j in range(m)], root(place + dim * m)
+    return m, [float(x @ y) / 2 for x in spheres for y in spheres], [float(x @ w) / 2 for x in spheres][: min(m, dim) - 1]
+
+
+@pytest.mark.parametrize("dim", [3, 4])
+def test_states_of_roots_and_their_legal_actions(spark, dim):
     r = np.random.default_rng(2)
-    rows = [(i, i % 2, r.normal(size=9).tolist()) for i in range(40)]
-    states = geometry.sample_states(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect()
-    assert {s.m for s in states} == {2, 4}
-    assert {s.state // 1000 for s in states} >= set(range(36))
-    assert len({s.state for s in states}) == len(states) > 100
-    assert all(len(s.gram) == s.m**2 and len(s.partial) == min(s.m, 3) - 1 for s in states)
+    rows = [(i, 0, r.normal(size=k).tolist()) for i, k in enumerate([9, 17, 64, 5, 4])] + [(90, 1, None), (91, 1, [0.0] * 8), (92, 2, [1.0]), (92, 2, [])]
+    states = geometry.root_states(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>"), dim)
+    own = {(s.state, s.place): s for s in states.collect()}
+    assert set(own) == {(i, p) for i, _, v in rows if v and len(v) >= dim for p in range(len(v))}
+    for (i, p), s in own.items():
+        assert (s.m, s.gram, s.partial) == root_state(dict((k, v) for k, _, v in rows)[i], p, dim)
+    found = geometry.legal_actions(states, HALF, dim, bound=dim + 1).collect()
+    assert len(found) == 4 * len(own)
+    for f in found:
+        s = own[f.state, f.place]
+        plain = geometry.valid_actions(np.array(s.gram).reshape(s.m, s.m), s.partial, dim, np.array(HALF), False, dim + 1)
+        assert bool(plain[f.action]) == f.valid, (f, s)
+    assert {(own[f.state, f.place].m >= dim, f.valid) for f in found} == {(a, b) for a in (False, True) for b in (False, True)}
+
+
+def test_elimination_matches_numpy(spark):
+    r = np.random.default_rng(6)
+    made = [r.normal(size=(n, n)) for n in (1, 2, 3, 5, 6) for _ in range(6)] + [np.ones((3, 3)), np.zeros((2, 2)), np.array([[0.0, 1.0], [1.0, 0.0]]), np.eye(4)]
+    made += [a @ a.T for a in made[:30]] + [np.array([[1.0, 2.0], [2.0, 1.0]])]
+    frame = spark.createDataFrame([(i, len(a), a.ravel().tolist()) for i, a in enumerate(made)], "i int, n int, flat array<double>").withColumn("rows", linear.rows_of(F.col("flat"), F.col("n")))
+    n = F.col("n")
+    out = frame.select("i", linear.inverse(F.col("rows"), n).alias("inverse"), linear.log_determinant(F.col("rows"), n).alias("volume"), linear.definite(F.col("rows"), n).alias("definite")).collect()
+    for x in out:
+        a = made[x.i]
+        det = np.linalg.det(a)
+        if abs(det) > 1e-9:
+            assert np.allclose(x.inverse, np.linalg.inv(a), rtol=1e-6, atol=1e-8)
+        else:
+            assert x.inverse is None
+        assert x.volume == pytest.approx(np.log(det), abs=1e-8) if det > 1e-9 else x.volume is None
+        if np.allclose(a, a.T):
+            assert x.definite == (np.linalg.eigvalsh(a).min() > 1e-12), x.i
+
+
+def test_places_with_all_rows_in_one_key(spark):
+    rows = [(0, i * 7 % 20_011) for i in range(20_000)] + [(k, -k) for k in range(1, 5)]
+    frame = spark.createDataFrame(rows, "k int, o long").repartition(7)
+    out = placed(frame, "k", "o").collect()
+    assert len(out) == len(rows)
+    assert [r.o for r in sorted(out, key=lambda r: r.place) if r.k == 0] == sorted(o for k, o in rows if k == 0)
+    assert sorted(r.place for r in out if r.k == 0) == list(range(20_000))
+    assert {r.place for r in out if r.k} == {0}
+    assert placed(frame.limit(0), "k", "o").count() == 0
+
+
+def test_draws_are_subsets(spark):
+    n = F.lit(7).cast("long")
+    out = [tuple(r.d) for r in spark.range(7000).select(drawn(n, 3, F.lit(5), F.col("id")).alias("d")).collect()]
+    assert all(len(set(d)) == 3 and list(d) == sorted(d) and 0 <= d[0] and d[-1] < 7 for d in out)
+    counts = Counter(out)
+    assert len(counts) == 35 and max(counts.values()) < 1.4 * 200 and min(counts.values()) > 0.6 * 200
+    assert [tuple(r.d) for r in spark.range(3).select(drawn(F.lit(3).cast("long"), 3, F.col("id")).alias("d")).collect()] == [(0, 1, 2)] * 3
 
 
 def test_accepted_matches_a_greedy_loop(spark):

@@ -306,16 +306,56 @@ def action_sample(spark, d):
     return search.sampled(search.policy(search.edges(trace(spark, d)), 1.0), (F.col("s") % 97) / F.lit(97.3))
 
 
-@query()
+VOLUMES = """
+with recursive p as materialized (select label r, vec_id id, embedding::double[] v, row_number() over (partition by label order by vec_id) - 1 place from embeddings),
+d(r, t, n, j, c) as (select r, t, n, 0, []::bigint[] from (select r, count(*) n from p group by r), range(5000) u(t) where n > 6
+ union all select r, t, n, j + 1, list_sort(list_append(c, list_reduce(c, lambda x, y: case when x >= y then x + 1 else x end, ('0x' || substr(md5(concat_ws(':', r, t, j)), 1, 8))::bigint % (n - j)))) from d where j < 6),
+x as (select r, t, list(id order by id) ids, list(v order by id) vs from (select r, t, unnest(c) place from d where j = 6) join p using (r, place) group by r, t),
+e(r, t, ids, k, g, volume) as (select r, t, ids, 1, list_transform(range(1, 7), lambda i: list_transform(range(1, 7), lambda j: list_dot_product(vs[i], vs[j]) + case when i = j then 1e-6 else 0 end)), 0.0::double from x
+ union all select r, t, ids, k + 1, list_transform(range(1, 7), lambda i: list_transform(range(1, 7), lambda j: case when i > k then g[i][j] - g[i][k] * g[k][j] / g[k][k] else g[i][j] end)), volume + ln(g[k][k]) from e where k < 7),
+b as (select r, ids, volume, row_number() over (partition by r order by volume desc, t) nth from e where k = 7)
+select r::bigint as round, ids, round(volume, 6) as log_volume, row_number() over (order by volume desc, r) = 1 as best from b where nth = 1"""
+
+
+@query(VOLUMES)
 def max_volume_basis(spark, d):
     """The dim-subset of greatest log-determinant of each label's vectors, and the best of all."""
     return geometry.volume_bases(table(spark, d, "embeddings").select(F.col("label").alias("round"), F.col("vec_id").alias("id"), F.col("embedding").alias("v")), 6)
 
 
-@query()
+def _roots() -> str:
+    """Gram entries and cosines of states of root vectors, as DuckDB reads them: the dot products of pieces dim places apart."""
+    at = lambda k: f"v[(c + {k}) % len(v) + 1]"
+    sign = lambda k: f"case when {at(k)} < 0 then -1.0 else 1.0 end"
+    least = f"case when abs({at(2)}) <= abs({at(0)}) and abs({at(2)}) <= abs({at(1)}) then 2 when abs({at(1)}) <= abs({at(0)}) then 1 else 0 end"
+    piece = f"[{', '.join(f'case when {least} = {k} then 0.0 else {sign(k)} end::double' for k in range(3))}]"
+    roots = f"select state, v, list_transform(range(len(v)), lambda c: {piece}) q from (select vec_id state, embedding::double[] v from embeddings)"
+    own = ", ".join(f"q[(place + {3 * j}) % len(q) + 1] s{j}" for j in range(5))
+    return f"(select state, cast(place as int) as place, cast(2 + place % 3 as int) m, {own} from ({roots}), range(64) t(place))"
+
+
+def _finalisation() -> str:
+    """Definiteness by determinants below full rank; Cramer's rule in three dimensions from there on."""
+    cos = lambda i, j: f"list_dot_product(s{i}, s{j}) / 2"
+    given = ", ".join([*(f"{cos(i, j)} g{i}{j}" for i, j in ((0, 1), (0, 2), (1, 2), (0, 3), (1, 3), (2, 3))), *(f"case m when 2 then {cos(i, 2)} when 3 then {cos(i, 3)} else {cos(i, 4)} end b{i}" for i in (0, 1))])
+    det = "(1 + 2 * g01 * g02 * g12 - g01 * g01 - g02 * g02 - g12 * g12)"
+    x = (
+        f"(b0 * (1 - g12 * g12) - g01 * (b1 - g12 * b) + g02 * (b1 * g12 - b)) / nullif({det}, 0)",
+        f"((b1 - g12 * b) - b0 * (g01 - g12 * g02) + g02 * (g01 * b - b1 * g02)) / nullif({det}, 0)",
+        f"((b - b1 * g12) - g01 * (g01 * b - b1 * g02) + b0 * (g01 * g12 - g02)) / nullif({det}, 0)",
+    )
+    listed = lambda c: f"least(abs({c} + 1), abs({c} + 0.5), abs({c}), abs({c} - 0.5)) <= 2e-3"
+    full = f"coalesce(abs(x0 * b0 + x1 * b1 + x2 * b - 1) <= 1e-3 and {listed('b0')} and {listed('b1')} and {listed('b')} and (m = 3 or {listed('(g03 * x0 + g13 * x1 + g23 * x2)')}), false)"
+    below = "1.0000001 * 1.0000001 - g01 * g01 > 0 and power(1.0000001, 3) + 2 * g01 * b0 * b - 1.0000001 * (g01 * g01 + b0 * b0 + b * b) > 0"
+    solved = f"select *, {', '.join(f'{e} x{i}' for i, e in enumerate(x))} from (select state, place, m, {given} from {_roots()}), (values (0, -1.0::double), (1, -0.5::double), (2, 0.0::double), (3, 0.5::double)) t(action, b)"
+    return f"select state, place, m, cast(action as int) as action, b as cos, case when m = 2 then {below} else {full} end as valid from ({solved})"
+
+
+@query(_finalisation())
 def sphere_finalisation(spark, d):
-    """Legality of every action in states cut from the embeddings' Gram matrices."""
-    return geometry.legal_actions(geometry.sample_states(table(spark, d, "embeddings")), [-1.0, -0.5, 0.0, 0.5])
+    """Legality of every action in states of root vectors, two under and of full rank, that all coordinates of the embeddings give."""
+    states = geometry.root_states(table(spark, d, "embeddings")).withColumn("spheres", F.col("m"))
+    return geometry.legal_actions(states, [-1.0, -0.5, 0.0, 0.5]).select("state", "place", F.col("spheres").alias("m"), "action", "cos", "valid")
 
 
 TRIPLES = (

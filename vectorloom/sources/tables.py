@@ -24,6 +24,14 @@ def new_store(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(frame: DataFrame) -> DataFrame:
+    """Computes a frame once and cuts its lineage with a reliable checkpoint in the session's shared folder."""
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(frame.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+    return frame.checkpoint(eager=True)
+
+
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.parquet(path)
