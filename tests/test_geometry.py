@@ -205,6 +205,26 @@ def test_accepted_matches_a_greedy_loop(spark):
     assert simulate.accepted(offered.limit(0), "turn").count() == 0
 
 
+def test_first_independent_over_many_partitions(spark):
+    """One round of 100,000 rows in several tasks; small and empty ones beside it; choices that knock out others."""
+    r = np.random.default_rng(9)
+    crowd = r.normal(size=(100_000, 3))
+    crowd /= np.linalg.norm(crowd, axis=1, keepdims=True)
+    rows = [(0, i, v) for i, v in enumerate(crowd.tolist())] + [(1, i, [1.0, 0.0, 0.0]) for i in range(50)] + [(2, 5, None), (3, 8, [0.0, 1.0, 0.0]), (3, 9, None)]
+    offered = spark.createDataFrame(rows, "round long, turn int, v array<double>").repartition(6)
+    for touch, most in ((0.9, 60), (0.5, 10)):
+        found = simulate.first_independent(offered, "turn", touch, most).collect()
+        taken = []
+        for i, v in enumerate(crowd):
+            if len(taken) < most and (not taken or (crowd[taken] @ v <= touch).all()):
+                taken.append(i)
+        own = {(f["round"], f.place): f.turn for f in found}
+        assert [own.get((0, p)) for p in range(len(taken))] == taken
+        assert {k: v for k, v in own.items() if k[0]} == {(1, 0): 0, (3, 0): 8}
+        assert len(found) == len(own) == len(taken) + 2
+    assert simulate.first_independent(offered.limit(0), "turn").count() == 0
+
+
 def test_packing_is_repeatable_and_ends(spark):
     one, two = (sorted((r["round"], r.sphere_id, tuple(r.v)) for r in simulate.packed_spheres(spark, 2, rounds=2, number=64, steps=80).collect()) for _ in range(2))
     assert one == two

@@ -47,6 +47,35 @@ def test_fit_lowers_the_loss_and_predicts(spark):
     assert not np.any(empty["policy"])
 
 
+def test_barrier_fit_takes_the_steps_of_a_plain_loop(spark):
+    """All tasks together against one loop over the same minibatches, whatever their number; one of them gets no rows."""
+    r = np.random.default_rng(4)
+    rows = [(i, r.normal(size=3).tolist(), r.dirichlet(np.ones(2)).tolist(), float(r.normal())) for i in range(300)]
+    own = spark.createDataFrame(rows, "id long, x array<double>, pi array<double>, reward double")
+    drawn, steps = learn.minibatches(own, 64, 3, 9)
+    batches = {}
+    for b in drawn.collect():
+        batches.setdefault((b.epoch, b.step), []).append(b)
+    weights, m, v, t, history = np.zeros(9), np.zeros(9), np.zeros(9), 0, []
+    for e in range(3):
+        lost = np.zeros(3)
+        for s in range(steps):
+            b = batches[e, s]
+            total = learn.slopes(learn.heads(weights, 3, 2), np.array([x.x for x in b]), np.array([x.pi for x in b]), np.array([x.reward for x in b]))
+            slope, t, lost = total[:9] / total[-1], t + 1, lost + total[9:]
+            first = slope if t == 1 else first
+            m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
+            weights = weights - 0.01 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        history.append((e, lost[0] / lost[2], lost[1] / lost[2]))
+    for workers in (1, 4):
+        found = learn.fit_vectors(own, 3, 2, 3, 0.01, 64, 9, workers)
+        assert np.allclose(np.concatenate([found.weights["policy"].ravel(), found.weights["value"]]), weights, atol=1e-10)
+        assert np.allclose(found.history, history) and np.allclose(found.gradient, first)
+    few = learn.fit_vectors(own.limit(2), 3, 2, 2, workers=4)
+    assert len(few.history) <= 2 and np.isfinite(few.weights["policy"]).all()
+    assert not np.any(learn.fit_vectors(own.limit(0), 3, 2).weights["policy"])
+
+
 def test_minibatches_are_drawn_with_replacement(spark):
     drawn, steps = learn.minibatches(spark.range(2000), 256, 3, 5)
     assert steps == 2000 // 256

@@ -121,3 +121,7 @@ def placement(rank: Column, devices: int) -> Column:
 
 def batch_size(episodes: int, workers: int) -> int:
     return max(1, episodes // workers)
+
+
+def batch_sizes(episodes: Column, workers: int) -> Column:
+    return F.greatest(F.lit(1), F.floor(episodes / workers))

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import itertools
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vectorloom.sources.tables import new_store
+from vectorloom.operators.collective import Sums
+
+#: What tells examples apart, as far as they have it.
+KEYS = ("iter", "rank", "episode", "turn", "id")
 
 
 def losses(edge: DataFrame, value: float) -> DataFrame:
@@ -36,84 +41,149 @@ def forward(weights: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray,
     return z / z.sum(axis=1, keepdims=True), x @ weights["value"]
 
 
+def uniform(*parts: Column) -> Column:
+    """A number from 0 to under 1 by md5 of the parts, the same in other engines."""
+    name = F.concat_ws(":", *(x.cast("string") for x in parts))
+    return F.conv(F.substring(F.md5(name.cast("binary")), 1, 8), 16, 10).cast("double") / 2.0**32
+
+
 def minibatches(examples: DataFrame, size: int, epochs: int, seed: int) -> tuple[DataFrame, int]:
     """examples with epoch and step, and the steps of an epoch: each step has about `size` rows, drawn with replacement.
 
     A row is drawn a Poisson number of times an epoch, and each draw goes to a random step, which is
-    what drawing `size` rows for every step comes to, in one pass over the examples.
+    what drawing `size` rows for every step comes to, in one pass over the examples. Draws are hashes of
+    the seed, the epoch and the row's KEYS (all columns where it has none of them).
     """
     n = examples.count()
     size = min(size, n)
     steps = n // size if n else 0
-    rate = steps * size / n if n else 0.0
-    upto = np.cumsum([math.exp(-rate) * rate**k / math.factorial(k) for k in range(12)]).tolist()
-    each = examples.select("*", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch")).withColumn("u", F.rand(seed))
-    drawn = each.withColumn("draws", F.size(F.filter(F.array(*map(F.lit, upto)), lambda x: x <= F.col("u")))).filter("draws > 0")
+    key = [F.col(k) for k in KEYS if k in examples.columns] or [F.to_json(F.struct("*"))]
+    each = examples.select("*", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch")).withColumn("u", uniform(F.lit(seed), F.col("epoch"), *key))
+    drawn = each.withColumn("draws", F.size(F.filter(F.array(*map(F.lit, poisson(steps * size / n if n else 0.0))), lambda x: x <= F.col("u")))).filter("draws > 0")
     own = drawn.select("*", F.explode(F.sequence(F.lit(1), F.col("draws"))).alias("draw"))
-    return own.withColumn("step", F.floor(F.rand(seed + 1) * max(1, steps)).cast("int")).drop("u", "draws", "draw"), steps
+    at = uniform(F.lit(seed + 1), F.col("epoch"), *key, F.col("draw")) * max(1, steps)
+    return own.withColumn("step", F.floor(at).cast("int")).drop("u", "draws", "draw"), steps
 
 
-def fit(examples: DataFrame, actions: int, epochs: int = 10, rate: float = 1e-3, batch: int = 256, seed: int = 0) -> tuple[dict[str, np.ndarray], list[tuple[int, float, float]]]:
-    """Linear policy (softmax) and value heads by a fresh Adam on minibatches; without examples the weights stay 0.
+def poisson(rate: float) -> list[float]:
+    """The chances of at most 0, 1, ... 11 draws."""
+    return np.cumsum([math.exp(-rate) * rate**k / math.factorial(k) for k in range(12)]).tolist()
 
-    Minibatches are written once, a folder a step, so that a step reads its own rows only. It is
-    one job: tasks sum gradients of their rows, and the driver gets a row a weight. The replay
-    itself never leaves the executors. The history has the mean losses of each epoch's batches.
-    """
-    wide = len(board_features(0, [], []))
-    weights, history = np.zeros(wide * actions + wide), []
-    m, v = np.zeros_like(weights), np.zeros_like(weights)
 
-    def parts(w):
-        return {"policy": w[: wide * actions].reshape(wide, actions), "value": w[wide * actions :]}
+@dataclass
+class Fit:
+    """Linear policy (softmax) and value heads; epoch, cross entropy and squared error of each epoch's batches; the first step's mean gradient."""
+
+    weights: dict[str, np.ndarray]
+    history: list[tuple[int, float, float]]
+    gradient: np.ndarray
 
-    batches, steps = minibatches(examples.select("m", "partial", "gram", "pi", "reward"), batch, epochs, seed)
+
+def fit_vectors(vectors: DataFrame, wide: int, actions: int, epochs: int = 10, rate: float = 1e-3, batch: int = 256, seed: int = 0, workers: int | None = None, most_steps: int | None = None) -> Fit:
+    """A fit of examples (x, pi, reward and KEYS) by Adam on minibatches, in one barrier stage.
+
+    Every task holds its share of all minibatches, sorted by epoch and step, and reads it once. At each
+    step tasks add up their gradient sums (a number a weight) and take the same step, so there is no job, folder
+    or driver between steps. A lost executor runs the stage again, with the same draws. The cluster must have
+    `workers` free slots. Without examples the weights stay 0.
+    """
+    spark, size = vectors.sparkSession, wide * actions + wide
+    drawn, steps = minibatches(vectors, batch, epochs, seed)
     if not steps:
-        return parts(weights), history
-    path = new_store(examples.sparkSession, "minibatches")
-    batches.write.partitionBy("epoch", "step").parquet(path)
-    stored = examples.sparkSession.read.parquet(path)
-    for epoch in range(epochs):
-        seen = np.zeros(3)
-        for step in range(steps):
-            total = gradient(stored.filter((F.col("epoch") == epoch) & (F.col("step") == step)), parts(weights), wide, actions)
-            n = total[-1]
-            if not n:
-                continue
-            seen += total[-3:]
-            slope, t = total[:-3] / n, epoch * steps + step + 1
-            m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
-            weights = weights - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-        if seen[-1]:
-            history.append((epoch, float(seen[0] / seen[2]), float(seen[1] / seen[2])))
-    return parts(weights), history
-
-
-def gradient(examples: DataFrame, weights: dict[str, np.ndarray], wide: int, actions: int) -> np.ndarray:
+        return Fit(heads(np.zeros(size), wide, actions), [], np.zeros(size))
+    workers = workers or spark.sparkContext.defaultParallelism
+
+    def run(batches):
+        from pyspark import BarrierTaskContext
+
+        context, shares = BarrierTaskContext.get(), by_step(batches)
+        weights, m, v, t = np.zeros(size), np.zeros(size), np.zeros(size), 0
+        ahead, lost = next(shares, None), np.zeros((epochs, 3))
+        first = np.zeros(size)
+        with Sums(context) as sums:
+            for epoch, step in itertools.islice(itertools.product(range(epochs), range(steps)), most_steps):
+                own = np.zeros(size + 3)
+                if ahead is not None and ahead[0] == (epoch, step):
+                    own, ahead = slopes(heads(weights, wide, actions), *ahead[1:]), next(shares, None)
+                total = sums.total(own)
+                if not total[-1]:
+                    continue
+                slope, t = total[:size] / total[-1], t + 1
+                lost[epoch] += total[size:]
+                first = slope if t == 1 else first
+                m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
+                weights = weights - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        if context.partitionId() == 0:
+            yield pd.DataFrame({"weights": [weights], "gradient": [first], "losses": [lost.ravel()]})
+
+    dealt = drawn.select("epoch", "step", "x", "pi", "reward").repartition(workers).sortWithinPartitions("epoch", "step")
+    found = dealt.mapInPandas(run, "weights array<double>, gradient array<double>, losses array<double>", barrier=True).collect()[0]
+    lost = np.array(found.losses).reshape(epochs, 3)
+    history = [(e, float(x[0] / x[2]), float(x[1] / x[2])) for e, x in enumerate(lost) if x[2]]
+    return Fit(heads(np.array(found.weights), wide, actions), history, np.array(found.gradient))
+
+
+def by_step(batches):
+    """((epoch, step), x, pi, reward) of a sorted stream: one minibatch's rows at a time."""
+    key, held = None, []
+    for b in batches:
+        for now, own in b.groupby(["epoch", "step"], sort=False):
+            if now != key and held:
+                yield (key, *stacked(held))
+                held = []
+            key = now
+            held.append(own)
+    if held:
+        yield (key, *stacked(held))
+
+
+def stacked(held: list[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    own = pd.concat(held)
+    return np.stack(own["x"].to_numpy()), np.stack(own["pi"].to_numpy()), own["reward"].to_numpy(dtype=np.float64)
+
+
+def heads(weights: np.ndarray, wide: int, actions: int) -> dict[str, np.ndarray]:
+    return {"policy": weights[: wide * actions].reshape(wide, actions), "value": weights[wide * actions :]}
+
+
+def slopes(weights: dict[str, np.ndarray], x: np.ndarray, pi: np.ndarray, z: np.ndarray) -> np.ndarray:
     """Sums over examples: the slopes of cross entropy and squared error, both losses, and the number of rows."""
+    p, v = forward(weights, x)
+    return np.concatenate([(x.T @ (p - pi)).ravel(), 2 * x.T @ (v - z), [-(pi * np.log(p + 1e-12)).sum(), ((v - z) ** 2).sum(), len(x)]])
+
+
+def board_vectors(examples: DataFrame) -> DataFrame:
+    """KEYS, x, pi, reward of replay examples (m, partial, gram, pi, reward), by board_features()."""
+    examples = examples.withColumnsRenamed({"step": "turn"})  # a minibatch has a step of its own
+    keys = [k for k in KEYS if k in examples.columns]
+    kinds = dict(examples.dtypes)
 
     def run(batches):
-        total = np.zeros(wide * actions + wide + 3)
         for b in batches:
-            if not len(b):
-                continue
-            x = np.stack([board_features(*row) for row in zip(b["m"], b["partial"], b["gram"], strict=True)])
-            pi, z = np.stack(b["pi"].to_numpy()), b["reward"].to_numpy()
-            p, v = forward(weights, x)
-            total += np.concatenate([(x.T @ (p - pi)).ravel(), 2 * x.T @ (v - z), [-(pi * np.log(p + 1e-12)).sum(), ((v - z) ** 2).sum(), len(x)]])
-        yield pd.DataFrame({"g": [total]})
-
-    parts = examples.select("m", "partial", "gram", "pi", "reward").mapInPandas(run, "g array<double>")
-    summed = parts.select(F.posexplode("g").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).orderBy("i").collect()  # a row a weight
-    return np.array([r.x for r in summed]) if summed else np.zeros(wide * actions + wide + 3)
-
-
-def fitted_losses(examples: DataFrame, actions: int, epochs: int = 5) -> DataFrame:
-    """epoch, cross_entropy, squared_error of a fit."""
-    history = fit(examples, actions, epochs)[1]
+            yield b[keys].assign(x=[board_features(*row) for row in zip(b["m"], b["partial"], b["gram"], strict=True)], pi=b["pi"], reward=b["reward"])
+
+    return examples.select(*keys, "m", "partial", "gram", "pi", "reward").mapInPandas(run, "".join(f"{k} {kinds[k]}, " for k in keys) + "x array<double>, pi array<double>, reward double")
+
+
+def fit(examples: DataFrame, actions: int, epochs: int = 10, rate: float = 1e-3, batch: int = 256, seed: int = 0) -> tuple[dict[str, np.ndarray], list[tuple[int, float, float]]]:
+    """Weights and history of a fit of replay examples."""
+    found = fit_vectors(board_vectors(examples), len(board_features(0, [], [])), actions, epochs, rate, batch, seed)
+    return found.weights, found.history
+
+
+def fitted_losses(examples: DataFrame, wide: int, actions: int, epochs: int = 5) -> DataFrame:
+    """epoch, cross_entropy, squared_error of a fit of vectors."""
+    history = fit_vectors(examples, wide, actions, epochs).history
     return examples.sparkSession.createDataFrame(history, "epoch int, cross_entropy double, squared_error double")
 
 
+def first_gradient(examples: DataFrame, wide: int, actions: int) -> DataFrame:
+    """head, feature, action (null for values), slope: the mean gradient of the first minibatch."""
+    found = heads(fit_vectors(examples, wide, actions, 1, most_steps=1).gradient, wide, actions)
+    rows = [("policy", i, a, float(found["policy"][i, a])) for i in range(wide) for a in range(actions)] + [("value", i, None, float(found["value"][i])) for i in range(wide)]
+    return examples.sparkSession.createDataFrame(rows, "head string, feature int, action int, slope double")
+
+
 def evaluator(weights: dict[str, np.ndarray]):
     """An evaluator for self-play from fitted weights."""
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from vectorloom.functions.columns import snapped_entry
 from vectorloom.operators import gram as G
 from vectorloom.operators.geometry import volume_bases
+from vectorloom.sources.tables import stored
 
 TOUCH, SLACK, NEAR = 0.5, 1e-4, 0.1
 #: Spheres accepted in a step at most; the step without one, in a row, that ends a round.
@@ -71,8 +72,8 @@ def candidates(spark: SparkSession, spheres: dict[int, list[list[float]]], step:
 def accepted(offered: DataFrame, order: str, touch: float = TOUCH + SLACK, most: int = AT_ONCE) -> DataFrame:
     """round, place and the other columns of offered (round, v, ...): those taken greedily in order, `most` a round at most.
 
-    Each must overlap with none that its round took before. A round is read as a sorted stream that
-    keeps only what was taken, so its number of rows has no bound; null vectors are left out.
+    Each must overlap with none that its round took before. A round is one task's sorted stream, so this is for
+    the bounded numbers of candidates of packing; first_independent() takes rounds of any size. Null vectors are left out.
     """
     names = offered.columns
 
@@ -82,17 +83,8 @@ def accepted(offered: DataFrame, order: str, touch: float = TOUCH + SLACK, most:
             for k, own in batch.groupby("round", sort=False):
                 if k != now:
                     now, taken = k, []
-                if len(taken) >= most:
-                    continue
-                x = np.stack(own["v"].to_numpy())
-                free = (x @ np.stack(taken).T <= touch).all(axis=1) if taken else np.ones(len(x), dtype=bool)
-                picks, first = [], len(taken)
-                while len(taken) < most and free.any():
-                    i = int(free.argmax())
-                    picks.append(i)
-                    taken.append(x[i])
-                    free &= x @ x[i] <= touch
-                    free[: i + 1] = False
+                first = len(taken)
+                picks = greedy(own["v"], taken, touch, most)
                 if picks:
                     yield own.iloc[picks].assign(place=np.arange(first, len(taken), dtype=np.int32))[["place", *names]]
 
@@ -100,6 +92,91 @@ def accepted(offered: DataFrame, order: str, touch: float = TOUCH + SLACK, most:
     return offered.filter("v is not null").repartition("round").sortWithinPartitions("round", order).mapInPandas(run, f"place int, {kinds}")
 
 
+def first_independent(offered: DataFrame, order: str, touch: float = TOUCH + SLACK, most: int = AT_ONCE) -> DataFrame:
+    """accepted() for rounds of any size: a round's rows may lie in many partitions, and none is read by one task.
+
+    Rows are ranges of (round, order); order must differ within a round, and null vectors are left out. In each pass
+    every partition offers what it would take by itself, `most` a round at most. Read in order, such a
+    choice is final as long as none before it was knocked out: until then nothing undecided stands before it. Rows that
+    overlap with what became final, and those of full rounds, are dropped, and the rest goes on. The first choice
+    of a round is always final, so there are no more than `most` passes, and two where partitions do not meddle.
+    """
+    spark, names = offered.sparkSession, offered.columns
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in offered.schema)
+    ranged = offered.filter("v is not null").repartitionByRange(parts, "round", order).sortWithinPartitions("round", order)
+    left = stored(ranged.withColumn("part", F.spark_partition_id()))
+    taken = spark.createDataFrame([], f"place int, {kinds}")
+
+    def offer(batches):
+        now, free = None, []
+        for batch in batches:
+            for k, own in batch.groupby("round", sort=False):
+                if k != now:
+                    now, free = k, []
+                picks = greedy(own["v"], free, touch, most)
+                if picks:
+                    yield own.iloc[picks].assign(nth=np.arange(len(free) - len(picks), len(free), dtype=np.int32))[[*names, "part", "nth"]]
+
+    def decide(batches):
+        """Final choices of each round in order; done on a round's last row if all of its partitions were read."""
+        now, have, chosen, open_, kept = None, 0, [], True, []
+        for batch in batches:
+            for k, own in batch.groupby("round", sort=False):
+                if k != now:
+                    yield from closed(kept, open_, have, chosen)
+                    now, have, chosen, open_, kept = k, int(own["have"].iloc[0]), [], True, []
+                for i, v in enumerate(own["v"]):
+                    if not open_ or have + len(chosen) >= most:
+                        break
+                    if chosen and (np.stack(chosen) @ v > touch).any():
+                        open_ = False
+                        break
+                    kept.append(own.iloc[[i]].assign(place=np.int32(have + len(chosen))))
+                    chosen.append(v)
+        yield from closed(kept, open_, have, chosen)
+
+    def closed(kept, open_, have, chosen):
+        if kept:
+            yield pd.concat(kept).assign(done=open_ or have + len(chosen) >= most)[["place", *names, "done"]]
+
+    def drop(key, rows, new):
+        """Rows of a partition and round that may still be taken."""
+        if len(new) and bool(new["done"].iloc[0]):
+            return rows.iloc[:0]
+        if len(rows) and len(new):
+            rows = rows[(np.stack(rows["v"]) @ np.stack(new["v"]).T <= touch).all(axis=1)]
+            rows = rows[rows[order] > new[order].max()] if len(rows) else rows
+        return rows.sort_values(order)
+
+    while True:
+        have = taken.groupBy("round").agg(F.count("*").cast("int").alias("have"))
+        picks = left.mapInPandas(offer, f"{kinds}, part int, nth int").join(have, "round", "left").fillna(0, ["have"])
+        # `most` rows a partition and round at most
+        final = stored(picks.repartition("round").sortWithinPartitions("round", "part", "nth").mapInPandas(decide, f"place int, {kinds}, done boolean"))
+        taken = taken.union(final.drop("done"))
+        if final.filter("not done").limit(1).count() == 0:
+            return taken
+        meet = left.select("round", "part").distinct().join(final.select("round", "v", order, "done"), "round").select((F.col("round") + 0).alias("r"), (F.col("part") + 0).alias("p"), "v", order, "done")
+        left = stored(left.groupBy("round", "part").cogroup(meet.groupBy("r", "p")).applyInPandas(drop, f"{kinds}, part int").repartition(parts, "part").sortWithinPartitions("round", "part", order))
+
+
+def greedy(vectors, taken: list, touch: float, most: int) -> list[int]:
+    """Places of the vectors that can be added to taken, in order, up to `most` together; taken grows by them."""
+    if len(taken) >= most:
+        return []
+    x = np.stack(vectors.to_numpy())
+    free = (x @ np.stack(taken).T <= touch).all(axis=1) if taken else np.ones(len(x), dtype=bool)
+    picks = []
+    while len(taken) < most and free.any():
+        i = int(free.argmax())
+        picks.append(i)
+        taken.append(x[i])
+        free &= x @ x[i] <= touch
+        free[: i + 1] = False
+    return picks
+
+
 def packed_spheres(spark: SparkSession, dim: int, rounds: int = 10, most: int | None = None, number: int = 1024, steps: int = 150) -> DataFrame:
     """round, sphere_id, v of independent rounds, seeded i * 999 + 1: to the cap, or until EMPTY steps in a row add nothing."""
     cap = most or max(15 * dim, 120)

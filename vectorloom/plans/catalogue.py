@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectorloom.functions import columns as C
-from vectorloom.operators import episodes, geometry, gram, learn, search, selfplay, simulate
+from vectorloom.operators import bounds, canonical, episodes, geometry, gram, learn, listed, ranks, search, selfplay, simulate
 from vectorloom.sources.tables import append_metrics_of, append_replay, checkpoint_names, new_store, read_replay, read_store, table
+from vectorloom.streaming import metrics
 
 #: The event types, in the order of their action numbers.
 ACTIONS = ("click", "error", "purchase", "signup", "view")
@@ -89,7 +90,7 @@ def normalize_vectors_norm(spark, d):
 
 @query(f"select vec_id, neighbour, cos from (select i as vec_id, j as neighbour, round(c, 6) as cos, row_number() over (partition by i order by round(c, 6) desc, j) k from {BOTH}) where k = 1")
 def nearest_neighbor_top1(spark, d):
-    return gram.nearest(table(spark, d, "embeddings")).select(F.col("id").alias("vec_id"), "neighbour", "cos")
+    return bounds.nearest(table(spark, d, "embeddings"))[0].select(F.col("id").alias("vec_id"), "neighbour", "cos")
 
 
 def contact(spark, d):
@@ -99,7 +100,9 @@ def contact(spark, d):
 
 @query(f"select id as vec_id, round(max(c), 6) as max_cos from {CROSS} group by id having max(c) <= 0.4 and max(c) >= 0.25")
 def overlap_contact_filter(spark, d):
-    return contact(spark, d).filter((F.col("max_cos") <= 0.4) & (F.col("max_cos") >= 0.25)).select(F.col("id").alias("vec_id"), F.round("max_cos", 6).alias("max_cos"))
+    e = table(spark, d, "embeddings")
+    near, _ = bounds.contacts_within(e.filter("label < 5"), e.filter("label >= 5"), 0.25)
+    return near.filter(F.col("max_cos") <= 0.4).select(F.col("id").alias("vec_id"), F.round("max_cos", 6).alias("max_cos"))
 
 
 @query(f"select round(avg(100 * overlap - case when (select count(*) from embeddings where label >= 5) < 128 then 0.1 * m else 0 end), 6) as loss from (select sum(power(greatest(c - 0.2, 0), 2)) overlap, max(c) m from {CROSS} group by id)")
@@ -260,10 +263,12 @@ def temperature_switch(spark, d):
     return episodes.with_temperature(steps(spark, d), 15).select("step", "nth", "temperature")
 
 
-@query("select cast(step as int) as step, round(case when step >= 31 then 1 - (step - 31) / (300 - 31 + 1e-8) else step / 31 end, 9) as rate, round(0.5 * (1 + cos(pi() * step / 300)), 9) as cosine from range(300) t(step)")
+@query("select event_id, cast(k as int) as step, round(case when k >= 31 then 1 - (k - 31) / (300 - 31 + 1e-8) else k / 31 end, 9) as rate, round(0.5 * (1 + cos(pi() * k / 300)), 9) as cosine from (select event_id, row_number() over (partition by user_id order by event_id) - 1 k from events)")
 def lr_schedule(spark, d):
-    step = F.col("id")
-    return spark.range(300).select(step.cast("int").alias("step"), F.round(C.warm_up_rate(step, 300), 9).alias("rate"), F.round(C.cosine_rate(step, 300), 9).alias("cosine"))
+    """Learning rates of 300 steps, where a step is the place of an event among its user's."""
+    step = F.col("place")
+    placed = ranks.placed(table(spark, d, "events").select("user_id", "event_id"), "user_id", "event_id")
+    return placed.select("event_id", step.cast("int").alias("step"), F.round(C.warm_up_rate(step, 300), 9).alias("rate"), F.round(C.cosine_rate(step, 300), 9).alias("cosine"))
 
 
 @query("select event_type, round(sum(value * w), 4) as sum, cast(sum(w) as bigint) as count, round(sum(value * w) / sum(w), 6) as avg from (select event_type, value, 1 + event_id % 3 as w from events) group by event_type")
@@ -278,10 +283,11 @@ def loss_ce_mse(spark, d):
     return learn.losses(edge.select("s", "p", (F.col("q") / 100).alias("z")), 0.2).select(F.round("cross_entropy", 6).alias("cross_entropy"), F.round("squared_error", 6).alias("squared_error"))
 
 
-@query("select cast(rank as int) as rank, cast(rank % 8 as int) as device, cast(greatest(1, 100 // 64) as int) as episodes, 'run_d6_r' || rank as name from range(64) t(rank)")
+@query("select user_id as rank, cast(user_id % 8 as int) as device, cast(greatest(1, count(*) // 64) as int) as episodes, 'run_d6_r' || user_id as name from events group by user_id")
 def batch_split(spark, d):
-    r = F.col("id")
-    return spark.range(64).select(r.cast("int").alias("rank"), C.placement(r.cast("int"), 8).alias("device"), F.lit(C.batch_size(100, 64)).alias("episodes"), F.concat(F.lit("run_d6_r"), r.cast("string")).alias("name"))
+    """The events of each user, a worker, in 64 batches: its device, batch size and name."""
+    n = table(spark, d, "events").groupBy(F.col("user_id").alias("rank")).agg(F.count("*").alias("n"))
+    return n.select("rank", C.placement(F.col("rank"), 8).cast("int").alias("device"), C.batch_sizes(F.col("n"), 64).cast("int").alias("episodes"), F.concat(F.lit("run_d6_r"), F.col("rank").cast("string")).alias("name"))
 
 
 @query("select vec_id, list_transform(range(8), lambda i: i >= label) as padded, list_transform(range(16), lambda i: round(embedding[i // 2 + 1 + (i % 2) * 8]::double, 6)) as token from embeddings")
@@ -388,6 +394,34 @@ def metrics_round_trip(spark, d):
     return read_store(spark, path).select("iter", "name", F.round("value", 6).alias("value"))
 
 
+METRICS = "select cast(dayofmonth(ts) as int) as iter, unnest(['best', 'mean', 'steps']) as name, round(unnest([max(value), avg(value), count(*)::double]), 6) as value from events group by 1"
+
+
+@query(METRICS)
+def metrics_stream(spark, d):
+    """The same metrics, from a store that a stream of the events was written to."""
+    kind = table(spark, d, "events").schema
+    stream = spark.readStream.schema(kind).option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", "true").parquet(d)
+    path = new_store(spark, "metrics-stream")
+    metrics.follow_metrics(stream.select(F.dayofmonth("ts").alias("iter"), F.col("value").alias("m")), path, f"{path}-checkpoint").awaitTermination()
+    return metrics.read_metrics(spark, path).select("iter", "name", F.round("value", 6).alias("value"))
+
+
+@query("select vec_id, count(*) filter (where len(list_filter(l, lambda a: abs(a - x) <= 2e-4)) > 0) as n_listed, count(*) as n from (select vec_id, unnest(embedding)::double x from embeddings), (select list(distinct round(embedding[1]::double, 6)) l from embeddings) group by vec_id")
+def listed_coordinates(spark, d):
+    """How many of each vector's coordinates are near one of the alphabet of all first coordinates."""
+    e = table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    found = listed.listed(e.select("vec_id", F.explode("v").alias("x")), e.select(F.round(F.col("v")[0], 6).alias("a")), 2e-4)
+    return found.groupBy("vec_id").agg(F.count(F.when(F.col("listed"), 1)).alias("n_listed"), F.count("*").alias("n"))
+
+
+@query()
+def merged_states(spark, d):
+    """States of root vectors that are equal but for the order of their spheres, as one: its key, how many they are, and the first."""
+    out = canonical.merged(geometry.root_states(table(spark, d, "embeddings")), F.col("state"), F.col("place"))
+    return out.select("key", "n", "first.state", "first.place", "first.m", "first.partial")
+
+
 ACTIONS_SQL = "(values (0, -1.0::double), (1, -0.5::double), (2, 0.0::double), (3, 0.5::double)) t(action, b)"
 #: Whether a third sphere with cosines a and b to two spheres at cosine c exists, up to the jitter.
 THIRD = "1.0000001 * 1.0000001 - c * c > 0 and power(1.0000001, 3) + 2 * a * b * c - 1.0000001 * (a * a + b * b + c * c) > 0"
@@ -420,7 +454,7 @@ def frontier_growth(spark, d):
 def greedy_acceptance(spark, d):
     """Of each label's vectors, in the order of their ids, the first ten that have no larger cosine than 0.2 with each other."""
     offered = table(spark, d, "embeddings").select(F.col("label").alias("round"), F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
-    return simulate.accepted(offered, "id", 0.2).select("round", "id", "place")
+    return simulate.first_independent(offered, "id", 0.2).select("round", "id", "place")
 
 
 @query("select label as round, count(*) as n, (select count(*) from embeddings) as total from embeddings group by label")
@@ -444,7 +478,36 @@ def selfplay_episodes(spark, d):
     return selfplay.play(spark, dim=3, upper_bound=14, cosines=[-1.0, -0.5, 0.0, 0.5], workers=4, episodes=2, simulations=24, seed=1).select("rank", "episode", "step", "m", "is_dead", "action", "pi", "reward")
 
 
+def replay_examples(spark: SparkSession, d: str) -> DataFrame:
+    """id, x, pi, reward: every event with its state's visits as policy and its episode's last value as reward."""
+    e, t = steps(spark, d), trace(spark, d)
+    full = search.expanded(t.select("s").distinct(), search.edges(t).select("s", "a", "n"), actions(spark))
+    listed = full.groupBy(F.col("s").alias("episode")).agg(F.sort_array(F.collect_list(F.struct("a", F.coalesce("n", F.lit(0)).cast("double").alias("n")))).alias("x"))  # five actions
+    policy = listed.select("episode", F.transform("x.n", lambda n: n / C.total(F.col("x.n"))).alias("pi"))
+    x = F.array(F.lit(1.0), F.col("m") / 100, F.col("iter") / 31, F.col("is_dead").cast("double"))
+    return episodes.with_reward(e, 0.0, 75.0).join(policy, "episode").select(F.col("step").alias("id"), x.alias("x"), "pi", "reward")
+
+
+UNIFORM = "('0x' || substr(md5(concat_ws(':', {})), 1, 8))::bigint / 4294967296.0"
+GRADIENT = f"""
+with e as (select event_id id, [1.0, value / 100, dayofmonth(ts) / 31, (event_type = 'error')::int::double] x, pi, greatest(-1, least(1, 2 * r / (75 + 1e-5) - 1)) z
+ from events join (select user_id, max_by(value, event_id) r from events group by user_id) using (user_id)
+ join (select s, list(p order by a) pi from (select s, a, coalesce(n, 0) / sum(coalesce(n, 0)) over (partition by s) p from {FULL}) group by s) on s = user_id),
+k as (select n // least(256, n) steps, n // least(256, n) * least(256, n) / n r from (select count(*) n from e)),
+p as (select steps, list_transform(range(12), lambda i: list_sum(list_transform(range(i + 1), lambda j: exp(-r) * power(r, j) / factorial(j::int)))) upto from k),
+d as (select *, unnest(range(1, 1 + len(list_filter(upto, lambda c: c <= u)))) draw from (select *, {UNIFORM.format("0, 0, id")} u from e, p)),
+b as (select x, pi, z from d where floor({UNIFORM.format("1, 0, id, draw")} * steps) = 0)
+select 'policy' as head, cast(f as int) as feature, cast(a as int) as action, round(avg(x[f + 1] * (0.2 - pi[a + 1])), 9) as slope from b, range(4) u(f), range(5) v(a) group by f, a
+union all select 'value', cast(f as int), null, round(avg(2 * x[f + 1] * (0 - z)), 9) from b, range(4) u(f) group by f"""
+
+
+@query(GRADIENT)
+def policy_value_gradient(spark, d):
+    """The mean gradient of the first minibatch of a fit of all events."""
+    return learn.first_gradient(replay_examples(spark, d), 4, len(ACTIONS)).withColumn("slope", F.round("slope", 9))
+
+
 @query()
 def policy_value_fit(spark, d):
-    played = selfplay.play(spark, dim=3, upper_bound=14, cosines=[-1.0, -0.5, 0.0, 0.5], workers=4, episodes=2, simulations=24, seed=1)
-    return learn.fitted_losses(played, 4)
+    """Losses of three epochs of minibatches over all events, in one barrier stage."""
+    return learn.fitted_losses(replay_examples(spark, d), 4, len(ACTIONS), 3)
