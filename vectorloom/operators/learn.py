@@ -208,5 +208,19 @@ def predictions(states: DataFrame, weights: dict[str, np.ndarray], *keys: str) -
     return states.select(*keys, "m", "partial", "gram").mapInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", pi array<double>, value double")
 
 
+def predict_vectors(vectors: DataFrame, weights: dict[str, np.ndarray], *keys: str) -> DataFrame:
+    """keys, pi, value of vectors (x); the weights are broadcast."""
+    shared = vectors.sparkSession.sparkContext.broadcast(weights)
+    kinds = dict(vectors.dtypes)
+
+    def run(batches):
+        for b in batches:
+            if len(b):
+                p, v = forward(shared.value, np.stack(b["x"].to_numpy()))
+                yield b[list(keys)].assign(pi=list(p), value=v)
+
+    return vectors.select(*keys, "x").mapInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", pi array<double>, value double")
+
+
 def shuffled(examples: DataFrame, seed: int) -> DataFrame:
     return examples.orderBy(F.rand(seed))

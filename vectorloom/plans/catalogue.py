@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectorloom.functions import columns as C
-from vectorloom.operators import bounds, canonical, episodes, geometry, gram, learn, listed, ranks, search, selfplay, simulate
-from vectorloom.sources.tables import append_metrics_of, append_replay, checkpoint_names, new_store, read_replay, read_store, table
+from vectorloom.operators import attention, bounds, canonical, episodes, geometry, gram, learn, listed, ranks, search, selfplay, simulate
+from vectorloom.sources.tables import append_metrics_of, append_replay, checkpoint_names, load_model, new_store, read_replay, read_store, save_model, table
 from vectorloom.streaming import metrics
 
 #: The event types, in the order of their action numbers.
@@ -511,3 +512,51 @@ def policy_value_gradient(spark, d):
 def policy_value_fit(spark, d):
     """Losses of three epochs of minibatches over all events, in one barrier stage."""
     return learn.fitted_losses(replay_examples(spark, d), 4, len(ACTIONS), 3)
+
+
+MODEL = GRADIENT.replace("\nselect 'policy' as head", ",\ng as materialized (select 'policy' as head").replace("round(avg(x[f + 1] * (0.2 - pi[a + 1])), 9)", "avg(x[f + 1] * (0.2 - pi[a + 1]))").replace("round(avg(2 * x[f + 1] * (0 - z)), 9)", "avg(2 * x[f + 1] * (0 - z))")
+#: One step of Adam from zero moves each weight by the rate, against its gradient.
+PREDICTIONS = f"""{MODEL}),
+w as materialized (select head, list(-0.05 * slope / (abs(slope) + 1e-8) order by action, feature) w from g group by head),
+o as (select id, list_transform(range(5), lambda a: exp(list_sum(list_transform(range(1, 5), lambda f: x[f] * p.w[4 * a + f])))) l, list_sum(list_transform(range(1, 5), lambda f: x[f] * v.w[f])) v from e, (select w from w where head = 'policy') p, (select w from w where head = 'value') v)
+select id as event_id, list_transform(l, lambda y: round(y / list_sum(l), 6)) as pi, round(v, 6) as value from o"""
+
+
+@query(PREDICTIONS)
+def model_predictions(spark, d):
+    """Policy and value of every event by a model that was fitted for a step, saved under a name, and loaded."""
+    examples, path = replay_examples(spark, d), new_store(spark, "models")
+    weights = learn.fit_vectors(examples, 4, len(ACTIONS), 1, rate=0.05, most_steps=1).weights
+    save_model(spark, path, 1, "temp", {k: v.ravel().tolist() for k, v in weights.items()})
+    loaded = load_model(spark, path, "temp")
+    model = {"policy": np.array(loaded["policy"]).reshape(4, len(ACTIONS)), "value": np.array(loaded["value"])}
+    out = learn.predict_vectors(examples, model, "id")
+    return out.select(F.col("id").alias("event_id"), F.transform("pi", lambda x: F.round(x, 6)).alias("pi"), F.round("value", 6).alias("value"))
+
+
+SHAPE = attention.Shape(bound=8, actions=4, width=32)
+
+
+def _embedding() -> str:
+    """The linear part of the evaluator: the first token times the first matrix of the rule, and its bias."""
+    cos = lambda i, j: f"list_dot_product(s{i}, s{j}) / 2"
+    last = lambda i: f"case m when 2 then {cos(i, 2)} when 3 then {cos(i, 3)} else {cos(i, 4)} end"
+    token = ", ".join(f"{cos(0, i) if i < 2 else f'case when m > {i} then {cos(0, i)} else 0 end'}, {last(0) if i == 0 else f'case when m > 2 then {last(1)} else 0 end' if i == 1 else '0'}" for i in range(4))
+    return f"select state, place, list_transform(range(4), lambda j: round(list_sum(list_transform(range(8), lambda i: t[i + 1] * sin(1 + 7 * i + 13 * j) / sqrt(16))) + sin(1 + 13 * j + 17), 6)) as first from (select state, place, [{token}]::double[] t from {_roots()})"
+
+
+def evaluations(spark: SparkSession, d: str) -> DataFrame:
+    states = geometry.root_states(table(spark, d, "embeddings")).withColumn("is_dead", F.lit(False))
+    return attention.evaluated(states, SHAPE, attention.fixed_weights(SHAPE), "state", "place")
+
+
+@query(_embedding())
+def board_embeddings(spark, d):
+    """The first four numbers of the embedded first token of every state of root vectors."""
+    return evaluations(spark, d).select("state", "place", F.transform(F.slice("first", 1, 4), lambda x: F.round(x, 6)).alias("first"))
+
+
+@query()
+def board_evaluations(spark, d):
+    """Policy and value of every state of root vectors by the attention encoder."""
+    return evaluations(spark, d).select("state", "place", F.transform("pi", lambda x: F.round(x, 6)).alias("pi"), F.round("value", 6).alias("value"))
