@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 
 from vectorloom.functions import columns as C
 from vectorloom.operators import attention, bounds, canonical, episodes, geometry, gram, learn, listed, ranks, search, selfplay, simulate
+from vectorloom.session import Settings
 from vectorloom.sources.tables import append_metrics_of, append_replay, checkpoint_names, load_model, new_store, read_replay, read_store, save_model, table
-from vectorloom.streaming import metrics
+from vectorloom.streaming import metrics, replay
 
 #: The event types, in the order of their action numbers.
 ACTIONS = ("click", "error", "purchase", "signup", "view")
+#: Thresholds of a run, with their usual values.
+SETTINGS = Settings()
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
@@ -172,7 +175,7 @@ def policy_zero_visit_fallback(spark, d):
 def puct_select(spark, d):
     t = trace(spark, d)
     full = search.expanded(t.select("s").distinct(), search.edges(t), actions(spark)).withColumn("prior", F.lit(0.2))
-    return search.selection(full, 2.0)
+    return search.selection(full, SETTINGS.exploration)
 
 
 @query(f"with x as (select s, list(p order by a) p, list(v order by a) v from (select s, a, round(coalesce(n, 0) / sum(coalesce(n, 0)) over (partition by s), 9) p, (s + a) % 5 < 2 v from {FULL}) group by s), y as (select s, list_sum(list_transform(list_zip(p, v), lambda z: case when z[2] then z[1] else 0 end)) t, list_sum(list_transform(v, lambda b: b::int)) l, p, v from x) select s, list_transform(list_zip(p, v), lambda z: round(case when t > 0 then case when z[2] then z[1] else 0 end / t else z[2]::int::double / l end, 6)) as p from y")
@@ -251,17 +254,17 @@ def checkpoint_cadence(spark, d):
 
 @query("select event_id as step, cast(dayofmonth(ts) as int) as iter from events where dayofmonth(ts) in (select distinct dayofmonth(ts) from events order by 1 desc limit 20)")
 def replay_retention(spark, d):
-    return episodes.retained(steps(spark, d), 20).select("step", "iter")
+    return episodes.retained(steps(spark, d), SETTINGS.history).select("step", "iter")
 
 
 @query("select event_id as step, round(greatest(-1, least(1, 2 * (r - 0) / (75 - 0 + 1e-5) - 1)), 6) as reward from events join (select user_id, max_by(value, event_id) r from events group by user_id) using (user_id)")
 def reward_backfill(spark, d):
-    return episodes.with_reward(steps(spark, d), 0.0, 75.0).select("step", F.round("reward", 6).alias("reward"))
+    return episodes.with_reward(steps(spark, d), SETTINGS.reward_min, SETTINGS.reward_max).select("step", F.round("reward", 6).alias("reward"))
 
 
 @query("select event_id as step, cast(row_number() over w as int) as nth, case when row_number() over w < 15 then 1 else 0 end as temperature from events window w as (partition by user_id order by event_id)")
 def temperature_switch(spark, d):
-    return episodes.with_temperature(steps(spark, d), 15).select("step", "nth", "temperature")
+    return episodes.with_temperature(steps(spark, d), SETTINGS.temperature_threshold).select("step", "nth", "temperature")
 
 
 @query("select event_id, cast(k as int) as step, round(case when k >= 31 then 1 - (k - 31) / (300 - 31 + 1e-8) else k / 31 end, 9) as rate, round(0.5 * (1 + cos(pi() * k / 300)), 9) as cosine from (select event_id, row_number() over (partition by user_id order by event_id) - 1 k from events)")
@@ -383,7 +386,7 @@ def replay_round_trip(spark, d):
     every, path = steps(spark, d), new_store(spark, "replay")
     append_replay(every.select("iter", "step", "m"), path)
     last = every.agg(F.max("iter").alias("iter")).first().iter
-    return read_replay(spark, path, 20, last or 0).select("step", "iter", "m")
+    return read_replay(spark, path, SETTINGS.history, last or 0).select("step", "iter", "m")
 
 
 @query("select cast(dayofmonth(ts) as int) as iter, unnest(['best', 'mean', 'steps']) as name, round(unnest([max(value), avg(value), count(*)::double]), 6) as value from events group by 1")
@@ -395,16 +398,33 @@ def metrics_round_trip(spark, d):
     return read_store(spark, path).select("iter", "name", F.round("value", 6).alias("value"))
 
 
+def event_stream(spark: SparkSession, d: str) -> DataFrame:
+    kind = table(spark, d, "events").schema
+    return spark.readStream.schema(kind).option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", "true").parquet(d)
+
+
+@query("select strftime(time_bucket(interval '1 hour', ts), '%Y-%m-%d %H') as hour, max(value) as best from events group by 1")
+def windowed_best_stream(spark, d):
+    """The best value of every hour of event time, from a stream of the events."""
+    path = new_store(spark, "windows")
+    replay.follow_best(event_stream(spark, d).select("ts", F.col("value").alias("m")), path, f"{path}-checkpoint").awaitTermination()
+    return read_store(spark, path).select(F.date_format("start", "yyyy-MM-dd HH").alias("hour"), F.col("m").alias("best"))
+
+
+@query(f"select cast(round_even((c::float * 1000::float)::double, 0) as bigint) as key, count(*) as n from {PAIRS} group by 1")
+def cosine_histogram_single(spark, d):
+    """All pairs by cosine in thousandths, in single precision throughout."""
+    return gram.histogram(table(spark, d, "embeddings"), single=True)
+
+
 METRICS = "select cast(dayofmonth(ts) as int) as iter, unnest(['best', 'mean', 'steps']) as name, round(unnest([max(value), avg(value), count(*)::double]), 6) as value from events group by 1"
 
 
 @query(METRICS)
 def metrics_stream(spark, d):
     """The same metrics, from a store that a stream of the events was written to."""
-    kind = table(spark, d, "events").schema
-    stream = spark.readStream.schema(kind).option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", "true").parquet(d)
     path = new_store(spark, "metrics-stream")
-    metrics.follow_metrics(stream.select(F.dayofmonth("ts").alias("iter"), F.col("value").alias("m")), path, f"{path}-checkpoint").awaitTermination()
+    metrics.follow_metrics(event_stream(spark, d).select(F.dayofmonth("ts").alias("iter"), F.col("value").alias("m")), path, f"{path}-checkpoint").awaitTermination()
     return metrics.read_metrics(spark, path).select("iter", "name", F.round("value", 6).alias("value"))
 
 
@@ -486,7 +506,7 @@ def replay_examples(spark: SparkSession, d: str) -> DataFrame:
     listed = full.groupBy(F.col("s").alias("episode")).agg(F.sort_array(F.collect_list(F.struct("a", F.coalesce("n", F.lit(0)).cast("double").alias("n")))).alias("x"))  # five actions
     policy = listed.select("episode", F.transform("x.n", lambda n: n / C.total(F.col("x.n"))).alias("pi"))
     x = F.array(F.lit(1.0), F.col("m") / 100, F.col("iter") / 31, F.col("is_dead").cast("double"))
-    return episodes.with_reward(e, 0.0, 75.0).join(policy, "episode").select(F.col("step").alias("id"), x.alias("x"), "pi", "reward")
+    return episodes.with_reward(e, SETTINGS.reward_min, SETTINGS.reward_max).join(policy, "episode").select(F.col("step").alias("id"), x.alias("x"), "pi", "reward")
 
 
 UNIFORM = "('0x' || substr(md5(concat_ws(':', {})), 1, 8))::bigint / 4294967296.0"

@@ -22,3 +22,15 @@ def follow(spark: SparkSession, folder: str, schema: str, table: str, checkpoint
     """Keeps the edge statistics of a folder of Parquet files in a memory table."""
     stream = spark.readStream.schema(schema).parquet(folder)
     return edge_statistics(stream).writeStream.outputMode("complete").format("memory").queryName(table).option("checkpointLocation", checkpoint).start()
+
+
+def follow_best(stream: DataFrame, path: str, checkpoint: str, every: str = "1 hour") -> StreamingQuery:
+    """Writes the best of each window of all that a stream of (ts, m) has by now to path.
+
+    Each batch replaces the table with all windows so far, so one that comes again changes nothing.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    return windowed_best(stream, every=every).writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
