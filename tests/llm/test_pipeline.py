@@ -85,7 +85,7 @@ def test_run_and_registration(spark, tmp_path):
     corpus(spark, folder)
     assert corpus_pipeline.run(spark, folder).count() > 0
     assert set(queries.QUERIES) <= set(__spark_entry__.queries())
-    assert [f"op{n}_" for n in range(1, 11)] == sorted((k.split("_")[0] + "_" for k in queries.QUERIES if k.startswith("op")), key=lambda x: int(x[2:-1]))
+    assert [f"op{n}_" for n in range(1, 14)] == sorted((k.split("_")[0] + "_" for k in queries.QUERIES if k.startswith("op")), key=lambda x: int(x[2:-1]))
 
 
 def test_rows_are_judged_one_by_one(spark, tmp_path):
