@@ -14,10 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectorloom.functions import columns as C
+from vectorloom.functions import tables
 from vectorloom.operators import attention, bounds, canonical, episodes, geometry, gram, learn, listed, ranks, search, selfplay, simulate
 from vectorloom.session import Settings
 from vectorloom.sources.tables import append_metrics_of, append_replay, checkpoint_names, load_model, new_store, read_replay, read_store, save_model, table
-from vectorloom.streaming import metrics, replay
+from vectorloom.streaming import metrics, replay, state
 
 #: The event types, in the order of their action numbers.
 ACTIONS = ("click", "error", "purchase", "signup", "view")
@@ -380,6 +381,14 @@ def legality_of_third_sphere(spark, d):
     return geometry.legal_actions(geometry.pair_states(table(spark, d, "embeddings")), [-1.0, -0.5, 0.0, 0.5]).select("state", "action", "cos", "valid")
 
 
+@query(ORACLES["legality_of_third_sphere"])
+def legality_by_table_function(spark, d):
+    """The same by SQL: every state's legal actions from a table function that is called laterally."""
+    tables.register(spark)
+    states = geometry.pair_states(table(spark, d, "embeddings"))
+    return spark.sql("select s.state, x.* from {states} s, lateral legal_actions(s.m, s.gram, s.partial, array(-1.0D, -0.5D, 0.0D, 0.5D), 3) x", states=states)
+
+
 @query("select event_id as step, cast(dayofmonth(ts) as int) as iter, value as m from events where dayofmonth(ts) > (select max(dayofmonth(ts)) from events) - 20")
 def replay_round_trip(spark, d):
     """The last 20 iterations of a replay store that all steps were written to."""
@@ -411,6 +420,18 @@ def windowed_best_stream(spark, d):
     return read_store(spark, path).select(F.date_format("start", "yyyy-MM-dd HH").alias("hour"), F.col("m").alias("best"))
 
 
+@query(f"select sim, s, a, count(*) over edge as n, round(avg(v) over edge, 6) as q, greatest(1.0, max(v) over (partition by s order by sim rows unbounded preceding)) as best from {T} window edge as (partition by s, a order by sim rows unbounded preceding)")
+def backup_running_stream(spark, d):
+    """Running means of edges and the best so far of every state, from a stream of the events that keeps them as state.
+
+    A user has a few events a day, so a slice is a week.
+    """
+    path = new_store(spark, "running")
+    rows = event_stream(spark, d).select(F.col("user_id").alias("s"), action().alias("a"), F.col("value").alias("v"), F.col("event_id").alias("sim"), "ts")
+    state.follow_running(rows, path, f"{path}-checkpoint", slice_ms=7 * 86_400_000).awaitTermination()
+    return state.all_running(spark, path, f"{path}-checkpoint").select("sim", "s", "a", "n", F.round("q", 6).alias("q"), "best")
+
+
 @query(f"select cast(round_even((c::float * 1000::float)::double, 0) as bigint) as key, count(*) as n from {PAIRS} group by 1")
 def cosine_histogram_single(spark, d):
     """All pairs by cosine in thousandths, in single precision throughout."""
