@@ -13,7 +13,7 @@ from tests.llm import cases
 from vectorloom.llm import queries, sharding, spelling, whitening
 
 
-@pytest.mark.parametrize("name", ["op11_spelling_variants", "op12_sharding"])
+@pytest.mark.parametrize("name", ["op11_spelling_variants", "op12_sharding", "quality_base"])
 def test_query_matches_sql(name, same):
     same(queries.QUERIES[name], queries.ORACLES[name])
 

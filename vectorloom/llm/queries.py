@@ -20,6 +20,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op2_quality_rules that its labels do not decide, so that SQL can state them."""
+    return op2_quality_rules(spark, sf_dir).drop("kept", "rejected_by")
+
+
 def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of every text by a factorisation machine."""
     return quality_model.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -87,6 +92,7 @@ QUERIES = {
     "pipeline": pipeline,
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_quality_rules": op2_quality_rules,
+    "quality_base": quality_base,
     "op3_quality_model": op3_quality_model,
     "op4_packing": op4_packing,
     "op5_substring_dedup": op5_substring_dedup,
@@ -104,6 +110,17 @@ WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+')
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def _base_sql() -> str:
+    return rf"""
+with d as (select row_number() over () r, doc_id, coalesce(text, '') t, {WORDS} w from documents),
+places as (select r, w, unnest(range(1, len(w) - 1)) i from d where len(w) >= 3),
+again as (select r, i, count(*) over (partition by r, w[i], w[i + 1], w[i + 2]) n from places),
+covered as (select r, count(distinct i + k) n from again, range(3) s(k) where again.n > 1 group by r),
+c as (select r, doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as n_symbols,
+ list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) lines, coalesce(covered.n, 0) as n_repeat_words from d left join covered using (r))
+select doc_id, n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) as n_dup_lines, n_repeat_words, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from c"""
+
+
 def _licenses_sql() -> str:
     split = r"list_filter(string_split_regex({}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
     phrases = ", ".join(f"({p.split()!r}, '{label}')" for p, label in licenses.PHRASES.items())
@@ -134,6 +151,7 @@ def crc_sql(text: str) -> str:
 
 
 ORACLES: dict[str, str] = {
+    "quality_base": _base_sql(),
     "op1_minhash_dedup": f"""
 with recursive d as (select doc_id, {WORDS.replace("coalesce(text, '')", LOWER)} w from documents),
 s as (select distinct doc_id, case when len(w) < 4 then array_to_string(w, ' ') else array_to_string(w[i:i + 3], ' ') end g from d, unnest(range(1, greatest(len(w) - 2, 2))) r(i) where len(w) > 0),
