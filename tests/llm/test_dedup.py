@@ -224,6 +224,18 @@ def test_radix_groups_are_equal_windows():
             assert [j for j in range(300) if own[j] == own[i]] == ([i] if g < 0 else np.flatnonzero(group == g).tolist())
 
 
+def test_exchange_grows_with_the_sketch():
+    """Chunks grow before shards do, both stop at a bound of memory, and a row of the sketch has many shards at every size."""
+    sizes = [repeats.exchange_sizes(bits) for bits in range(10, 49)]
+    assert sizes == sorted(sizes) and sizes[-1] == (32_000_000, 26) and repeats.exchange_sizes(30) == (1_000_000, 24)
+    for bits in range(22, 49):
+        chunk, shard_bits = repeats.exchange_sizes(bits)
+        assert bits - shard_bits >= 6
+        # cells that a chunk sends to a shard: about one in 24 bytes
+        assert bits < 30 or bits > 37 or chunk / 24 / 2 ** (bits - shard_bits) > 600
+        assert bits > 45 or bits < 30 or chunk / 24 / 2 ** (bits - shard_bits) > 2
+
+
 def test_sketch_that_is_exchanged(spark, monkeypatch):
     """A prefilter too large to be broadcast: same spans, few windows that pass, also where shards, chunks and ids repeat."""
     r = random.Random(12)

@@ -35,8 +35,9 @@ from pyspark.sql import functions as F
 from vectorloom.llm.common import binary_column, mixed, rows, runs_of, shared_windows, shuffles, written
 
 ROWS, BLOCK_BITS, MOST_BITS = 2, 16, 29
-#: Cells of a shard of a sketch that is not broadcast (a byte each while it is merged), and bytes of the texts that ask it together.
-SHARD_BITS, CHUNK = 24, 1_000_000
+#: Cells of a shard of a sketch that is not broadcast (a byte each while it is merged), and bytes of the texts that ask it together;
+#: both grow with the sketch, by GROWTH doublings of the texts first and then by SHARD_GROWTH of the shards.
+SHARD_BITS, CHUNK, GROWTH, SHARD_GROWTH = 24, 1_000_000, 5, 2
 #: Items that a task holds before it sends their cells.
 FLUSH = 3_000_000
 #: Bytes of fragments that are solved at a time.
@@ -265,6 +266,18 @@ def one_by_one(keys: np.ndarray, low: np.ndarray, high: np.ndarray, number: np.n
 FRAGMENTS = "key long, doc_id long, at binary, windows int, part binary"
 
 
+def exchange_sizes(bits: int) -> tuple[int, int]:
+    """Bytes of texts that ask a sketch of 2^bits cells a row together, and the bits of its shards.
+
+    A row of the exchange is what one chunk asks one shard. Chunks that double with the number
+    of shards keep such rows long (some 650 cells) up to 2^35 cells, larger shards up to 2^37;
+    beyond, rows halve with each doubling, to a few cells at 2^45 (140 TB). Both are bounded
+    by memory: 32 MB of texts, 64 MB of counts. A row of the sketch has 64 shards at least.
+    """
+    over = max(0, bits - MOST_BITS - 1)
+    return CHUNK << min(GROWTH, over), max(min(SHARD_BITS, BLOCK_BITS, bits), min(SHARD_BITS + min(SHARD_GROWTH, max(0, over - GROWTH)), bits - 6))
+
+
 def exchanged(texts: DataFrame, groups_of: Callable, items_of: Callable, fragments_of: Callable, bits: int, heavy: int) -> DataFrame:
     """FRAGMENTS by a sketch of any size, whose shards are counted in tasks and sent to no one.
 
@@ -273,7 +286,7 @@ def exchanged(texts: DataFrame, groups_of: Callable, items_of: Callable, fragmen
     what it holds: one that a task which runs again puts together in another way finds no
     marks, and all its windows pass.
     """
-    spark, shard_bits, size = texts.sparkSession, min(SHARD_BITS, bits), CHUNK
+    spark, (size, shard_bits) = texts.sparkSession, exchange_sizes(bits)
     key_bits = 6 + max(0, bits - MOST_BITS)
 
     def chunks(batches):
@@ -297,50 +310,58 @@ def exchanged(texts: DataFrame, groups_of: Callable, items_of: Callable, fragmen
 
     def asked(batches):
         for chunk, held in chunks(batches):
-            found, shards, packed = list(items_of(held)), [], []
+            found = list(items_of(held))
             for row in range(ROWS):
                 own = at_most_twice(np.concatenate([cells(items[row], row, bits) for items in found]).astype(np.uint64))
-                number = own >> np.uint64(shard_bits)
-                starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])[: len(own)])
-                low = (own & np.uint64(2**shard_bits - 1)).astype("<u4")
-                for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(own)], strict=len(own) > 0):
-                    shards.append(row << 56 | int(number[a]))
-                    packed.append(low[a:b].tobytes())
+                yield from split(chunk, (own & np.uint64(2**shard_bits - 1)).astype("<u4"), (own >> np.uint64(shard_bits)).astype(np.int64) | row << 56)
             told = np.unique(np.concatenate([items[ROWS] for items in found]), axis=0)  # sorted by key
-            number = told[:, 0] >> np.uint64(64 - key_bits)
-            starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])[: len(told)])
-            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(told)], strict=len(told) > 0):
-                shards.append(-1 - int(number[a]))
-                packed.append(told[a:b].tobytes())
-            yield made(shards, [chunk] * len(shards), packed)
+            yield from split(chunk, told, -1 - (told[:, 0] >> np.uint64(64 - key_bits)).astype(np.int64))
+
+    def split(chunk, values, shards):
+        """A row for each shard, with its values; those of a shard stand together."""
+        if len(values):
+            first = np.flatnonzero(np.concatenate([[True], shards[1:] != shards[:-1]]))
+            yield made(shards[first], pa.repeat(pa.scalar(chunk, pa.binary()), len(first)), values, np.append(first, len(values)))
 
-    def made(shards, names, packed):
-        return pa.record_batch({"shard": pa.array(shards, pa.int64()), "chunk": pa.array(names, pa.binary()), "cells": pa.array(packed, pa.binary())})
+    def made(shards, names, values, bounds):
+        offsets = (bounds * (values.nbytes // max(1, len(values)))).astype(np.int32)
+        return pa.record_batch({"shard": pa.array(shards, pa.int64()), "chunk": names, "cells": pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())])})
 
     def answered(batches):
-        held = []
-        for row in rows(batches, "shard", "chunk", "cells"):
-            if held and row[0] != held[0][0]:
-                yield from answer(held)
-                held = []
-            held.append(row)
+        held, number = [], None
+        for batch in batches:
+            shards = batch.column(0).to_numpy()
+            cuts = np.flatnonzero(shards[1:] != shards[:-1]) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(shards)], strict=True):
+                if held and b > a and shards[a] != number:
+                    yield from answer(number, held)
+                    held = []
+                if b > a:
+                    number = int(shards[a])
+                    held.append(batch.slice(a, b - a))
         if held:
-            yield from answer(held)
+            yield from answer(number, held)
 
-    def answer(held):
+    def answer(shard, held):
         """To each chunk those of its cells that are repeated (none, too, is an answer); of sampled fragments the heavy keys."""
-        shard = held[0][0]
         if shard < 0:
-            if len(keys := often([packed for _, _, packed in held], heavy)):
-                yield made([shard], [b""], [keys.tobytes()])
+            if len(keys := often([binary_column(x.column(2))[0].tobytes() for x in held], heavy)):
+                yield made([shard], pa.array([b""], pa.binary()), keys, np.array([0, len(keys)]))
             return
         counts = np.zeros(2**shard_bits, dtype=np.uint8)
-        for _, _, packed in held:
-            reach(counts, np.frombuffer(packed, dtype="<u4"))
-        for at in range(0, len(held), 1000):
-            part = held[at : at + 1000]
-            own = [np.unique(np.frombuffer(packed, dtype="<u4")) for _, _, packed in part]
-            yield made([shard] * len(part), [chunk for _, chunk, _ in part], [x[counts[x] > 1].tobytes() for x in own])
+        for x in held:
+            reach(counts, np.sort(cells_of(x.column(2))[0]))
+        for x in held:
+            own, bounds = cells_of(x.column(2))
+            new = np.concatenate([[True], own[1:] != own[:-1]])
+            new[bounds[:-1]] = True  # no row is empty
+            kept = new & (counts[own] > 1)
+            yield made(x.column(0), x.column(1), own[kept], np.concatenate([[0], np.cumsum(kept)])[bounds])
+
+    def cells_of(column):
+        """The cells of all rows, and the bounds of each row among them."""
+        data, bounds = binary_column(column)
+        return np.frombuffer(data.tobytes(), dtype="<u4"), bounds // 4
 
     def texts_of(batches):
         """A chunk's ids and sizes, and its texts, compressed."""
@@ -352,21 +373,36 @@ def exchanged(texts: DataFrame, groups_of: Callable, items_of: Callable, fragmen
 
     def marked(batches):
         """The groups of each chunk with its marks, which come before its texts."""
-        name, known = None, [[], []]
-        for chunk, shard, packed, places in rows(batches, "chunk", "shard", "cells", "places"):
-            if chunk != name:
-                name, known = chunk, [[] for _ in range(ROWS)]
-            if shard >= 0:
-                number = np.uint64((shard & (2**56 - 1)) << shard_bits)
-                known[shard >> 56].append(np.frombuffer(packed, dtype="<u4").astype(np.uint64) | number)
-                continue
-            marks = Marks([*(np.sort(np.concatenate(x)) if x else None for x in known), keys.value], bits)
-            where = np.frombuffer(places, dtype="<i8").reshape(-1, 2)
-            ends = np.cumsum(where[:, 1])
-            whole = pa.decompress(packed, int(ends[-1]), codec="zstd", asbytes=True) if packed else b""
-            own = [(int(d), whole[end - n : end]) for (d, n), end in zip(where.tolist(), ends.tolist(), strict=True)]
-            for group in groups_of([pa.record_batch({"doc_id": pa.array([d for d, _ in own], pa.int64()), "text": pa.array([t for _, t in own], pa.binary())})]):
-                yield group, marks
+        name, known = None, []
+        for batch in batches:
+            names, shards = np.frombuffer(binary_column(batch.column(0))[0].tobytes(), dtype="S16"), batch.column(1).to_numpy()
+            cuts = np.flatnonzero(names[1:] != names[:-1]) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+                if a == b:
+                    continue
+                if (own := batch.column(0)[a].as_py()) != name:
+                    name, known = own, [[] for _ in range(ROWS)]
+                told = a + int(np.count_nonzero(shards[a:b] >= 0))
+                if told > a:
+                    remember(known, shards[a:told], batch.column(2).slice(a, told - a))
+                for packed, places in zip(batch.column(2).slice(told, b - told).to_pylist(), batch.column(3).slice(told, b - told).to_pylist(), strict=True):
+                    marks = Marks([*(np.sort(np.concatenate(x)) if x else None for x in known), keys.value], bits)
+                    yield from ((group, marks) for group in opened(packed, places))
+
+    def remember(known, shards, column):
+        own, bounds = cells_of(column)
+        number = np.diff(bounds)
+        own = own.astype(np.uint64) | np.repeat((shards & (2**56 - 1)).astype(np.uint64) << np.uint64(shard_bits), number)
+        for row in range(ROWS):
+            if (theirs := shards >> 56 == row).any():
+                known[row].append(own[np.repeat(theirs, number)])
+
+    def opened(packed, places):
+        where = np.frombuffer(places, dtype="<i8").reshape(-1, 2)
+        ends = np.cumsum(where[:, 1])
+        whole = pa.decompress(packed, int(ends[-1]), codec="zstd", asbytes=True) if packed else b""
+        own = [(int(d), whole[end - n : end]) for (d, n), end in zip(where.tolist(), ends.tolist(), strict=True)]
+        return groups_of([pa.record_batch({"doc_id": pa.array([d for d, _ in own], pa.int64()), "text": pa.array([t for _, t in own], pa.binary())})])
 
     schema = "shard long, chunk binary, cells binary"
     marks = written(texts.mapInArrow(asked, schema).repartition(shuffles(spark), "shard").sortWithinPartitions("shard").mapInArrow(answered, schema))
