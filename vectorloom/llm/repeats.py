@@ -314,8 +314,10 @@ def exchanged(texts: DataFrame, groups_of: Callable, items_of: Callable, fragmen
             for row in range(ROWS):
                 own = at_most_twice(np.concatenate([cells(items[row], row, bits) for items in found]).astype(np.uint64))
                 yield from split(chunk, (own & np.uint64(2**shard_bits - 1)).astype("<u4"), (own >> np.uint64(shard_bits)).astype(np.int64) | row << 56)
-            told = np.unique(np.concatenate([items[ROWS] for items in found]), axis=0)  # sorted by key
-            yield from split(chunk, told, -1 - (told[:, 0] >> np.uint64(64 - key_bits)).astype(np.int64))
+            told = np.unique(np.concatenate([items[ROWS] for items in found]), axis=0)
+            number = (mixed(told[:, 0]) >> np.uint64(64 - key_bits)).astype(np.int64)  # keys are minima, so that their own high bits are low
+            order = np.argsort(number, kind="stable")
+            yield from split(chunk, told[order], -1 - number[order])
 
     def split(chunk, values, shards):
         """A row for each shard, with its values; those of a shard stand together."""
