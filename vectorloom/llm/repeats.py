@@ -55,7 +55,8 @@ SPARE = np.uint64(0xFFF)
 def cells(items: np.ndarray, row: int, bits: int) -> np.ndarray:
     """The cell of each item (a mixed 64-bit hash) in a row of the sketch."""
     items = items & ~SPARE
-    turned = items if row == 0 else (items << np.uint64(32) | items >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)
+    # multiplied in both rows: minimisers are extreme hashes, whose own high bits would crowd a few of the cells
+    turned = (items if row == 0 else items << np.uint64(32) | items >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)
     return (turned >> np.uint64(64 - bits)).astype(np.uint32 if bits <= 32 else np.uint64)
 
 
