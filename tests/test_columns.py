@@ -54,3 +54,15 @@ def test_keys_placement_and_split(spark):
     assert C.batch_size(100, 64) == 1
     assert C.batch_size(10, 64) == 1
     assert spark.range(1).select(C.placement(F.lit(9), 4).alias("d")).first().d == 1
+
+
+def test_rounding_keeps_the_sign_of_zero(spark, duck, tmp_path):
+    from vectorloom.plans import catalogue
+
+    x = [-1e-9, 1e-9, -0.0, -0.0078125, 0.0078125, 0.25, -4.9e-7, -5.1e-7]
+    spark.createDataFrame([(1, x * 2, 3)], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = catalogue.board_tokens(spark, str(tmp_path)).first().token
+    duck.execute(f"create temp view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    own = duck.execute(catalogue.ORACLES["board_tokens"]).fetchall()[0][2]
+    duck.execute("drop view temp.embeddings")
+    assert list(map(repr, found)) == list(map(repr, own))

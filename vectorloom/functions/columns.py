@@ -20,6 +20,12 @@ def dot(a: Column, b: Column) -> Column:
     return total(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")))
 
 
+def rounded(x: Column, places: int) -> Column:
+    """x rounded as SQL does it: what is rounded to zero keeps its sign, which round() drops."""
+    r = F.round(x, places)
+    return F.when(r == 0, x * 0.0).otherwise(r)
+
+
 def norm(v: Column) -> Column:
     return F.sqrt(dot(v, v))
 

@@ -90,7 +90,7 @@ def gram_threshold_summary(spark, d):
 @query("select vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::double * x::double))), 6) as length, round(embedding[1]::double / sqrt(list_sum(list_transform(embedding, lambda x: x::double * x::double))), 6) as first from embeddings")
 def normalize_vectors_norm(spark, d):
     e = F.col("embedding")
-    return table(spark, d, "embeddings").select("vec_id", F.round(C.norm(e), 6).alias("length"), F.round(C.normalised(e)[0], 6).alias("first"))
+    return table(spark, d, "embeddings").select("vec_id", F.round(C.norm(e), 6).alias("length"), C.rounded(C.normalised(e)[0], 6).alias("first"))
 
 
 @query(f"select vec_id, neighbour, cos from (select i as vec_id, j as neighbour, round(c, 6) as cos, row_number() over (partition by i order by round(c, 6) desc, j) k from {BOTH}) where k = 1")
@@ -298,7 +298,7 @@ def batch_split(spark, d):
 @query("select vec_id, list_transform(range(8), lambda i: i >= label) as padded, list_transform(range(16), lambda i: round(embedding[i // 2 + 1 + (i % 2) * 8]::double, 6)) as token from embeddings")
 def board_tokens(spark, d):
     e = F.col("embedding").cast("array<double>")
-    return table(spark, d, "embeddings").select("vec_id", C.padding_mask(F.col("label"), 8).alias("padded"), F.transform(C.tokens(F.slice(e, 1, 8), F.slice(e, 9, 8)), lambda x: F.round(x, 6)).alias("token"))
+    return table(spark, d, "embeddings").select("vec_id", C.padding_mask(F.col("label"), 8).alias("padded"), F.transform(C.tokens(F.slice(e, 1, 8), F.slice(e, 9, 8)), lambda x: C.rounded(x, 6)).alias("token"))
 
 
 @query(f"select i, j, round(c, 6) as cos from {PAIRS} where i < 10 and j < 10")
@@ -572,7 +572,7 @@ def model_predictions(spark, d):
     loaded = load_model(spark, path, "temp")
     model = {"policy": np.array(loaded["policy"]).reshape(4, len(ACTIONS)), "value": np.array(loaded["value"])}
     out = learn.predict_vectors(examples, model, "id")
-    return out.select(F.col("id").alias("event_id"), F.transform("pi", lambda x: F.round(x, 6)).alias("pi"), F.round("value", 6).alias("value"))
+    return out.select(F.col("id").alias("event_id"), F.transform("pi", lambda x: C.rounded(x, 6)).alias("pi"), C.rounded(F.col("value"), 6).alias("value"))
 
 
 SHAPE = attention.Shape(bound=8, actions=4, width=32)
@@ -594,10 +594,10 @@ def evaluations(spark: SparkSession, d: str) -> DataFrame:
 @query(_embedding())
 def board_embeddings(spark, d):
     """The first four numbers of the embedded first token of every state of root vectors."""
-    return evaluations(spark, d).select("state", "place", F.transform(F.slice("first", 1, 4), lambda x: F.round(x, 6)).alias("first"))
+    return evaluations(spark, d).select("state", "place", F.transform(F.slice("first", 1, 4), lambda x: C.rounded(x, 6)).alias("first"))
 
 
 @query()
 def board_evaluations(spark, d):
     """Policy and value of every state of root vectors by the attention encoder."""
-    return evaluations(spark, d).select("state", "place", F.transform("pi", lambda x: F.round(x, 6)).alias("pi"), F.round("value", 6).alias("value"))
+    return evaluations(spark, d).select("state", "place", F.transform("pi", lambda x: C.rounded(x, 6)).alias("pi"), F.round("value", 6).alias("value"))
