@@ -50,3 +50,14 @@ def test_rounding_is_that_of_sql(duck):
     x = [0.5, -0.5, 2.5, 0.0078125, -0.0078125, -1e-9, 1e-9, 0.1234564, -0.1234565, 3.0]
     own = duck.execute("select round(unnest(?::double[]), 6)", [x]).fetchall()
     assert list(map(repr, gram.rounded(np.array(x), 6).tolist())) == [repr(r[0]) for r in own]
+
+
+def test_extremes_over_tiles(spark, small):
+    v = vectors()
+    c = v @ v.T
+    np.fill_diagonal(c, -9)
+    found = {r.id: r for r in gram.row_extremes(frame(spark, v), 0.3).collect()}
+    assert len(found) == 60
+    for i, row in enumerate(c):
+        assert found[3 * i].max_cos == pytest.approx(row.max()) and found[3 * i].n_over == (row > 0.3).sum()
+    assert gram.row_extremes(frame(spark, v[:1]), 0.3).count() == 0
