@@ -61,3 +61,16 @@ def test_extremes_over_tiles(spark, small):
     for i, row in enumerate(c):
         assert found[3 * i].max_cos == pytest.approx(row.max()) and found[3 * i].n_over == (row > 0.3).sum()
     assert gram.row_extremes(frame(spark, v[:1]), 0.3).count() == 0
+
+
+def test_counts_of_keys_of_any_width(spark, small, monkeypatch):
+    v = vectors()
+    found = gram.millionths(frame(spark, v)).collect()
+    assert {r.key: r.n for r in found} == Counter(round(c * 1e6) for c in products(v).values()) and len(found) == len({r.key for r in found})
+    monkeypatch.setattr(gram, "WIDE", 50)
+    keys = [np.array([1.0, 2.0, 2.0]), np.array([-40.0, 1.0]), np.array([]), np.array([30.0]), np.array([1e9, 3.0]), np.array([60.0, 61.0])]
+    total = Counter()
+    for part in gram.tallied(keys):
+        for k, n in zip(part["key"].tolist(), part["n"].tolist(), strict=True):
+            total[k] += n
+    assert total == Counter(int(x) for k in keys for x in k)
