@@ -74,3 +74,14 @@ def test_counts_of_keys_of_any_width(spark, small, monkeypatch):
         for k, n in zip(part["key"].tolist(), part["n"].tolist(), strict=True):
             total[k] += n
     assert total == Counter(int(x) for k in keys for x in k)
+
+
+def test_listed_pairs_by_smaller_id(spark, small):
+    v, values = vectors(), [-1.0, -0.25, 0.0, 0.5]
+    n, k = Counter(), Counter()
+    for (i, _), c in products(v).items():
+        n[i] += 1
+        k[i] += min(abs(round(c, 6) - x) for x in values) <= 0.05
+    found = {r.i: (r.n, r.k) for r in gram.listed_by_row(frame(spark, v), values, 0.05).collect()}
+    assert found == {i: (n[i], k[i]) for i in n}
+    assert {r.k for r in gram.listed_by_row(frame(spark, v), []).collect()} == {0}
