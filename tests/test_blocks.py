@@ -85,3 +85,11 @@ def test_listed_pairs_by_smaller_id(spark, small):
     found = {r.i: (r.n, r.k) for r in gram.listed_by_row(frame(spark, v), values, 0.05).collect()}
     assert found == {i: (n[i], k[i]) for i in n}
     assert {r.k for r in gram.listed_by_row(frame(spark, v), []).collect()} == {0}
+
+
+def test_alphabet_counts_pairs_once(spark, monkeypatch, tmp_path):
+    from vectorloom.plans import catalogue
+
+    frame(spark, vectors(40)).filter("vec_id is not null and embedding is not null").write.parquet(f"{tmp_path}/embeddings.parquet")
+    plan = catalogue.alphabet_discovery(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInArrow" not in plan  # the histogram is stored, both its readers read that

@@ -17,7 +17,7 @@ from vectorloom.functions import columns as C
 from vectorloom.functions import tables
 from vectorloom.operators import attention, bounds, canonical, episodes, geometry, gram, learn, listed, ranks, search, selfplay, simulate
 from vectorloom.session import Settings
-from vectorloom.sources.tables import append_metrics_of, append_replay, checkpoint_names, load_model, new_store, read_replay, read_store, save_model, table
+from vectorloom.sources.tables import append_metrics_of, append_replay, checkpoint_names, load_model, new_store, read_replay, read_store, save_model, stored, table
 from vectorloom.streaming import metrics, replay, state
 
 #: The event types, in the order of their action numbers.
@@ -125,7 +125,7 @@ def cosine_histogram(spark, d):
 @query(f"select action, round(cos, 9) as cos, (select count(*) from {FREQUENT} f where {snap_sql('(f.key / 1000.0::double)')} = x.cos) as n_keys from {ALPHABET} x")
 def alphabet_discovery(spark, d):
     e = table(spark, d, "embeddings")
-    counts = gram.histogram(e)
+    counts = stored(gram.histogram(e))
     keys = gram.frequent(counts, e.count()).groupBy(C.snapped(F.col("key") / 1000).alias("cos")).agg(F.count("*").alias("n_keys"))
     return gram.alphabet(counts, e.count()).join(keys, "cos", "left").select("action", F.round("cos", 9).alias("cos"), F.coalesce("n_keys", F.lit(0)).alias("n_keys"))
 
