@@ -93,3 +93,10 @@ def test_alphabet_counts_pairs_once(spark, monkeypatch, tmp_path):
     frame(spark, vectors(40)).filter("vec_id is not null and embedding is not null").write.parquet(f"{tmp_path}/embeddings.parquet")
     plan = catalogue.alphabet_discovery(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapGroupsInArrow" not in plan  # the histogram is stored, both its readers read that
+
+
+@pytest.mark.parametrize("single", [False, True])
+def test_histogram_over_tiles(spark, small, single):
+    v, kind = vectors(), np.float32 if single else np.float64
+    found = {r.key: r.n for r in gram.histogram(frame(spark, v), single=single).collect()}
+    assert found == Counter(int(np.rint(kind(c) * kind(1000))) for c in products(v).values())
