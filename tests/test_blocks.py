@@ -100,3 +100,14 @@ def test_histogram_over_tiles(spark, small, single):
     v, kind = vectors(), np.float32 if single else np.float64
     found = {r.key: r.n for r in gram.histogram(frame(spark, v), single=single).collect()}
     assert found == Counter(int(np.rint(kind(c) * kind(1000))) for c in products(v).values())
+
+
+def test_contacts_over_tiles(spark, small):
+    v = vectors()
+    own = frame(spark, v)
+    found = {r.id: r for r in gram.contacts(own.filter("vec_id < 60"), own.filter("vec_id >= 60"), 0.2).collect()}
+    c = v[:20] @ v[20:].T
+    assert len(found) == 20
+    for i, row in enumerate(c):
+        assert found[3 * i].max_cos == pytest.approx(row.max()) and found[3 * i].overlap == pytest.approx((np.maximum(row - 0.2, 0) ** 2).sum())
+    assert gram.contacts(own.filter("vec_id < 0"), own, 0.2).count() == 0
