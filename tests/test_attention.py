@@ -54,3 +54,21 @@ def test_evaluator_matches_a_loop_and_ignores_what_is_masked(spark):
             assert np.array_equal(a, b)
     assert len({round(x.value, 6) for x in found.values()}) > 5
     assert attention.evaluated(states.limit(0), SHAPE, WEIGHTS, "state").count() == 0
+
+
+def test_only_what_is_asked_for_is_computed(spark, monkeypatch):
+    states = geometry.root_states(spark.createDataFrame([(0, [0.3, -0.1, 0.7, 0.2, -0.9])], "vec_id long, embedding array<double>")).withColumn("is_dead", F.lit(False))
+    whole = {r.place: r for r in attention.evaluated(states, SHAPE, WEIGHTS, "place").collect()}
+    seen = []
+    monkeypatch.setattr(attention, "attended", lambda w, k, h, masked, heads, f=attention.attended: (seen.append(h.shape[1]), f(w, k, h, masked, heads))[1])
+    batch = states.toPandas()
+    tasks = []
+    monkeypatch.setattr(type(states), "mapInPandas", lambda self, run, schema: tasks.append((run, schema)))
+    attention.evaluated(states, SHAPE, WEIGHTS, "place", give=("first",))
+    attention.evaluated(states, SHAPE, WEIGHTS, "place", give=("pi", "value"))
+    (first, kind), (rest, _) = tasks
+    assert kind == "place int, first array<double>"
+    found = {r.place: r.first for b in first([batch]) for r in b.itertuples()}
+    assert not seen and all(np.allclose(found[k], r.first) for k, r in whole.items())
+    assert all(np.allclose(r.pi, whole[r.place].pi) for b in rest([batch]) for r in b.itertuples())
+    assert set(seen) == {2 + k for k in set(batch["m"])}

@@ -45,17 +45,31 @@ def fixed_weights(shape: Shape) -> Weights:
 
 def boards(m: list[int], gram: list, partial: list, dead: list[bool], bound: int) -> np.ndarray:
     """The tokens of boards of at most `bound` spheres: (boards, bound, 2 * bound)."""
-    out = np.zeros((len(m), bound, bound, 2))
-    for i, (k, g, p, d) in enumerate(zip(m, gram, partial, dead, strict=True)):
-        out[i, :k, :k, 0] = np.asarray(g).reshape(k, k)
-        out[i, 0, : len(p), 1] = p
-        out[i, 1, :2, 1] = k, d
-        out[i, 2, 0, 1] = len(p)
-    return out.reshape(len(m), bound, 2 * bound)
+    out, size = np.zeros((len(m), bound, bound, 2)), np.asarray(m, dtype=np.int64)
+    if not len(size):
+        return out.reshape(0, bound, 2 * bound)
+    board, at = _places(size**2)
+    out[board, at // size[board], at % size[board], 0] = np.concatenate([np.ravel(g) for g in gram])
+    known = np.array([len(p) for p in partial])
+    board, at = _places(known)
+    out[board, 0, at, 1] = np.concatenate([np.asarray(p, dtype=np.float64) for p in partial])
+    out[:, 1, 0, 1], out[:, 1, 1, 1], out[:, 2, 0, 1] = size, dead, known
+    return out.reshape(len(size), bound, 2 * bound)
+
+
+def _places(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of lists of such lengths, one after the other: the list of each entry, and its place there."""
+    ends = np.cumsum(lengths)
+    return np.repeat(np.arange(len(lengths)), lengths), np.arange(ends[-1]) - np.repeat(ends - lengths, lengths)
+
+
+def times(x: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """x @ a as one product of two matrices; numpy makes one a board of it."""
+    return (x.reshape(-1, x.shape[-1]) @ a).reshape(*x.shape[:-1], a.shape[1])
 
 
 def embedded(weights: Weights, tokens: np.ndarray) -> np.ndarray:
-    return tokens @ weights["embed"] + weights["embed_bias"]
+    return times(tokens, weights["embed"]) + weights["embed_bias"]
 
 
 def normed(x: np.ndarray) -> np.ndarray:
@@ -67,30 +81,35 @@ def attended(weights: Weights, k: int, h: np.ndarray, masked: np.ndarray, heads:
     """Attention of layer k over (boards, places, width); masked places are not looked at."""
     n, places, w = h.shape
     split = lambda x: x.reshape(n, places, heads, w // heads).transpose(0, 2, 1, 3)
-    q, key, value = (split(h @ weights[f"{k}.{name}"]) for name in ("query", "key", "value"))
-    score = np.where(masked[:, None, None, :], -np.inf, q @ key.transpose(0, 1, 3, 2) / (w // heads) ** 0.5)
+    q, key, value = (split(times(h, weights[f"{k}.{name}"])) for name in ("query", "key", "value"))
+    score = np.where(masked[:, None, None, :], -np.inf, np.einsum("nhpd,nhqd->nhpq", q, key) / (w // heads) ** 0.5)
     score = np.exp(score - score.max(axis=-1, keepdims=True))
-    mixed = score / score.sum(axis=-1, keepdims=True) @ value
-    return mixed.transpose(0, 2, 1, 3).reshape(n, places, w) @ weights[f"{k}.out"]
+    mixed = np.einsum("nhpq,nhqd->nphd", score / score.sum(axis=-1, keepdims=True), value)
+    return times(mixed.reshape(n, places, w), weights[f"{k}.out"])
 
 
 def evaluate(weights: Weights, shape: Shape, tokens: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Policies (boards, actions) and values (0 or more) of boards."""
     n = len(tokens)
     h = np.concatenate([np.broadcast_to(weights["own"], (n, 2, shape.width)), embedded(weights, tokens)], axis=1)
-    masked = np.concatenate([np.zeros((n, 2), bool), np.arange(shape.bound)[None] >= np.asarray(m)[:, None]], axis=1)
+    masked = np.concatenate([np.zeros((n, 2), bool), np.arange(tokens.shape[1])[None] >= np.asarray(m)[:, None]], axis=1)
     for k in range(shape.layers):
         h = normed(h + attended(weights, k, h, masked, shape.heads))
-        h = normed(h + np.maximum(h @ weights[f"{k}.up"] + weights[f"{k}.up_bias"], 0) @ weights[f"{k}.down"] + weights[f"{k}.down_bias"])
+        h = normed(h + times(np.maximum(times(h, weights[f"{k}.up"]) + weights[f"{k}.up_bias"], 0), weights[f"{k}.down"]) + weights[f"{k}.down_bias"])
     logits = h[:, 0] @ weights["policy"]
     p = np.exp(logits - logits.max(axis=1, keepdims=True))
     return p / p.sum(axis=1, keepdims=True), np.maximum(h[:, 1] @ weights["worth"], 0)[:, 0]
 
 
-def evaluated(states: DataFrame, shape: Shape, weights: Weights, *keys: str, rows: int = 1024) -> DataFrame:
-    """keys, pi, value and first (the embedding of the first token) of states (is_dead, m, gram, partial) of at most shape.bound spheres.
+#: What evaluated() can give, and its types.
+GIVEN = {"pi": "array<double>", "value": "double", "first": "array<double>"}
 
-    Weights are broadcast: their number is the shape's. Batches go in slices, which bounds a task's memory.
+
+def evaluated(states: DataFrame, shape: Shape, weights: Weights, *keys: str, rows: int = 1024, give: tuple[str, ...] = tuple(GIVEN)) -> DataFrame:
+    """keys, pi, value and first (the embedding of the first token), as far as asked for, of states (is_dead, m, gram, partial) of at most shape.bound spheres.
+
+    Weights are broadcast: their number is the shape's. Batches go in slices, which bounds a task's memory. States of one size are
+    evaluated together and without the places that they do not fill; where only `first` is asked for, no layer is run.
     """
     shared = states.sparkSession.sparkContext.broadcast(weights)
     kinds = dict(states.dtypes)
@@ -99,9 +118,18 @@ def evaluated(states: DataFrame, shape: Shape, weights: Weights, *keys: str, row
         for batch in batches:
             for at in range(0, len(batch), rows):
                 b = batch.iloc[at : at + rows]
-                tokens = boards(b["m"].tolist(), b["gram"].tolist(), b["partial"].tolist(), b["is_dead"].tolist(), shape.bound)
-                pi, value = evaluate(shared.value, shape, tokens, b["m"].to_numpy())
-                yield b[list(keys)].assign(pi=list(pi), value=value, first=list(embedded(shared.value, tokens[:, 0])))
-
-    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", pi array<double>, value double, first array<double>"
+                m = b["m"].to_numpy()
+                tokens = boards(m, b["gram"].tolist(), b["partial"].tolist(), b["is_dead"].to_numpy(), shape.bound)
+                out = {}
+                if "first" in give:
+                    out["first"] = list(embedded(shared.value, tokens[:, 0]))
+                if "pi" in give or "value" in give:
+                    pi, value = np.empty((len(b), shape.actions)), np.empty(len(b))
+                    for k in np.unique(m):
+                        own = m == k
+                        pi[own], value[own] = evaluate(shared.value, shape, tokens[own, :k], m[own])
+                    out |= {"pi": list(pi), "value": value}
+                yield b[list(keys)].assign(**{k: out[k] for k in give})
+
+    schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), *(f"{k} {GIVEN[k]}" for k in give)])
     return states.select(*keys, "is_dead", "m", "gram", "partial").mapInPandas(run, schema)

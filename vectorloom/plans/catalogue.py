@@ -586,18 +586,18 @@ def _embedding() -> str:
     return f"select state, place, list_transform(range(4), lambda j: round(list_sum(list_transform(range(8), lambda i: t[i + 1] * sin(1 + 7 * i + 13 * j) / sqrt(16))) + sin(1 + 13 * j + 17), 6)) as first from (select state, place, [{token}]::double[] t from {_roots()})"
 
 
-def evaluations(spark: SparkSession, d: str) -> DataFrame:
+def evaluations(spark: SparkSession, d: str, *give: str) -> DataFrame:
     states = geometry.root_states(table(spark, d, "embeddings")).withColumn("is_dead", F.lit(False))
-    return attention.evaluated(states, SHAPE, attention.fixed_weights(SHAPE), "state", "place")
+    return attention.evaluated(states, SHAPE, attention.fixed_weights(SHAPE), "state", "place", give=give)
 
 
 @query(_embedding())
 def board_embeddings(spark, d):
     """The first four numbers of the embedded first token of every state of root vectors."""
-    return evaluations(spark, d).select("state", "place", F.transform(F.slice("first", 1, 4), lambda x: C.rounded(x, 6)).alias("first"))
+    return evaluations(spark, d, "first").select("state", "place", F.transform(F.slice("first", 1, 4), lambda x: C.rounded(x, 6)).alias("first"))
 
 
 @query()
 def board_evaluations(spark, d):
     """Policy and value of every state of root vectors by the attention encoder."""
-    return evaluations(spark, d).select("state", "place", F.transform("pi", lambda x: C.rounded(x, 6)).alias("pi"), F.round("value", 6).alias("value"))
+    return evaluations(spark, d, "pi", "value").select("state", "place", F.transform("pi", lambda x: C.rounded(x, 6)).alias("pi"), F.round("value", 6).alias("value"))
