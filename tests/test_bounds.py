@@ -62,3 +62,17 @@ def test_nothing_to_bound(spark):
     one = frame(spark, np.eye(3)[:1])
     assert bounds.nearest(none)[0].count() == bounds.nearest(one)[0].count() == 0
     assert bounds.contacts_within(one, none, 0.1)[0].count() == bounds.contacts_within(none, one, 0.1)[0].count() == 0
+
+
+def test_a_vector_is_sent_to_ranges_and_not_to_blocks(spark, monkeypatch):
+    monkeypatch.setattr(gram, "BLOCK", 4)
+    monkeypatch.setattr(gram, "PARTS", 3, raising=False)
+    v, sent = CASES["everywhere"], []
+    run = bounds.products
+    monkeypatch.setattr(bounds, "products", lambda left, right, pairs, *rest: (sent.append(pairs.filter("kept" if "kept" in pairs.columns else "true")), run(left, right, pairs, *rest))[1])
+    found, pairs = bounds.nearest(frame(spark, v))
+    c = np.round(v @ v.T, 6)
+    np.fill_diagonal(c, -9)
+    assert {r.id: r.neighbour for r in found.collect()} == {i: int(row.argmax()) for i, row in enumerate(c)}
+    blocks = {x for r in sent[0].collect() for x in (r.p, r.q)}
+    assert len(blocks) >= 60 and len({x >> 32 for x in blocks}) <= 3

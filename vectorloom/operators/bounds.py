@@ -1,16 +1,17 @@
 """Products of blocks of vectors that skip the pairs of blocks whose vectors are too far apart.
 
 Angles obey the triangle inequality, so two vectors are no nearer than the difference of their angles to any
-third one. PIVOTS vectors of the table are such third ones. Vectors are ranges of (nearest pivot, angle to
-it), cut to blocks of BLOCK rows, and a block keeps the least and greatest angle of its vectors to each
+third one. PIVOTS vectors of the table are such third ones. Vectors are dealt to at most PARTS of gram (more only
+for a table of over PARTS * LARGEST rows) ranges of (nearest pivot, angle to it), and these are cut to blocks of BLOCK rows. A vector is sent to ranges, not to blocks, so the
+shuffle grows with the table. A block keeps the least and greatest angle of its vectors to each
 pivot, and of their lengths. From these follows the greatest product that a pair of blocks can hold. A pair
-that cannot reach what is asked for is neither shuffled nor multiplied. How many can be skipped depends on the
+that cannot reach what is asked for is not multiplied, and a block without others to meet in a range is not sent there. How many can be skipped depends on the
 vectors: many where they lie in clusters, few where they point everywhere in many dimensions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,7 @@ def blocks(vectors: DataFrame, points: np.ndarray) -> tuple[DataFrame, DataFrame
     """id, v, block of vectors (id, v) near each other, and of each block low and high: angles to the pivots, then the length."""
     shared = vectors.sparkSession.sparkContext.broadcast(points)  # PIVOTS vectors
     parts, size = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), gram.BLOCK
+    parts = max(min(parts, gram.PARTS), -(-vectors.count() // gram.LARGEST))
 
     def angles(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         norm = np.linalg.norm(v, axis=1)
@@ -77,17 +79,36 @@ def reach(a: str, b: str) -> Column:
     return F.when(cos >= 0, cos * length("high")).otherwise(cos * length("low")) + SLACK
 
 
-def products(left: DataFrame, right: DataFrame, pairs: DataFrame, multiply: Callable, schema: str) -> DataFrame:
-    """multiply(ids and matrix of a block of left, of a block of right) for each pair (p, q) of blocks; a vector is sent for its block's pairs only."""
+def products(left: DataFrame, right: DataFrame, pairs: DataFrame, shrink: Callable[[np.ndarray, np.ndarray, Iterator], dict], schema: str) -> DataFrame:
+    """shrink(ids of a range of left, of right, tiles) for each pair of ranges that holds pairs (p, q) of blocks.
 
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        side = table.column("side").to_numpy(zero_copy_only=False)
-        ids, v = gram.matrix(table)
-        return pa.table(multiply(ids[side], v[side], ids[~side], v[~side]))
+    tiles are slices of the left and of the right ids, sorted within, and the products of a pair of blocks. A vector is sent once to
+    each range that its block has a pair with.
+    """
 
-    ends = pairs.select("p", "q", F.explode(F.array(F.struct(F.col("p").alias("block"), F.lit(True).alias("side")), F.struct(F.col("q").alias("block"), F.lit(False).alias("side")))).alias("x")).select("p", "q", "x.*")
+    def run(key: tuple, table: pa.Table, own: pa.Table) -> pa.Table:
+        side, block = table.column("side").to_numpy(zero_copy_only=False), table.column("block").to_numpy()
+        ids, v = gram.matrix(table)
+        ends, found = [], []
+        for at in (np.flatnonzero(side), np.flatnonzero(~side)):
+            at = at[np.lexsort((ids[at], block[at]))]
+            names, start = np.unique(block[at], return_index=True)
+            ends.append({n: slice(i, j) for n, i, j in zip(names.tolist(), start.tolist(), [*start[1:].tolist(), len(at)], strict=True)})
+            found.append((ids[at], v[at]))
+        (i, u), (j, w) = found
+
+        def tiles():
+            for x, y in zip(own.column("p").to_pylist(), own.column("q").to_pylist(), strict=True):
+                p, q = ends[0][x], ends[1][y]
+                yield p, q, u[p] @ w[q].T
+
+        return pa.table(shrink(i, j, tiles()))
+
+    ranges = pairs.select("p", "q", F.shiftright("p", 32).alias("a"), F.shiftright("q", 32).alias("b"))
+    ends = ranges.select("a", "b", F.explode(F.array(F.struct(F.col("p").alias("block"), F.lit(True).alias("side")), F.struct(F.col("q").alias("block"), F.lit(False).alias("side")))).alias("x")).select("a", "b", "x.*").distinct()
     both = left.withColumn("side", F.lit(True)).union(right.withColumn("side", F.lit(False)))
-    return both.join(ends, ["block", "side"]).select("id", "v", "side", "p", "q").groupBy("p", "q").applyInArrow(run, schema)
+    sent = both.join(ends, ["block", "side"]).select("id", "v", "side", "block", F.col("a").alias("from"), F.col("b").alias("to"))
+    return sent.groupBy("from", "to").cogroup(ranges.groupBy("a", "b")).applyInArrow(run, schema)
 
 
 def contacts_within(left: DataFrame, right: DataFrame, least: float, id: str = "vec_id", vector: str = "embedding") -> tuple[DataFrame, DataFrame]:
@@ -100,8 +121,11 @@ def contacts_within(left: DataFrame, right: DataFrame, least: float, id: str = "
     (x, x_edges), (y, y_edges) = blocks(a, points), blocks(b, points)
     pairs = x_edges.alias("a").join(y_edges.alias("b"), how="cross").select(F.col("a.block").alias("p"), F.col("b.block").alias("q"), (reach("a", "b") >= least).alias("kept"))  # blocks, not rows
 
-    def shrink(i, u, j, v):
-        return {"id": i, "max_cos": (u @ v.T).max(axis=1, initial=-np.inf)}
+    def shrink(i, j, tiles):
+        most = np.full(len(i), -np.inf)
+        for p, _, c in tiles:
+            most[p] = np.maximum(most[p], c.max(axis=1))
+        return {"id": i, "max_cos": most}
 
     out = products(x, y, pairs.filter("kept"), shrink, "id long, max_cos double").groupBy("id").agg(F.max("max_cos").alias("max_cos"))
     return out.filter(F.col("max_cos") >= least), pairs
@@ -134,9 +158,12 @@ def nearest(frame: DataFrame, id: str = "vec_id", vector: str = "embedding") ->
         alone = np.isneginf(found["cos"])
         return pa.table({"block": np.full(len(ids), key[0].as_py())} | {k: pa.array(x, mask=alone if k != "id" else None) for k, x in found.items()})
 
-    def across(i, u, j, v):
-        c = u @ v.T
-        one, two = best(i, j, c), best(j, i, c.T)
+    def across(i, j, tiles):
+        one, two = gram.Best(i), gram.Best(j)
+        for p, q, c in tiles:
+            one.see(p, c, j[q])
+            two.see(q, c.T, i[p])
+        one, two = one.columns(), two.columns()
         return {k: np.concatenate([one[k], two[k]]) for k in one}
 
     first = stored(own.groupBy("block").applyInArrow(within, "block long, id long, neighbour long, cos double"))
