@@ -97,3 +97,14 @@ def test_progress_and_symmetries(spark):
     assert episodes.progress(results.filter("rank = 0")).first().block == [gram[:3], gram[3:6], gram[6:9]]
     assert episodes.symmetries(results).collect() == results.collect()
     assert episodes.symmetries(results, F.reverse("gram")).count() == 4
+
+
+def test_minibatches_are_cut_without_a_table_each(monkeypatch):
+    import pandas as pd
+
+    rows = pd.DataFrame({"epoch": [0, 0, 0, 0, 1, 1], "step": [0, 0, 2, 2, 2, 3], "x": [[float(i), 1.0] for i in range(6)], "pi": [[float(i)] for i in range(6)], "reward": np.arange(6.0)})
+    monkeypatch.setattr(pd.DataFrame, "groupby", None)
+    monkeypatch.setattr(pd, "concat", None)
+    found = list(learn.by_step([rows.iloc[:3], rows.iloc[:0], rows.iloc[3:5], rows.iloc[5:]]))
+    assert [(k, z.tolist()) for k, _, _, z in found] == [((0, 0), [0.0, 1.0]), ((0, 2), [2.0, 3.0]), ((1, 2), [4.0]), ((1, 3), [5.0])]
+    assert found[1][1].tolist() == [[2.0, 1.0], [3.0, 1.0]] and found[1][2].tolist() == [[2.0], [3.0]]

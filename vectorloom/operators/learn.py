@@ -124,22 +124,27 @@ def fit_vectors(vectors: DataFrame, wide: int, actions: int, epochs: int = 10, r
 
 
 def by_step(batches):
-    """((epoch, step), x, pi, reward) of a sorted stream: one minibatch's rows at a time."""
+    """((epoch, step), x, pi, reward) of a sorted stream: one minibatch's rows at a time, slices of a batch's arrays."""
     key, held = None, []
     for b in batches:
-        for now, own in b.groupby(["epoch", "step"], sort=False):
+        if not len(b):
+            continue
+        epoch, step = b["epoch"].to_numpy(), b["step"].to_numpy()
+        own = np.stack(b["x"].to_numpy()), np.stack(b["pi"].to_numpy()), b["reward"].to_numpy(dtype=np.float64)
+        first = np.flatnonzero(np.concatenate([[True], (epoch[1:] != epoch[:-1]) | (step[1:] != step[:-1])])).tolist()
+        for i, j in zip(first, [*first[1:], len(b)], strict=True):
+            now = int(epoch[i]), int(step[i])
             if now != key and held:
-                yield (key, *stacked(held))
+                yield (key, *joined(held))
                 held = []
             key = now
-            held.append(own)
+            held.append([x[i:j] for x in own])
     if held:
-        yield (key, *stacked(held))
+        yield (key, *joined(held))
 
 
-def stacked(held: list[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    own = pd.concat(held)
-    return np.stack(own["x"].to_numpy()), np.stack(own["pi"].to_numpy()), own["reward"].to_numpy(dtype=np.float64)
+def joined(held: list[list[np.ndarray]]) -> list[np.ndarray]:
+    return held[0] if len(held) == 1 else [np.concatenate(x) for x in zip(*held, strict=True)]
 
 
 def heads(weights: np.ndarray, wide: int, actions: int) -> dict[str, np.ndarray]:
