@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from vectorloom.functions import columns as C
 from vectorloom.operators import gram
 
 
@@ -87,6 +88,50 @@ def test_listed_pairs_by_smaller_id(spark, small):
     assert {r.k for r in gram.listed_by_row(frame(spark, v), []).collect()} == {0}
 
 
+@pytest.mark.parametrize("lengths", [1.0, 3.0, 1e5, np.nan])
+def test_counts_in_arrays_are_those_of_rounded_products(small, lengths):
+    """Also where lengths of vectors, or what is no number, let keys leave the range of an array."""
+    v = np.concatenate([vectors(20), vectors(3), -vectors(3), [[0.5, 0, 0, 0, 0], [0.25, 0, 0, 0, 0]]])
+    v[7] *= lengths
+    ids, first = np.arange(len(v)) * 2, np.arange(len(v)) % 3 == 0
+    for one in (False, True):
+        own = first | one
+        a, b = ids[own], ids[own if one else ~own]
+        c = v[a // 2] @ v[b // 2].T
+        c = c[a[:, None] < b[None, :]] if one else c.ravel()
+        for scale, kind in ((1000, np.float64), (1000, np.float32), (1_000_000, np.float64)):
+            total = Counter()
+            for part in gram.counted(gram.Tiles(ids[own] if one else ids, v[own] if one else v, own[own] if one else own, one), scale, kind):
+                total.update(dict(zip(part["key"].tolist(), part["n"].tolist(), strict=True)))
+            with np.errstate(invalid="ignore"):
+                assert total == Counter(np.rint(c.astype(kind) * kind(scale)).astype(np.int64).tolist())
+
+
+def test_entries_are_those_of_the_column_rules(spark, small):
+    keys = spark.range(-1_200_000, 1_200_001, 7).union(spark.range(-1_200_500, 1_200_501, 1000)).union(spark.range(460_000, 620_000))
+    rows = keys.select("id", F.round(C.snapped_entry(F.col("id") / 1_000_000), 3).alias("entry")).toPandas()
+    assert (rows["entry"].to_numpy() == C.snapped_thousandths(rows["id"].to_numpy()) / 1000).all()
+    for scale in (1.0, 2000.0):
+        v = vectors() * scale
+        found = gram.entries(frame(spark, v)).collect()
+        assert {r.key: r.n for r in found} == Counter(C.snapped_thousandths(np.array([round(c * 1e6) for c in products(v).values()])).tolist()) and len(found) == len({r.key for r in found})
+
+
+def test_tasks_have_the_same_number_of_groups(spark, monkeypatch):
+    monkeypatch.setattr(gram, "BLOCK", 5)
+    monkeypatch.setattr(gram, "TASKS", 8, raising=False)
+
+    def task(tiles):
+        from pyspark import TaskContext
+
+        yield {"i": np.array([TaskContext.get().partitionId()])}
+
+    groups = gram.pair_cosines(frame(spark, vectors(60)), shrink=task, schema="i long")
+    assert sorted(Counter(r.i for r in groups.collect()).values()) == [9, 9, 10, 10, 10, 10, 10, 10]  # 78 groups of 12 blocks
+    copies = gram._dealt(gram.vectors_of(frame(spark, vectors(60)).coalesce(1), "vec_id", "embedding"), 12, "left", 12, True)
+    assert copies.rdd.getNumPartitions() == 24
+
+
 def test_alphabet_counts_pairs_once(spark, monkeypatch, tmp_path):
     from vectorloom.plans import catalogue
 

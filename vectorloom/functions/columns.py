@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -91,6 +92,23 @@ def snapped_entry(v: Column) -> Column:
     return out.otherwise(v)
 
 
+def snapped_thousandths(key: np.ndarray, tolerance: float = 0.03) -> np.ndarray:
+    """snapped_entry() of whole millionths, in thousandths (halves away from zero): the same rules in the same order, on arrays."""
+    v = key / 1_000_000
+    rules = [(v > 0.5 + tolerance, np.nan)]
+    rules += [(np.abs(v - x) < tolerance, x) for x in (0.5, -0.5, 0.0, -1.0)]
+    rules += [(np.abs(v - form) < tolerance, exact) for exact, form in zip(ROOTS, ROOT_FORMS, strict=True) if exact <= 0.5]
+    near = [np.rint(v * d) / d for d in (2, 3, 4)]
+    fits = [np.where((n >= -1 - 1e-9) & (n <= 0.5 + 1e-9) & (np.abs(v - n) < tolerance), np.abs(v - n), np.inf) for n in near]
+    least = np.minimum.reduce(fits)
+    rules += [((own == least) & np.isfinite(own), n) for n, own in zip(near, fits, strict=True)]
+    exact = np.select([r for r, _ in rules], [x for _, x in rules], np.nan)
+    drawn = np.select([np.abs(v - x) < 0.1 for x in (0.0, 0.5, -0.5)], [0.0, 0.5, -0.5], np.nan)
+    out = np.where(np.isnan(exact), drawn, exact)
+    own = np.sign(key) * ((np.abs(key) + 500) // 1000)
+    return np.where(np.isnan(out), own, np.rint(np.nan_to_num(out) * 1000)).astype(np.int64)
+
+
 def reward(r: Column, low: float, high: float) -> Column:
     return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), 2 * (r - low) / (high - low + 1e-5) - 1))
 
