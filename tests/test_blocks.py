@@ -132,6 +132,13 @@ def test_tasks_have_the_same_number_of_groups(spark, monkeypatch):
     assert copies.rdd.getNumPartitions() == 24
 
 
+@pytest.mark.parametrize("shape", [(3, 16), (300, 8), (4, 4096), (5, 7)])
+def test_ones_are_added(shape):
+    marks = np.random.default_rng(1).integers(0, 2, shape).astype(np.uint8)
+    for m in (marks, np.ones_like(marks)):
+        assert [gram.ones(m, a).tolist() for a in (0, 1)] == [m.sum(axis=a, dtype=int).tolist() for a in (0, 1)]
+
+
 def test_alphabet_counts_pairs_once(spark, monkeypatch, tmp_path):
     from vectorloom.plans import catalogue
 
