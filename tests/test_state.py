@@ -1,6 +1,7 @@
 import datetime
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,6 +61,58 @@ def test_equals_the_batch_order_after_any_split(spark, tmp_path, parts):
     assert 0 < written < len(rows)
 
 
+class Held(dict):
+    """State of one key without Spark, with the number of calls to it."""
+
+    calls = 0
+
+    def updateValue(self, k, v):
+        self.calls += 1
+        self[k] = v
+
+    def getValue(self, k):
+        self.calls += 1
+        return self[k]
+
+    def removeKey(self, k):
+        self.calls += 1
+        del self[k]
+
+
+class Value:
+    def __init__(self):
+        self.value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+@pytest.mark.parametrize("small", [2, 4096])
+def test_few_rows_of_many_slices_are_one_part(monkeypatch, small):
+    monkeypatch.setattr(state, "SMALL", small, raising=False)
+    one, timers = state.Running(60_000), []
+    one.held, one.parts, one.sums = Held(), Value(), Value()
+    one.handle = type("Handle", (), {"registerTimer": lambda self, t: timers.append(t)})()
+    rows = [(1, 0, 1.5 * i % 4, i, at(i)) for i in range(20)]
+    micros = lambda t: int((t - datetime.datetime(1970, 1, 1)).total_seconds()) * 1_000_000
+    table = pd.DataFrame([(micros(t), sim, a, v) for _, a, v, sim, t in rows[::-1]], columns=["at", "sim", "a", "v"])
+    list(one.handleInputRows((1,), iter([table.iloc[:12], table.iloc[12:]]), None))
+    out = []
+    for upto in (10, 15):
+        mark = type("Times", (), {"getCurrentWatermarkInMs": lambda self, m=upto: micros(at(m)) // 1000})()
+        out += [r for part in one.handleExpiredTimer((1,), mark, None) for r in part.itertuples()]
+        assert timers[-1] == micros(at(upto + 1)) // 1000
+    assert [r.sim for r in out] == list(range(15)) and sorted(x for p in one.held.values() for x in p[1]) == list(range(15, 20))
+    assert sorted(repr((int(r.s), int(r.sim), int(r.a), int(r.n), round(float(r.q), 9), float(r.best))) for r in out) == running(rows[:15])
+    assert small == 2 or one.held.calls <= 12
+
+
 def test_late_rows_are_left_out_and_odd_ones_defined(spark, tmp_path):
     first = [(1, 0, 2.0, 1, at(0)), (1, 0, None, 2, at(1)), (1, None, 4.0, 3, at(2)), (None, 0, 9.0, 4, at(3)), (1, 0, 9.0, 5, None), (2, 1, None, None, at(4)), (2, 1, None, None, at(4)), (1, 0, 3.0, 6, at(60))]
     second = [(1, 0, 9.0, 7, at(20)), (1, 0, 5.0, 8, at(55)), (1, 0, 0.5, 9, at(61))]
