@@ -3,6 +3,7 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +48,46 @@ def test_pairs_over_tiles_with_places(spark, small):
     assert gram.pair_cosines(frame(spark, np.repeat(v[:1], 3, axis=0)).withColumn("vec_id", F.lit(1))).count() == 0
 
 
+def test_pairs_in_order_are_all_pairs(monkeypatch):
+    """Also with lengths that leave few bits for a place, several parts of a group, zeros of either sign and ids of one block between those of the other."""
+    monkeypatch.setattr(gram, "TILE", 5)
+    monkeypatch.setattr(gram, "HELD", 60)
+    monkeypatch.setattr(gram, "MANY", 1)
+    v = np.concatenate([vectors(20), -vectors(3), [[1e-9, 0, 0, 0, 0], [-0.5, 0, 0, 0, 0], [0.5, 0, 0, 0, 0]]])
+    ids, first = np.arange(len(v)) * 2, np.arange(len(v)) % 3 == 0
+    for length, fits in ((1.0, True), (1e4, True), (1e10, False), (np.nan, False)):
+        v[7] = vectors(8)[7] * length
+        for one in (False, True):
+            own = first | one
+            tiles = gram.Tiles(ids[own] if one else ids, v[own] if one else v, own[own] if one else own, one)
+            assert gram._to_order(tiles, 6) == fits
+            if not fits:
+                continue
+            parts = list(gram._ordered(tiles, 6))
+            i, j, cos = (np.concatenate([part[k] for part in parts]) for k in ("i", "j", "cos"))
+            assert (np.diff(cos) < 0).sum() < len(cos) // 40 and (i < j).all()
+            a, b = ids[own], ids[own if one else ~own]
+            c = gram.rounded(v[a // 2] @ v[b // 2].T, 6)
+            expected = {(min(x, y), max(x, y)): repr(float(c[m, n])) for m, x in enumerate(a) for n, y in enumerate(b) if not one or x < y}
+            assert len(i) == len(expected) and {(x, y): repr(z) for x, y, z in zip(i.tolist(), j.tolist(), cos.tolist(), strict=True)} == expected
+    assert not gram._to_order(gram.Tiles(ids, np.eye(len(v)), ids >= 0, True), 6)  # of few cosines, which a dictionary holds
+
+
+def test_pairs_take_few_bytes(spark, monkeypatch, tmp_path):
+    """A cosine is stored once for many pairs of a large group: in order of i and j, a pair took over 8 bytes."""
+    from vectorloom.plans import catalogue
+
+    monkeypatch.setattr(gram, "BLOCK", 5000)  # one block
+    v = vectors(3000, 64)
+    spark.createDataFrame([(i * 3, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    catalogue.gram_pairs(spark, str(tmp_path)).coalesce(1).write.parquet(f"{tmp_path}/pairs")
+    rows = pq.read_table(f"{tmp_path}/pairs").to_pandas().sort_values(["i", "j"])
+    i, j = np.triu_indices(3000, 1)
+    assert (rows["i"].to_numpy() == 3 * i).all() and (rows["j"].to_numpy() == 3 * j).all()
+    assert np.abs(rows["cos"].to_numpy() - (v @ v.T)[i, j]).max() <= 5.000001e-7
+    assert sum(p.stat().st_size for p in (tmp_path / "pairs").glob("*.parquet")) < 6 * len(rows)
+
+
 def test_rounding_is_that_of_sql(duck):
     x = [0.5, -0.5, 2.5, 0.0078125, -0.0078125, -1e-9, 1e-9, 0.1234564, -0.1234565, 3.0]
     own = duck.execute("select round(unnest(?::double[]), 6)", [x]).fetchall()
